@@ -59,3 +59,71 @@ def q_sample_random(spark, sf):
 @query("error_lines")
 def q_error_lines(spark, sf):
     return LV.lines_containing(log_lines(spark, sf), "ERROR").select("path", "line_no", "line")
+
+
+# ------------------------------------------------------------------ family B: timelines and cluster usage
+from logscope.operators import timeline as TL  # noqa: E402
+
+
+def _timeline(spark, sf):
+    return TL.app_timeline(log_lines(spark, sf), ordered=False)
+
+
+@query("path_ids")
+def q_path_ids(spark, sf):
+    return TL.path_ids(log_lines(spark, sf))
+
+
+@query("app_timeline")
+def q_app_timeline(spark, sf):
+    return TL.app_timeline(log_lines(spark, sf))
+
+
+@query("container_timeline")
+def q_container_timeline(spark, sf):
+    return TL.container_timeline(log_lines(spark, sf))
+
+
+@query("cluster_summary")
+def q_cluster_summary(spark, sf):
+    return TL.cluster_summary(_timeline(spark, sf))
+
+
+@query("usage_stats")
+def q_usage_stats(spark, sf):
+    return TL.usage_stats(TL.cluster_summary(_timeline(spark, sf), ordered=False))
+
+
+@query("top_clusters")
+def q_top_clusters(spark, sf):
+    return TL.top_clusters(TL.cluster_summary(_timeline(spark, sf), ordered=False), 5)
+
+
+@query("cluster_start_month")
+def q_cluster_start_month(spark, sf):
+    return TL.cluster_start_month(TL.cluster_summary(_timeline(spark, sf)))
+
+
+@query("busiest_cluster_durations")
+def q_busiest(spark, sf):
+    return TL.busiest_cluster_apps(_timeline(spark, sf))
+
+
+@query("duration_histogram")
+def q_duration_histogram(spark, sf):
+    return TL.duration_histogram(_timeline(spark, sf), 30)
+
+
+@query("duration_histogram_log")
+def q_duration_histogram_log(spark, sf):
+    return TL.duration_histogram_log(_timeline(spark, sf), 30)
+
+
+@query("app_inventory")
+def q_app_inventory(spark, sf):
+    return TL.app_inventory(log_lines(spark, sf))
+
+
+@query("top_apps_by_files")
+def q_top_apps_by_files(spark, sf):
+    return TL.top_apps_by_files(log_lines(spark, sf), 5)

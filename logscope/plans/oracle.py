@@ -61,3 +61,102 @@ ORDER BY md5(concat(CAST(line_no AS VARCHAR), '|42')), line_no LIMIT 10""")
 
 ORACLE["error_lines"] = logs_sql("""
 SELECT path, line_no, line FROM log_lines WHERE contains(line, 'ERROR')""")
+
+# ------------------------------------------------------------------ family B
+TS_SQL = ("coalesce(try_strptime(s, '%y/%m/%d %H:%M:%S,%g'), try_strptime(s, '%y/%m/%d %H:%M:%S'), "
+          "try_strptime(s, '%Y-%m-%d %H:%M:%S,%g'), try_strptime(s, '%Y-%m-%d %H:%M:%S'))")
+APP_SQL = f"regexp_extract(path, '{P.APPLICATION_ID}', 1)"
+PARSED = f"""parsed AS (
+  SELECT path, line_no, line, {TS_SQL} AS ts, {APP_SQL} AS application_id
+  FROM (SELECT *, regexp_extract(line, '{P.TS_ANY}', 1) AS s FROM log_lines))"""
+TIMELINE = f"""{PARSED},
+tl AS (
+  SELECT regexp_extract(application_id, '{P.CLUSTER_ID}', 1) AS cluster_id, application_id,
+         regexp_extract(application_id, '{P.APP_NUMBER}', 1) AS app_number,
+         min(ts) AS start_time, max(ts) AS end_time
+  FROM parsed WHERE application_id <> '' AND ts IS NOT NULL GROUP BY 1, 2, 3)"""
+CLUSTERS = f"""{TIMELINE},
+cs AS (
+  SELECT cluster_id, count(*) AS num_applications, min(start_time) AS cluster_first_app,
+         max(end_time) AS cluster_last_app
+  FROM tl GROUP BY cluster_id)"""
+BUSY = f"""{CLUSTERS},
+busy AS (
+  SELECT tl.*, (epoch_us(end_time) - epoch_us(start_time)) / 6e7 AS duration_min FROM tl
+  WHERE cluster_id IN (SELECT cluster_id FROM cs ORDER BY num_applications DESC, cluster_id LIMIT 1))"""
+ROLE_SQL = ("CASE WHEN container_no = '' THEN '' WHEN container_no = '000001' THEN 'ApplicationMaster' "
+            "ELSE 'Executor' END")
+IDS = f"""ids AS (
+  SELECT *, regexp_extract(container_id, '{P.CONTAINER_PARTS}', 1) AS attempt,
+            regexp_extract(container_id, '{P.CONTAINER_PARTS}', 2) AS container_no
+  FROM (SELECT *, {APP_SQL} AS application_id, regexp_extract(path, '{P.CONTAINER_ID}', 1) AS container_id
+        FROM files))"""
+
+
+def histogram_sql(values_cte: str, bins: int = 30, lo_name="bin_lo", hi_name="bin_hi") -> str:
+    w = f"((b.hi - b.lo) / {float(bins)}::DOUBLE)"
+    return f"""d AS (SELECT v FROM ({values_cte}) WHERE v IS NOT NULL),
+b AS (SELECT min(v) AS lo, max(v) AS hi FROM d),
+c AS (SELECT CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE least(floor((d.v - b.lo) / {w}), {bins - 1}) END AS INTEGER) AS bin,
+             count(*) AS n FROM d, b GROUP BY 1)
+SELECT CAST(r.range AS INTEGER) AS bin, b.lo + r.range * {w} AS {lo_name},
+       b.lo + (r.range + 1) * {w} AS {hi_name}, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM range({bins}) r CROSS JOIN b LEFT JOIN c ON c.bin = r.range ORDER BY 1"""
+
+
+ORACLE["path_ids"] = logs_sql(f"""
+files AS (SELECT DISTINCT path FROM log_lines),
+{IDS}
+SELECT path, application_id, regexp_extract(application_id, '{P.CLUSTER_ID}', 1) AS cluster_id,
+       regexp_extract(application_id, '{P.APP_NUMBER}', 1) AS app_number, container_id, attempt,
+       container_no, {ROLE_SQL} AS role
+FROM ids""")
+
+ORACLE["app_timeline"] = logs_sql(f"""{TIMELINE}
+SELECT cluster_id, application_id, app_number, start_time, end_time FROM tl ORDER BY cluster_id, app_number""")
+
+ORACLE["container_timeline"] = logs_sql(f"""{PARSED},
+files AS (SELECT path, min(ts) AS start_time, max(ts) AS end_time, count(*) AS num_lines FROM parsed GROUP BY path),
+{IDS}
+SELECT application_id, container_id, attempt, container_no, {ROLE_SQL} AS role, start_time, end_time,
+       num_lines, (epoch_us(end_time) - epoch_us(start_time)) / 1e6 AS duration_sec, num_lines <= 41 AS short_lived
+FROM ids WHERE container_id <> ''""")
+
+ORACLE["cluster_summary"] = logs_sql(f"""{CLUSTERS}
+SELECT * FROM cs ORDER BY num_applications DESC, cluster_id""")
+
+ORACLE["usage_stats"] = logs_sql(f"""{CLUSTERS}
+SELECT count(*) AS total_clusters, CAST(coalesce(sum(num_applications), 0) AS BIGINT) AS total_applications,
+       CASE WHEN count(*) = 0 THEN 0.0 ELSE CAST(sum(num_applications) AS DOUBLE) / count(*) END AS avg_apps_per_cluster
+FROM cs""")
+
+ORACLE["top_clusters"] = logs_sql(f"""{CLUSTERS}
+SELECT * FROM cs ORDER BY num_applications DESC, cluster_id LIMIT 5""")
+
+ORACLE["cluster_start_month"] = logs_sql(f"""{CLUSTERS}
+SELECT cluster_id, num_applications, epoch_ms(CAST(cluster_id AS BIGINT)) AS cluster_start,
+       strftime(epoch_ms(CAST(cluster_id AS BIGINT)), '%b %Y') AS start_month
+FROM cs ORDER BY num_applications DESC, cluster_id""")
+
+ORACLE["busiest_cluster_durations"] = logs_sql(f"""{BUSY}
+SELECT cluster_id, application_id, app_number, start_time, end_time, duration_min FROM busy""")
+
+ORACLE["duration_histogram"] = logs_sql(f"""{BUSY},
+{histogram_sql("SELECT duration_min AS v FROM busy")}""")
+
+ORACLE["duration_histogram_log"] = logs_sql(f"""{BUSY},
+{histogram_sql("SELECT log10(duration_min) AS v FROM busy WHERE duration_min > 0", lo_name="log10_lo", hi_name="log10_hi")}""")
+
+APP_FILES = f"""files AS (SELECT path, {APP_SQL} AS application_id, sum(strlen(line) + 1) AS file_bytes
+          FROM log_lines GROUP BY path),
+af AS (SELECT application_id, count(*) AS num_files, CAST(sum(file_bytes) AS BIGINT) AS app_bytes
+       FROM files WHERE application_id <> '' GROUP BY application_id)"""
+
+ORACLE["app_inventory"] = logs_sql(f"""{APP_FILES}
+SELECT count(*) AS num_applications, CAST(coalesce(sum(num_files), 0) AS BIGINT) AS num_files,
+       avg(num_files) AS mean_files_per_app, min(app_bytes) AS min_app_bytes, avg(app_bytes) AS mean_app_bytes,
+       max(app_bytes) AS max_app_bytes
+FROM af""")
+
+ORACLE["top_apps_by_files"] = logs_sql(f"""{APP_FILES}
+SELECT application_id, num_files, app_bytes FROM af ORDER BY num_files DESC, application_id LIMIT 5""")
