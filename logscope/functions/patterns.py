@@ -58,6 +58,7 @@ STORED_BLOCK_HINT = " stored as "
 BROADCAST_READ_HINT = "Started reading broadcast variable "
 CACHE_HIT_HINT = "Found block "
 SHUFFLE_FETCH_HINT = " remote fetches in "
+HOST_HINTS = ("mesos-", "10.10.34.")
 
 # size units (binary multiples)
 UNIT_EXPONENT = {"B": 0, "KB": 1, "MB": 2, "GB": 3, "TB": 4}

@@ -127,3 +127,89 @@ def q_app_inventory(spark, sf):
 @query("top_apps_by_files")
 def q_top_apps_by_files(spark, sf):
     return TL.top_apps_by_files(log_lines(spark, sf), 5)
+
+
+# ------------------------------------------------------------------ family C: daily summaries
+from logscope.operators import daily as DY  # noqa: E402
+from logscope.sources import read_table  # noqa: E402
+
+LINEITEM_SPEC = DY.DailySpec(
+    ts="l_shipdate", count_name="num_rows",
+    mean=("l_quantity", "mean_quantity"), max=("l_tax", "max_tax"),
+    q95=("l_extendedprice", "q95_extendedprice"), min=("l_discount", "min_discount"),
+    ceil_mean=("l_linenumber", "ceil_mean_linenumber"))
+ORDERS_SPEC = DY.DailySpec(
+    ts="o_orderdate", count_name="num_rows",
+    mean=("o_totalprice", "mean_totalprice"), max=("o_totalprice", "max_totalprice"),
+    q95=("o_totalprice", "q95_totalprice"), min=("o_totalprice", "min_totalprice"))
+SUMMARY_YEAR = 1996
+
+
+@query("daily_summary_lineitem")
+def q_daily_lineitem(spark, sf):
+    return DY.daily_summary(read_table(spark, sf, "lineitem"), LINEITEM_SPEC, SUMMARY_YEAR)
+
+
+@query("daily_summary_orders")
+def q_daily_orders(spark, sf):
+    return DY.daily_summary(read_table(spark, sf, "orders"), ORDERS_SPEC, SUMMARY_YEAR)
+
+
+@query("period_totals")
+def q_period_totals(spark, sf):
+    daily = DY.daily_summary(read_table(spark, sf, "lineitem"), LINEITEM_SPEC, SUMMARY_YEAR, ordered=False)
+    return DY.period_totals(daily, "num_rows")
+
+
+# ------------------------------------------------------------------ log events
+from logscope.operators import events as EV  # noqa: E402
+from logscope.operators import records as RC  # noqa: E402
+from logscope.operators import tasks as TK  # noqa: E402
+
+for _name, _fn in {
+    "executor_requests": EV.executor_requests, "container_requests": EV.container_requests,
+    "request_shapes": EV.request_shapes, "input_splits": EV.input_splits,
+    "python_worker_times": EV.python_worker_times, "memory_capacity": EV.memory_capacity,
+    "stored_blocks": EV.stored_blocks, "broadcast_reads": EV.broadcast_reads,
+    "cache_hits": EV.cache_hits, "shuffle_fetches": EV.shuffle_fetches,
+    "parsed_records": RC.parse_records, "component_counts": RC.component_counts,
+    "parse_audit": RC.parse_audit, "host_activity": RC.host_activity,
+    "stitched_entries": RC.stitched_entries,
+}.items():
+    QUERIES[_name] = (lambda fn: lambda spark, sf: fn(log_lines(spark, sf)))(_fn)
+
+
+# ------------------------------------------------------------------ tasks
+def _tasks(spark, sf):
+    return TK.task_lifecycle(log_lines(spark, sf))
+
+
+@query("task_lifecycle")
+def q_task_lifecycle(spark, sf):
+    return _tasks(spark, sf)
+
+
+@query("task_time_by_app")
+def q_task_time_by_app(spark, sf):
+    return TK.task_time_by_app(_tasks(spark, sf))
+
+
+@query("unfinished_tasks")
+def q_unfinished_tasks(spark, sf):
+    logs = log_lines(spark, sf)
+    return TK.unfinished_tasks(TK.task_lifecycle(logs), logs)
+
+
+@query("stage_skew")
+def q_stage_skew(spark, sf):
+    return TK.stage_skew(_tasks(spark, sf))
+
+
+@query("stage_bottlenecks")
+def q_stage_bottlenecks(spark, sf):
+    return TK.stage_bottlenecks(_tasks(spark, sf))
+
+
+@query("stages_per_app")
+def q_stages_per_app(spark, sf):
+    return TK.stages_per_app(_tasks(spark, sf))

@@ -160,3 +160,205 @@ FROM af""")
 
 ORACLE["top_apps_by_files"] = logs_sql(f"""{APP_FILES}
 SELECT application_id, num_files, app_bytes FROM af ORDER BY num_files DESC, application_id LIMIT 5""")
+
+# ------------------------------------------------------------------ family C
+DAY_KEYS = ("CAST(year({ts}) AS INTEGER) AS dt_year, CAST(month({ts}) AS INTEGER) AS dt_month, "
+            "CAST(day({ts}) AS INTEGER) AS dt_day")
+YEAR_1996 = "{ts} >= TIMESTAMP '1996-01-01 00:00:00' AND {ts} < TIMESTAMP '1997-01-01 00:00:00'"
+
+LINEITEM_DAILY = f"""SELECT {DAY_KEYS.format(ts='l_shipdate')}, count(*) AS num_rows,
+       avg(l_quantity) AS mean_quantity, max(l_tax) AS max_tax,
+       quantile_disc(l_extendedprice, 0.95) AS q95_extendedprice, min(l_discount) AS min_discount,
+       CAST(ceil(avg(l_linenumber)) AS BIGINT) AS ceil_mean_linenumber
+FROM lineitem WHERE {YEAR_1996.format(ts='l_shipdate')}
+GROUP BY 1, 2, 3"""
+
+ORACLE["daily_summary_lineitem"] = LINEITEM_DAILY + "\nORDER BY 1 DESC, 2 DESC, 3 DESC"
+
+ORACLE["daily_summary_orders"] = f"""SELECT {DAY_KEYS.format(ts='o_orderdate')}, count(*) AS num_rows,
+       avg(o_totalprice) AS mean_totalprice, max(o_totalprice) AS max_totalprice,
+       quantile_disc(o_totalprice, 0.95) AS q95_totalprice, min(o_totalprice) AS min_totalprice
+FROM orders WHERE {YEAR_1996.format(ts='o_orderdate')}
+GROUP BY 1, 2, 3 ORDER BY 1 DESC, 2 DESC, 3 DESC"""
+
+ORACLE["period_totals"] = f"""WITH d AS ({LINEITEM_DAILY})
+SELECT count(*) AS num_days, CAST(coalesce(sum(num_rows), 0) AS BIGINT) AS total_num_rows,
+       avg(num_rows) AS mean_daily_num_rows, min(make_date(dt_year, dt_month, dt_day)) AS first_date,
+       max(make_date(dt_year, dt_month, dt_day)) AS last_date
+FROM d"""
+
+# ------------------------------------------------------------------ log events
+CONT_SQL = f"regexp_extract(path, '{P.CONTAINER_ID}', 1)"
+
+
+def events_cte(hint: str, pattern: str, groups: dict[str, tuple[int, str]], container: bool = False) -> str:
+    cols = [f"{APP_SQL} AS application_id"] + ([f"{CONT_SQL} AS container_id"] if container else [])
+    for name, (i, typ) in groups.items():
+        g = f"regexp_extract(line, '{pattern}', {i})"
+        cols.append(f"{g} AS {name}" if typ == "string" else f"CAST(NULLIF({g}, '') AS {typ}) AS {name}")
+    first = next(iter(groups.values()))[0]
+    return (f"ev AS (SELECT {', '.join(cols)} FROM log_lines WHERE contains(line, '{hint}') "
+            f"AND regexp_extract(line, '{pattern}', {first}) <> '')")
+
+
+def size_sql(v: str, u: str) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN {float(1024 ** e)}::DOUBLE" for k, e in P.UNIT_EXPONENT.items())
+    return f"(CAST({v} AS DOUBLE) * CASE {u} {whens} END)"
+
+
+EXEC_EV = events_cte(P.EXECUTOR_REQUEST_HINT, P.EXECUTOR_REQUEST, {
+    "executors": (1, "BIGINT"), "cores": (2, "BIGINT"), "memory_mb": (3, "BIGINT"), "overhead_mb": (4, "BIGINT")})
+
+ORACLE["executor_requests"] = logs_sql(f"""{EXEC_EV}
+SELECT application_id, count(*) AS num_requests, CAST(sum(executors) AS BIGINT) AS total_executors,
+       avg(executors) AS avg_executors, avg(cores) AS avg_cores, avg(memory_mb) AS avg_memory_mb,
+       avg(overhead_mb) AS avg_overhead_mb
+FROM ev GROUP BY application_id""")
+
+ORACLE["container_requests"] = logs_sql(f"""{events_cte(P.CONTAINER_REQUEST_HINT, P.CONTAINER_REQUEST, {
+    "host": (1, "string"), "memory_mb": (2, "BIGINT"), "vcores": (3, "BIGINT")})}
+SELECT application_id, host, memory_mb, vcores, count(*) AS num_requests FROM ev GROUP BY ALL""")
+
+ORACLE["request_shapes"] = logs_sql(f"""{EXEC_EV}
+SELECT executors, cores, memory_mb, count(*) AS num_requests, count(DISTINCT application_id) AS num_applications,
+       100.0::DOUBLE * count(*) / (SELECT count(*) FROM ev) AS share_pct
+FROM ev GROUP BY ALL ORDER BY num_requests DESC, executors, cores, memory_mb""")
+
+ORACLE["input_splits"] = logs_sql(f"""{events_cte(P.INPUT_SPLIT_HINT, P.INPUT_SPLIT, {
+    "input_file": (1, "string"), "off": (2, "BIGINT"), "len": (3, "BIGINT")})}
+SELECT application_id, input_file, count(*) AS num_splits, CAST(sum(len) AS BIGINT) AS total_bytes,
+       max(off + len) AS max_end_offset
+FROM ev GROUP BY ALL""")
+
+ORACLE["python_worker_times"] = logs_sql(f"""{events_cte(P.WORKER_TIMES_HINT, P.WORKER_TIMES, {
+    "total_ms": (1, "BIGINT"), "boot_ms": (2, "BIGINT"), "init_ms": (3, "BIGINT"), "finish_ms": (4, "BIGINT")})}
+SELECT application_id, count(*) AS num_reports, avg(total_ms) AS avg_total_ms, avg(boot_ms) AS avg_boot_ms,
+       avg(init_ms) AS avg_init_ms, avg(finish_ms) AS avg_finish_ms, max(total_ms) AS max_total_ms,
+       count(*) FILTER (WHERE boot_ms < 0) AS negative_boot,
+       count(*) FILTER (WHERE total_ms <> boot_ms + init_ms + finish_ms) AS identity_mismatch
+FROM ev GROUP BY application_id""")
+
+ORACLE["memory_capacity"] = logs_sql(f"""{events_cte(P.MEMORY_CAPACITY_HINT, P.MEMORY_CAPACITY, {
+    "value": (1, "string"), "unit": (2, "string")}, container=True)}
+SELECT application_id, container_id, max({size_sql('value', 'unit')}) AS capacity_bytes, count(*) AS num_starts
+FROM ev GROUP BY ALL""")
+
+ORACLE["stored_blocks"] = logs_sql(f"""{events_cte(P.STORED_BLOCK_HINT, P.STORED_BLOCK, {
+    "block_id": (1, "string"), "stored_as": (2, "string"), "sv": (3, "string"), "su": (4, "string"),
+    "fv": (5, "string"), "fu": (6, "string")})}
+SELECT application_id, split_part(block_id, '_', 1) AS block_kind, stored_as, count(*) AS num_blocks,
+       sum({size_sql('sv', 'su')}) AS total_size_bytes, min({size_sql('fv', 'fu')}) AS min_free_bytes
+FROM ev GROUP BY ALL""")
+
+ORACLE["broadcast_reads"] = logs_sql(f"""{events_cte(P.BROADCAST_READ_HINT, P.BROADCAST_READ, {
+    "broadcast_id": (1, "BIGINT")})}
+SELECT application_id, count(*) AS num_reads, count(DISTINCT broadcast_id) AS distinct_broadcasts
+FROM ev GROUP BY application_id""")
+
+ORACLE["cache_hits"] = logs_sql(f"""{events_cte(P.CACHE_HIT_HINT, P.CACHE_HIT, {
+    "block_id": (1, "string"), "location": (2, "string")})}
+SELECT application_id, location, count(*) AS hits, count(DISTINCT block_id) AS distinct_blocks
+FROM ev GROUP BY ALL""")
+
+ORACLE["shuffle_fetches"] = logs_sql(f"""{events_cte(P.SHUFFLE_FETCH_HINT, P.SHUFFLE_FETCH, {
+    "fetches": (1, "BIGINT"), "fetch_ms": (2, "BIGINT")})}
+SELECT application_id, count(*) AS num_reports, CAST(sum(fetches) AS BIGINT) AS total_fetches,
+       avg(fetch_ms) AS avg_fetch_ms, max(fetch_ms) AS max_fetch_ms
+FROM ev GROUP BY application_id""")
+
+# ------------------------------------------------------------------ tasks
+TASKS = f"""te AS (
+  SELECT * FROM (
+    SELECT {APP_SQL} AS application_id, {TS_SQL} AS ts,
+           regexp_extract(line, '{P.TASK_EVENT}', 1) AS event,
+           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 2), '') AS BIGINT) AS task_index,
+           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 3), '') AS BIGINT) AS task_attempt,
+           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 4), '') AS BIGINT) AS stage_id,
+           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 5), '') AS BIGINT) AS stage_attempt,
+           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 6), '') AS BIGINT) AS tid
+    FROM (SELECT *, regexp_extract(line, '{P.TS_ANY}', 1) AS s FROM log_lines WHERE contains(line, ' task ')))
+  WHERE event <> ''),
+tk AS (
+  SELECT application_id, stage_id, stage_attempt, task_index, task_attempt, tid,
+         min(CASE WHEN event = 'Running' THEN ts END) AS start_time,
+         max(CASE WHEN event = 'Finished' THEN ts END) AS end_time
+  FROM te GROUP BY ALL),
+t AS (SELECT *, (epoch_us(end_time) - epoch_us(start_time)) / 1e6 AS duration_sec,
+             end_time IS NOT NULL AS finished FROM tk)"""
+
+ORACLE["task_lifecycle"] = logs_sql(f"""{TASKS}
+SELECT * FROM t""")
+
+ORACLE["task_time_by_app"] = logs_sql(f"""{TASKS}
+SELECT application_id, count(*) AS num_tasks, count(*) FILTER (WHERE finished) AS finished_tasks,
+       avg(duration_sec) AS avg_task_sec, max(duration_sec) AS max_task_sec, sum(duration_sec) AS total_task_sec
+FROM t GROUP BY application_id""")
+
+ORACLE["unfinished_tasks"] = logs_sql(f"""{TASKS},
+a AS (SELECT application_id, count(*) AS num_tasks, count(*) FILTER (WHERE NOT finished) AS unfinished_tasks,
+             count(*) FILTER (WHERE task_attempt > 0) AS retried_tasks FROM t GROUP BY application_id),
+err AS (SELECT {APP_SQL} AS application_id, count(*) AS error_lines FROM log_lines
+        WHERE {LEVEL_WORD} = 'ERROR' GROUP BY 1)
+SELECT a.application_id, num_tasks, unfinished_tasks, 100.0::DOUBLE * unfinished_tasks / num_tasks AS unfinished_pct,
+       retried_tasks, CAST(coalesce(error_lines, 0) AS BIGINT) AS error_lines
+FROM a LEFT JOIN err ON a.application_id = err.application_id""")
+
+ORACLE["stage_skew"] = logs_sql(f"""{TASKS},
+s AS (SELECT application_id, stage_id, count(*) AS num_tasks, quantile_disc(duration_sec, 0.5) AS median_sec,
+             quantile_disc(duration_sec, 0.95) AS p95_sec, max(duration_sec) AS max_sec
+      FROM t WHERE duration_sec IS NOT NULL GROUP BY ALL)
+SELECT *, CASE WHEN median_sec > 0 THEN max_sec / median_sec END AS max_over_median,
+          CASE WHEN median_sec > 0 THEN p95_sec / median_sec END AS p95_over_median
+FROM s""")
+
+ORACLE["stage_bottlenecks"] = logs_sql(f"""{TASKS},
+s AS (SELECT application_id, stage_id, count(*) AS num_tasks, coalesce(sum(duration_sec), 0.0) AS total_task_sec,
+             max(duration_sec) AS max_task_sec FROM t GROUP BY ALL)
+SELECT application_id, stage_id, num_tasks, total_task_sec, max_task_sec,
+       CASE WHEN sum(total_task_sec) OVER (PARTITION BY application_id) > 0
+            THEN 100.0::DOUBLE * total_task_sec / sum(total_task_sec) OVER (PARTITION BY application_id)
+            ELSE 0.0 END AS share_pct,
+       CAST(rank() OVER (PARTITION BY application_id ORDER BY total_task_sec DESC, stage_id) AS INTEGER) AS stage_rank
+FROM s""")
+
+ORACLE["stages_per_app"] = logs_sql(f"""{TASKS}
+SELECT application_id, count(DISTINCT stage_id) AS num_stages, count(*) AS num_tasks,
+       count(*) / count(DISTINCT stage_id) AS avg_tasks_per_stage
+FROM t GROUP BY application_id""")
+
+# ------------------------------------------------------------------ records
+COMP_SQL = f"regexp_extract(line, '{P.COMPONENT}', 2)"
+
+ORACLE["parsed_records"] = logs_sql(f"""
+SELECT path, line_no, try_strptime(regexp_extract(line, '{P.TS_ANCHORED}', 1), '%y/%m/%d %H:%M:%S') AS ts,
+       {LEVEL_PLAIN} AS level, {COMP_SQL} AS component, line AS message
+FROM log_lines""")
+
+ORACLE["component_counts"] = logs_sql(f"""
+SELECT {COMP_SQL} AS component, count(*) AS count FROM log_lines GROUP BY 1 ORDER BY 2 DESC, 1""")
+
+ORACLE["parse_audit"] = logs_sql(f"""
+p AS (SELECT {APP_SQL} AS application_id, {TS_SQL} AS ts, {LEVEL_WORD} AS lv, {COMP_SQL} AS comp
+      FROM (SELECT *, regexp_extract(line, '{P.TS_ANY}', 1) AS s FROM log_lines)),
+a AS (SELECT application_id, count(*) AS num_lines, count(*) FILTER (WHERE ts IS NULL) AS no_timestamp,
+             count(*) FILTER (WHERE lv = '') AS no_level, count(*) FILTER (WHERE comp = '') AS no_component
+      FROM p GROUP BY 1)
+SELECT *, 100.0::DOUBLE * no_timestamp / num_lines AS no_timestamp_pct,
+       100.0::DOUBLE * no_level / num_lines AS no_level_pct,
+       100.0::DOUBLE * no_component / num_lines AS no_component_pct
+FROM a""")
+
+ORACLE["host_activity"] = logs_sql(f"""
+h AS (SELECT path, unnest(list_distinct(regexp_extract_all(line, '{P.HOST}', 1))) AS host FROM log_lines
+      WHERE {' OR '.join(f"contains(line, '{x}')" for x in P.HOST_HINTS)})
+SELECT host, count(*) AS lines, count(DISTINCT path) AS containers,
+       count(DISTINCT {APP_SQL}) AS applications
+FROM h GROUP BY host""")
+
+ORACLE["stitched_entries"] = logs_sql(f"""
+h AS (SELECT path, line_no, line, regexp_matches(line, '{P.ENTRY_HEADER}') AS is_header FROM log_lines),
+e AS (SELECT *, coalesce(max(CASE WHEN is_header THEN line_no END) OVER (
+        PARTITION BY path ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS entry FROM h)
+SELECT path, min(line_no) AS entry_line_no, count(*) AS num_lines, entry >= 0 AS has_header,
+       string_agg(line, chr(10) ORDER BY line_no) AS entry_text
+FROM e GROUP BY path, entry""")
