@@ -213,3 +213,30 @@ def q_stage_bottlenecks(spark, sf):
 @query("stages_per_app")
 def q_stages_per_app(spark, sf):
     return TK.stages_per_app(_tasks(spark, sf))
+
+
+# ------------------------------------------------------------------ sources and SQL surface
+from logscope.plans import views as VW  # noqa: E402
+from logscope.sources import profile_source  # noqa: E402
+
+
+@query("source_profile_orders")
+def q_profile_orders(spark, sf):
+    return profile_source(read_table(spark, sf, "orders"))
+
+
+@query("source_profile_lineitem")
+def q_profile_lineitem(spark, sf):
+    return profile_source(read_table(spark, sf, "lineitem"))
+
+
+@query("view_row_count")
+def q_view_row_count(spark, sf):
+    v = VW.register_tables(spark, sf, ["lineitem"])
+    return VW.row_count(spark, v["lineitem"])
+
+
+@query("even_keys_doubled")
+def q_even_keys_doubled(spark, sf):
+    v = VW.register_tables(spark, sf, ["orders"])
+    return VW.even_doubled(spark, v["orders"], "o_orderkey")

@@ -362,3 +362,23 @@ e AS (SELECT *, coalesce(max(CASE WHEN is_header THEN line_no END) OVER (
 SELECT path, min(line_no) AS entry_line_no, count(*) AS num_lines, entry >= 0 AS has_header,
        string_agg(line, chr(10) ORDER BY line_no) AS entry_text
 FROM e GROUP BY path, entry""")
+
+# ------------------------------------------------------------------ sources and SQL surface
+def profile_sql(table: str, cols: list[tuple[str, str]]) -> str:
+    parts = [f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS num_rows, "
+             f"count(*) - count({c}) AS num_nulls FROM {table}" for c, t in cols]
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE["source_profile_orders"] = profile_sql("orders", [
+    ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+    ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")])
+
+ORACLE["source_profile_lineitem"] = profile_sql("lineitem", [
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+    ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+    ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")])
+
+ORACLE["view_row_count"] = "SELECT COUNT(*) AS total FROM lineitem"
+
+ORACLE["even_keys_doubled"] = "SELECT o_orderkey * 2 AS doubled FROM orders WHERE o_orderkey % 2 = 0"

@@ -58,3 +58,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         os.makedirs(d, exist_ok=True) if "://" not in d else None
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df, spark: SparkSession | None = None):
+    """Compute ``df`` once and cut its lineage, for frames that several actions reuse.
+
+    Writes a reliable checkpoint into the shared folder named by
+    ``spark.checkpoint.dir`` (it survives the loss of any executor); never a
+    local checkpoint.  Meant for small derived frames (timelines, summaries).
+    """
+    spark = spark or df.sparkSession
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+    if not d:
+        raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
+    return df.checkpoint(eager=True)
