@@ -83,17 +83,26 @@ def cluster_start(cluster="cluster_id") -> Column:
 
 
 # ---------------------------------------------------------------- time (L3)
+def _parse_time_text(s: Column) -> Column:
+    """Parse text produced by ``TS_ANY``: the third character tells the two
+    layouts apart, and each layout has an optional ``,SSS`` section (equal to
+    trying the four formats in turn)."""
+    return F.when(F.substring(s, 3, 1) == "/", F.try_to_timestamp(s, F.lit(P.TS_SHORT_FORMAT))) \
+        .otherwise(F.try_to_timestamp(s, F.lit(P.TS_ISO_FORMAT)))
+
+
 def log_time(line="line", mode: str = "lenient") -> Column:
     """Timestamp of a log line as TIMESTAMP_NTZ; NULL when absent or invalid.
 
     ``lenient``: first yy/MM/dd or yyyy-MM-dd time anywhere in the line, with
-    optional ``,SSS`` (the implemented job form; four formats coalesced).
+    optional ``,SSS`` (the implemented job form).
     ``anchored``: ``yy/MM/dd HH:mm:ss`` at the start of the line (documented form).
     ``try_to_timestamp`` keeps ANSI mode on: a bad time is NULL, never a failed job.
+    Inside one expression the extracted text may be evaluated twice; use
+    ``with_log_time`` on a frame to extract once per line.
     """
     if mode == "lenient":
-        s = F.regexp_extract(_c(line), P.TS_ANY, 1)
-        t = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in P.TS_FORMATS])
+        t = _parse_time_text(F.regexp_extract(_c(line), P.TS_ANY, 1))
     elif mode == "anchored":
         s = F.regexp_extract(_c(line), P.TS_ANCHORED, 1)
         t = F.try_to_timestamp(s, F.lit(P.TS_ANCHORED_FORMAT))
@@ -102,6 +111,19 @@ def log_time(line="line", mode: str = "lenient") -> Column:
     return t.cast("timestamp_ntz")
 
 
+def with_log_time(df, line: str = "line", name: str = "ts", mode: str = "lenient"):
+    """``df`` plus the parsed time column ``name``, extracting the text once per line.
+
+    The extracted text is its own projection; Catalyst keeps it separate
+    because the parse reads it more than once, so the regex runs once.
+    """
+    if mode != "lenient":
+        return df.withColumn(name, log_time(line, mode))
+    tmp = f"__{name}_text"
+    df = df.withColumn(tmp, F.regexp_extract(F.col(line), P.TS_ANY, 1))
+    return df.withColumn(name, _parse_time_text(F.col(tmp)).cast("timestamp_ntz")).drop(tmp)
+
+
 def seconds_between(start, end) -> Column:
     """``end - start`` in seconds (double, microsecond exact)."""
     return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(1e6)

@@ -24,6 +24,9 @@ TS_ANY = (r"(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}(?:,\d{3})?"
           r"|\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:,\d{3})?)")
 TS_FORMATS = ("yy/MM/dd HH:mm:ss,SSS", "yy/MM/dd HH:mm:ss",
               "yyyy-MM-dd HH:mm:ss,SSS", "yyyy-MM-dd HH:mm:ss")
+# the same four formats as two patterns with an optional millisecond section
+TS_SHORT_FORMAT = "yy/MM/dd HH:mm:ss[,SSS]"
+TS_ISO_FORMAT = "yyyy-MM-dd HH:mm:ss[,SSS]"
 TS_ANCHORED = r"^(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})"
 TS_ANCHORED_FORMAT = "yy/MM/dd HH:mm:ss"
 # a line that opens a log entry (anything else continues the previous entry)

@@ -15,9 +15,9 @@ def run_daily_job(spark: SparkSession, table: DataFrame, outdir: str, year: int,
     out = outdir.rstrip("/")
     daily = materialize(DY.daily_summary(table, spec, year, ordered=False))
     totals = DY.period_totals(daily, spec.count_name)
-    ordered = daily.orderBy(daily.dt_year.desc(), daily.dt_month.desc(), daily.dt_day.desc())
     return {
-        "daily": write_csv(ordered, f"{out}/daily_averages.csv"),
+        "daily": write_csv(daily, f"{out}/daily_averages.csv",
+                           order_by=[daily.dt_year.desc(), daily.dt_month.desc(), daily.dt_day.desc()]),
         "report": write_text(RP.period_report(totals, spec.count_name), f"{out}/daily_report.txt",
                              order_by="line_no"),
     }

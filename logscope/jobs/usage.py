@@ -21,15 +21,18 @@ def run_usage_job(spark: SparkSession, logs: DataFrame | None, outdir: str, bins
         timeline = read_timeline(spark, f"{out}/problem2_timeline.csv")
     else:
         timeline = materialize(TL.app_timeline(logs, ordered=False))   # the one scan of all lines
-        paths["timeline"] = write_csv(timeline.orderBy("cluster_id", "app_number"),
-                                      f"{out}/problem2_timeline.csv")
+        paths["timeline"] = write_csv(timeline, f"{out}/problem2_timeline.csv",
+                                      order_by=["cluster_id", "app_number"])
     summary = materialize(TL.cluster_summary(timeline, ordered=False))
     paths["cluster_summary"] = write_csv(
-        TL.cluster_summary(timeline), f"{out}/problem2_cluster_summary.csv")
+        summary, f"{out}/problem2_cluster_summary.csv",
+        order_by=[summary.num_applications.desc(), summary.cluster_id])
     report = RP.usage_report(TL.usage_stats(summary), TL.top_clusters(summary, 5))
     paths["stats"] = write_text(report, f"{out}/problem2_stats.txt", order_by="line_no")
-    paths["durations"] = write_csv(TL.busiest_cluster_apps(timeline), f"{out}/problem2_busiest_durations.csv")
-    paths["histogram"] = write_csv(TL.duration_histogram(timeline, bins), f"{out}/problem2_duration_histogram.csv")
-    paths["histogram_log"] = write_csv(TL.duration_histogram_log(timeline, bins),
-                                       f"{out}/problem2_duration_histogram_log.csv")
+    durations = materialize(TL.busiest_cluster_apps(timeline))
+    paths["durations"] = write_csv(durations, f"{out}/problem2_busiest_durations.csv")
+    paths["histogram"] = write_csv(TL.duration_histogram(timeline, bins, durations),
+                                   f"{out}/problem2_duration_histogram.csv", order_by=["bin"])
+    paths["histogram_log"] = write_csv(TL.duration_histogram_log(timeline, bins, durations),
+                                       f"{out}/problem2_duration_histogram_log.csv", order_by=["bin"])
     return paths

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
 from logscope.functions import patterns as P
+from logscope.session import materialize
 
 
 def _events(logs: DataFrame, hint: str, pattern: str, groups: dict[str, tuple[int, str]],
@@ -58,14 +59,15 @@ def container_requests(logs: DataFrame) -> DataFrame:
 def request_shapes(logs: DataFrame) -> DataFrame:
     """Most common requested (executors, cores, memory) shapes with their share.
 
-    The grand total is a scalar subquery over the same events, so the share
-    needs no single-partition window.
+    The per-shape aggregate is checkpointed (one row per distinct shape) and
+    the grand total is a scalar subquery over it: no second scan of the logs
+    and no single-partition window.
     """
     ev = executor_request_events(logs)
-    total = ev.select(F.count(F.lit(1))).scalar()
-    shapes = (ev.groupBy("executors", "cores", "memory_mb")
-              .agg(F.count(F.lit(1)).alias("num_requests"),
-                   F.count_distinct("application_id").alias("num_applications")))
+    shapes = materialize(ev.groupBy("executors", "cores", "memory_mb")
+                         .agg(F.count(F.lit(1)).alias("num_requests"),
+                              F.count_distinct("application_id").alias("num_applications")))
+    total = shapes.select(F.sum("num_requests")).scalar()
     return (shapes.withColumn("share_pct", F.lit(100.0) * F.col("num_requests") / total)
             .orderBy(F.col("num_requests").desc(), "executors", "cores", "memory_mb"))
 

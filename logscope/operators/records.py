@@ -18,7 +18,7 @@ def parse_records(logs: DataFrame, level_mode: str = "plain", time_mode: str = "
     the job forms.
     """
     cols = ["path"] + (["line_no"] if "line_no" in logs.columns else [])
-    return logs.select(*cols, C.log_time("line", time_mode).alias("ts"),
+    return C.with_log_time(logs, "line", "ts", time_mode).select(*cols, "ts",
                        C.level("line", level_mode).alias("level"),
                        C.component("line").alias("component"), F.col("line").alias("message"))
 
@@ -36,9 +36,9 @@ def parse_audit(logs: DataFrame) -> DataFrame:
     Counted per file first (one row per file and task reaches the shuffle),
     then per application from the file rows.
     """
-    per_file = (logs.groupBy("path")
+    per_file = (C.with_log_time(logs, "line", "__ts").groupBy("path")
                 .agg(F.count(F.lit(1)).alias("n"),
-                     F.count_if(C.log_time("line").isNull()).alias("nt"),
+                     F.count_if(F.col("__ts").isNull()).alias("nt"),
                      F.count_if(C.level("line") == "").alias("nl"),
                      F.count_if(C.component("line") == "").alias("nc")))
     a = (per_file.groupBy(C.application_id("path").alias("application_id"))

@@ -24,10 +24,10 @@ def task_events(logs: DataFrame, time_mode: str = "lenient") -> DataFrame:
     g = C.extract(line, P.TASK_EVENT, {
         "event": (1, "string"), "task_index": (2, "bigint"), "task_attempt": (3, "bigint"),
         "stage_id": (4, "bigint"), "stage_attempt": (5, "bigint"), "tid": (6, "bigint")})
-    return (logs.filter(line.contains(P.TASK_EVENT_HINT))
-            .select(C.application_id("path").alias("application_id"),
-                    C.log_time("line", time_mode).alias("ts"), *[v.alias(k) for k, v in g.items()])
-            .filter(F.col("event") != ""))
+    hits = logs.filter(line.contains(P.TASK_EVENT_HINT) & line.rlike(P.TASK_EVENT))
+    return (C.with_log_time(hits, "line", "ts", time_mode)
+            .select(C.application_id("path").alias("application_id"), "ts",
+                    *[v.alias(k) for k, v in g.items()]))
 
 
 def task_lifecycle(logs: DataFrame) -> DataFrame:

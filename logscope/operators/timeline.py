@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
+from logscope.session import materialize
 
 
 # ------------------------------------------------------------------ per file (the one line-level pass)
@@ -24,13 +25,13 @@ def file_stats(logs: DataFrame, time_mode: str = "lenient") -> DataFrame:
     ``file_bytes`` is the file size when the source provides it, else the
     bytes of the lines plus one line break each.
     """
-    ts = C.log_time("line", time_mode)
     if "file_size" in logs.columns:
         size = F.max("file_size")
     else:
         size = F.sum(F.octet_length("line") + F.lit(1))
-    return (logs.groupBy("path")
-            .agg(F.min(ts).alias("first_time"), F.max(ts).alias("last_time"),
+    timed = C.with_log_time(logs, "line", "__ts", time_mode)
+    return (timed.groupBy("path")
+            .agg(F.min("__ts").alias("first_time"), F.max("__ts").alias("last_time"),
                  F.count(F.lit(1)).alias("num_lines"), size.cast("bigint").alias("file_bytes")))
 
 
@@ -143,12 +144,13 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 30) -> DataFrame:
     v = F.col(value) if isinstance(value, str) else value
     vals = df.select(v.alias("v")).filter(F.col("v").isNotNull())
     bounds = vals.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b")).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    lo, hi = F.col("b.lo"), F.col("b.hi")
     width = (hi - lo) / F.lit(float(bins))
     b = (F.when(hi == lo, F.lit(0))
          .otherwise(F.least(F.floor((F.col("v") - lo) / width), F.lit(bins - 1)))).cast("int")
-    counts = vals.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    dims = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    counts = (vals.select("v", bounds.alias("b"))
+              .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+    dims = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), bounds.alias("b"))
     dims = dims.select("bin", (lo + F.col("bin") * width).alias("bin_lo"),
                        (lo + (F.col("bin") + 1) * width).alias("bin_hi"))
     return (dims.join(F.broadcast(counts), "bin", "left")
@@ -156,19 +158,25 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 30) -> DataFrame:
             .orderBy("bin"))
 
 
-def duration_histogram(timeline: DataFrame, bins: int = 30) -> DataFrame:
-    """Histogram of job durations (minutes) on the busiest cluster."""
-    return histogram(busiest_cluster_apps(timeline), "duration_min", bins)
+def duration_histogram(timeline: DataFrame, bins: int = 30, durations: DataFrame | None = None) -> DataFrame:
+    """Histogram of job durations (minutes) on the busiest cluster.
+
+    The per-application durations are checkpointed first (a small frame), so
+    the bounds subquery and the bin counts read it instead of re-running the
+    whole log scan behind it.  Pass ``durations`` to reuse a checkpointed one.
+    """
+    d = durations if durations is not None else materialize(busiest_cluster_apps(timeline))
+    return histogram(d, "duration_min", bins)
 
 
-def duration_histogram_log(timeline: DataFrame, bins: int = 30) -> DataFrame:
+def duration_histogram_log(timeline: DataFrame, bins: int = 30, durations: DataFrame | None = None) -> DataFrame:
     """Log-spaced histogram of positive durations on the busiest cluster.
 
     Bins are equal in ``log10(minutes)``; edges are reported in log10 units.
     Zero durations (one-line applications) have no logarithm and are left out.
     """
-    d = busiest_cluster_apps(timeline).filter(F.col("duration_min") > 0)
-    h = histogram(d, F.log10("duration_min"), bins)
+    d = durations if durations is not None else materialize(busiest_cluster_apps(timeline))
+    h = histogram(d.filter(F.col("duration_min") > 0), F.log10("duration_min"), bins)
     return h.select("bin", F.col("bin_lo").alias("log10_lo"), F.col("bin_hi").alias("log10_hi"), "count")
 
 

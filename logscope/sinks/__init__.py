@@ -36,14 +36,18 @@ def _promote_single_part(spark, tmp_dir: str, target: str, ext: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = True, line_sep: str | None = None,
-              quote_all: bool = False) -> str:
+              quote_all: bool = False, order_by: list | None = None) -> str:
     """CSV with header, overwrite; an empty frame gives a header-only file (K1-K4).
 
     Times are written as ``yyyy-MM-dd HH:mm:ss``; quotes inside values are
     doubled (RFC 4180).  ``single_file`` coalesces to one writer, meant for
-    small result frames only (a per-application or per-day table).
+    small result frames only (a per-application or per-day table); its
+    ``order_by`` sorts inside that one partition, so no range-partitioning
+    sample job and no extra shuffle precede the write.
     """
     w = df.coalesce(1) if single_file else df
+    if order_by:
+        w = w.sortWithinPartitions(*order_by) if single_file else w.orderBy(*order_by)
     writer = (w.write.mode("overwrite").option("header", True)
               .option("timestampNTZFormat", TIME_FORMAT).option("timestampFormat", TIME_FORMAT)
               .option("escape", '"'))

@@ -1,9 +1,10 @@
 """Sources: text log trees, parquet tables and periods, fixture corpus, result re-reads."""
+from logscope.sources.balance import spread
 from logscope.sources.fixture import log_lines, log_lines_from_events, log_lines_sql
 from logscope.sources.logs import read_logs, read_logs_numbered
 from logscope.sources.results import read_cluster_summary, read_result_csv, read_timeline
 from logscope.sources.tables import profile_source, read_files, read_period, read_table
 
 __all__ = ["log_lines", "log_lines_from_events", "log_lines_sql", "read_logs",
-           "read_logs_numbered", "read_cluster_summary", "read_result_csv", "read_timeline",
+           "read_logs_numbered", "spread", "read_cluster_summary", "read_result_csv", "read_timeline",
            "profile_source", "read_files", "read_period", "read_table"]

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logscope.sources.balance import spread
+
 # The corpus definition (cluster ids, level mapping, 14 line templates).
 _TEMPLATE = """
 WITH b AS (
@@ -63,8 +65,12 @@ def log_lines_sql(dialect: str, events: str = "events") -> str:
 
 
 def log_lines_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """The corpus as a DataFrame ``(path, line_no, line)``."""
-    cols = events.select("event_id", "ts", "user_id", "event_type")
+    """The corpus as a DataFrame ``(path, line_no, line)``.
+
+    ``events`` is spread over the cluster's cores first when its scan is a
+    single split, so the line generation and every regex after it run in parallel.
+    """
+    cols = spread(events.select("event_id", "ts", "user_id", "event_type"))
     return spark.sql(log_lines_sql("spark"), events=cols)
 
 
