@@ -173,11 +173,14 @@ def duration_histogram_log(timeline: DataFrame, bins: int = 30, durations: DataF
     """Log-spaced histogram of positive durations on the busiest cluster.
 
     Bins are equal in ``log10(minutes)``; edges are reported in log10 units.
-    Zero durations (one-line applications) have no logarithm and are left out.
+    Zero durations (one-line applications) have no logarithm and are left
+    out; ``excluded_nonpositive`` reports how many.
     """
     d = durations if durations is not None else materialize(busiest_cluster_apps(timeline))
     h = histogram(d.filter(F.col("duration_min") > 0), F.log10("duration_min"), bins)
-    return h.select("bin", F.col("bin_lo").alias("log10_lo"), F.col("bin_hi").alias("log10_hi"), "count")
+    excluded = d.select(F.count_if(~(F.col("duration_min") > 0))).scalar()
+    return h.select("bin", F.col("bin_lo").alias("log10_lo"), F.col("bin_hi").alias("log10_hi"), "count",
+                    excluded.alias("excluded_nonpositive"))
 
 
 # ------------------------------------------------------------------ inventory

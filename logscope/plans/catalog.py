@@ -240,3 +240,18 @@ def q_view_row_count(spark, sf):
 def q_even_keys_doubled(spark, sf):
     v = VW.register_tables(spark, sf, ["orders"])
     return VW.even_doubled(spark, v["orders"], "o_orderkey")
+
+
+# ------------------------------------------------------------------ text reports (K5)
+from logscope.operators import reports as RP  # noqa: E402
+
+
+@query("level_report")
+def q_level_report(spark, sf):
+    return RP.level_report(LV.level_summary(log_lines(spark, sf)))
+
+
+@query("usage_report")
+def q_usage_report(spark, sf):
+    summary = TL.cluster_summary(_timeline(spark, sf), ordered=False)
+    return RP.usage_report(TL.usage_stats(summary), TL.top_clusters(summary, 5))

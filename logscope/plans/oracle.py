@@ -93,15 +93,19 @@ IDS = f"""ids AS (
         FROM files))"""
 
 
-def histogram_sql(values_cte: str, bins: int = 30, lo_name="bin_lo", hi_name="bin_hi") -> str:
+def histogram_sql(values_cte: str, bins: int = 30, lo_name="bin_lo", hi_name="bin_hi",
+                  as_cte: str | None = None) -> str:
     w = f"((b.hi - b.lo) / {float(bins)}::DOUBLE)"
-    return f"""d AS (SELECT v FROM ({values_cte}) WHERE v IS NOT NULL),
+    final = f"""SELECT CAST(r.range AS INTEGER) AS bin, b.lo + r.range * {w} AS {lo_name},
+       b.lo + (r.range + 1) * {w} AS {hi_name}, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM range({bins}) r CROSS JOIN b LEFT JOIN c ON c.bin = r.range"""
+    head = f"""d AS (SELECT v FROM ({values_cte}) WHERE v IS NOT NULL),
 b AS (SELECT min(v) AS lo, max(v) AS hi FROM d),
 c AS (SELECT CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE least(floor((d.v - b.lo) / {w}), {bins - 1}) END AS INTEGER) AS bin,
-             count(*) AS n FROM d, b GROUP BY 1)
-SELECT CAST(r.range AS INTEGER) AS bin, b.lo + r.range * {w} AS {lo_name},
-       b.lo + (r.range + 1) * {w} AS {hi_name}, CAST(coalesce(c.n, 0) AS BIGINT) AS count
-FROM range({bins}) r CROSS JOIN b LEFT JOIN c ON c.bin = r.range ORDER BY 1"""
+             count(*) AS n FROM d, b GROUP BY 1)"""
+    if as_cte:
+        return f"{head},\n{as_cte} AS ({final})"
+    return f"{head}\n{final} ORDER BY 1"
 
 
 ORACLE["path_ids"] = logs_sql(f"""
@@ -145,7 +149,10 @@ ORACLE["duration_histogram"] = logs_sql(f"""{BUSY},
 {histogram_sql("SELECT duration_min AS v FROM busy")}""")
 
 ORACLE["duration_histogram_log"] = logs_sql(f"""{BUSY},
-{histogram_sql("SELECT log10(duration_min) AS v FROM busy WHERE duration_min > 0", lo_name="log10_lo", hi_name="log10_hi")}""")
+{histogram_sql("SELECT log10(duration_min) AS v FROM busy WHERE duration_min > 0", lo_name="log10_lo",
+               hi_name="log10_hi", as_cte="h")}
+SELECT h.*, (SELECT count(*) FILTER (WHERE NOT (duration_min > 0)) FROM busy) AS excluded_nonpositive
+FROM h ORDER BY bin""")
 
 APP_FILES = f"""files AS (SELECT path, {APP_SQL} AS application_id, sum(strlen(line) + 1) AS file_bytes
           FROM log_lines GROUP BY path),
@@ -382,3 +389,34 @@ ORACLE["source_profile_lineitem"] = profile_sql("lineitem", [
 ORACLE["view_row_count"] = "SELECT COUNT(*) AS total FROM lineitem"
 
 ORACLE["even_keys_doubled"] = "SELECT o_orderkey * 2 AS doubled FROM orders WHERE o_orderkey % 2 = 0"
+
+# ------------------------------------------------------------------ text reports (K5)
+ORACLE["level_report"] = logs_sql(f"""
+l AS (SELECT {LEVEL_WORD} AS lv FROM log_lines),
+t AS (SELECT count(*) AS tl, count(*) FILTER (WHERE lv <> '') AS w FROM l),
+c AS (SELECT d.log_level, d.o, coalesce((SELECT count(*) FROM l WHERE l.lv = d.log_level), 0) AS n
+      FROM {LEVEL_DIM}),
+r AS (
+  SELECT 0 AS line_no, 'Total log lines processed: ' || format('{{:,}}', tl) AS text FROM t
+  UNION ALL SELECT 1, 'Total lines with log levels: ' || format('{{:,}}', w) FROM t
+  UNION ALL SELECT 2, 'Unique log levels found: ' || CAST((SELECT count(*) FROM c WHERE n > 0) AS VARCHAR)
+  UNION ALL SELECT 3, ''
+  UNION ALL SELECT 4, 'Log level distribution:'
+  UNION ALL SELECT 4 + c.o, printf('  %-5s: %10s (%6.2f%%)', c.log_level, format('{{:,}}', c.n),
+                                   CASE WHEN t.w = 0 THEN 0.0 ELSE 100.0::DOUBLE * c.n / t.w END)
+  FROM c, t)
+SELECT CAST(line_no AS INTEGER) AS line_no, text FROM r ORDER BY line_no""")
+
+ORACLE["usage_report"] = logs_sql(f"""{CLUSTERS},
+st AS (SELECT count(*) AS nc, CAST(coalesce(sum(num_applications), 0) AS BIGINT) AS na FROM cs),
+top AS (SELECT *, row_number() OVER (ORDER BY num_applications DESC, cluster_id) AS rk FROM cs
+        ORDER BY num_applications DESC, cluster_id LIMIT 5),
+r AS (
+  SELECT 0 AS line_no, 'Total unique clusters: ' || CAST(nc AS VARCHAR) AS text FROM st
+  UNION ALL SELECT 1, 'Total applications: ' || CAST(na AS VARCHAR) FROM st
+  UNION ALL SELECT 2, printf('Average applications per cluster: %.2f',
+                             CASE WHEN nc = 0 THEN 0.0 ELSE CAST(na AS DOUBLE) / nc END) FROM st
+  UNION ALL SELECT 3, ''
+  UNION ALL SELECT 4, 'Most heavily used clusters:'
+  UNION ALL SELECT 4 + rk, printf('  Cluster %s: %d applications', cluster_id, num_applications) FROM top)
+SELECT CAST(line_no AS INTEGER) AS line_no, text FROM r ORDER BY line_no""")

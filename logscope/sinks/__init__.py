@@ -76,3 +76,13 @@ def write_text(df: DataFrame, path: str, column: str = "text", single_file: bool
     tmp = path.rstrip("/") + "._tmp"
     w.write.mode("overwrite").text(tmp)
     return _promote_single_part(df.sparkSession, tmp, path, ".txt")
+
+
+def write_matching_lines(logs: DataFrame, text: str, path: str, single_file: bool = False) -> str:
+    """Every line containing ``text`` (case-sensitive) as text output (K6).
+
+    Written in parallel as part files by default: the number of matching
+    lines grows with the input, so one writer would be a bottleneck at scale.
+    """
+    return write_text(logs.filter(F.col("line").contains(text)), path, column="line",
+                      single_file=single_file)

@@ -64,3 +64,13 @@ def read_logs_numbered(spark: SparkSession, root: str | list[str], *, recursive:
     return (df.select("path", "file_size",
                       F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
               .select("path", F.col("line_no").cast("bigint").alias("line_no"), "line", "file_size"))
+
+
+def concat_frames(*frames: DataFrame) -> DataFrame:
+    """One frame from many (S12): union by column name, missing columns as NULL."""
+    if not frames:
+        raise ValueError("no frames")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

@@ -114,3 +114,23 @@ def test_write_text_ordered(spark, tmp_path):
     path = str(tmp_path / "r.txt")
     write_text(df, path, order_by="line_no")
     assert open(path).read().splitlines() == ["a", "b", "c"]
+
+
+def test_concat_frames_and_matching_lines(spark, tmp_path, fixture_lines):
+    from logscope.sinks import write_matching_lines
+    from logscope.sources import concat_frames
+    a = spark.createDataFrame([("p", "INFO x")], "path string, line string")
+    b = spark.createDataFrame([("q", 3, "ERROR y")], "path string, line_no int, line string")
+    u = concat_frames(a, b)
+    assert u.columns == ["path", "line", "line_no"] and u.count() == 2
+    out = write_matching_lines(fixture_lines, "ERROR", str(tmp_path / "errors"))
+    got = spark.read.text(out).count()
+    assert got == fixture_lines.filter(F.col("line").contains("ERROR")).count()
+
+
+def test_range_and_sql_surface(spark):
+    from logscope.plans.views import even_doubled, register, row_count
+    v = register(spark.range(1000), "range_test")
+    assert row_count(spark, v).first()["total"] == 1000
+    d = even_doubled(spark, v, "id")
+    assert d.count() == 500 and d.agg(F.max("doubled")).first()[0] == 1996
