@@ -69,17 +69,22 @@ def host_activity(logs: DataFrame) -> DataFrame:
                  F.count_distinct(C.application_id("path")).alias("applications")))
 
 
-def stitched_entries(logs: DataFrame, chunk_lines: int = 1 << 20) -> DataFrame:
+def stitched_entries(logs: DataFrame, chunk_lines: int = 1 << 16) -> DataFrame:
     """Multi-line entries: continuation lines attached to the header line before them.
 
     Needs ``(path, line_no, line)``.  A header is a line that starts with a
     time; every other line continues the latest header above it in its file.
-    Lines before a file's first header form one entry without header.
-
-    Skew-safe: the running "latest header" is computed per (file, chunk of
-    ``chunk_lines`` lines) with a window, and carried across chunks by a
-    second window over the per-chunk maxima (a few rows per file), so even a
-    file holding a third of all lines is split across many tasks.
+    Lines before a file's first header form an entry without header
+    (``entry_line_no`` NULL).
+
+    Output ``(path, entry_line_no, has_header, piece_line_no, num_lines, entry_text)``:
+    an entry is emitted in pieces, one per block of ``chunk_lines`` line
+    numbers it touches (almost always exactly one), so no group and no output
+    row ever grows beyond ``chunk_lines`` lines, even for a file that has no
+    header at all.  The running "latest header" is computed per (file, block)
+    with a window and carried across blocks by a second window over the
+    per-block maxima (a few rows per file), so one huge file is still spread
+    over many tasks.
     """
     hdr = C.is_entry_header("line")
     chunk = F.floor(F.col("line_no") / F.lit(chunk_lines))
@@ -92,11 +97,10 @@ def stitched_entries(logs: DataFrame, chunk_lines: int = 1 << 20) -> DataFrame:
     w_c = Window.partitionBy("path").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = carry.select("path", "chunk", F.max("chunk_max").over(w_c).alias("carried"))
     df = df.join(carry, ["path", "chunk"], "left")
-    entry = F.coalesce("hdr_in_chunk", "carried")
-    df = df.withColumn("entry", F.coalesce(entry, F.lit(-1)))
+    df = df.withColumn("entry", F.coalesce("hdr_in_chunk", "carried"))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
-    return (df.groupBy("path", "entry")
-            .agg(F.min("line_no").alias("entry_line_no"), F.count(F.lit(1)).alias("num_lines"),
+    return (df.groupBy("path", "entry", "chunk")
+            .agg(F.min("line_no").alias("piece_line_no"), F.count(F.lit(1)).alias("num_lines"),
                  F.array_join(lines, "\n").alias("entry_text"))
-            .select("path", "entry_line_no", "num_lines", (F.col("entry") >= 0).alias("has_header"),
-                    "entry_text"))
+            .select("path", F.col("entry").alias("entry_line_no"), F.col("entry").isNotNull().alias("has_header"),
+                    "piece_line_no", "num_lines", "entry_text"))

@@ -363,60 +363,10 @@ SELECT host, count(*) AS lines, count(DISTINCT path) AS containers,
 FROM h GROUP BY host""")
 
 ORACLE["stitched_entries"] = logs_sql(f"""
-h AS (SELECT path, line_no, line, regexp_matches(line, '{P.ENTRY_HEADER}') AS is_header FROM log_lines),
-e AS (SELECT *, coalesce(max(CASE WHEN is_header THEN line_no END) OVER (
-        PARTITION BY path ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS entry FROM h)
-SELECT path, min(line_no) AS entry_line_no, count(*) AS num_lines, entry >= 0 AS has_header,
-       string_agg(line, chr(10) ORDER BY line_no) AS entry_text
-FROM e GROUP BY path, entry""")
-
-# ------------------------------------------------------------------ sources and SQL surface
-def profile_sql(table: str, cols: list[tuple[str, str]]) -> str:
-    parts = [f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS num_rows, "
-             f"count(*) - count({c}) AS num_nulls FROM {table}" for c, t in cols]
-    return "\nUNION ALL\n".join(parts)
-
-
-ORACLE["source_profile_orders"] = profile_sql("orders", [
-    ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-    ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")])
-
-ORACLE["source_profile_lineitem"] = profile_sql("lineitem", [
-    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
-    ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
-    ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")])
-
-ORACLE["view_row_count"] = "SELECT COUNT(*) AS total FROM lineitem"
-
-ORACLE["even_keys_doubled"] = "SELECT o_orderkey * 2 AS doubled FROM orders WHERE o_orderkey % 2 = 0"
-
-# ------------------------------------------------------------------ text reports (K5)
-ORACLE["level_report"] = logs_sql(f"""
-l AS (SELECT {LEVEL_WORD} AS lv FROM log_lines),
-t AS (SELECT count(*) AS tl, count(*) FILTER (WHERE lv <> '') AS w FROM l),
-c AS (SELECT d.log_level, d.o, coalesce((SELECT count(*) FROM l WHERE l.lv = d.log_level), 0) AS n
-      FROM {LEVEL_DIM}),
-r AS (
-  SELECT 0 AS line_no, 'Total log lines processed: ' || format('{{:,}}', tl) AS text FROM t
-  UNION ALL SELECT 1, 'Total lines with log levels: ' || format('{{:,}}', w) FROM t
-  UNION ALL SELECT 2, 'Unique log levels found: ' || CAST((SELECT count(*) FROM c WHERE n > 0) AS VARCHAR)
-  UNION ALL SELECT 3, ''
-  UNION ALL SELECT 4, 'Log level distribution:'
-  UNION ALL SELECT 4 + c.o, printf('  %-5s: %10s (%6.2f%%)', c.log_level, format('{{:,}}', c.n),
-                                   CASE WHEN t.w = 0 THEN 0.0 ELSE 100.0::DOUBLE * c.n / t.w END)
-  FROM c, t)
-SELECT CAST(line_no AS INTEGER) AS line_no, text FROM r ORDER BY line_no""")
-
-ORACLE["usage_report"] = logs_sql(f"""{CLUSTERS},
-st AS (SELECT count(*) AS nc, CAST(coalesce(sum(num_applications), 0) AS BIGINT) AS na FROM cs),
-top AS (SELECT *, row_number() OVER (ORDER BY num_applications DESC, cluster_id) AS rk FROM cs
-        ORDER BY num_applications DESC, cluster_id LIMIT 5),
-r AS (
-  SELECT 0 AS line_no, 'Total unique clusters: ' || CAST(nc AS VARCHAR) AS text FROM st
-  UNION ALL SELECT 1, 'Total applications: ' || CAST(na AS VARCHAR) FROM st
-  UNION ALL SELECT 2, printf('Average applications per cluster: %.2f',
-                             CASE WHEN nc = 0 THEN 0.0 ELSE CAST(na AS DOUBLE) / nc END) FROM st
-  UNION ALL SELECT 3, ''
-  UNION ALL SELECT 4, 'Most heavily used clusters:'
-  UNION ALL SELECT 4 + rk, printf('  Cluster %s: %d applications', cluster_id, num_applications) FROM top)
-SELECT CAST(line_no AS INTEGER) AS line_no, text FROM r ORDER BY line_no""")
+h AS (SELECT path, line_no, line, regexp_matches(line, '{P.ENTRY_HEADER}') AS is_header,
+             CAST(floor(line_no / 65536) AS BIGINT) AS chunk FROM log_lines),
+e AS (SELECT *, max(CASE WHEN is_header THEN line_no END) OVER (
+        PARTITION BY path ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS entry FROM h)
+SELECT path, entry AS entry_line_no, entry IS NOT NULL AS has_header, min(line_no) AS piece_line_no,
+       count(*) AS num_lines, string_agg(line, chr(10) ORDER BY line_no) AS entry_text
+FROM e GROUP BY path, entry, chunk""")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
@@ -47,23 +47,43 @@ def read_logs(spark: SparkSession, root: str | list[str], *, recursive: bool = T
 
 
 def read_logs_numbered(spark: SparkSession, root: str | list[str], *, recursive: bool = True,
-                       glob_filter: str | None = None, ignore_corrupt: bool = True) -> DataFrame:
+                       glob_filter: str | None = None, ignore_corrupt: bool = True,
+                       method: str = "split") -> DataFrame:
     """``(path, line_no, line, file_size)`` with the 0-based line number in each file.
 
-    Reads each file as one row (``wholetext``), then splits it; a container
-    log is small (0.7 MB mean, tens of MB at most), so one file per row is
-    bounded by the log rotation size.  Line breaks are ``\\n``, ``\\r\\n``; a final
-    line break does not open an empty line, as with the line reader.
+    ``split`` (default, scale-safe): the line reader keeps each split in order
+    inside its task, so a line's number is (lines in the earlier splits of its
+    file) + (its position in its split).  Positions come from the row id within
+    the task, offsets from a per-split frame (one row per ~128 MB split) with a
+    running sum over the splits of each file; no file is ever held whole.
+    ``wholetext``: one row per file split into lines (simple, bounded by the
+    largest file).  A final line break does not open an empty line, as with
+    the line reader; breaks are ``\n`` or ``\r\n``.
     """
     paths = [root] if isinstance(root, str) else list(root)
-    df = (_reader(spark, recursive, ignore_corrupt, glob_filter).option("wholetext", "true")
-          .load(paths)
-          .select(F.col("_metadata.file_path").alias("path"),
-                  F.col("_metadata.file_size").alias("file_size"),
-                  F.regexp_replace("value", r"\r?\n$", "").alias("value")))
-    return (df.select("path", "file_size",
-                      F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
-              .select("path", F.col("line_no").cast("bigint").alias("line_no"), "line", "file_size"))
+    r = _reader(spark, recursive, ignore_corrupt, glob_filter)
+    if method == "wholetext":
+        df = (r.option("wholetext", "true").load(paths)
+              .select(F.col("_metadata.file_path").alias("path"),
+                      F.col("_metadata.file_size").alias("file_size"),
+                      F.regexp_replace("value", r"\r?\n$", "").alias("value")))
+        return (df.select("path", "file_size",
+                          F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
+                  .select("path", F.col("line_no").cast("bigint").alias("line_no"), "line", "file_size"))
+    if method != "split":
+        raise ValueError(f"unknown method {method!r}")
+    df = r.load(paths).select(F.col("_metadata.file_path").alias("path"),
+                              F.col("_metadata.file_block_start").alias("block"),
+                              F.col("_metadata.file_size").alias("file_size"),
+                              F.col("value").alias("line"),
+                              F.monotonically_increasing_id().alias("row_id"))
+    splits = df.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_id"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("path", "block", "first_id",
+                           F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    return (df.join(splits, ["path", "block"])
+              .select("path", (F.col("offset") + F.col("row_id") - F.col("first_id")).alias("line_no"),
+                      "line", "file_size"))
 
 
 def concat_frames(*frames: DataFrame) -> DataFrame:

@@ -134,3 +134,17 @@ def test_range_and_sql_surface(spark):
     assert row_count(spark, v).first()["total"] == 1000
     d = even_doubled(spark, v, "id")
     assert d.count() == 500 and d.agg(F.max("doubled")).first()[0] == 1996
+
+
+def test_split_numbering_equals_wholetext(spark, log_tree):
+    from pyspark.sql import SparkSession  # noqa: F401
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")   # many splits per file
+    try:
+        a = read_logs_numbered(spark, log_tree, method="split")
+        assert a.rdd.getNumPartitions() > 294
+        b = read_logs_numbered(spark, log_tree, method="wholetext")
+        assert a.count() == b.count() == 1262
+        assert a.select("path", "line_no", "line").exceptAll(b.select("path", "line_no", "line")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

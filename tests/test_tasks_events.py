@@ -64,16 +64,26 @@ def test_event_extractors(spark):
 def test_stitched_entries_multiline(spark):
     logs = _logs(spark, ["   orphan", "17/03/29 10:04:41 INFO A: x", "   k -> v", "   k2",
                          "17/03/29 10:04:42 INFO B: y"])
-    e = sorted((r["entry_line_no"], r["num_lines"], r["has_header"], r["entry_text"])
+    e = sorted((r["piece_line_no"], r["entry_line_no"], r["num_lines"], r["has_header"], r["entry_text"])
                for r in RC.stitched_entries(logs).collect())
-    assert e == [(0, 1, False, "   orphan"), (1, 3, True, "17/03/29 10:04:41 INFO A: x\n   k -> v\n   k2"),
-                 (4, 1, True, "17/03/29 10:04:42 INFO B: y")]
+    assert e == [(0, None, 1, False, "   orphan"),
+                 (1, 1, 3, True, "17/03/29 10:04:41 INFO A: x\n   k -> v\n   k2"),
+                 (4, 4, 1, True, "17/03/29 10:04:42 INFO B: y")]
 
 
 def test_stitched_entries_across_chunks(spark):
-    lines = ["17/03/29 10:04:41 INFO A: x"] + [f"  c{i}" for i in range(9)]
-    a = RC.stitched_entries(_logs(spark, lines), chunk_lines=3).collect()
-    assert [(r["num_lines"], r["has_header"]) for r in a] == [(10, True)]
+    lines = ["17/03/29 10:04:41 INFO A: x"] + [f"  c{i}" for i in range(9)] + ["17/03/29 10:04:42 INFO B: y"]
+    a = RC.stitched_entries(_logs(spark, lines), chunk_lines=4).orderBy("piece_line_no").collect()
+    # the first entry (lines 0-9) is cut into pieces of at most 4 lines, all keyed by its header
+    assert [(r["entry_line_no"], r["piece_line_no"], r["num_lines"]) for r in a] == [
+        (0, 0, 4), (0, 4, 4), (0, 8, 2), (10, 10, 1)]
+    whole = "\n".join(r["entry_text"] for r in a[:3])
+    assert whole == "\n".join(lines[:10])
+
+
+def test_headerless_file_is_cut_into_bounded_pieces(spark):
+    a = RC.stitched_entries(_logs(spark, [f"  c{i}" for i in range(10)]), chunk_lines=3).collect()
+    assert sorted(r["num_lines"] for r in a) == [1, 3, 3, 3] and all(not r["has_header"] for r in a)
 
 
 def test_parse_audit(spark):
