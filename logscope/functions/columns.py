@@ -78,8 +78,10 @@ def path_ids(path="path") -> dict[str, Column]:
 
 
 def cluster_start(cluster="cluster_id") -> Column:
-    """Cluster id is the ResourceManager start in epoch milliseconds."""
-    return F.timestamp_millis(_c(cluster).cast("bigint")).cast("timestamp_ntz")
+    """Cluster id is the ResourceManager start in epoch milliseconds; as a UTC
+    wall-clock TIMESTAMP_NTZ (zone-free arithmetic, whatever the session zone)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MILLISECOND", _c(cluster).cast("bigint"), epoch)
 
 
 # ---------------------------------------------------------------- time (L3)
