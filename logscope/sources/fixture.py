@@ -8,6 +8,9 @@ DuckDB (the oracle input) from the same template.  Its size grows with
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from logscope.sources.balance import spread
@@ -74,6 +77,46 @@ def log_lines_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
     return spark.sql(log_lines_sql("spark"), events=cols)
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return log_lines_from_events(spark, events)
+CORPUS_VERSION = "v1"
+
+
+def _checkpoint_base(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+
+
+def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    """The corpus for the tables in ``sf_dir``.
+
+    With ``materialized`` (default) the corpus is derived once per ``events``
+    table and stored as a parquet table below the shared checkpoint folder
+    (``<spark.checkpoint.dir>/logscope-corpus/<key>``, the key covering the
+    events path, size and modification time); later calls read that table, as
+    a log job reads its log files: the line text is a stored column, scans
+    split over all cores and prune columns.  Without a checkpoint folder, or
+    with ``materialized=False``, the lazy derivation is returned.
+    """
+    events_path = f"{sf_dir.rstrip('/')}/events.parquet"
+    events = spark.read.parquet(events_path)
+    base = _checkpoint_base(spark) if materialized else None
+    if not base:
+        return log_lines_from_events(spark, events)
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(events_path)
+    fs_src = src.getFileSystem(conf)
+    st = fs_src.getFileStatus(src)
+    size = fs_src.getContentSummary(src).getLength()
+    key = hashlib.sha1(f"{st.getPath().toString()}|{size}|{st.getModificationTime()}|{CORPUS_VERSION}"
+                       .encode()).hexdigest()[:20]
+    target = f"{base.rstrip('/')}/logscope-corpus/{key}"
+    tpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = tpath.getFileSystem(conf)
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")):
+        tmp = f"{target}.{uuid.uuid4().hex}.tmp"
+        log_lines_from_events(spark, events).write.mode("overwrite").parquet(tmp)
+        if not fs.exists(tpath):                     # another writer may have finished first
+            fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), tpath)
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(tmp)):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
+    return spark.read.parquet(target)

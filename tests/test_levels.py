@@ -60,3 +60,12 @@ def test_sample_smaller_than_n(spark):
 def test_lines_containing(fixture_lines):
     n = LV.lines_containing(fixture_lines, "ERROR").count()
     assert n == fixture_lines.filter(F.col("line").contains("ERROR")).count() > 0
+
+
+def test_materialized_corpus_equals_lazy(spark):
+    from logscope.sources.fixture import log_lines as ll
+    a = ll(spark, SF_MID, materialized=True)
+    b = ll(spark, SF_MID, materialized=False)
+    assert a.count() == b.count() == 12598
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert "FileScan parquet" in a._jdf.queryExecution().executedPlan().toString()
