@@ -52,9 +52,10 @@ def path_ids(logs: DataFrame) -> DataFrame:
 def app_timeline_from_files(files: DataFrame) -> DataFrame:
     """Application bounds from per-file bounds; files with no time or no
     application id are dropped, as the line-level filter would drop their lines."""
-    f = (files.filter(F.col("first_time").isNotNull())
-         .withColumn("application_id", C.application_id("path"))
-         .filter(F.col("application_id") != ""))
+    # one predicate over an aggregate output: Catalyst cannot push it below the
+    # per-file aggregate, so the path regex runs once per file, not per line
+    app = F.when(F.col("first_time").isNotNull(), C.application_id("path"))
+    f = files.withColumn("application_id", app).filter(F.col("application_id") != "")
     return (f.groupBy(C.cluster_id("application_id").alias("cluster_id"), "application_id",
                       C.app_number("application_id").alias("app_number"))
             .agg(F.min("first_time").alias("start_time"), F.max("last_time").alias("end_time")))
@@ -74,7 +75,9 @@ def app_timeline(logs: DataFrame, time_mode: str = "lenient", ordered: bool = Tr
 def container_timeline(logs: DataFrame, short_lines: int = 41, time_mode: str = "lenient") -> DataFrame:
     """One row per container log (L6d): bounds, lines, duration, role and a
     short-lived flag for logs of at most ``short_lines`` lines."""
-    f = with_path_ids(file_stats(logs, time_mode)).filter(F.col("container_id") != "")
+    f = file_stats(logs, time_mode)
+    f = with_path_ids(f.withColumn("path", F.when(F.col("num_lines") > 0, F.col("path"))))
+    f = f.filter(F.col("container_id") != "")
     return f.select(
         "application_id", "container_id", "attempt", "container_no",
         C.container_role("container_no").alias("role"),
@@ -186,7 +189,9 @@ def duration_histogram_log(timeline: DataFrame, bins: int = 30, durations: DataF
 # ------------------------------------------------------------------ inventory
 def app_files(logs: DataFrame) -> DataFrame:
     """``(application_id, num_files, app_bytes)`` for files below an application directory."""
-    f = file_stats(logs).withColumn("application_id", C.application_id("path"))
+    f = file_stats(logs)
+    # tied to an aggregate output so the filter stays above the per-file aggregate
+    f = f.withColumn("application_id", F.when(F.col("num_lines") > 0, C.application_id("path")))
     return (f.filter(F.col("application_id") != "")
             .groupBy("application_id")
             .agg(F.count(F.lit(1)).alias("num_files"), F.sum("file_bytes").cast("bigint").alias("app_bytes")))

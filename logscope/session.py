@@ -8,6 +8,7 @@ fail uses a ``try_`` function instead of switching ANSI off for the session.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,15 +64,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def materialize(df, spark: SparkSession | None = None):
     """Compute ``df`` once and cut its lineage, for frames that several actions reuse.
 
-    Writes a reliable checkpoint into the shared folder named by
-    ``spark.checkpoint.dir`` (it survives the loss of any executor); never a
-    local checkpoint.  Meant for small derived frames (timelines, summaries).
+    Writes ``df`` as a parquet table into the shared folder named by
+    ``spark.checkpoint.dir`` (``<dir>/logscope-tables/<id>``) and returns a
+    frame reading it: one computation (an RDD checkpoint would compute an
+    unpersisted plan twice), columnar re-reads, and the table survives the loss
+    of any executor.  Never a local checkpoint.  Meant for small derived
+    frames (timelines, summaries, per-application durations).
     """
     spark = spark or df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-            "spark.checkpoint.dir", None)
-        if not d:
-            raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
-        spark.sparkContext.setCheckpointDir(d)
-    return df.checkpoint(eager=True)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+    if not d:
+        raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
+    path = f"{d.rstrip('/')}/logscope-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
