@@ -13,6 +13,8 @@ TIMELINE_SCHEMA = ("cluster_id STRING, application_id STRING, app_number STRING,
 CLUSTER_SUMMARY_SCHEMA = ("cluster_id STRING, num_applications BIGINT, "
                           "cluster_first_app TIMESTAMP_NTZ, cluster_last_app TIMESTAMP_NTZ")
 LEVEL_COUNTS_SCHEMA = "log_level STRING, count BIGINT"
+DURATIONS_SCHEMA = ("cluster_id STRING, application_id STRING, app_number STRING, "
+                    "start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, duration_min DOUBLE")
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -27,3 +29,7 @@ def read_timeline(spark: SparkSession, path: str) -> DataFrame:
 
 def read_cluster_summary(spark: SparkSession, path: str) -> DataFrame:
     return read_result_csv(spark, path, CLUSTER_SUMMARY_SCHEMA)
+
+
+def read_durations(spark: SparkSession, path: str) -> DataFrame:
+    return read_result_csv(spark, path, DURATIONS_SCHEMA)
