@@ -58,15 +58,20 @@ def level_summary(logs: DataFrame, mode: str = "word") -> DataFrame:
 def level_occurrences(logs: DataFrame) -> DataFrame:
     """Every case-sensitive level occurrence, several per line.
 
-    Counts per line are summed in one global aggregate (no explode, no
-    shuffle of lines); levels never seen are left out, as a ``uniq -c`` would.
+    The four level words cannot overlap one another (no suffix of one is a
+    prefix of another), so the leftmost-match count of the alternation equals
+    the count of each literal, ``(length(line) - length(replace(line, w, ''))) / len(w)``:
+    plain string work inside whole-stage codegen, no per-line arrays.  The
+    per-line counts are summed in one global aggregate; levels never seen are
+    left out, as a ``uniq -c`` would.
     """
-    m = C.level_matches("line")
-    def occ(v):
-        return F.sum(F.size(F.filter(m, lambda e: e == F.lit(v)))).alias(f"n_{v}")
+    line = F.col("line")
 
-    per = [occ(x) for x in LEVELS]
-    t = logs.agg(*per)
+    def occ(w):
+        n = (F.length(line) - F.length(F.replace(line, F.lit(w), F.lit("")))) / F.lit(len(w))
+        return F.sum(n.cast("bigint")).alias(f"n_{w}")
+
+    t = logs.agg(*[occ(x) for x in LEVELS])
     body = ", ".join(f"'{x}', n_{x}" for x in LEVELS)
     return (t.selectExpr(f"stack({len(LEVELS)}, {body}) AS (log_level, occurrences)")
              .filter(F.col("occurrences") > 0))

@@ -79,3 +79,17 @@ def materialize(df, spark: SparkSession | None = None):
     path = f"{d.rstrip('/')}/logscope-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def clear_materialized(spark: SparkSession) -> None:
+    """Delete the tables ``materialize`` wrote below the checkpoint folder
+    (call when the frames built on them are no longer used)."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+    if not d:
+        return
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/logscope-tables")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)

@@ -148,3 +148,15 @@ def test_split_numbering_equals_wholetext(spark, log_tree):
         assert a.select("path", "line_no", "line").exceptAll(b.select("path", "line_no", "line")).count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_corrupt_file_is_skipped(spark, tmp_path):
+    d = tmp_path / "application_1_0001"
+    d.mkdir()
+    (d / "container_1_0001_01_000001.log").write_text("17/01/01 00:00:00 INFO ok\n")
+    (d / "container_1_0001_01_000002.log.gz").write_bytes(b"this is not gzip data")
+    logs = read_logs(spark, str(tmp_path))
+    assert [r["line"] for r in logs.collect()] == ["17/01/01 00:00:00 INFO ok"]
+    import pytest
+    with pytest.raises(Exception):
+        read_logs(spark, str(tmp_path), ignore_corrupt=False).collect()
