@@ -255,3 +255,9 @@ def q_level_report(spark, sf):
 def q_usage_report(spark, sf):
     summary = TL.cluster_summary(_timeline(spark, sf), ordered=False)
     return RP.usage_report(TL.usage_stats(summary), TL.top_clusters(summary, 5))
+
+
+@query("period_report")
+def q_period_report(spark, sf):
+    daily = DY.daily_summary(read_table(spark, sf, "lineitem"), LINEITEM_SPEC, SUMMARY_YEAR, ordered=False)
+    return RP.period_report(DY.period_totals(daily, "num_rows"), "num_rows")

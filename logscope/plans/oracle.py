@@ -421,3 +421,13 @@ r AS (
   UNION ALL SELECT 4, 'Most heavily used clusters:'
   UNION ALL SELECT 4 + rk, printf('  Cluster %s: %d applications', cluster_id, num_applications) FROM top)
 SELECT CAST(line_no AS INTEGER) AS line_no, text FROM r ORDER BY line_no""")
+
+ORACLE["period_report"] = f"""WITH d AS ({LINEITEM_DAILY}),
+t AS (SELECT count(*) AS nd, CAST(coalesce(sum(num_rows), 0) AS BIGINT) AS tot, avg(num_rows) AS mean_daily,
+             min(make_date(dt_year, dt_month, dt_day)) AS fd, max(make_date(dt_year, dt_month, dt_day)) AS ld FROM d),
+r AS (
+  SELECT 0 AS line_no, 'Days with data: ' || CAST(nd AS VARCHAR) AS text FROM t
+  UNION ALL SELECT 1, 'Date range: ' || strftime(fd, '%m/%d/%Y') || ' to ' || strftime(ld, '%m/%d/%Y') FROM t
+  UNION ALL SELECT 2, 'Total rows: ' || format('{{:,}}', tot) FROM t
+  UNION ALL SELECT 3, 'Average rows per day: ' || format('{{:,.0f}}', mean_daily) FROM t)
+SELECT CAST(line_no AS INTEGER) AS line_no, text FROM r ORDER BY line_no"""
