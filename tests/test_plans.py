@@ -34,3 +34,13 @@ def test_no_python_evaluation_in_any_query(spark):
         p = plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_single_partition_exchanges_only_after_partial_aggregates(spark):
+    """A global aggregate may gather to one task only rows already reduced per task."""
+    for name, fn in QUERIES.items():
+        lines = plan(fn(spark, SF_SMALL)).split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                child = lines[i + 1]
+                assert "HashAggregate" in child and "partial_" in child, (name, child)

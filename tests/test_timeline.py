@@ -96,3 +96,13 @@ def test_cluster_start_month(spark):
     rows = [("1485248649253", "application_1485248649253_0001", "0001", T0, T0)]
     r = TL.cluster_start_month(TL.cluster_summary(_tl(spark, rows))).first()
     assert r["start_month"] == "Jan 2017" and r["cluster_start"] == dt.datetime(2017, 1, 24, 9, 4, 9, 253000)
+
+
+def test_summary_invariants(spark):
+    t = TL.app_timeline(log_lines(spark, SF_MID), ordered=False)
+    s = TL.cluster_summary(t)
+    rows = s.collect()
+    assert sum(r["num_applications"] for r in rows) == t.count() == 150
+    assert [r["num_applications"] for r in rows] == sorted((r["num_applications"] for r in rows), reverse=True)
+    st = TL.usage_stats(s).first()
+    assert st["total_applications"] == 150 and st["total_clusters"] == 6 and st["avg_apps_per_cluster"] == 25.0
