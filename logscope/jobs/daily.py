@@ -13,7 +13,7 @@ from logscope.sinks import write_csv, write_text
 def run_daily_job(spark: SparkSession, table: DataFrame, outdir: str, year: int,
                   spec: DY.DailySpec = DY.TRIP_SPEC) -> dict[str, str]:
     out = outdir.rstrip("/")
-    daily = materialize(DY.daily_summary(table, spec, year, ordered=False))
+    daily = materialize(DY.daily_summary(table, spec, year, ordered=False), strict=True)
     totals = DY.period_totals(daily, spec.count_name)
     return {
         "daily": write_csv(daily, f"{out}/daily_averages.csv",

@@ -13,7 +13,7 @@ from logscope.sinks import write_csv, write_text
 def run_levels_job(spark: SparkSession, logs: DataFrame, outdir: str, sample_n: int = 10,
                    seed: int | None = None, crlf: bool = False) -> dict[str, str]:
     out = outdir.rstrip("/")
-    summary = materialize(LV.level_summary(logs))          # the one full aggregate scan
+    summary = materialize(LV.level_summary(logs), strict=True)          # the one full aggregate scan
     counts = summary.select("log_level", "count")
     sample = LV.sample_lines(logs, n=sample_n, seed=seed)  # top-n per task, no full sort
     return {

@@ -61,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return d
 
 
-def materialize(df, spark: SparkSession | None = None):
+def materialize(df, spark: SparkSession | None = None, strict: bool = False):
     """Compute ``df`` once and cut its lineage, for frames that several actions reuse.
 
     Writes ``df`` as a parquet table into the shared folder named by
@@ -69,13 +69,16 @@ def materialize(df, spark: SparkSession | None = None):
     frame reading it: one computation (an RDD checkpoint would compute an
     unpersisted plan twice), columnar re-reads, and the table survives the loss
     of any executor.  Never a local checkpoint.  Meant for small derived
-    frames (timelines, summaries, per-application durations).
+    frames (timelines, summaries, per-application durations).  Without a
+    checkpoint folder the frame is returned lazily unless ``strict``.
     """
     spark = spark or df.sparkSession
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
+        if strict:
+            raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
+        return df          # no shared folder: stay lazy (correct, only recomputed per use)
     path = f"{d.rstrip('/')}/logscope-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -114,7 +115,11 @@ def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Da
     fs = tpath.getFileSystem(conf)
     if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")):
         tmp = f"{target}.{uuid.uuid4().hex}.tmp"
-        log_lines_from_events(spark, events).write.mode("overwrite").parquet(tmp)
+        try:
+            log_lines_from_events(spark, events).write.mode("overwrite").parquet(tmp)
+        except Exception as e:  # unwritable folder: the lazy derivation gives the same rows
+            warnings.warn(f"log corpus not stored ({type(e).__name__}); deriving it lazily")
+            return log_lines_from_events(spark, events)
         if not fs.exists(tpath):                     # another writer may have finished first
             fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), tpath)
         if fs.exists(jvm.org.apache.hadoop.fs.Path(tmp)):

@@ -69,3 +69,16 @@ def test_materialized_corpus_equals_lazy(spark):
     assert a.count() == b.count() == 12598
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert "FileScan parquet" in a._jdf.queryExecution().executedPlan().toString()
+
+
+def test_materialize_without_checkpoint_folder_stays_lazy(spark):
+    from logscope.session import materialize
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        if spark.sparkContext.getConf().get("spark.checkpoint.dir", None) is None:
+            df = spark.range(3)
+            assert materialize(df) is df
+    finally:
+        if conf:
+            spark.conf.set("spark.checkpoint.dir", conf)
