@@ -72,13 +72,23 @@ def test_materialized_corpus_equals_lazy(spark):
 
 
 def test_materialize_without_checkpoint_folder_stays_lazy(spark):
+    import pytest
+
     from logscope.session import materialize
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        if spark.sparkContext.getConf().get("spark.checkpoint.dir", None) is None:
-            df = spark.range(3)
-            assert materialize(df) is df
-    finally:
-        if conf:
-            spark.conf.set("spark.checkpoint.dir", conf)
+
+    class _NoConf:
+        def get(self, *_):
+            return None
+
+    class _Ctx:
+        def getConf(self):
+            return _NoConf()
+
+    class _Session:          # a session whose cluster names no checkpoint folder
+        conf = _NoConf()
+        sparkContext = _Ctx()
+
+    df = spark.range(3)
+    assert materialize(df, _Session()) is df
+    with pytest.raises(RuntimeError):
+        materialize(df, _Session(), strict=True)
