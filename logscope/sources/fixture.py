@@ -79,6 +79,7 @@ def log_lines_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 
 CORPUS_VERSION = "v1"
+CORPUS_SCHEMA = "path STRING, line_no BIGINT, line STRING"
 
 
 def _checkpoint_base(spark: SparkSession) -> str | None:
@@ -86,6 +87,9 @@ def _checkpoint_base(spark: SparkSession) -> str | None:
         "spark.checkpoint.dir", None)
 
 
+_CORPUS: dict[tuple[int, str], DataFrame] = {}
+
+
 def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
     """The corpus for the tables in ``sf_dir``.
 
@@ -98,10 +102,9 @@ def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Da
     with ``materialized=False``, the lazy derivation is returned.
     """
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
-    events = spark.read.parquet(events_path)
     base = _checkpoint_base(spark) if materialized else None
     if not base:
-        return log_lines_from_events(spark, events)
+        return log_lines_from_events(spark, spark.read.parquet(events_path))
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     src = jvm.org.apache.hadoop.fs.Path(events_path)
@@ -111,9 +114,14 @@ def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Da
     key = hashlib.sha1(f"{st.getPath().toString()}|{size}|{st.getModificationTime()}|{CORPUS_VERSION}"
                        .encode()).hexdigest()[:20]
     target = f"{base.rstrip('/')}/logscope-corpus/{key}"
+    cached = _CORPUS.get((id(spark), target))
     tpath = jvm.org.apache.hadoop.fs.Path(target)
     fs = tpath.getFileSystem(conf)
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")):
+    done = jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")
+    if cached is not None and fs.exists(done):
+        return cached
+    if not fs.exists(done):
+        events = spark.read.parquet(events_path)
         tmp = f"{target}.{uuid.uuid4().hex}.tmp"
         try:
             log_lines_from_events(spark, events).write.mode("overwrite").parquet(tmp)
@@ -124,4 +132,6 @@ def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Da
             fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), tpath)
         if fs.exists(jvm.org.apache.hadoop.fs.Path(tmp)):
             fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
-    return spark.read.parquet(target)
+    df = spark.read.schema(CORPUS_SCHEMA).parquet(target)
+    _CORPUS[(id(spark), target)] = df
+    return df
