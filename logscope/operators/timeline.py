@@ -153,12 +153,13 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 30) -> DataFrame:
          .otherwise(F.least(F.floor((F.col("v") - lo) / width), F.lit(bins - 1)))).cast("int")
     counts = (vals.select("v", bounds.alias("b"))
               .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
-    dims = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), bounds.alias("b"))
+    # the bin dimension and the result are exactly ``bins`` rows: one partition
+    dims = df.sparkSession.range(0, bins, 1, 1).select(F.col("id").cast("int").alias("bin"), bounds.alias("b"))
     dims = dims.select("bin", (lo + F.col("bin") * width).alias("bin_lo"),
                        (lo + (F.col("bin") + 1) * width).alias("bin_hi"))
     return (dims.join(F.broadcast(counts), "bin", "left")
             .select("bin", "bin_lo", "bin_hi", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
-            .orderBy("bin"))
+            .coalesce(1).sortWithinPartitions("bin"))
 
 
 def duration_histogram(timeline: DataFrame, bins: int = 30, durations: DataFrame | None = None) -> DataFrame:
