@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logscope.jobs.parallel import run_all
 from logscope.operators import levels as LV
 from logscope.operators import reports as RP
 from logscope.session import materialize
@@ -13,11 +14,19 @@ from logscope.sinks import write_csv, write_text
 def run_levels_job(spark: SparkSession, logs: DataFrame, outdir: str, sample_n: int = 10,
                    seed: int | None = None, crlf: bool = False) -> dict[str, str]:
     out = outdir.rstrip("/")
-    summary = materialize(LV.level_summary(logs), strict=True)          # the one full aggregate scan
-    counts = summary.select("log_level", "count")
-    sample = LV.sample_lines(logs, n=sample_n, seed=seed)  # top-n per task, no full sort
-    return {
-        "counts": write_csv(counts, f"{out}/problem1_counts.csv", line_sep="\r\n" if crlf else None),
-        "sample": write_csv(sample, f"{out}/problem1_sample.csv", line_sep="\r\n" if crlf else None),
-        "summary": write_text(RP.level_report(summary), f"{out}/problem1_summary.txt", order_by="line_no"),
-    }
+    sep = "\r\n" if crlf else None
+    paths = {}
+
+    def aggregate_branch():
+        summary = materialize(LV.level_summary(logs), strict=True)      # the one full aggregate scan
+        run_all(lambda: paths.__setitem__("counts", write_csv(
+                    summary.select("log_level", "count"), f"{out}/problem1_counts.csv", line_sep=sep)),
+                lambda: paths.__setitem__("summary", write_text(
+                    RP.level_report(summary), f"{out}/problem1_summary.txt", order_by="line_no")))
+
+    def sample_branch():                                                  # top-n per task, no full sort
+        sample = LV.sample_lines(logs, n=sample_n, seed=seed)
+        paths["sample"] = write_csv(sample, f"{out}/problem1_sample.csv", line_sep=sep)
+
+    run_all(aggregate_branch, sample_branch)
+    return {k: paths[k] for k in ("counts", "sample", "summary")}

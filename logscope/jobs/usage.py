@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logscope.jobs.parallel import run_all
 from logscope.operators import reports as RP
 from logscope.operators import timeline as TL
 from logscope.sinks import write_csv, write_text
@@ -25,18 +26,26 @@ def run_usage_job(spark: SparkSession, logs: DataFrame | None, outdir: str, bins
         timeline = TL.app_timeline(logs, ordered=False)             # the one scan of all lines
         paths["timeline"] = write_csv(timeline, tl_path, order_by=["cluster_id", "app_number"])
     timeline = read_timeline(spark, tl_path)
-    cs_path = f"{out}/problem2_cluster_summary.csv"
-    summary = TL.cluster_summary(timeline, ordered=False)
-    paths["cluster_summary"] = write_csv(summary, cs_path,
-                                         order_by=[summary.num_applications.desc(), summary.cluster_id])
-    summary = read_cluster_summary(spark, cs_path)
-    report = RP.usage_report(TL.usage_stats(summary), TL.top_clusters(summary, 5))
-    paths["stats"] = write_text(report, f"{out}/problem2_stats.txt", order_by="line_no")
-    du_path = f"{out}/problem2_busiest_durations.csv"
-    paths["durations"] = write_csv(TL.busiest_cluster_apps(timeline), du_path)
-    durations = read_durations(spark, du_path)
-    paths["histogram"] = write_csv(TL.duration_histogram(timeline, bins, durations),
-                                   f"{out}/problem2_duration_histogram.csv", order_by=["bin"])
-    paths["histogram_log"] = write_csv(TL.duration_histogram_log(timeline, bins, durations),
-                                       f"{out}/problem2_duration_histogram_log.csv", order_by=["bin"])
+
+    def summary_branch():
+        cs_path = f"{out}/problem2_cluster_summary.csv"
+        summary = TL.cluster_summary(timeline, ordered=False)
+        paths["cluster_summary"] = write_csv(summary, cs_path,
+                                             order_by=[summary.num_applications.desc(), summary.cluster_id])
+        summary = read_cluster_summary(spark, cs_path)
+        report = RP.usage_report(TL.usage_stats(summary), TL.top_clusters(summary, 5))
+        paths["stats"] = write_text(report, f"{out}/problem2_stats.txt", order_by="line_no")
+
+    def duration_branch():
+        du_path = f"{out}/problem2_busiest_durations.csv"
+        paths["durations"] = write_csv(TL.busiest_cluster_apps(timeline), du_path)
+        durations = read_durations(spark, du_path)
+        run_all(lambda: paths.__setitem__("histogram", write_csv(
+                    TL.duration_histogram(timeline, bins, durations),
+                    f"{out}/problem2_duration_histogram.csv", order_by=["bin"])),
+                lambda: paths.__setitem__("histogram_log", write_csv(
+                    TL.duration_histogram_log(timeline, bins, durations),
+                    f"{out}/problem2_duration_histogram_log.csv", order_by=["bin"])))
+
+    run_all(summary_branch, duration_branch)    # independent outputs, submitted concurrently
     return paths
