@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logscope.jobs.parallel import run_all
 from logscope.operators import daily as DY
 from logscope.operators import reports as RP
 from logscope.session import materialize
@@ -15,9 +16,9 @@ def run_daily_job(spark: SparkSession, table: DataFrame, outdir: str, year: int,
     out = outdir.rstrip("/")
     daily = materialize(DY.daily_summary(table, spec, year, ordered=False), strict=True)
     totals = DY.period_totals(daily, spec.count_name)
-    return {
-        "daily": write_csv(daily, f"{out}/daily_averages.csv",
-                           order_by=[daily.dt_year.desc(), daily.dt_month.desc(), daily.dt_day.desc()]),
-        "report": write_text(RP.period_report(totals, spec.count_name), f"{out}/daily_report.txt",
-                             order_by="line_no"),
-    }
+    daily_csv, report = run_all(
+        lambda: write_csv(daily, f"{out}/daily_averages.csv",
+                          order_by=[daily.dt_year.desc(), daily.dt_month.desc(), daily.dt_day.desc()]),
+        lambda: write_text(RP.period_report(totals, spec.count_name), f"{out}/daily_report.txt",
+                           order_by="line_no"))
+    return {"daily": daily_csv, "report": report}
