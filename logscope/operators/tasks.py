@@ -49,21 +49,41 @@ def task_time_by_app(tasks: DataFrame) -> DataFrame:
                  F.sum("duration_sec").alias("total_task_sec")))
 
 
-def unfinished_tasks(tasks: DataFrame, logs: DataFrame) -> DataFrame:
+def unfinished_tasks(logs: DataFrame) -> DataFrame:
     """Per application: tasks never reported finished, their share, retried tasks
-    (attempt > 0) and ERROR lines of the application (L6c)."""
-    t = (tasks.groupBy("application_id")
-         .agg(F.count(F.lit(1)).alias("num_tasks"),
-              F.count_if(~F.col("finished")).alias("unfinished_tasks"),
-              F.count_if(F.col("task_attempt") > 0).alias("retried_tasks"))
-         .withColumn("unfinished_pct", F.lit(100.0) * F.col("unfinished_tasks") / F.col("num_tasks")))
-    err = (logs.filter(C.level("line", "word") == "ERROR")
-           .groupBy(C.application_id("path").alias("application_id"))
-           .agg(F.count(F.lit(1)).alias("error_lines")))
-    # both sides hold one row per application; AQE picks broadcast when small
-    return (t.join(err, "application_id", "left")
-            .select("application_id", "num_tasks", "unfinished_tasks", "unfinished_pct", "retried_tasks",
-                    F.coalesce("error_lines", F.lit(0)).cast("bigint").alias("error_lines")))
+    (attempt > 0) and ERROR lines of the application (L6c).
+
+    One scan and one shuffle: task lines are keyed by their task, ERROR lines
+    that are not task lines by (application, NULL task), so a single aggregate
+    yields both the per-task rows and one error-count row per application;
+    partial aggregation turns an application's error lines into one row per
+    task before the shuffle.
+    """
+    line = F.col("line")
+    is_task = line.contains(P.TASK_EVENT_HINT) & line.rlike(P.TASK_EVENT)
+    is_error = C.level("line", "word") == "ERROR"
+    rows = C.with_log_time(logs.filter(is_task | is_error).withColumn("is_task", is_task)
+                           .withColumn("is_error", is_error), "line", "ts")
+    g = C.extract(line, P.TASK_EVENT, {
+        "event": (1, "string"), "task_index": (2, "bigint"), "task_attempt": (3, "bigint"),
+        "stage_id": (4, "bigint"), "stage_attempt": (5, "bigint"), "tid": (6, "bigint")})
+    key = [F.when(F.col("is_task"), v).alias(k) for k, v in g.items() if k != "event"]
+    keyed = rows.select(C.application_id("path").alias("application_id"), "ts", "is_task", "is_error",
+                        F.when(F.col("is_task"), g["event"]).alias("event"), *key)
+    per_key = (keyed.groupBy(*TASK_KEY)
+               .agg(F.max(F.when(F.col("event") == "Finished", F.col("ts"))).alias("end_time"),
+                    F.count_if(F.col("is_task")).alias("task_lines"),
+                    F.count_if(F.col("is_error")).alias("error_lines")))
+    is_task_row = F.col("task_lines") > 0
+    a = (per_key.groupBy("application_id")
+         .agg(F.count_if(is_task_row).alias("num_tasks"),
+              F.count_if(is_task_row & F.col("end_time").isNull()).alias("unfinished_tasks"),
+              F.count_if(is_task_row & (F.col("task_attempt") > 0)).alias("retried_tasks"),
+              F.sum("error_lines").cast("bigint").alias("error_lines"))
+         .filter(F.col("num_tasks") > 0))
+    return a.select("application_id", "num_tasks", "unfinished_tasks",
+                    (F.lit(100.0) * F.col("unfinished_tasks") / F.col("num_tasks")).alias("unfinished_pct"),
+                    "retried_tasks", "error_lines")
 
 
 def stage_skew(tasks: DataFrame, accuracy: int = 10000) -> DataFrame:

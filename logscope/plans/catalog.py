@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logscope.operators import levels as LV
+from logscope.session import materialize
 from logscope.sources import log_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,12 @@ def _timeline(spark, sf):
     return TL.app_timeline(log_lines(spark, sf), ordered=False)
 
 
+def _timeline_table(spark, sf):
+    """The timeline written once as a small table (one row per application), for
+    queries that read it several times: the log lines are scanned once."""
+    return materialize(_timeline(spark, sf))
+
+
 @query("path_ids")
 def q_path_ids(spark, sf):
     return TL.path_ids(log_lines(spark, sf))
@@ -106,17 +113,17 @@ def q_cluster_start_month(spark, sf):
 
 @query("busiest_cluster_durations")
 def q_busiest(spark, sf):
-    return TL.busiest_cluster_apps(_timeline(spark, sf))
+    return TL.busiest_cluster_apps(_timeline_table(spark, sf))
 
 
 @query("duration_histogram")
 def q_duration_histogram(spark, sf):
-    return TL.duration_histogram(_timeline(spark, sf), 30)
+    return TL.duration_histogram(_timeline_table(spark, sf), 30)
 
 
 @query("duration_histogram_log")
 def q_duration_histogram_log(spark, sf):
-    return TL.duration_histogram_log(_timeline(spark, sf), 30)
+    return TL.duration_histogram_log(_timeline_table(spark, sf), 30)
 
 
 @query("app_inventory")
@@ -196,8 +203,7 @@ def q_task_time_by_app(spark, sf):
 
 @query("unfinished_tasks")
 def q_unfinished_tasks(spark, sf):
-    logs = log_lines(spark, sf)
-    return TK.unfinished_tasks(TK.task_lifecycle(logs), logs)
+    return TK.unfinished_tasks(log_lines(spark, sf))
 
 
 @query("stage_skew")

@@ -24,7 +24,7 @@ def test_task_pairing_and_skew(spark):
     t = TK.task_lifecycle(logs)
     d = {r["tid"]: r["duration_sec"] for r in t.collect()}
     assert d == {1: 10.0, 2: 2.0, 3: None}
-    u = TK.unfinished_tasks(t, logs).first()
+    u = TK.unfinished_tasks(logs).first()
     assert (u["num_tasks"], u["unfinished_tasks"], u["retried_tasks"], u["error_lines"]) == (3, 1, 1, 0)
     sk = TK.stage_skew(t).first()
     assert (sk["num_tasks"], sk["median_sec"], sk["max_sec"], sk["max_over_median"]) == (2, 2.0, 10.0, 5.0)
