@@ -11,9 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logscope.operators import daily as DY
+from logscope.operators import events as EV
 from logscope.operators import levels as LV
+from logscope.operators import records as RC
+from logscope.operators import reports as RP
+from logscope.operators import tasks as TK
+from logscope.operators import timeline as TL
+from logscope.plans import views as VW
 from logscope.session import materialize
-from logscope.sources import log_lines
+from logscope.sources import log_lines, profile_source, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,7 +70,6 @@ def q_error_lines(spark, sf):
 
 
 # ------------------------------------------------------------------ family B: timelines and cluster usage
-from logscope.operators import timeline as TL  # noqa: E402
 
 
 def _timeline(spark, sf):
@@ -137,8 +143,6 @@ def q_top_apps_by_files(spark, sf):
 
 
 # ------------------------------------------------------------------ family C: daily summaries
-from logscope.operators import daily as DY  # noqa: E402
-from logscope.sources import read_table  # noqa: E402
 
 LINEITEM_SPEC = DY.DailySpec(
     ts="l_shipdate", count_name="num_rows",
@@ -169,9 +173,6 @@ def q_period_totals(spark, sf):
 
 
 # ------------------------------------------------------------------ log events
-from logscope.operators import events as EV  # noqa: E402
-from logscope.operators import records as RC  # noqa: E402
-from logscope.operators import tasks as TK  # noqa: E402
 
 for _name, _fn in {
     "executor_requests": EV.executor_requests, "container_requests": EV.container_requests,
@@ -222,8 +223,6 @@ def q_stages_per_app(spark, sf):
 
 
 # ------------------------------------------------------------------ sources and SQL surface
-from logscope.plans import views as VW  # noqa: E402
-from logscope.sources import profile_source  # noqa: E402
 
 
 @query("source_profile_orders")
@@ -249,7 +248,6 @@ def q_even_keys_doubled(spark, sf):
 
 
 # ------------------------------------------------------------------ text reports (K5)
-from logscope.operators import reports as RP  # noqa: E402
 
 
 @query("level_report")

@@ -30,3 +30,23 @@ def row_count(spark: SparkSession, view: str) -> DataFrame:
 def even_doubled(spark: SparkSession, view: str, key: str) -> DataFrame:
     """The F6 operator: keep even ``key`` values, project ``key * 2``."""
     return spark.sql(f"SELECT {key} * 2 AS doubled FROM {view} WHERE {key} % 2 = 0")
+
+
+def register_log_views(logs: DataFrame, prefix: str = PREFIX) -> dict[str, str]:
+    """Register the log frames SQL users query: ``log_lines``, ``log_records``,
+    ``app_timeline`` and ``cluster_summary`` (S10).  Views are lazy plans; SQL
+    over them is optimized together with the operators behind them."""
+    from logscope.operators import records as RC
+    from logscope.operators import timeline as TL
+    timeline = TL.app_timeline(logs, ordered=False)
+    return {
+        "log_lines": register(logs, "log_lines", prefix),
+        "log_records": register(RC.parse_records(logs, level_mode="word", time_mode="lenient"),
+                                "log_records", prefix),
+        "app_timeline": register(timeline, "app_timeline", prefix),
+        "cluster_summary": register(TL.cluster_summary(timeline, ordered=False), "cluster_summary", prefix),
+    }
+
+
+def register_daily_view(daily: DataFrame, prefix: str = PREFIX) -> str:
+    return register(daily, "daily_summary", prefix)

@@ -160,3 +160,16 @@ def test_corrupt_file_is_skipped(spark, tmp_path):
     import pytest
     with pytest.raises(Exception):
         read_logs(spark, str(tmp_path), ignore_corrupt=False).collect()
+
+
+def test_sql_over_registered_log_views(spark, fixture_lines):
+    from logscope.plans.views import register_log_views
+    v = register_log_views(fixture_lines)
+    by_sql = spark.sql(f"SELECT level, count(*) AS n FROM {v['log_records']} WHERE level <> '' GROUP BY level")
+    assert dict(by_sql.collect()) == {r["log_level"]: r["count"] for r in LV.level_counts(fixture_lines).collect()
+                                      if r["count"] > 0}
+    top = spark.sql(f"SELECT cluster_id FROM {v['cluster_summary']} ORDER BY num_applications DESC, cluster_id "
+                    "LIMIT 1").first()[0]
+    assert top == TL.top_clusters(TL.cluster_summary(TL.app_timeline(fixture_lines)), 1).first()["cluster_id"]
+    n = spark.sql(f"SELECT count(*) FROM {v['app_timeline']}").first()[0]
+    assert n == 15
