@@ -17,7 +17,7 @@ def run_daily_job(spark: SparkSession, table: DataFrame, outdir: str, year: int,
     daily = materialize(DY.daily_summary(table, spec, year, ordered=False), strict=True)
     totals = DY.period_totals(daily, spec.count_name)
     daily_csv, report = run_all(
-        lambda: write_csv(daily, f"{out}/daily_averages.csv",
+        lambda: write_csv(daily, f"{out}/daily_summary.csv",
                           order_by=[daily.dt_year.desc(), daily.dt_month.desc(), daily.dt_day.desc()]),
         lambda: write_text(RP.period_report(totals, spec.count_name), f"{out}/daily_report.txt",
                            order_by="line_no"))

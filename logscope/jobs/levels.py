@@ -20,13 +20,13 @@ def run_levels_job(spark: SparkSession, logs: DataFrame, outdir: str, sample_n:
     def aggregate_branch():
         summary = materialize(LV.level_summary(logs), strict=True)      # the one full aggregate scan
         run_all(lambda: paths.__setitem__("counts", write_csv(
-                    summary.select("log_level", "count"), f"{out}/problem1_counts.csv", line_sep=sep)),
+                    summary.select("log_level", "count"), f"{out}/level_counts.csv", line_sep=sep)),
                 lambda: paths.__setitem__("summary", write_text(
-                    RP.level_report(summary), f"{out}/problem1_summary.txt", order_by="line_no")))
+                    RP.level_report(summary), f"{out}/level_summary.txt", order_by="line_no")))
 
     def sample_branch():                                                  # top-n per task, no full sort
         sample = LV.sample_lines(logs, n=sample_n, seed=seed)
-        paths["sample"] = write_csv(sample, f"{out}/problem1_sample.csv", line_sep=sep)
+        paths["sample"] = write_csv(sample, f"{out}/level_sample.csv", line_sep=sep)
 
     run_all(aggregate_branch, sample_branch)
     return {k: paths[k] for k in ("counts", "sample", "summary")}

@@ -21,31 +21,31 @@ def run_usage_job(spark: SparkSession, logs: DataFrame | None, outdir: str, bins
     the plots come from the written (whole-second) timeline."""
     out = outdir.rstrip("/")
     paths = {}
-    tl_path = f"{out}/problem2_timeline.csv"
+    tl_path = f"{out}/app_timeline.csv"
     if not skip_scan:
         timeline = TL.app_timeline(logs, ordered=False)             # the one scan of all lines
         paths["timeline"] = write_csv(timeline, tl_path, order_by=["cluster_id", "app_number"])
     timeline = read_timeline(spark, tl_path)
 
     def summary_branch():
-        cs_path = f"{out}/problem2_cluster_summary.csv"
+        cs_path = f"{out}/cluster_summary.csv"
         summary = TL.cluster_summary(timeline, ordered=False)
         paths["cluster_summary"] = write_csv(summary, cs_path,
                                              order_by=[summary.num_applications.desc(), summary.cluster_id])
         summary = read_cluster_summary(spark, cs_path)
         report = RP.usage_report(TL.usage_stats(summary), TL.top_clusters(summary, 5))
-        paths["stats"] = write_text(report, f"{out}/problem2_stats.txt", order_by="line_no")
+        paths["stats"] = write_text(report, f"{out}/usage_stats.txt", order_by="line_no")
 
     def duration_branch():
-        du_path = f"{out}/problem2_busiest_durations.csv"
+        du_path = f"{out}/busiest_durations.csv"
         paths["durations"] = write_csv(TL.busiest_cluster_apps(timeline), du_path)
         durations = read_durations(spark, du_path)
         run_all(lambda: paths.__setitem__("histogram", write_csv(
                     TL.duration_histogram(timeline, bins, durations),
-                    f"{out}/problem2_duration_histogram.csv", order_by=["bin"])),
+                    f"{out}/duration_histogram.csv", order_by=["bin"])),
                 lambda: paths.__setitem__("histogram_log", write_csv(
                     TL.duration_histogram_log(timeline, bins, durations),
-                    f"{out}/problem2_duration_histogram_log.csv", order_by=["bin"])))
+                    f"{out}/duration_histogram_log.csv", order_by=["bin"])))
 
     run_all(summary_branch, duration_branch)    # independent outputs, submitted concurrently
     return paths

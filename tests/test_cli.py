@@ -17,8 +17,8 @@ def _run(args, tmp_path):
 def test_cli_levels_and_usage(log_tree, tmp_path):
     out = str(tmp_path / "out")
     _run(["levels", "--in", log_tree, "--out", out, "--seed", "1"], tmp_path)
-    assert open(f"{out}/problem1_counts.csv").read().splitlines()[1] == "INFO,812"
+    assert open(f"{out}/level_counts.csv").read().splitlines()[1] == "INFO,812"
     _run(["usage", "--in", log_tree, "--out", out], tmp_path)
-    assert open(f"{out}/problem2_stats.txt").read().splitlines()[1] == "Total applications: 15"
+    assert open(f"{out}/usage_stats.txt").read().splitlines()[1] == "Total applications: 15"
     _run(["usage", "--in", log_tree, "--out", out, "--skip-scan"], tmp_path)
-    assert os.path.exists(f"{out}/problem2_duration_histogram.csv")
+    assert os.path.exists(f"{out}/duration_histogram.csv")
