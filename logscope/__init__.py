@@ -13,6 +13,6 @@ Layout:
     jobs/       end-to-end jobs that write the report files
 """
 
-from logscope.session import get_session, ensure_checkpoint_dir
+from logscope.session import checkpoint_dir, ensure_checkpoint_dir, get_session, materialize
 
-__all__ = ["get_session", "ensure_checkpoint_dir"]
+__all__ = ["checkpoint_dir", "ensure_checkpoint_dir", "get_session", "materialize"]

@@ -44,14 +44,24 @@ def get_session(master: str | None = None, app_name: str = "logscope",
     return spark
 
 
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (None if unset)."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d
+    try:
+        return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:       # sessions without a local SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when the setting is absent (local tests) is ``fallback`` installed; a
     cluster must name a shared folder (HDFS/S3), never a machine-local one.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    d = checkpoint_dir(spark)
     if not d:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
@@ -73,8 +83,7 @@ def materialize(df, spark: SparkSession | None = None, strict: bool = False):
     checkpoint folder the frame is returned lazily unless ``strict``.
     """
     spark = spark or df.sparkSession
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    d = checkpoint_dir(spark)
     if not d:
         if strict:
             raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
@@ -87,8 +96,7 @@ def materialize(df, spark: SparkSession | None = None, strict: bool = False):
 def clear_materialized(spark: SparkSession) -> None:
     """Delete the tables ``materialize`` wrote below the checkpoint folder
     (call when the frames built on them are no longer used)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    d = checkpoint_dir(spark)
     if not d:
         return
     jvm = spark._jvm

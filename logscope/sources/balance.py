@@ -14,7 +14,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     no shuffle is ever added at scale; on a small one the shuffle moves a few
     MB and lets the per-line work use every core.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:       # sessions without RDD access (Spark Connect): leave the plan as it is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)

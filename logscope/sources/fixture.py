@@ -83,8 +83,8 @@ CORPUS_SCHEMA = "path STRING, line_no BIGINT, line STRING"
 
 
 def _checkpoint_base(spark: SparkSession) -> str | None:
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    from logscope.session import checkpoint_dir
+    return checkpoint_dir(spark)
 
 
 _CORPUS: dict[tuple[int, str], DataFrame] = {}
@@ -102,9 +102,16 @@ def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Da
     with ``materialized=False``, the lazy derivation is returned.
     """
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
-    base = _checkpoint_base(spark) if materialized else None
-    if not base:
-        return log_lines_from_events(spark, spark.read.parquet(events_path))
+    try:
+        base = _checkpoint_base(spark) if materialized else None
+        if base:
+            return _stored_corpus(spark, events_path, base)
+    except Exception as e:  # no JVM access or file-system error: derive lazily, same rows
+        warnings.warn(f"log corpus not stored ({type(e).__name__}); deriving it lazily")
+    return log_lines_from_events(spark, spark.read.parquet(events_path))
+
+
+def _stored_corpus(spark: SparkSession, events_path: str, base: str) -> DataFrame:
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     src = jvm.org.apache.hadoop.fs.Path(events_path)
@@ -123,11 +130,7 @@ def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Da
     if not fs.exists(done):
         events = spark.read.parquet(events_path)
         tmp = f"{target}.{uuid.uuid4().hex}.tmp"
-        try:
-            log_lines_from_events(spark, events).write.mode("overwrite").parquet(tmp)
-        except Exception as e:  # unwritable folder: the lazy derivation gives the same rows
-            warnings.warn(f"log corpus not stored ({type(e).__name__}); deriving it lazily")
-            return log_lines_from_events(spark, events)
+        log_lines_from_events(spark, events).write.mode("overwrite").parquet(tmp)
         if not fs.exists(tpath):                     # another writer may have finished first
             fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), tpath)
         if fs.exists(jvm.org.apache.hadoop.fs.Path(tmp)):

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
 from logscope.functions.patterns import LEVELS
+from logscope.session import checkpoint_dir
 
 
 def read_logs_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
@@ -60,8 +61,7 @@ def start(df: DataFrame, name: str, sink: str = "memory", output_mode: str = "up
     """Start ``df`` as a named streaming query with a durable checkpoint."""
     spark = df.sparkSession
     if checkpoint_location is None:
-        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-            "spark.checkpoint.dir", None)
+        base = checkpoint_dir(spark)
         if not base:
             raise RuntimeError("spark.checkpoint.dir is not set and no checkpoint_location was given")
         checkpoint_location = f"{base.rstrip('/')}/streams/{name}"
