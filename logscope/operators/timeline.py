@@ -139,14 +139,16 @@ def busiest_cluster_apps(timeline: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, value: str | Column, bins: int = 30) -> DataFrame:
     """Equal-width histogram, ``bins`` bins over [min, max], last bin closed.
 
-    ``(bin, bin_lo, bin_hi, count)``, every bin present (zero-filled).  The
+    ``(bin, bin_lo, bin_hi, count, n)``, every bin present (zero-filled); ``n``
+    is the number of values binned (the sample size, on every row).  The
     bounds come from one scalar subquery (a single-row aggregate, reused for
     both ends), so no row ever meets a cross join or a single-partition window.
     Equal values give one bin holding everything.
     """
     v = F.col(value) if isinstance(value, str) else value
     vals = df.select(v.alias("v")).filter(F.col("v").isNotNull())
-    bounds = vals.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b")).scalar()
+    bounds = vals.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"),
+                                  F.count(F.lit(1)).alias("n")).alias("b")).scalar()
     lo, hi = F.col("b.lo"), F.col("b.hi")
     width = (hi - lo) / F.lit(float(bins))
     b = (F.when(hi == lo, F.lit(0))
@@ -156,9 +158,9 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 30) -> DataFrame:
     # the bin dimension and the result are exactly ``bins`` rows: one partition
     dims = df.sparkSession.range(0, bins, 1, 1).select(F.col("id").cast("int").alias("bin"), bounds.alias("b"))
     dims = dims.select("bin", (lo + F.col("bin") * width).alias("bin_lo"),
-                       (lo + (F.col("bin") + 1) * width).alias("bin_hi"))
+                       (lo + (F.col("bin") + 1) * width).alias("bin_hi"), F.col("b.n").alias("n"))
     return (dims.join(F.broadcast(counts), "bin", "left")
-            .select("bin", "bin_lo", "bin_hi", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+            .select("bin", "bin_lo", "bin_hi", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), "n")
             .coalesce(1).sortWithinPartitions("bin"))
 
 
@@ -183,7 +185,7 @@ def duration_histogram_log(timeline: DataFrame, bins: int = 30, durations: DataF
     d = durations if durations is not None else materialize(busiest_cluster_apps(timeline))
     h = histogram(d.filter(F.col("duration_min") > 0), F.log10("duration_min"), bins)
     excluded = d.select(F.count_if(~(F.col("duration_min") > 0))).scalar()
-    return h.select("bin", F.col("bin_lo").alias("log10_lo"), F.col("bin_hi").alias("log10_hi"), "count",
+    return h.select("bin", F.col("bin_lo").alias("log10_lo"), F.col("bin_hi").alias("log10_hi"), "count", "n",
                     excluded.alias("excluded_nonpositive"))
 
 

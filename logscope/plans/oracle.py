@@ -97,10 +97,10 @@ def histogram_sql(values_cte: str, bins: int = 30, lo_name="bin_lo", hi_name="bi
                   as_cte: str | None = None) -> str:
     w = f"((b.hi - b.lo) / {float(bins)}::DOUBLE)"
     final = f"""SELECT CAST(r.range AS INTEGER) AS bin, b.lo + r.range * {w} AS {lo_name},
-       b.lo + (r.range + 1) * {w} AS {hi_name}, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+       b.lo + (r.range + 1) * {w} AS {hi_name}, CAST(coalesce(c.n, 0) AS BIGINT) AS count, b.n AS n
 FROM range({bins}) r CROSS JOIN b LEFT JOIN c ON c.bin = r.range"""
     head = f"""d AS (SELECT v FROM ({values_cte}) WHERE v IS NOT NULL),
-b AS (SELECT min(v) AS lo, max(v) AS hi FROM d),
+b AS (SELECT min(v) AS lo, max(v) AS hi, count(*) AS n FROM d),
 c AS (SELECT CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE least(floor((d.v - b.lo) / {w}), {bins - 1}) END AS INTEGER) AS bin,
              count(*) AS n FROM d, b GROUP BY 1)"""
     if as_cte:

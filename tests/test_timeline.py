@@ -62,7 +62,7 @@ def test_histogram_sums_to_n(spark):
     t = TL.app_timeline(log_lines(spark, SF_MID), ordered=False)
     n = TL.busiest_cluster_apps(t).count()
     h = TL.duration_histogram(t, 30).collect()
-    assert len(h) == 30 and sum(r["count"] for r in h) == n
+    assert len(h) == 30 and sum(r["count"] for r in h) == n and {r["n"] for r in h} == {n}
     assert [r["bin"] for r in h] == list(range(30))
 
 
