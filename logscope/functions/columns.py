@@ -81,7 +81,7 @@ def cluster_start(cluster="cluster_id") -> Column:
     """Cluster id is the ResourceManager start in epoch milliseconds; as a UTC
     wall-clock TIMESTAMP_NTZ (zone-free arithmetic, whatever the session zone)."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MILLISECOND", _c(cluster).cast("bigint"), epoch)
+    return F.timestamp_add("MILLISECOND", _c(cluster).try_cast("bigint"), epoch)
 
 
 # ---------------------------------------------------------------- time (L3)
@@ -151,13 +151,17 @@ def size_bytes(value: Column, unit: Column) -> Column:
     for name, exp in P.UNIT_EXPONENT.items():
         if exp:
             mult = mult.when(unit == name, F.lit(float(1024 ** exp)))
-    return value.cast("double") * mult
+    return value.try_cast("double") * mult          # "1.2.3" in a corrupt line → NULL, not a failed job
 
 
 def extract(line: Column, pattern: str, groups: dict[str, tuple[int, str]]) -> dict[str, Column]:
-    """``{name: regexp_extract(line, pattern, idx) cast to type}``; '' → NULL before casts."""
+    """``{name: regexp_extract(line, pattern, idx) cast to type}``; '' → NULL before casts.
+
+    ``try_cast``: a value that does not fit (a 25-digit count in a corrupt
+    line) becomes NULL instead of failing the whole job under ANSI mode.
+    """
     out = {}
     for name, (idx, typ) in groups.items():
         g = F.regexp_extract(line, pattern, idx)
-        out[name] = g if typ == "string" else F.nullif(g, F.lit("")).cast(typ)
+        out[name] = g if typ == "string" else F.nullif(g, F.lit("")).try_cast(typ)
     return out

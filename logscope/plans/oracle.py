@@ -202,7 +202,7 @@ def events_cte(hint: str, pattern: str, groups: dict[str, tuple[int, str]], cont
     cols = [f"{APP_SQL} AS application_id"] + ([f"{CONT_SQL} AS container_id"] if container else [])
     for name, (i, typ) in groups.items():
         g = f"regexp_extract(line, '{pattern}', {i})"
-        cols.append(f"{g} AS {name}" if typ == "string" else f"CAST(NULLIF({g}, '') AS {typ}) AS {name}")
+        cols.append(f"{g} AS {name}" if typ == "string" else f"TRY_CAST(NULLIF({g}, '') AS {typ}) AS {name}")
     first = next(iter(groups.values()))[0]
     return (f"ev AS (SELECT {', '.join(cols)} FROM log_lines WHERE contains(line, '{hint}') "
             f"AND regexp_extract(line, '{pattern}', {first}) <> '')")
@@ -210,7 +210,7 @@ def events_cte(hint: str, pattern: str, groups: dict[str, tuple[int, str]], cont
 
 def size_sql(v: str, u: str) -> str:
     whens = " ".join(f"WHEN '{k}' THEN {float(1024 ** e)}::DOUBLE" for k, e in P.UNIT_EXPONENT.items())
-    return f"(CAST({v} AS DOUBLE) * CASE {u} {whens} END)"
+    return f"(TRY_CAST({v} AS DOUBLE) * CASE {u} {whens} END)"
 
 
 EXEC_EV = events_cte(P.EXECUTOR_REQUEST_HINT, P.EXECUTOR_REQUEST, {
@@ -278,11 +278,11 @@ TASKS = f"""te AS (
   SELECT * FROM (
     SELECT {APP_SQL} AS application_id, {TS_SQL} AS ts,
            regexp_extract(line, '{P.TASK_EVENT}', 1) AS event,
-           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 2), '') AS BIGINT) AS task_index,
-           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 3), '') AS BIGINT) AS task_attempt,
-           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 4), '') AS BIGINT) AS stage_id,
-           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 5), '') AS BIGINT) AS stage_attempt,
-           CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 6), '') AS BIGINT) AS tid
+           TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 2), '') AS BIGINT) AS task_index,
+           TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 3), '') AS BIGINT) AS task_attempt,
+           TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 4), '') AS BIGINT) AS stage_id,
+           TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 5), '') AS BIGINT) AS stage_attempt,
+           TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 6), '') AS BIGINT) AS tid
     FROM (SELECT *, regexp_extract(line, '{P.TS_ANY}', 1) AS s FROM log_lines WHERE contains(line, ' task ')))
   WHERE event <> ''),
 tk AS (

@@ -90,3 +90,13 @@ def test_parse_audit(spark):
     logs = _logs(spark, ["17/03/29 10:04:41 INFO A: x", "   at x", "INFO no time"])
     a = RC.parse_audit(logs).first()
     assert (a["num_lines"], a["no_timestamp"], a["no_level"], a["no_component"]) == (3, 2, 1, 2)
+
+
+def test_malformed_numbers_do_not_fail_the_job(spark):
+    logs = _logs(spark, [
+        "17/03/29 10:04:43 INFO YarnAllocator: Will request 99999999999999999999999 executor containers, "
+        "each with 5 cores and 1024 MB memory",
+        "17/03/29 10:11:10 INFO storage.MemoryStore: MemoryStore started with capacity 1.2.3 GB"])
+    e = EV.executor_requests(logs).first()
+    assert e["num_requests"] == 1 and e["total_executors"] is None and e["avg_cores"] == 5.0
+    assert EV.memory_capacity(logs).first()["capacity_bytes"] is None
