@@ -127,4 +127,5 @@ def stages_per_app(tasks: DataFrame) -> DataFrame:
     """Per application: distinct stages, tasks and mean tasks per stage."""
     return (tasks.groupBy("application_id")
             .agg(F.count_distinct("stage_id").alias("num_stages"), F.count(F.lit(1)).alias("num_tasks"))
-            .withColumn("avg_tasks_per_stage", F.col("num_tasks") / F.col("num_stages")))
+            .withColumn("avg_tasks_per_stage",
+                        F.when(F.col("num_stages") > 0, F.col("num_tasks") / F.col("num_stages"))))

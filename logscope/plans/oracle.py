@@ -330,7 +330,7 @@ FROM s""")
 
 ORACLE["stages_per_app"] = logs_sql(f"""{TASKS}
 SELECT application_id, count(DISTINCT stage_id) AS num_stages, count(*) AS num_tasks,
-       count(*) / count(DISTINCT stage_id) AS avg_tasks_per_stage
+       CASE WHEN count(DISTINCT stage_id) > 0 THEN count(*) / count(DISTINCT stage_id) END AS avg_tasks_per_stage
 FROM t GROUP BY application_id""")
 
 # ------------------------------------------------------------------ records
