@@ -16,8 +16,8 @@ def _c(c) -> Column:
 def level(line="line", mode: str = "word") -> Column:
     """First log level of a line, ``''`` when none (NULL on NULL).
 
-    ``word``: any case, whole word, upper-cased (the implemented job form).
-    ``plain``: case-sensitive, anywhere in the line (the documented form).
+    ``word`` (L1a): any case, whole word, upper-cased (the implemented job form).
+    ``plain`` (L1b): case-sensitive, anywhere in the line (the documented form).
     """
     if mode == "word":
         return F.upper(F.regexp_extract(_c(line), P.LEVEL_WORD, 1))
@@ -96,10 +96,10 @@ def _parse_time_text(s: Column) -> Column:
 def log_time(line="line", mode: str = "lenient") -> Column:
     """Timestamp of a log line as TIMESTAMP_NTZ; NULL when absent or invalid.
 
-    ``lenient``: first yy/MM/dd or yyyy-MM-dd time anywhere in the line, with
-    optional ``,SSS`` (the implemented job form).
-    ``anchored``: ``yy/MM/dd HH:mm:ss`` at the start of the line (documented form).
-    ``try_to_timestamp`` keeps ANSI mode on: a bad time is NULL, never a failed job.
+    ``lenient`` (L3a): first yy/MM/dd or yyyy-MM-dd time anywhere in the line,
+    with optional ``,SSS`` (the implemented job form).
+    ``anchored`` (L3b): ``yy/MM/dd HH:mm:ss`` at the start of the line (documented form).
+    ``try_to_timestamp`` keeps ANSI mode on (H5): a bad time is NULL, never a failed job.
     Inside one expression the extracted text may be evaluated twice; use
     ``with_log_time`` on a frame to extract once per line.
     """

@@ -17,6 +17,7 @@ from logscope.functions.patterns import LEVELS
 
 
 def with_level(logs: DataFrame, mode: str = "word", name: str = "log_level") -> DataFrame:
+    """The level as a derived column (F2); ``filter(level != '')`` keeps lines with one."""
     return logs.withColumn(name, C.level("line", mode))
 
 

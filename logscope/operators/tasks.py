@@ -1,6 +1,6 @@
 """Task lifecycle and the analyses built on it.
 
-Pairing a ``Running task`` line with its ``Finished task`` line needs no join:
+Pairing a ``Running task`` line with its ``Finished task`` line (J3) needs no join:
 both carry the same (application, stage, attempt, task, TID) key, so one
 conditional aggregate over that key gives start and end.  TIDs are unique
 within an application only, so the application is always part of the key.

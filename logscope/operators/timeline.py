@@ -51,7 +51,7 @@ def path_ids(logs: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ timelines
 def app_timeline_from_files(files: DataFrame) -> DataFrame:
     """Application bounds from per-file bounds; files with no time or no
-    application id are dropped, as the line-level filter would drop their lines."""
+    application id are dropped (F4), as the line-level filter would drop their lines."""
     # one predicate over an aggregate output: Catalyst cannot push it below the
     # per-file aggregate, so the path regex runs once per file, not per line
     app = F.when(F.col("first_time").isNotNull(), C.application_id("path"))
@@ -126,8 +126,8 @@ def cluster_start_month(summary: DataFrame) -> DataFrame:
 def busiest_cluster_apps(timeline: DataFrame) -> DataFrame:
     """Applications of the cluster with most applications, with durations in minutes.
 
-    The top-1 frame is one row by construction (``limit(1)``), so broadcasting
-    it for the semi-join is size-safe at any scale.
+    The top-1 frame is one row by construction (``limit(1)``), so the broadcast
+    hint (J2) for the semi-join is size-safe at any scale.
     """
     top1 = top_clusters(cluster_summary(timeline, ordered=False), 1).select("cluster_id")
     t1 = timeline.join(F.broadcast(top1), "cluster_id", "left_semi")

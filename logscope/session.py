@@ -1,4 +1,4 @@
-"""Session profile.
+"""Session profile (H4); credentials and cluster settings (H6) stay the caller's.
 
 Times in logs carry no zone, so the session zone is pinned to UTC and parsed
 times are exposed as TIMESTAMP_NTZ.  ANSI mode stays on: every parse that may
@@ -72,7 +72,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 
 def materialize(df, spark: SparkSession | None = None, strict: bool = False):
-    """Compute ``df`` once and cut its lineage, for frames that several actions reuse.
+    """Compute ``df`` once and cut its lineage, for frames that several actions reuse (H2).
 
     Writes ``df`` as a parquet table into the shared folder named by
     ``spark.checkpoint.dir`` (``<dir>/logscope-tables/<id>``) and returns a

@@ -39,6 +39,9 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True, line_sep: str
               quote_all: bool = False, order_by: list | None = None) -> str:
     """CSV with header, overwrite; an empty frame gives a header-only file (K1-K4).
 
+    K2: ``line_sep="\\r\\n"`` for byte parity with CRLF files; K3: quotes inside
+    values are doubled; K4: the result stays distributed (``toPandas`` is the caller's).
+
     Times are written as ``yyyy-MM-dd HH:mm:ss``; quotes inside values are
     doubled (RFC 4180).  ``single_file`` coalesces to one writer, meant for
     small result frames only (a per-application or per-day table); its

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks when its scan
+    """Round-robin ``df`` (H3) over at least ``min_partitions`` tasks when its scan
     yields fewer (a single-row-group parquet file is one task however large).
 
     The check is made at planning time (no job runs).  On a large input the
