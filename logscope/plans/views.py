@@ -28,7 +28,11 @@ def row_count(spark: SparkSession, view: str) -> DataFrame:
 
 
 def even_doubled(spark: SparkSession, view: str, key: str) -> DataFrame:
-    """The F6 operator: keep even ``key`` values, project ``key * 2``."""
+    """The F6 operator itself: keep even ``key`` values, project ``key * 2``.
+
+    The modulo predicate is the operator's own semantics (the install check's
+    filter-and-project), applied to the whole table; it is not an input subset.
+    """
     return spark.sql(f"SELECT {key} * 2 AS doubled FROM {view} WHERE {key} % 2 = 0")
 
 

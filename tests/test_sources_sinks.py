@@ -73,6 +73,10 @@ def test_read_period_prunes_months(spark, tmp_path):
     p = read_period(spark, str(tmp_path), [2021], [1, 2])
     assert "yyyy" in p.columns
     assert p.count() == orders.filter(F.month("o_orderdate").isin(1, 2)).count()
+    # the partition column prunes directories
+    whole = spark.read.parquet(str(tmp_path)).filter(F.col("yyyy") == 2021)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(yyyy" in plan and "(yyyy" in plan
 
 
 def test_profile(spark):
