@@ -45,3 +45,23 @@ def test_daily_job(spark, tmp_path):
     assert rows[1].startswith("1996,12,")
     rep = open(out["report"]).read().splitlines()
     assert rep[0].startswith("Days with data: ") and os.path.exists(out["daily"])
+
+
+def _bytes_read(spark):
+    st = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    return st.getLong("bytesRead") if st is not None else 0
+
+
+def test_jobs_read_the_logs_once_or_twice(spark, log_tree, tmp_path):
+    """Bytes read from the local file system per job, relative to the log tree:
+    the usage job scans the lines once (plus its own small written outputs),
+    the level job twice (the aggregate and the top-n sample pass)."""
+    tree = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(log_tree) for f in fs
+               if f.endswith(".log"))
+    b0 = _bytes_read(spark)
+    run_usage_job(spark, read_logs(spark, log_tree), str(tmp_path / "u"))
+    b1 = _bytes_read(spark)
+    run_levels_job(spark, read_logs(spark, log_tree), str(tmp_path / "l"))
+    b2 = _bytes_read(spark)
+    assert 1.0 <= (b1 - b0) / tree < 1.5
+    assert 2.0 <= (b2 - b1) / tree < 2.5
