@@ -8,8 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_READERS: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """``<sf_dir>/<name>.parquet``; the reader is reused per session while the
+    file's size and modification time are unchanged (no repeated footer reads)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        st = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
+        key = (id(spark), st.getPath().toString(), st.getLen(), st.getModificationTime())
+    except Exception:       # no JVM access: read afresh each time
+        return spark.read.parquet(path)
+    df = _READERS.get(key)
+    if df is None:
+        df = _READERS[key] = spark.read.parquet(path)
+    return df
 
 
 def read_files(spark: SparkSession, *paths: str) -> DataFrame:
