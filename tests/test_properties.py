@@ -1,5 +1,6 @@
 """Property tests: the Spark extractors against plain-Python definitions on random lines."""
 import datetime as dt
+import math
 import re
 
 from hypothesis import given, settings
@@ -71,3 +72,45 @@ def test_time_matches_python(spark, parts):
     got = [r["t"] for r in C.with_log_time(df, "line", "t").orderBy("n").collect()]
     assert got == [py_time(x) for x in lines]
     assert got == [r[0] for r in df.orderBy("n").select(C.log_time("line")).collect()]
+
+
+seg = st.sampled_from(["application_", "container_", "_", "01", "0052", "1485248649253", "000001", "x", "/",
+                       "logs", ".log", "10001", "-"])
+path_st = st.lists(seg, max_size=14).map("".join)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(path_st, min_size=1, max_size=30))
+def test_path_ids_match_python(spark, paths):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "n int, path string")
+    got = df.withColumns(C.path_ids("path")).orderBy("n").collect()
+
+    def g(pat, s, i=1):
+        m = re.search(pat, s)
+        return m.group(i) if m else ""
+
+    for r, p in zip(got, paths):
+        app = g(r"(application_\d+_\d+)", p)
+        cont = g(r"(container_\d+_\d+_\d+_\d+)", p)
+        assert (r["application_id"], r["cluster_id"], r["app_number"]) == (
+            app, g(r"application_(\d+)_\d+", app), g(r"application_\d+_(\d+)", app))
+        assert (r["container_id"], r["attempt"], r["container_no"]) == (
+            cont, g(r"container_\d+_\d+_(\d+)_(\d+)", cont, 1), g(r"container_\d+_\d+_(\d+)_(\d+)", cont, 2))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False), min_size=1, max_size=60),
+       st.integers(1, 12))
+def test_histogram_invariants(spark, values, bins):
+    from logscope.operators.timeline import histogram
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    h = histogram(df, "v", bins).collect()
+    assert [r["bin"] for r in h] == list(range(bins))
+    assert sum(r["count"] for r in h) == len(values) and {r["n"] for r in h} == {len(values)}
+    lo, hi = min(values), max(values)
+    want = [0] * bins
+    for v in values:
+        b = 0 if hi == lo else min(int(math.floor((v - lo) / ((hi - lo) / float(bins)))), bins - 1)
+        want[b] += 1
+    assert [r["count"] for r in h] == want
+    assert want[0] >= 1 and want[-1] >= 1 or hi == lo
