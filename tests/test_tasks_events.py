@@ -100,3 +100,21 @@ def test_malformed_numbers_do_not_fail_the_job(spark):
     e = EV.executor_requests(logs).first()
     assert e["num_requests"] == 1 and e["total_executors"] is None and e["avg_cores"] == 5.0
     assert EV.memory_capacity(logs).first()["capacity_bytes"] is None
+
+
+def test_fixture_goldens_sf001(spark):
+    """Counts stated for the sf0.01 corpus: tasks and unfinished tasks, and the
+    number of lines per message template."""
+    from pyspark.sql import functions as F
+
+    from logscope.sources import log_lines
+    from conftest import SF_MID
+    logs = log_lines(spark, SF_MID)
+    t = TK.task_lifecycle(logs)
+    assert t.count() == 2858 and t.filter("NOT finished").count() == 260
+    assert EV.executor_requests(logs).agg(F.sum("num_requests")).first()[0] == 715
+    assert EV.container_requests(logs).agg(F.sum("num_requests")).first()[0] == 715
+    assert EV.input_splits(logs).agg(F.sum("num_splits")).first()[0] == 714
+    assert EV.python_worker_times(logs).agg(F.sum("num_reports")).first()[0] == 714
+    assert EV.broadcast_reads(logs).agg(F.sum("num_reads")).first()[0] == 714
+    assert EV.shuffle_fetches(logs).agg(F.sum("num_reports")).first()[0] == 714
