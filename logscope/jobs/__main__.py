@@ -1,4 +1,5 @@
-"""``spark-submit -m logscope.jobs <levels|usage|daily> --in PATH --out DIR [...]``.
+"""``python -m logscope.jobs <levels|usage|daily> --in PATH --out DIR [...]``, or on a
+cluster ``spark-submit --py-files logscope.zip logscope/jobs/__main__.py <job> ...``.
 
 The master, cluster credentials and the shared ``spark.checkpoint.dir`` come
 from spark-submit / the cluster configuration; nothing is baked in here.
