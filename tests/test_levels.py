@@ -92,3 +92,17 @@ def test_materialize_without_checkpoint_folder_stays_lazy(spark):
     assert materialize(df, _Session()) is df
     with pytest.raises(RuntimeError):
         materialize(df, _Session(), strict=True)
+
+
+def test_reports_on_empty_input(spark):
+    from logscope.operators import reports as RP
+    from logscope.operators import timeline as TL
+    empty = spark.createDataFrame([], "path string, line string")
+    lines = [r["text"] for r in RP.level_report(LV.level_summary(empty)).orderBy("line_no").collect()]
+    assert lines[:3] == ["Total log lines processed: 0", "Total lines with log levels: 0",
+                         "Unique log levels found: 0"]
+    assert lines[5] == "  INFO :          0 (  0.00%)" and len(lines) == 9
+    s = TL.cluster_summary(TL.app_timeline(empty, ordered=False), ordered=False)
+    u = [r["text"] for r in RP.usage_report(TL.usage_stats(s), TL.top_clusters(s, 5)).orderBy("line_no").collect()]
+    assert u == ["Total unique clusters: 0", "Total applications: 0", "Average applications per cluster: 0.00",
+                 "", "Most heavily used clusters:"]
