@@ -25,12 +25,13 @@ def main(argv=None):
     p.add_argument("--months", default="1-12", help="daily: month range within the year, e.g. 1-6")
     p.add_argument("--files", action="store_true", help="daily: --in is a comma list of parquet files")
     p.add_argument("--seed", type=int, default=None)
+    p.add_argument("--crlf", action="store_true", help="levels: CRLF line ends in the CSVs (byte parity)")
     a = p.parse_args(argv)
     spark = get_session(a.master, app_name=f"logscope-{a.job}")
     ensure_checkpoint_dir(spark)
     if a.job == "levels":
         from logscope.jobs.levels import run_levels_job
-        res = run_levels_job(spark, read_logs(spark, a.inp), a.out, seed=a.seed)
+        res = run_levels_job(spark, read_logs(spark, a.inp), a.out, seed=a.seed, crlf=a.crlf)
     elif a.job == "usage":
         from logscope.jobs.usage import run_usage_job
         logs = None if a.skip_scan else read_logs(spark, a.inp)
