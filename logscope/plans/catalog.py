@@ -92,6 +92,12 @@ def q_app_timeline(spark, sf):
     return TL.app_timeline(log_lines(spark, sf))
 
 
+@query("app_timeline_anchored")
+def q_app_timeline_anchored(spark, sf):
+    """The timeline with the documented time grammar (L3b): start-of-line yy/MM/dd only."""
+    return TL.app_timeline(log_lines(spark, sf), time_mode="anchored")
+
+
 @query("container_timeline")
 def q_container_timeline(spark, sf):
     return TL.container_timeline(log_lines(spark, sf))

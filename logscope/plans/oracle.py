@@ -431,3 +431,10 @@ r AS (
   UNION ALL SELECT 2, 'Total rows: ' || format('{{:,}}', tot) FROM t
   UNION ALL SELECT 3, 'Average rows per day: ' || format('{{:,.0f}}', mean_daily) FROM t)
 SELECT CAST(line_no AS INTEGER) AS line_no, text FROM r ORDER BY line_no"""
+
+ORACLE["app_timeline_anchored"] = logs_sql(f"""
+p AS (SELECT {APP_SQL} AS application_id,
+             try_strptime(regexp_extract(line, '{P.TS_ANCHORED}', 1), '%y/%m/%d %H:%M:%S') AS ts FROM log_lines)
+SELECT regexp_extract(application_id, '{P.CLUSTER_ID}', 1) AS cluster_id, application_id,
+       regexp_extract(application_id, '{P.APP_NUMBER}', 1) AS app_number, min(ts) AS start_time, max(ts) AS end_time
+FROM p WHERE application_id <> '' AND ts IS NOT NULL GROUP BY 1, 2, 3 ORDER BY cluster_id, app_number""")
