@@ -106,3 +106,18 @@ def test_reports_on_empty_input(spark):
     u = [r["text"] for r in RP.usage_report(TL.usage_stats(s), TL.top_clusters(s, 5)).orderBy("line_no").collect()]
     assert u == ["Total unique clusters: 0", "Total applications: 0", "Average applications per cluster: 0.00",
                  "", "Most heavily used clusters:"]
+
+
+def test_materialize_writes_a_table_and_clear_removes_it(spark):
+    import os
+
+    from logscope.session import checkpoint_dir, clear_materialized, materialize
+    m = materialize(spark.range(5).selectExpr("id * 2 AS x"))
+    assert sorted(r["x"] for r in m.collect()) == [0, 2, 4, 6, 8]
+    assert "FileScan parquet" in m._jdf.queryExecution().executedPlan().toString()
+    base = checkpoint_dir(spark)
+    if base.startswith("/") or base.startswith("file:"):
+        folder = os.path.join(base.replace("file:", ""), "logscope-tables")
+        assert os.path.isdir(folder)
+        clear_materialized(spark)
+        assert not os.path.exists(folder)
