@@ -17,6 +17,9 @@ PROFILE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # percentile aggregates keep this many groups per task in memory before they
+    # fall back to sorting every row (default 128): a year of days, the stages of a file
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -44,63 +47,82 @@ def get_session(master: str | None = None, app_name: str = "logscope",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names in ``spark.checkpoint.dir`` (None if unset)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d
+# checkpoint folders installed by ensure_checkpoint_dir for applications whose
+# configuration names none (tests, local runs); the setting itself is fixed once
+# a session runs, so the fallback is kept here, by application id
+_FALLBACK: dict[str, str] = {}
+
+
+def _app_id(spark: SparkSession) -> str:
     try:
-        return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        return spark.sparkContext.applicationId
     except Exception:       # sessions without a local SparkContext
-        return None
+        return "session"
+
+
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, else the
+    fallback that ``ensure_checkpoint_dir`` installed, else None."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:       # sessions without a local SparkContext
+            d = None
+    return d or _FALLBACK.get(_app_id(spark))
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is ``fallback`` installed; a
-    cluster must name a shared folder (HDFS/S3), never a machine-local one.
+    Only when the setting is absent (local tests) is ``fallback`` installed, for
+    this application; a cluster must name a shared folder (HDFS, object store).
     """
     d = checkpoint_dir(spark)
     if not d:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
-        d = fallback
+        d = _FALLBACK[_app_id(spark)] = fallback
         os.makedirs(d, exist_ok=True) if "://" not in d else None
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def _tables_root(spark: SparkSession) -> str | None:
+    d = checkpoint_dir(spark)
+    return f"{d.rstrip('/')}/logscope-tables/{_app_id(spark)}" if d else None
+
+
 def materialize(df, spark: SparkSession | None = None, strict: bool = False):
     """Compute ``df`` once and cut its lineage, for frames that several actions reuse (H2).
 
     Writes ``df`` as a parquet table into the shared folder named by
-    ``spark.checkpoint.dir`` (``<dir>/logscope-tables/<id>``) and returns a
-    frame reading it: one computation (an RDD checkpoint would compute an
-    unpersisted plan twice), columnar re-reads, and the table survives the loss
-    of any executor.  Never a local checkpoint.  Meant for small derived
-    frames (timelines, summaries, per-application durations).  Without a
-    checkpoint folder the frame is returned lazily unless ``strict``.
+    ``spark.checkpoint.dir`` (``<dir>/logscope-tables/<application id>/<id>``) and
+    returns a frame reading it: one computation (an RDD checkpoint would compute
+    an unpersisted plan twice), columnar re-reads, and the table survives the
+    loss of any executor.  Never a local checkpoint.  Without a checkpoint
+    folder the frame is returned lazily (recomputed per use) unless ``strict``.
     """
     spark = spark or df.sparkSession
-    d = checkpoint_dir(spark)
-    if not d:
+    root = _tables_root(spark)
+    if not root:
         if strict:
             raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
-        return df          # no shared folder: stay lazy (correct, only recomputed per use)
-    path = f"{d.rstrip('/')}/logscope-tables/{uuid.uuid4().hex}"
+        return df
+    path = f"{root}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_materialized(spark: SparkSession) -> None:
-    """Delete the tables ``materialize`` wrote below the checkpoint folder
-    (call when the frames built on them are no longer used)."""
-    d = checkpoint_dir(spark)
-    if not d:
+    """Delete the tables that ``materialize`` wrote for this application (call when
+    the frames built on them are no longer used); other applications' tables
+    below the same checkpoint folder stay."""
+    root = _tables_root(spark)
+    if not root:
         return
     jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/logscope-tables")
+    p = jvm.org.apache.hadoop.fs.Path(root)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(p):
         fs.delete(p, True)
