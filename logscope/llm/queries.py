@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from logscope.sources import read_table
 
 from .packing import pack_documents
+from .sharding import row_size, text_crc32, write_shards
+from .simhash import simhash_groups
 from .token_counts import count_tokens
+from .toxicity import fit, held_out, score_toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -21,6 +24,27 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash_groups(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "fingerprint", "component_id")
+
+
+SHARDS = 24
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = write_shards(read_table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS)
+    return shards.select("doc_id", row_size("text").alias("size"), text_crc32("text").alias("text_crc32"),
+                         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").filter(~held_out())
+    out = score_toxicity(docs.withColumn("held_out", held_out()), fit(docs, labels))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = count_tokens(read_table(spark, sf_dir, "documents"), PIECE_BPE)
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -28,6 +52,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_simhash_groups": op4_simhash_groups,
+    "op5_sharding": op5_sharding,
+    "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
 }
 
