@@ -37,6 +37,8 @@ from .common import cut, texts
 CAPACITY = 2048
 OPEN_BINS = 512
 PIECES_PER_TASK = 100_000
+MARKS = ".,!?;:%*&$#|()"
+PLAIN = "\u0130"          # below it, lower case is one letter for one letter
 PIECE = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
 
 
@@ -81,9 +83,15 @@ class _Words(dict):
         self.tok, self.limit = tok, limit
 
     def __missing__(self, word: str) -> bytes:
-        # a letter and a following mark never share a token: the vocabulary's own pattern cuts there
-        if len(word) > 1 and word[-1] in ".,!?;:" and word[-2].isalpha():
-            ids = self[word[:-1]] + self[word[-1]]
+        # what encodes alike is encoded once: the vocabulary's own pattern always cuts between a
+        # letter and the marks behind it, and its normaliser lower-cases letter by letter
+        plain = max(word, default="") < PLAIN
+        stem = word.rstrip(MARKS) if plain else word
+        low = word.lower() if plain else word
+        if len(stem) < len(word) and stem and stem[-1].isalpha():
+            ids = self[stem] + self[word[len(stem):]]
+        elif low != word and "<|" not in word:
+            ids = self[low]
         else:
             ids = b"".join(i.to_bytes(4, "little") for i in self.tok.encode(word, add_special_tokens=False).ids)
         if len(self) >= self.limit:
@@ -94,7 +102,7 @@ class _Words(dict):
 
 
 @lru_cache(maxsize=2)
-def word_tokenizer(path: str, memo_entries: int = 700_000) -> Callable[[str], bytes]:
+def word_tokenizer(path: str, memo_entries: int = 1_200_000) -> Callable[[str], bytes]:
     """A function text -> ids (little-endian unsigned 32-bit) for a tokenizers file whose
     normaliser and pattern drop white space, so words are encoded one by one."""
     words = _Words(Tokenizer.from_file(path), memo_entries)
