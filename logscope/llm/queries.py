@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from logscope.sources import read_table
 
+from .decontamination import contamination
+from .language import identify, page_evidence, train_text
+from .neighbours import nearest
+from .ngram_lm import score_texts
 from .packing import pack_documents
 from .sharding import row_size, text_crc32, write_shards
 from .simhash import simhash_groups
@@ -17,6 +21,7 @@ from .token_counts import count_tokens
 from .toxicity import fit, held_out, score_toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+SHINGLE_WORDS, SIMHASH_BITS, SHARDS = 4, 4, 24
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -24,12 +29,30 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
-def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = simhash_groups(read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "fingerprint", "component_id")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items found in it."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "items", (F.size("items") > 0).alias("contaminated"))
+
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page (markup, address suffix and host) and every document (declared language, source as
+    host); trained on all documents."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = train_text(docs)
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = page_evidence(read_table(spark, sf_dir, "pages")).select(
+        none("long").alias("doc_id"), "page_id", "text", "declared", "host", "suffix").unionByName(
+        docs.select("doc_id", none("long").alias("page_id"), "text", F.col("lang").alias("declared"),
+                    F.col("source").alias("host"), none("string").alias("suffix")))
+    out = identify(rows, model, "text", "declared", "host", "suffix")
+    return out.select("doc_id", "page_id", "declared", "host", "language", "posterior", "accepted")
 
-SHARDS = 24
+
+def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash_groups(read_table(spark, sf_dir, "documents"), words=SHINGLE_WORDS, max_bits=SIMHASH_BITS)
+    return out.select("doc_id", "fingerprint", "component_id")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +61,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_texts(read_table(spark, sf_dir, "documents"), ~held_out("doc_id", 7, 2))
+    return out.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").filter(~held_out())
@@ -50,12 +79,29 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_decontamination": op2_decontamination,
+    "op3_language_id": op3_language_id,
     "op4_simhash_groups": op4_simhash_groups,
     "op5_sharding": op5_sharding,
+    "op7_lm_scores": op7_lm_scores,
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
+    "op10_neighbours": op10_neighbours,
 }
 
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
 ORACLE: dict[str, str] = {}
