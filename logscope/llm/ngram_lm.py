@@ -45,7 +45,7 @@ from .elias_fano import EliasFano, Levels
 CHUNK_BYTES = 16 << 20
 SHARD_BYTES = 32 << 20
 ROWS_OF_SHARDS = 32
-MASS, GROWTH = 4.0, 0.9
+MASS, GROWTH = 2.0, 0.9
 SEED = 7
 END = b"\n"             # no word holds white space
 EXACT = 1 << 15

@@ -12,6 +12,7 @@ from logscope.sources import read_table
 
 from .decontamination import contamination
 from .language import identify, page_evidence, train_text
+from .licenses import scan_licenses
 from .neighbours import nearest
 from .ngram_lm import score_texts
 from .packing import pack_documents
@@ -61,6 +62,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "licenses", "matches", "unknown")
+
+
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = score_texts(read_table(spark, sf_dir, "documents"), ~held_out("doc_id", 7, 2))
     return out.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_simhash_groups": op4_simhash_groups,
     "op5_sharding": op5_sharding,
+    "op6_license_scan": op6_license_scan,
     "op7_lm_scores": op7_lm_scores,
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
