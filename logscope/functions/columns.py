@@ -32,6 +32,13 @@ def level_matches(line="line") -> Column:
 
 
 # ---------------------------------------------------------------- ids from path (L2)
+def plain_path(path="path") -> Column:
+    """A file path without scheme and authority and with ``%20`` style escapes undone, so that
+    the paths of different sources compare."""
+    return F.url_decode(F.replace(F.regexp_replace(_c(path), r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", ""),
+                                  F.lit("+"), F.lit("%2B")))
+
+
 def application_id(path="path") -> Column:
     return F.regexp_extract(_c(path), P.APPLICATION_ID, 1)
 
@@ -86,11 +93,14 @@ def cluster_start(cluster="cluster_id") -> Column:
 
 # ---------------------------------------------------------------- time (L3)
 def _parse_time_text(s: Column) -> Column:
-    """Parse text produced by ``TS_ANY``: the third character tells the two
-    layouts apart, and each layout has an optional ``,SSS`` section (equal to
-    trying the four formats in turn)."""
-    return F.when(F.substring(s, 3, 1) == "/", F.try_to_timestamp(s, F.lit(P.TS_SHORT_FORMAT))) \
-        .otherwise(F.try_to_timestamp(s, F.lit(P.TS_ISO_FORMAT)))
+    """Parse text produced by ``TS_ANY`` or ``TS_ANCHORED`` as TIMESTAMP_NTZ.
+
+    The digits are rearranged into ISO text (the third character tells the two
+    layouts apart) and cast, so no session zone takes part: a time that a
+    daylight-saving change skips stays as written.  An invalid time is NULL.
+    """
+    iso = F.translate(s, "/,", "-.")
+    return F.when(F.substring(s, 3, 1) == "/", F.concat(F.lit("20"), iso)).otherwise(iso).try_cast("timestamp_ntz")
 
 
 def log_time(line="line", mode: str = "lenient") -> Column:
@@ -99,18 +109,15 @@ def log_time(line="line", mode: str = "lenient") -> Column:
     ``lenient`` (L3a): first yy/MM/dd or yyyy-MM-dd time anywhere in the line,
     with optional ``,SSS`` (the implemented job form).
     ``anchored`` (L3b): ``yy/MM/dd HH:mm:ss`` at the start of the line (documented form).
-    ``try_to_timestamp`` keeps ANSI mode on (H5): a bad time is NULL, never a failed job.
+    ``try_cast`` keeps ANSI mode on (H5): a bad time is NULL, never a failed job.
     Inside one expression the extracted text may be evaluated twice; use
     ``with_log_time`` on a frame to extract once per line.
     """
     if mode == "lenient":
-        t = _parse_time_text(F.regexp_extract(_c(line), P.TS_ANY, 1))
-    elif mode == "anchored":
-        s = F.regexp_extract(_c(line), P.TS_ANCHORED, 1)
-        t = F.try_to_timestamp(s, F.lit(P.TS_ANCHORED_FORMAT))
-    else:
-        raise ValueError(f"unknown time mode {mode!r}")
-    return t.cast("timestamp_ntz")
+        return _parse_time_text(F.regexp_extract(_c(line), P.TS_ANY, 1))
+    if mode == "anchored":
+        return _parse_time_text(F.regexp_extract(_c(line), P.TS_ANCHORED, 1))
+    raise ValueError(f"unknown time mode {mode!r}")
 
 
 def with_log_time(df, line: str = "line", name: str = "ts", mode: str = "lenient"):
@@ -119,11 +126,12 @@ def with_log_time(df, line: str = "line", name: str = "ts", mode: str = "lenient
     The extracted text is its own projection; Catalyst keeps it separate
     because the parse reads it more than once, so the regex runs once.
     """
-    if mode != "lenient":
-        return df.withColumn(name, log_time(line, mode))
+    if mode not in ("lenient", "anchored"):
+        raise ValueError(f"unknown time mode {mode!r}")
     tmp = f"__{name}_text"
-    df = df.withColumn(tmp, F.regexp_extract(F.col(line), P.TS_ANY, 1))
-    return df.withColumn(name, _parse_time_text(F.col(tmp)).cast("timestamp_ntz")).drop(tmp)
+    pattern = P.TS_ANY if mode == "lenient" else P.TS_ANCHORED
+    df = df.withColumn(tmp, F.regexp_extract(F.col(line), pattern, 1))
+    return df.withColumn(name, _parse_time_text(F.col(tmp))).drop(tmp)
 
 
 def seconds_between(start, end) -> Column:
@@ -154,6 +162,21 @@ def size_bytes(value: Column, unit: Column) -> Column:
     return value.try_cast("double") * mult          # "1.2.3" in a corrupt line → NULL, not a failed job
 
 
+def marked_groups(line: Column, pattern: str, groups: int) -> Column:
+    """The first match's groups, each after a ``\\u0001``, or the line itself when the
+    pattern does not occur: one evaluation of the pattern for all groups."""
+    return F.regexp_replace(line, f"(?s)^.*?(?:{pattern}).*$", "".join(f"\u0001${i + 1}" for i in range(groups)))
+
+
+def typed_groups(g: Column, groups: dict[str, tuple[int, str]]) -> dict[str, Column]:
+    """``{name: group idx of the array g cast to type}``; '' → NULL before casts (as ``extract``)."""
+    out = {}
+    for name, (idx, typ) in groups.items():
+        v = F.element_at(g, idx)
+        out[name] = v if typ == "string" else F.nullif(v, F.lit("")).try_cast(typ)
+    return out
+
+
 def extract(line: Column, pattern: str, groups: dict[str, tuple[int, str]]) -> dict[str, Column]:
     """``{name: regexp_extract(line, pattern, idx) cast to type}``; '' → NULL before casts.
 

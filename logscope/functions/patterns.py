@@ -20,15 +20,8 @@ CONTAINER_PARTS = r"container_\d+_\d+_(\d+)_(\d+)"      # group 1 attempt, group
 AM_CONTAINER_NO = "000001"                              # the ApplicationMaster container
 
 # --- fixed values: timestamps --------------------------------------------------
-TS_ANY = (r"(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}(?:,\d{3})?"
-          r"|\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:,\d{3})?)")
-TS_FORMATS = ("yy/MM/dd HH:mm:ss,SSS", "yy/MM/dd HH:mm:ss",
-              "yyyy-MM-dd HH:mm:ss,SSS", "yyyy-MM-dd HH:mm:ss")
-# the same four formats as two patterns with an optional millisecond section
-TS_SHORT_FORMAT = "yy/MM/dd HH:mm:ss[,SSS]"
-TS_ISO_FORMAT = "yyyy-MM-dd HH:mm:ss[,SSS]"
+TS_ANY = r"(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}(?:,\d{3})?|\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:,\d{3})?)"
 TS_ANCHORED = r"^(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})"
-TS_ANCHORED_FORMAT = "yy/MM/dd HH:mm:ss"
 # a line that opens a log entry (anything else continues the previous entry)
 ENTRY_HEADER = r"^(\d{2}/\d{2}/\d{2}|\d{4}-\d{2}-\d{2}) \d{2}:\d{2}:\d{2}"
 
@@ -46,6 +39,7 @@ MEMORY_CAPACITY = r"MemoryStore started with capacity ([\d.]+) (B|KB|MB|GB|TB)"
 STORED_BLOCK = (r"Block (\S+) stored as (bytes|values) in memory \(estimated size ([\d.]+) "
                 r"(B|KB|MB|GB|TB), free ([\d.]+) (B|KB|MB|GB|TB)\)")
 BROADCAST_READ = r"Started reading broadcast variable (\d+)"
+RDD_BLOCK = r"^rdd_(\d+)_(\d+)$"
 CACHE_HIT = r"Found block (\S+) (locally|remotely)"
 SHUFFLE_FETCH = r"Started (\d+) remote fetches in (\d+) ms"
 HOST = r"(mesos-(?:slave|master)-\d+|10\.10\.34\.\d+)"

@@ -1,4 +1,4 @@
-"""``python -m logscope.jobs <levels|usage|daily> --in PATH --out DIR [...]``, or on a
+"""``python -m logscope.jobs <levels|usage|events|daily> --in PATH --out DIR [...]``, or on a
 cluster ``spark-submit --py-files logscope.zip logscope/jobs/__main__.py <job> ...``.
 
 The master, cluster credentials and the shared ``spark.checkpoint.dir`` come
@@ -16,7 +16,7 @@ from logscope.sources import read_logs, read_period, read_files
 
 def main(argv=None):
     p = argparse.ArgumentParser(prog="logscope.jobs")
-    p.add_argument("job", choices=["levels", "usage", "daily"])
+    p.add_argument("job", choices=["levels", "usage", "events", "daily"])
     p.add_argument("--in", dest="inp", required=True, help="log root / parquet root or files")
     p.add_argument("--out", required=True, help="output folder (shared file system on a cluster)")
     p.add_argument("--master", default=None)
@@ -36,6 +36,9 @@ def main(argv=None):
         from logscope.jobs.usage import run_usage_job
         logs = None if a.skip_scan else read_logs(spark, a.inp)
         res = run_usage_job(spark, logs, a.out, skip_scan=a.skip_scan)
+    elif a.job == "events":
+        from logscope.jobs.events import run_events_job
+        res = run_events_job(spark, read_logs(spark, a.inp), a.out)
     else:
         from logscope.jobs.daily import run_daily_job
         if a.files:

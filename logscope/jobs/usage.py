@@ -7,45 +7,41 @@ from pyspark.sql import DataFrame, SparkSession
 from logscope.jobs.parallel import run_all
 from logscope.operators import reports as RP
 from logscope.operators import timeline as TL
+from logscope.session import materialize
 from logscope.sinks import write_csv, write_text
-from logscope.sources.results import read_cluster_summary, read_durations, read_timeline
+from logscope.sources.results import read_timeline
 
 
 def run_usage_job(spark: SparkSession, logs: DataFrame | None, outdir: str, bins: int = 30,
-                  skip_scan: bool = False) -> dict[str, str]:
-    """Every output is computed once and written once; later outputs read the
-    written files back with their fixed schema (S11), so the written CSVs are
-    the lineage cut and the log lines are scanned exactly once.  With
-    ``skip_scan`` the timeline of a previous run is re-read and only the
-    downstream outputs are rebuilt.  As in the reference, the durations behind
-    the plots come from the written (whole-second) timeline."""
+                  skip_scan: bool = False, single_file: bool = True) -> dict[str, str]:
+    """The lines are scanned once, into the application timeline, stored as a table
+    in the shared checkpoint folder at full precision; every output is derived
+    from that table, and the CSVs are presentation only (times to the
+    millisecond).  With ``skip_scan`` the timeline CSV of a previous run is
+    re-read (S11) and only the downstream outputs are rebuilt.
+    ``single_file=False`` writes the per-application frames as many files."""
     out = outdir.rstrip("/")
     paths = {}
     tl_path = f"{out}/app_timeline.csv"
-    if not skip_scan:
-        timeline = TL.app_timeline(logs, ordered=False)             # the one scan of all lines
-        paths["timeline"] = write_csv(timeline, tl_path, order_by=["cluster_id", "app_number"])
-    timeline = read_timeline(spark, tl_path)
-
-    def summary_branch():
-        cs_path = f"{out}/cluster_summary.csv"
-        summary = TL.cluster_summary(timeline, ordered=False)
-        paths["cluster_summary"] = write_csv(summary, cs_path,
-                                             order_by=[summary.num_applications.desc(), summary.cluster_id])
-        summary = read_cluster_summary(spark, cs_path)
-        report = RP.usage_report(TL.usage_stats(summary), TL.top_clusters(summary, 5))
-        paths["stats"] = write_text(report, f"{out}/usage_stats.txt", order_by="line_no")
-
-    def duration_branch():
-        du_path = f"{out}/busiest_durations.csv"
-        paths["durations"] = write_csv(TL.busiest_cluster_apps(timeline), du_path)
-        durations = read_durations(spark, du_path)
-        run_all(lambda: paths.__setitem__("histogram", write_csv(
-                    TL.duration_histogram(timeline, bins, durations),
-                    f"{out}/duration_histogram.csv", order_by=["bin"])),
-                lambda: paths.__setitem__("histogram_log", write_csv(
-                    TL.duration_histogram_log(timeline, bins, durations),
-                    f"{out}/duration_histogram_log.csv", order_by=["bin"])))
-
-    run_all(summary_branch, duration_branch)    # independent outputs, submitted concurrently
+    if skip_scan:
+        timeline = read_timeline(spark, tl_path)
+    else:
+        timeline = materialize(TL.app_timeline(logs, ordered=False), strict=True)     # the one scan of all lines
+    summary = materialize(TL.cluster_summary(timeline, ordered=False), strict=True)
+    durations = materialize(TL.busiest_cluster_apps(timeline), strict=True)
+
+    def put(name: str, df: DataFrame, file: str, **kw):
+        paths[name] = write_csv(df, f"{out}/{file}", **kw)
+
+    run_all(
+        *([] if skip_scan else [lambda: put("timeline", timeline, "app_timeline.csv", single_file=single_file,
+                                            order_by=["cluster_id", "app_number"])]),
+        lambda: put("cluster_summary", summary, "cluster_summary.csv",
+                    order_by=[summary.num_applications.desc(), summary.cluster_id]),
+        lambda: paths.__setitem__("stats", write_text(RP.usage_report(TL.usage_stats(summary), TL.top_clusters(summary, 5)),
+                                                      f"{out}/usage_stats.txt", order_by="line_no")),
+        lambda: put("durations", durations, "busiest_durations.csv", single_file=single_file),
+        lambda: put("histogram", TL.duration_histogram(timeline, bins, durations), "duration_histogram.csv", order_by=["bin"]),
+        lambda: put("histogram_log", TL.duration_histogram_log(timeline, bins, durations),
+                    "duration_histogram_log.csv", order_by=["bin"]))
     return paths

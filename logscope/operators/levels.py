@@ -40,6 +40,11 @@ def level_counts(logs: DataFrame, mode: str = "word") -> DataFrame:
     return _stack_levels(level_totals(logs, mode), [])
 
 
+def level_groups(logs: DataFrame, mode: str = "plain") -> DataFrame:
+    """``(log_level, count)`` of every level that occurs, lines without one under ``''`` (A3, unfiltered)."""
+    return logs.groupBy(C.level("line", mode).alias("log_level")).agg(F.count(F.lit(1)).alias("count"))
+
+
 def level_summary(logs: DataFrame, mode: str = "word") -> DataFrame:
     """One row per level with its share of the lines that have a level (A4, A5).
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
 from logscope.functions import patterns as P
+from logscope.session import materialize
 
 
 def parse_records(logs: DataFrame, level_mode: str = "plain", time_mode: str = "anchored") -> DataFrame:
@@ -30,23 +31,32 @@ def component_counts(logs: DataFrame) -> DataFrame:
             .orderBy(F.col("count").desc(), "component"))
 
 
-def parse_audit(logs: DataFrame) -> DataFrame:
-    """Per application: lines and how many lack a time, a level or a component.
+def _audit_files(logs: DataFrame) -> DataFrame:
+    """Per file: lines and how many lack a time, a level or a component; one row per
+    file and task reaches the shuffle."""
+    return (C.with_log_time(logs, "line", "__ts").groupBy("path")
+            .agg(F.count(F.lit(1)).alias("num_lines"),
+                 F.count_if(F.col("__ts").isNull()).alias("no_timestamp"),
+                 F.count_if(C.level("line") == "").alias("no_level"),
+                 F.count_if(C.component("line") == "").alias("no_component")))
 
-    Counted per file first (one row per file and task reaches the shuffle),
-    then per application from the file rows.
-    """
-    per_file = (C.with_log_time(logs, "line", "__ts").groupBy("path")
-                .agg(F.count(F.lit(1)).alias("n"),
-                     F.count_if(F.col("__ts").isNull()).alias("nt"),
-                     F.count_if(C.level("line") == "").alias("nl"),
-                     F.count_if(C.component("line") == "").alias("nc")))
-    a = (per_file.groupBy(C.application_id("path").alias("application_id"))
-         .agg(F.sum("n").alias("num_lines"), F.sum("nt").alias("no_timestamp"),
-              F.sum("nl").alias("no_level"), F.sum("nc").alias("no_component")))
-    pct = lambda c: (F.lit(100.0) * F.col(c) / F.col("num_lines")).alias(f"{c}_pct")
-    return a.select("application_id", "num_lines", "no_timestamp", "no_level", "no_component",
-                    pct("no_timestamp"), pct("no_level"), pct("no_component"))
+
+def _with_shares(audit: DataFrame, *keys: str) -> DataFrame:
+    counts = ["no_timestamp", "no_level", "no_component"]
+    pct = [(F.lit(100.0) * F.col(c) / F.col("num_lines")).alias(f"{c}_pct") for c in counts]
+    return audit.select(*keys, "num_lines", *counts, *pct)
+
+
+def parse_audit_by_file(logs: DataFrame) -> DataFrame:
+    """Per file: lines and how many lack a time, a level or a component."""
+    return _with_shares(_audit_files(logs), "path")
+
+
+def parse_audit(logs: DataFrame) -> DataFrame:
+    """Per application: the same, summed from the file rows."""
+    a = (_audit_files(logs).groupBy(C.application_id("path").alias("application_id"))
+         .agg(*[F.sum(c).alias(c) for c in ("num_lines", "no_timestamp", "no_level", "no_component")]))
+    return _with_shares(a, "application_id")
 
 
 def host_activity(logs: DataFrame) -> DataFrame:
@@ -69,38 +79,60 @@ def host_activity(logs: DataFrame) -> DataFrame:
                  F.count_distinct(C.application_id("path")).alias("applications")))
 
 
-def stitched_entries(logs: DataFrame, chunk_lines: int = 1 << 16) -> DataFrame:
+BLOCK_LINES = 1 << 16
+
+
+def stitched_entries(logs: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Multi-line entries: continuation lines attached to the header line before them.
 
     Needs ``(path, line_no, line)``.  A header is a line that starts with a
     time; every other line continues the latest header above it in its file.
-    Lines before a file's first header form an entry without header
-    (``entry_line_no`` NULL).
-
-    Output ``(path, entry_line_no, has_header, piece_line_no, num_lines, entry_text)``:
-    an entry is emitted in pieces, one per block of ``chunk_lines`` line
-    numbers it touches (almost always exactly one), so no group and no output
-    row ever grows beyond ``chunk_lines`` lines, even for a file that has no
-    header at all.  The running "latest header" is computed per (file, block)
-    with a window and carried across blocks by a second window over the
-    per-block maxima (a few rows per file), so one huge file is still spread
-    over many tasks.
+    Lines before a file's first header have no entry to join and stay single
+    rows (``has_header`` false).
+
+    Output ``(path, entry_line_no, has_header, num_lines, entry_text)``, one row
+    per entry; ``entry_line_no`` is the number of its first line.
+
+    ``block_lines`` only decides how the work is spread, never the result: the
+    lines are shuffled once, by (file, block of line numbers), so one huge file
+    spreads over many tasks, and entries inside a block are put together there.
+    These pieces are stored; a narrow frame of the last header per block finds
+    where each block's leading continuation lines belong, and only entries
+    that cross a block border are put together once more.
     """
-    hdr = C.is_entry_header("line")
-    chunk = F.floor(F.col("line_no") / F.lit(chunk_lines))
-    df = logs.select("path", "line_no", "line", hdr.alias("is_header"), chunk.alias("chunk"))
-    hno = F.when(F.col("is_header"), F.col("line_no"))
-    w_in = (Window.partitionBy("path", "chunk").orderBy("line_no")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    df = df.withColumn("hdr_in_chunk", F.max(hno).over(w_in))
-    carry = df.groupBy("path", "chunk").agg(F.max(hno).alias("chunk_max"))
-    w_c = Window.partitionBy("path").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = carry.select("path", "chunk", F.max("chunk_max").over(w_c).alias("carried"))
-    df = df.join(carry, ["path", "chunk"], "left")
-    df = df.withColumn("entry", F.coalesce("hdr_in_chunk", "carried"))
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
-    return (df.groupBy("path", "entry", "chunk")
-            .agg(F.min("line_no").alias("piece_line_no"), F.count(F.lit(1)).alias("num_lines"),
-                 F.array_join(lines, "\n").alias("entry_text"))
-            .select("path", F.col("entry").alias("entry_line_no"), F.col("entry").isNotNull().alias("has_header"),
-                    "piece_line_no", "num_lines", "entry_text"))
+    block = F.floor(F.col("line_no") / F.lit(block_lines))
+    df = logs.select("path", "line_no", "line", block.alias("block"), C.is_entry_header("line").alias("is_header"))
+    header_no = F.when(F.col("is_header"), F.col("line_no"))
+    above = (Window.partitionBy("path", "block").orderBy("line_no")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    text = lambda parts: F.array_join(F.transform(F.array_sort(parts), lambda x: x["text"]), "\n")
+    # same partitioning as the window: no second shuffle
+    pieces = materialize(
+        df.withColumn("entry", F.max(header_no).over(above)).groupBy("path", "block", "entry")
+        .agg(F.count(F.lit(1)).alias("num_lines"),
+             F.collect_list(F.struct("line_no", F.col("line").alias("text"))).alias("lines"))
+        .select("path", "block", "entry", "num_lines", F.array_sort("lines").alias("lines")))
+
+    # one narrow row per block; the header that a block's leading lines continue
+    last = pieces.groupBy("path", "block").agg(F.max("entry").alias("last"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.select("path", "block", F.max("last").over(before).alias("carried"))
+    leading = pieces.filter(F.col("entry").isNull()).drop("entry").join(last, ["path", "block"])
+    crossing = leading.filter(F.col("carried").isNotNull()).withColumn("entry", F.col("carried"))
+    crossed = crossing.select("path", "entry").distinct()
+
+    head = pieces.filter(F.col("entry").isNotNull())
+    parts = head.join(crossed, ["path", "entry"], "left_semi").select("path", "entry", "block", "num_lines", "lines")
+    parts = parts.union(crossing.select("path", "entry", "block", "num_lines", "lines"))
+    merged = (parts.groupBy("path", "entry")
+              .agg(F.sum("num_lines").alias("num_lines"),
+                   F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "lines"))), lambda x: x["lines"]))
+                   .alias("lines")))
+    whole = head.join(crossed, ["path", "entry"], "left_anti").select("path", "entry", "num_lines", "lines")
+    entries = whole.union(merged).select(
+        "path", F.col("entry").alias("entry_line_no"), F.lit(True).alias("has_header"),
+        F.col("num_lines").cast("bigint").alias("num_lines"), text(F.col("lines")).alias("entry_text"))
+    orphans = (leading.filter(F.col("carried").isNull()).select("path", F.explode("lines").alias("l"))
+               .select("path", F.col("l.line_no").alias("entry_line_no"), F.lit(False).alias("has_header"),
+                       F.lit(1).cast("bigint").alias("num_lines"), F.col("l.text").alias("entry_text")))
+    return entries.union(orphans)

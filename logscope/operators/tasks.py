@@ -15,30 +15,34 @@ from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
 from logscope.functions import patterns as P
+from logscope.operators.events import ERROR, parse_events
 
 TASK_KEY = ["application_id", "stage_id", "stage_attempt", "task_index", "task_attempt", "tid"]
 
 
+_GROUPS = {"event": (1, "string"), "task_index": (2, "bigint"), "task_attempt": (3, "bigint"),
+           "stage_id": (4, "bigint"), "stage_attempt": (5, "bigint"), "tid": (6, "bigint")}
+
+
 def task_events(logs: DataFrame, time_mode: str = "lenient") -> DataFrame:
-    line = F.col("line")
-    g = C.extract(line, P.TASK_EVENT, {
-        "event": (1, "string"), "task_index": (2, "bigint"), "task_attempt": (3, "bigint"),
-        "stage_id": (4, "bigint"), "stage_attempt": (5, "bigint"), "tid": (6, "bigint")})
-    hits = logs.filter(line.contains(P.TASK_EVENT_HINT) & line.rlike(P.TASK_EVENT))
-    return (C.with_log_time(hits, "line", "ts", time_mode)
-            .select(C.application_id("path").alias("application_id"), "ts",
-                    *[v.alias(k) for k, v in g.items()]))
+    """``Running`` / ``Finished`` lines with their time and task key, from log lines or an event table."""
+    ev = logs if "kind" in logs.columns else parse_events(
+        logs.filter(F.col("line").contains(P.TASK_EVENT_HINT)), time_mode)
+    return (ev.filter(F.col("kind") == "task")
+            .select("application_id", "container_id", "ts",
+                    *[v.alias(k) for k, v in C.typed_groups(F.col("g"), _GROUPS).items()]))
 
 
 def task_lifecycle(logs: DataFrame) -> DataFrame:
-    """One row per task: start (Running), end (Finished), duration in seconds, finished flag."""
+    """One row per task: start (Running), end (Finished), duration in seconds, and whether a
+    ``Finished`` line was seen (L6); a finished task without a valid time has a NULL duration."""
     ev = task_events(logs)
     t = (ev.groupBy(*TASK_KEY)
          .agg(F.min(F.when(F.col("event") == "Running", F.col("ts"))).alias("start_time"),
-              F.max(F.when(F.col("event") == "Finished", F.col("ts"))).alias("end_time")))
+              F.max(F.when(F.col("event") == "Finished", F.col("ts"))).alias("end_time"),
+              (F.count_if(F.col("event") == "Finished") > 0).alias("finished")))
     return t.select(*TASK_KEY, "start_time", "end_time",
-                    C.seconds_between("start_time", "end_time").alias("duration_sec"),
-                    F.col("end_time").isNotNull().alias("finished"))
+                    C.seconds_between("start_time", "end_time").alias("duration_sec"), "finished")
 
 
 def task_time_by_app(tasks: DataFrame) -> DataFrame:
@@ -49,43 +53,43 @@ def task_time_by_app(tasks: DataFrame) -> DataFrame:
                  F.sum("duration_sec").alias("total_task_sec")))
 
 
-def unfinished_tasks(logs: DataFrame) -> DataFrame:
-    """Per application: tasks never reported finished, their share, retried tasks
-    (attempt > 0) and ERROR lines of the application (L6c).
-
-    One scan and one shuffle: task lines are keyed by their task, ERROR lines
-    that are not task lines by (application, NULL task), so a single aggregate
-    yields both the per-task rows and one error-count row per application;
-    partial aggregation turns an application's error lines into one row per
-    task before the shuffle.
+def _failures(logs: DataFrame, by: list[str]) -> DataFrame:
+    """Per ``by``: tasks, tasks without a Finished line, retried tasks, ERROR lines.
+
+    One scan and one shuffle: task lines are keyed by their task, ERROR lines by
+    a NULL task, so a single aggregate yields both; partial aggregation turns the
+    error lines of a key into one row per task before the shuffle.
     """
-    line = F.col("line")
-    is_task = line.contains(P.TASK_EVENT_HINT) & line.rlike(P.TASK_EVENT)
-    is_error = C.level("line", "word") == "ERROR"
-    rows = C.with_log_time(logs.filter(is_task | is_error).withColumn("is_task", is_task)
-                           .withColumn("is_error", is_error), "line", "ts")
-    g = C.extract(line, P.TASK_EVENT, {
-        "event": (1, "string"), "task_index": (2, "bigint"), "task_attempt": (3, "bigint"),
-        "stage_id": (4, "bigint"), "stage_attempt": (5, "bigint"), "tid": (6, "bigint")})
-    key = [F.when(F.col("is_task"), v).alias(k) for k, v in g.items() if k != "event"]
-    keyed = rows.select(C.application_id("path").alias("application_id"), "ts", "is_task", "is_error",
-                        F.when(F.col("is_task"), g["event"]).alias("event"), *key)
-    per_key = (keyed.groupBy(*TASK_KEY)
-               .agg(F.max(F.when(F.col("event") == "Finished", F.col("ts"))).alias("end_time"),
-                    F.count_if(F.col("is_task")).alias("task_lines"),
-                    F.count_if(F.col("is_error")).alias("error_lines")))
-    is_task_row = F.col("task_lines") > 0
-    a = (per_key.groupBy("application_id")
-         .agg(F.count_if(is_task_row).alias("num_tasks"),
-              F.count_if(is_task_row & F.col("end_time").isNull()).alias("unfinished_tasks"),
-              F.count_if(is_task_row & (F.col("task_attempt") > 0)).alias("retried_tasks"),
-              F.sum("error_lines").cast("bigint").alias("error_lines"))
-         .filter(F.col("num_tasks") > 0))
+    ev = logs if "kind" in logs.columns else parse_events(logs)
+    g = C.typed_groups(F.col("g"), _GROUPS)
+    is_task = F.col("kind") == "task"
+    rows = (ev.filter(F.col("kind").isin("task", ERROR))
+            .select(*by, is_task.alias("is_task"), *[F.when(is_task, v).alias(k) for k, v in g.items()]))
+    key = [k for k in TASK_KEY if k not in by]
+    per_key = rows.groupBy(*by, *key).agg(
+        (F.count_if(F.col("event") == "Finished") > 0).alias("finished"),
+        F.count_if("is_task").alias("task_lines"), F.count_if(~F.col("is_task")).alias("error_lines"))
+    task = F.col("task_lines") > 0
+    return per_key.groupBy(*by).agg(
+        F.count_if(task).alias("num_tasks"), F.count_if(task & ~F.col("finished")).alias("unfinished_tasks"),
+        F.count_if(task & (F.col("task_attempt") > 0)).alias("retried_tasks"),
+        F.sum("error_lines").cast("bigint").alias("error_lines"))
+
+
+def unfinished_tasks(logs: DataFrame) -> DataFrame:
+    """Per application with tasks: tasks never reported finished, their share, retried tasks
+    (attempt > 0) and ERROR lines of the application (L6c)."""
+    a = _failures(logs, ["application_id"]).filter("num_tasks > 0")
     return a.select("application_id", "num_tasks", "unfinished_tasks",
                     (F.lit(100.0) * F.col("unfinished_tasks") / F.col("num_tasks")).alias("unfinished_pct"),
                     "retried_tasks", "error_lines")
 
 
+def container_failures(logs: DataFrame) -> DataFrame:
+    """Per container with a task or an ERROR line: tasks, unfinished and retried tasks, ERROR lines."""
+    return _failures(logs, ["application_id", "container_id"]).filter("container_id != ''")
+
+
 def stage_skew(tasks: DataFrame, accuracy: int = 10000) -> DataFrame:
     """Per (application, stage): finished tasks and the spread of their durations.
 
@@ -123,6 +127,14 @@ def stage_bottlenecks(tasks: DataFrame) -> DataFrame:
                     rank.alias("stage_rank"))
 
 
+def slowest_tasks(tasks: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` tasks that took longest (L7b); ties by their key.  TakeOrderedAndProject:
+    each task of the job keeps its own top ``n``, the input is never sorted as a whole."""
+    return (tasks.filter(F.col("duration_sec").isNotNull())
+            .orderBy(F.col("duration_sec").desc(), *TASK_KEY).limit(n)
+            .select(*TASK_KEY, "start_time", "end_time", "duration_sec"))
+
+
 def stages_per_app(tasks: DataFrame) -> DataFrame:
     """Per application: distinct stages, tasks and mean tasks per stage."""
     return (tasks.groupBy("application_id")

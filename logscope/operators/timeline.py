@@ -191,8 +191,14 @@ def duration_histogram_log(timeline: DataFrame, bins: int = 30, durations: DataF
 
 # ------------------------------------------------------------------ inventory
 def app_files(logs: DataFrame) -> DataFrame:
-    """``(application_id, num_files, app_bytes)`` for files below an application directory."""
-    f = file_stats(logs)
+    """``(application_id, num_files, app_bytes)`` for files below an application directory.
+
+    ``logs`` is a file listing (``sources.list_logs``: one row per file with its size, no
+    content is read) or, where there is none, a frame of lines."""
+    if "line" not in logs.columns:
+        f = logs.select("path", F.col("file_size").alias("file_bytes"), F.lit(1).alias("num_lines"))
+    else:
+        f = file_stats(logs)
     # tied to an aggregate output so the filter stays above the per-file aggregate
     f = f.withColumn("application_id", F.when(F.col("num_lines") > 0, C.application_id("path")))
     return (f.filter(F.col("application_id") != "")

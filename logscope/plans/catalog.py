@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from logscope.functions import columns as C
 from logscope.operators import daily as DY
 from logscope.operators import events as EV
 from logscope.operators import levels as LV
@@ -19,8 +21,11 @@ from logscope.operators import reports as RP
 from logscope.operators import tasks as TK
 from logscope.operators import timeline as TL
 from logscope.plans import views as VW
-from logscope.session import materialize
-from logscope.sources import log_lines, profile_source, read_table
+from logscope.session import materialize, table_path
+from logscope.sinks import write_csv, write_matching_lines
+from logscope.sources import (concat_frames, list_logs, log_events, log_lines, log_tree, orders_by_month,
+                              profile_source, read_files, read_logs, read_logs_numbered, read_period, read_result_csv,
+                              read_table, read_timeline)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -178,6 +183,96 @@ def q_period_totals(spark, sf):
     return DY.period_totals(daily, "num_rows")
 
 
+# ------------------------------------------------------------------ text sources and sinks
+def _out(spark, name):
+    """A new output folder of this application below the shared checkpoint folder."""
+    return f"{table_path(spark)}/{name}"
+
+
+@query("text_level_counts")
+def q_text_level_counts(spark, sf):
+    return LV.level_counts(read_logs(spark, log_tree(spark, sf)))
+
+
+@query("level_groups")
+def q_level_groups(spark, sf):
+    return LV.level_groups(log_lines(spark, sf))
+
+
+@query("text_glob_lines")
+def q_text_glob_lines(spark, sf):
+    logs = read_logs(spark, f"{log_tree(spark, sf)}/app=application_*/*.txt", recursive=False)
+    return logs.groupBy(C.application_id("path").alias("application_id")).agg(F.count(F.lit(1)).alias("num_lines"))
+
+
+@query("text_numbered_lines")
+def q_text_numbered_lines(spark, sf):
+    logs = read_logs_numbered(spark, log_tree(spark, sf))
+    return logs.select(C.application_id("path").alias("application_id"), "line_no", "line")
+
+
+@query("text_app_subset")
+def q_text_app_subset(spark, sf):
+    """S8 itself: one named application of the tree."""
+    logs = read_logs(spark, log_tree(spark, sf), applications=["application_1485248649253_0001"])
+    return (logs.groupBy(C.application_id("path").alias("application_id"), C.level("line").alias("log_level"))
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+@query("text_inventory")
+def q_text_inventory(spark, sf):
+    return TL.app_inventory(list_logs(spark, log_tree(spark, sf), glob_filter="*.txt"))
+
+
+@query("timeline_csv_roundtrip")
+def q_timeline_csv_roundtrip(spark, sf):
+    path = write_csv(_timeline(spark, sf), _out(spark, "timeline.csv"), order_by=["cluster_id", "app_number"])
+    return read_timeline(spark, path)
+
+
+@query("sample_csv_roundtrip")
+def q_sample_csv_roundtrip(spark, sf):
+    path = write_csv(q_sample_seeded(spark, sf), _out(spark, "sample.csv"))
+    return read_result_csv(spark, path, "log_entry STRING, log_level STRING")
+
+
+@query("error_lines_roundtrip")
+def q_error_lines_roundtrip(spark, sf):
+    path = write_matching_lines(log_lines(spark, sf), "ERROR", _out(spark, "errors"))
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("concat_frames")
+def q_concat_frames(spark, sf):
+    logs = log_lines(spark, sf)
+    return concat_frames(LV.lines_containing(logs, "ERROR").select("path", "line_no", "line"),
+                         LV.lines_containing(logs, "DEBUG").select("path", "line_no"))
+
+
+@query("sample_random_check")
+def q_sample_random_check(spark, sf):
+    """O7 made checkable: the size of a random draw, how many of its lines the corpus holds, and
+    how many carry their own level."""
+    logs = log_lines(spark, sf)
+    sample = materialize(LV.sample_lines(logs, n=10))
+    known = logs.select("line").join(sample, F.col("line") == F.col("log_entry"), "left_semi").distinct()
+    right = F.count_if(C.level("log_entry") == F.col("log_level"))
+    return (sample.join(known, F.col("log_entry") == F.col("line"), "left")
+            .agg(F.count(F.lit(1)).alias("sample_size"), F.count("line").alias("found"), right.alias("right_level")))
+
+
+@query("period_scan")
+def q_period_scan(spark, sf):
+    """S7 itself: the files of six months."""
+    o = read_period(spark, orders_by_month(spark, sf), [1996], range(3, 9), file_glob="mm={month}")
+    return o.select("o_orderkey", "o_totalprice", "yyyy", "mm")
+
+
+@query("multi_file_scan")
+def q_multi_file_scan(spark, sf):
+    return read_files(spark, f"{orders_by_month(spark, sf)}/yyyy=*/mm=*").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 # ------------------------------------------------------------------ log events
 
 for _name, _fn in {
@@ -186,16 +281,22 @@ for _name, _fn in {
     "python_worker_times": EV.python_worker_times, "memory_capacity": EV.memory_capacity,
     "stored_blocks": EV.stored_blocks, "broadcast_reads": EV.broadcast_reads,
     "cache_hits": EV.cache_hits, "shuffle_fetches": EV.shuffle_fetches,
+    "cache_hits_by_rdd": EV.cache_hits_by_rdd, "unfinished_tasks": TK.unfinished_tasks,
+    "container_failures": TK.container_failures,
+}.items():
+    QUERIES[_name] = (lambda fn: lambda spark, sf: fn(log_events(spark, sf)))(_fn)
+
+for _name, _fn in {
     "parsed_records": RC.parse_records, "component_counts": RC.component_counts,
-    "parse_audit": RC.parse_audit, "host_activity": RC.host_activity,
-    "stitched_entries": RC.stitched_entries,
+    "parse_audit": RC.parse_audit, "parse_audit_by_file": RC.parse_audit_by_file,
+    "host_activity": RC.host_activity, "stitched_entries": RC.stitched_entries,
 }.items():
     QUERIES[_name] = (lambda fn: lambda spark, sf: fn(log_lines(spark, sf)))(_fn)
 
 
 # ------------------------------------------------------------------ tasks
 def _tasks(spark, sf):
-    return TK.task_lifecycle(log_lines(spark, sf))
+    return TK.task_lifecycle(log_events(spark, sf))
 
 
 @query("task_lifecycle")
@@ -208,9 +309,9 @@ def q_task_time_by_app(spark, sf):
     return TK.task_time_by_app(_tasks(spark, sf))
 
 
-@query("unfinished_tasks")
-def q_unfinished_tasks(spark, sf):
-    return TK.unfinished_tasks(log_lines(spark, sf))
+@query("slowest_tasks")
+def q_slowest_tasks(spark, sf):
+    return TK.slowest_tasks(_tasks(spark, sf), 10)
 
 
 @query("stage_skew")

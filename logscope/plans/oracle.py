@@ -198,14 +198,14 @@ FROM d"""
 CONT_SQL = f"regexp_extract(path, '{P.CONTAINER_ID}', 1)"
 
 
-def events_cte(hint: str, pattern: str, groups: dict[str, tuple[int, str]], container: bool = False) -> str:
+def events_cte(pattern: str, groups: dict[str, tuple[int, str]], container: bool = False) -> str:
     cols = [f"{APP_SQL} AS application_id"] + ([f"{CONT_SQL} AS container_id"] if container else [])
     for name, (i, typ) in groups.items():
         g = f"regexp_extract(line, '{pattern}', {i})"
         cols.append(f"{g} AS {name}" if typ == "string" else f"TRY_CAST(NULLIF({g}, '') AS {typ}) AS {name}")
     first = next(iter(groups.values()))[0]
-    return (f"ev AS (SELECT {', '.join(cols)} FROM log_lines WHERE contains(line, '{hint}') "
-            f"AND regexp_extract(line, '{pattern}', {first}) <> '')")
+    return (f"ev AS (SELECT {', '.join(cols)} FROM log_lines "
+            f"WHERE regexp_extract(line, '{pattern}', {first}) <> '')")
 
 
 def size_sql(v: str, u: str) -> str:
@@ -213,7 +213,7 @@ def size_sql(v: str, u: str) -> str:
     return f"(TRY_CAST({v} AS DOUBLE) * CASE {u} {whens} END)"
 
 
-EXEC_EV = events_cte(P.EXECUTOR_REQUEST_HINT, P.EXECUTOR_REQUEST, {
+EXEC_EV = events_cte(P.EXECUTOR_REQUEST, {
     "executors": (1, "BIGINT"), "cores": (2, "BIGINT"), "memory_mb": (3, "BIGINT"), "overhead_mb": (4, "BIGINT")})
 
 ORACLE["executor_requests"] = logs_sql(f"""{EXEC_EV}
@@ -222,7 +222,7 @@ SELECT application_id, count(*) AS num_requests, CAST(sum(executors) AS BIGINT)
        avg(overhead_mb) AS avg_overhead_mb
 FROM ev GROUP BY application_id""")
 
-ORACLE["container_requests"] = logs_sql(f"""{events_cte(P.CONTAINER_REQUEST_HINT, P.CONTAINER_REQUEST, {
+ORACLE["container_requests"] = logs_sql(f"""{events_cte(P.CONTAINER_REQUEST, {
     "host": (1, "string"), "memory_mb": (2, "BIGINT"), "vcores": (3, "BIGINT")})}
 SELECT application_id, host, memory_mb, vcores, count(*) AS num_requests FROM ev GROUP BY ALL""")
 
@@ -231,43 +231,44 @@ SELECT executors, cores, memory_mb, count(*) AS num_requests, count(DISTINCT app
        100.0::DOUBLE * count(*) / (SELECT count(*) FROM ev) AS share_pct
 FROM ev GROUP BY ALL ORDER BY num_requests DESC, executors, cores, memory_mb""")
 
-ORACLE["input_splits"] = logs_sql(f"""{events_cte(P.INPUT_SPLIT_HINT, P.INPUT_SPLIT, {
+ORACLE["input_splits"] = logs_sql(f"""{events_cte(P.INPUT_SPLIT, {
     "input_file": (1, "string"), "off": (2, "BIGINT"), "len": (3, "BIGINT")})}
 SELECT application_id, input_file, count(*) AS num_splits, CAST(sum(len) AS BIGINT) AS total_bytes,
        max(off + len) AS max_end_offset
 FROM ev GROUP BY ALL""")
 
-ORACLE["python_worker_times"] = logs_sql(f"""{events_cte(P.WORKER_TIMES_HINT, P.WORKER_TIMES, {
+ORACLE["python_worker_times"] = logs_sql(f"""{events_cte(P.WORKER_TIMES, {
     "total_ms": (1, "BIGINT"), "boot_ms": (2, "BIGINT"), "init_ms": (3, "BIGINT"), "finish_ms": (4, "BIGINT")})}
 SELECT application_id, count(*) AS num_reports, avg(total_ms) AS avg_total_ms, avg(boot_ms) AS avg_boot_ms,
        avg(init_ms) AS avg_init_ms, avg(finish_ms) AS avg_finish_ms, max(total_ms) AS max_total_ms,
+       quantile_disc(total_ms, 0.95) AS p95_total_ms,
        count(*) FILTER (WHERE boot_ms < 0) AS negative_boot,
        count(*) FILTER (WHERE total_ms <> boot_ms + init_ms + finish_ms) AS identity_mismatch
 FROM ev GROUP BY application_id""")
 
-ORACLE["memory_capacity"] = logs_sql(f"""{events_cte(P.MEMORY_CAPACITY_HINT, P.MEMORY_CAPACITY, {
+ORACLE["memory_capacity"] = logs_sql(f"""{events_cte(P.MEMORY_CAPACITY, {
     "value": (1, "string"), "unit": (2, "string")}, container=True)}
 SELECT application_id, container_id, max({size_sql('value', 'unit')}) AS capacity_bytes, count(*) AS num_starts
 FROM ev GROUP BY ALL""")
 
-ORACLE["stored_blocks"] = logs_sql(f"""{events_cte(P.STORED_BLOCK_HINT, P.STORED_BLOCK, {
+ORACLE["stored_blocks"] = logs_sql(f"""{events_cte(P.STORED_BLOCK, {
     "block_id": (1, "string"), "stored_as": (2, "string"), "sv": (3, "string"), "su": (4, "string"),
     "fv": (5, "string"), "fu": (6, "string")})}
 SELECT application_id, split_part(block_id, '_', 1) AS block_kind, stored_as, count(*) AS num_blocks,
        sum({size_sql('sv', 'su')}) AS total_size_bytes, min({size_sql('fv', 'fu')}) AS min_free_bytes
 FROM ev GROUP BY ALL""")
 
-ORACLE["broadcast_reads"] = logs_sql(f"""{events_cte(P.BROADCAST_READ_HINT, P.BROADCAST_READ, {
+ORACLE["broadcast_reads"] = logs_sql(f"""{events_cte(P.BROADCAST_READ, {
     "broadcast_id": (1, "BIGINT")})}
 SELECT application_id, count(*) AS num_reads, count(DISTINCT broadcast_id) AS distinct_broadcasts
 FROM ev GROUP BY application_id""")
 
-ORACLE["cache_hits"] = logs_sql(f"""{events_cte(P.CACHE_HIT_HINT, P.CACHE_HIT, {
+ORACLE["cache_hits"] = logs_sql(f"""{events_cte(P.CACHE_HIT, {
     "block_id": (1, "string"), "location": (2, "string")})}
 SELECT application_id, location, count(*) AS hits, count(DISTINCT block_id) AS distinct_blocks
 FROM ev GROUP BY ALL""")
 
-ORACLE["shuffle_fetches"] = logs_sql(f"""{events_cte(P.SHUFFLE_FETCH_HINT, P.SHUFFLE_FETCH, {
+ORACLE["shuffle_fetches"] = logs_sql(f"""{events_cte(P.SHUFFLE_FETCH, {
     "fetches": (1, "BIGINT"), "fetch_ms": (2, "BIGINT")})}
 SELECT application_id, count(*) AS num_reports, CAST(sum(fetches) AS BIGINT) AS total_fetches,
        avg(fetch_ms) AS avg_fetch_ms, max(fetch_ms) AS max_fetch_ms
@@ -276,22 +277,21 @@ FROM ev GROUP BY application_id""")
 # ------------------------------------------------------------------ tasks
 TASKS = f"""te AS (
   SELECT * FROM (
-    SELECT {APP_SQL} AS application_id, {TS_SQL} AS ts,
+    SELECT {APP_SQL} AS application_id, regexp_extract(path, '{P.CONTAINER_ID}', 1) AS container_id, {TS_SQL} AS ts,
            regexp_extract(line, '{P.TASK_EVENT}', 1) AS event,
            TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 2), '') AS BIGINT) AS task_index,
            TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 3), '') AS BIGINT) AS task_attempt,
            TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 4), '') AS BIGINT) AS stage_id,
            TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 5), '') AS BIGINT) AS stage_attempt,
            TRY_CAST(NULLIF(regexp_extract(line, '{P.TASK_EVENT}', 6), '') AS BIGINT) AS tid
-    FROM (SELECT *, regexp_extract(line, '{P.TS_ANY}', 1) AS s FROM log_lines WHERE contains(line, ' task ')))
+    FROM (SELECT *, regexp_extract(line, '{P.TS_ANY}', 1) AS s FROM log_lines))
   WHERE event <> ''),
 tk AS (
   SELECT application_id, stage_id, stage_attempt, task_index, task_attempt, tid,
          min(CASE WHEN event = 'Running' THEN ts END) AS start_time,
-         max(CASE WHEN event = 'Finished' THEN ts END) AS end_time
+         max(CASE WHEN event = 'Finished' THEN ts END) AS end_time, bool_or(event = 'Finished') AS finished
   FROM te GROUP BY ALL),
-t AS (SELECT *, (epoch_us(end_time) - epoch_us(start_time)) / 1e6 AS duration_sec,
-             end_time IS NOT NULL AS finished FROM tk)"""
+t AS (SELECT *, (epoch_us(end_time) - epoch_us(start_time)) / 1e6 AS duration_sec FROM tk)"""
 
 ORACLE["task_lifecycle"] = logs_sql(f"""{TASKS}
 SELECT * FROM t""")
@@ -333,6 +333,56 @@ SELECT application_id, count(DISTINCT stage_id) AS num_stages, count(*) AS num_t
        CASE WHEN count(DISTINCT stage_id) > 0 THEN count(*) / count(DISTINCT stage_id) END AS avg_tasks_per_stage
 FROM t GROUP BY application_id""")
 
+ORACLE["slowest_tasks"] = logs_sql(f"""{TASKS}
+SELECT application_id, stage_id, stage_attempt, task_index, task_attempt, tid, start_time, end_time, duration_sec
+FROM t WHERE duration_sec IS NOT NULL
+ORDER BY duration_sec DESC, application_id, stage_id, stage_attempt, task_index, task_attempt, tid LIMIT 10""")
+
+ORACLE["container_failures"] = logs_sql(f"""{TASKS},
+k AS (SELECT application_id, container_id, stage_id, stage_attempt, task_index, task_attempt, tid,
+             bool_or(event = 'Finished') AS finished FROM te GROUP BY ALL),
+a AS (SELECT application_id, container_id, count(*) AS num_tasks, count(*) FILTER (WHERE NOT finished) AS unfinished_tasks,
+             count(*) FILTER (WHERE task_attempt > 0) AS retried_tasks FROM k GROUP BY ALL),
+err AS (SELECT {APP_SQL} AS application_id, regexp_extract(path, '{P.CONTAINER_ID}', 1) AS container_id,
+               count(*) AS error_lines FROM log_lines WHERE {LEVEL_WORD} = 'ERROR' GROUP BY ALL)
+SELECT application_id, container_id, coalesce(num_tasks, 0) AS num_tasks, coalesce(unfinished_tasks, 0) AS unfinished_tasks,
+       coalesce(retried_tasks, 0) AS retried_tasks, CAST(coalesce(error_lines, 0) AS BIGINT) AS error_lines
+FROM a FULL JOIN err USING (application_id, container_id) WHERE container_id <> ''""")
+
+ORACLE["cache_hits_by_rdd"] = logs_sql(f"""{events_cte(P.CACHE_HIT, {
+    "block_id": (1, "string"), "location": (2, "string")})}
+SELECT application_id, TRY_CAST(regexp_extract(block_id, '{P.RDD_BLOCK}', 1) AS BIGINT) AS rdd_id, count(*) AS hits,
+       count(*) FILTER (WHERE location = 'remotely') AS remote_hits,
+       count(DISTINCT regexp_extract(block_id, '{P.RDD_BLOCK}', 2)) AS distinct_partitions
+FROM ev WHERE regexp_matches(block_id, '{P.RDD_BLOCK}') GROUP BY ALL""")
+
+# ------------------------------------------------------------------ text sources and sinks
+ORACLE["text_level_counts"] = ORACLE["level_counts"]
+ORACLE["level_groups"] = logs_sql(f"SELECT {LEVEL_PLAIN} AS log_level, count(*) AS count FROM log_lines GROUP BY 1")
+ORACLE["text_glob_lines"] = logs_sql(f"SELECT {APP_SQL} AS application_id, count(*) AS num_lines FROM log_lines GROUP BY 1")
+ORACLE["text_numbered_lines"] = logs_sql(f"""
+SELECT application_id, row_number() OVER (PARTITION BY application_id ORDER BY line_no) - 1 AS line_no, line
+FROM (SELECT *, {APP_SQL} AS application_id FROM log_lines)""")
+ORACLE["text_app_subset"] = logs_sql(f"""
+SELECT {APP_SQL} AS application_id, {LEVEL_WORD} AS log_level, count(*) AS count FROM log_lines
+WHERE {APP_SQL} = 'application_1485248649253_0001' GROUP BY ALL""")
+ORACLE["text_inventory"] = logs_sql(f"""
+files AS (SELECT {APP_SQL} AS application_id, CAST(sum(strlen(line) + 1) AS BIGINT) AS b FROM log_lines GROUP BY 1)
+SELECT count(*) AS num_applications, count(*) AS num_files, 1.0::DOUBLE AS mean_files_per_app, min(b) AS min_app_bytes,
+       avg(b) AS mean_app_bytes, max(b) AS max_app_bytes FROM files""")
+ORACLE["timeline_csv_roundtrip"] = ORACLE["app_timeline"]
+ORACLE["sample_csv_roundtrip"] = ORACLE["sample_lines_seeded"]
+ORACLE["error_lines_roundtrip"] = logs_sql("SELECT line FROM log_lines WHERE contains(line, 'ERROR')")
+ORACLE["concat_frames"] = logs_sql("""
+SELECT path, line_no, line FROM log_lines WHERE contains(line, 'ERROR')
+UNION ALL SELECT path, line_no, NULL FROM log_lines WHERE contains(line, 'DEBUG')""")
+ORACLE["sample_random_check"] = logs_sql(f"""
+n AS (SELECT least(10, count(*)) AS k FROM log_lines WHERE {LEVEL_WORD} <> '')
+SELECT k AS sample_size, k AS found, k AS right_level FROM n""")
+ORACLE["period_scan"] = """SELECT o_orderkey, o_totalprice, 1996 AS yyyy, CAST(month(o_orderdate) AS INTEGER) AS mm FROM orders
+WHERE year(o_orderdate) = 1996 AND month(o_orderdate) BETWEEN 3 AND 8"""
+ORACLE["multi_file_scan"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
+
 # ------------------------------------------------------------------ records
 COMP_SQL = f"regexp_extract(line, '{P.COMPONENT}', 2)"
 
@@ -363,13 +413,24 @@ SELECT host, count(*) AS lines, count(DISTINCT path) AS containers,
 FROM h GROUP BY host""")
 
 ORACLE["stitched_entries"] = logs_sql(f"""
-h AS (SELECT path, line_no, line, regexp_matches(line, '{P.ENTRY_HEADER}') AS is_header,
-             CAST(floor(line_no / 65536) AS BIGINT) AS chunk FROM log_lines),
+h AS (SELECT path, line_no, line, regexp_matches(line, '{P.ENTRY_HEADER}') AS is_header FROM log_lines),
 e AS (SELECT *, max(CASE WHEN is_header THEN line_no END) OVER (
         PARTITION BY path ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS entry FROM h)
-SELECT path, entry AS entry_line_no, entry IS NOT NULL AS has_header, min(line_no) AS piece_line_no,
-       count(*) AS num_lines, string_agg(line, chr(10) ORDER BY line_no) AS entry_text
-FROM e GROUP BY path, entry, chunk""")
+SELECT path, entry AS entry_line_no, true AS has_header, count(*) AS num_lines,
+       string_agg(line, chr(10) ORDER BY line_no) AS entry_text
+FROM e WHERE entry IS NOT NULL GROUP BY path, entry
+UNION ALL SELECT path, line_no, false, 1, line FROM e WHERE entry IS NULL""")
+
+ORACLE["parse_audit_by_file"] = logs_sql(f"""
+p AS (SELECT path, {TS_SQL} AS ts, {LEVEL_WORD} AS lv, {COMP_SQL} AS comp
+      FROM (SELECT *, regexp_extract(line, '{P.TS_ANY}', 1) AS s FROM log_lines)),
+a AS (SELECT path, count(*) AS num_lines, count(*) FILTER (WHERE ts IS NULL) AS no_timestamp,
+             count(*) FILTER (WHERE lv = '') AS no_level, count(*) FILTER (WHERE comp = '') AS no_component
+      FROM p GROUP BY 1)
+SELECT *, 100.0::DOUBLE * no_timestamp / num_lines AS no_timestamp_pct,
+       100.0::DOUBLE * no_level / num_lines AS no_level_pct,
+       100.0::DOUBLE * no_component / num_lines AS no_component_pct
+FROM a""")
 
 # ------------------------------------------------------------------ sources and SQL surface
 def profile_sql(table: str, cols: list[tuple[str, str]]) -> str:

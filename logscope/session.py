@@ -93,6 +93,14 @@ def _tables_root(spark: SparkSession) -> str | None:
     return f"{d.rstrip('/')}/logscope-tables/{_app_id(spark)}" if d else None
 
 
+def table_path(spark: SparkSession) -> str:
+    """A new table folder of this application below the shared checkpoint folder."""
+    root = _tables_root(spark)
+    if not root:
+        raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
+    return f"{root}/{uuid.uuid4().hex}"
+
+
 def materialize(df, spark: SparkSession | None = None, strict: bool = False):
     """Compute ``df`` once and cut its lineage, for frames that several actions reuse (H2).
 

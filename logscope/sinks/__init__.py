@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSS]"      # milliseconds are written and read back
 
 
 def _fs(spark, path: str):
@@ -42,13 +42,15 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True, line_sep: str
     K2: ``line_sep="\\r\\n"`` for byte parity with CRLF files; K3: quotes inside
     values are doubled; K4: the result stays distributed (``toPandas`` is the caller's).
 
-    Times are written as ``yyyy-MM-dd HH:mm:ss``; quotes inside values are
-    doubled (RFC 4180).  ``single_file`` coalesces to one writer, meant for
-    small result frames only (a per-application or per-day table); its
-    ``order_by`` sorts inside that one partition, so no range-partitioning
-    sample job and no extra shuffle precede the write.
+    Times are written as ``yyyy-MM-dd HH:mm:ss.SSS``; quotes inside values are
+    doubled (RFC 4180).  ``single_file`` gathers the finished rows in one
+    writer, meant for result frames that one file can hold; the exchange in
+    front of it keeps the aggregate below parallel, and its ``order_by`` sorts
+    inside that one partition, so no range-partitioning sample job precedes
+    the write.  Frames that grow with the input are written with
+    ``single_file=False``.
     """
-    w = df.coalesce(1) if single_file else df
+    w = df.repartition(1) if single_file else df
     if order_by:
         w = w.sortWithinPartitions(*order_by) if single_file else w.orderBy(*order_by)
     writer = (w.write.mode("overwrite").option("header", True)
@@ -69,7 +71,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True, line_sep: str
 def write_text(df: DataFrame, path: str, column: str = "text", single_file: bool = True,
                order_by: str | None = None) -> str:
     """One string column as text lines (K5, K6); ``order_by`` sorts within the single file."""
-    w = df.coalesce(1) if single_file else df
+    w = df.repartition(1) if single_file else df
     if order_by:
         w = w.sortWithinPartitions(order_by)
     w = w.select(F.col(column).cast("string").alias("value"))

@@ -1,10 +1,11 @@
 """Sources: text log trees, parquet tables and periods, fixture corpus, result re-reads."""
 from logscope.sources.balance import spread
-from logscope.sources.fixture import log_lines, log_lines_from_events, log_lines_sql
-from logscope.sources.logs import concat_frames, read_logs, read_logs_numbered
+from logscope.sources.fixture import log_events, log_lines, log_lines_from_events, log_lines_sql, log_tree, orders_by_month
+from logscope.sources.logs import concat_frames, list_logs, read_logs, read_logs_numbered, unread_files
 from logscope.sources.results import read_cluster_summary, read_result_csv, read_timeline
 from logscope.sources.tables import profile_source, read_files, read_period, read_table
 
-__all__ = ["concat_frames", "log_lines", "log_lines_from_events", "log_lines_sql", "read_logs",
+__all__ = ["concat_frames", "list_logs", "log_events", "log_lines", "log_lines_from_events", "log_lines_sql", "log_tree",
+           "orders_by_month", "unread_files", "read_logs",
            "read_logs_numbered", "spread", "read_cluster_summary", "read_result_csv", "read_timeline",
            "profile_source", "read_files", "read_period", "read_table"]

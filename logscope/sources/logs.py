@@ -33,7 +33,9 @@ def read_logs(spark: SparkSession, root: str | list[str], *, recursive: bool = T
 
     ``root`` may also be a glob such as ``data/application_*/*.log`` (S2); then
     pass ``recursive=False``.  ``applications`` keeps only the named
-    application directories (S8), a filter on the path column.
+    application directories (S8), a filter on the path column.  With
+    ``ignore_corrupt`` (the reference's setting) unreadable files are skipped;
+    ``unread_files`` lists them.
     Line numbers are not available from the line reader; see ``read_logs_numbered``.
     """
     paths = [root] if isinstance(root, str) else list(root)
@@ -46,32 +48,43 @@ def read_logs(spark: SparkSession, root: str | list[str], *, recursive: bool = T
     return df
 
 
+def list_logs(spark: SparkSession, root: str | list[str], *, recursive: bool = True,
+              glob_filter: str | None = None, applications: Iterable[str] | None = None) -> DataFrame:
+    """``(path, file_size, modified)`` of every log file, from the file listing alone: the
+    binary source is asked for its listing columns only, so no file is opened (A17, A18)."""
+    paths = [root] if isinstance(root, str) else list(root)
+    r = spark.read.format("binaryFile")
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
+    if glob_filter:
+        r = r.option("pathGlobFilter", glob_filter)
+    df = r.load(paths).select("path", F.col("length").alias("file_size"), F.col("modificationTime").alias("modified"))
+    if applications is not None:
+        df = df.filter(C.application_id("path").isin(list(applications)))
+    return df
+
+
+def unread_files(logs: DataFrame, listing: DataFrame) -> DataFrame:
+    """Files of ``listing`` (``list_logs``) with bytes of which ``logs`` (``read_logs``) has no line:
+    what ``ignore_corrupt`` has skipped whole (S3)."""
+    seen = logs.select(C.plain_path("path").alias("p")).distinct()
+    return (listing.filter(F.col("file_size") > 0).withColumn("p", C.plain_path("path"))
+            .join(seen, "p", "left_anti").select("path", "file_size"))
+
+
 def read_logs_numbered(spark: SparkSession, root: str | list[str], *, recursive: bool = True,
-                       glob_filter: str | None = None, ignore_corrupt: bool = True,
-                       method: str = "split") -> DataFrame:
+                       glob_filter: str | None = None, ignore_corrupt: bool = True) -> DataFrame:
     """``(path, line_no, line, file_size)`` with the 0-based line number in each file.
 
-    ``split`` (default, scale-safe): the line reader keeps each split in order
-    inside its task, so a line's number is (lines in the earlier splits of its
-    file) + (its position in its split).  Positions come from the row id within
-    the task, offsets from a per-split frame (one row per ~128 MB split) with a
-    running sum over the splits of each file; no file is ever held whole.
-    ``wholetext``: one row per file split into lines (simple, bounded by the
-    largest file).  A final line break does not open an empty line, as with
-    the line reader; breaks are ``\n`` or ``\r\n``.
+    The line reader keeps each split in order inside its task, so a line's
+    number is (lines in the earlier splits of its file) + (its position in its
+    split).  Positions come from the row id within the task, offsets from a
+    per-split frame (one row per ~128 MB split) with a running sum over the
+    splits of each file; no file is ever held whole.  Lines end at ``\n``,
+    ``\r\n`` or ``\r``, as in ``read_logs``; a final break opens no empty line.
     """
     paths = [root] if isinstance(root, str) else list(root)
     r = _reader(spark, recursive, ignore_corrupt, glob_filter)
-    if method == "wholetext":
-        df = (r.option("wholetext", "true").load(paths)
-              .select(F.col("_metadata.file_path").alias("path"),
-                      F.col("_metadata.file_size").alias("file_size"),
-                      F.regexp_replace("value", r"\r?\n$", "").alias("value")))
-        return (df.select("path", "file_size",
-                          F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
-                  .select("path", F.col("line_no").cast("bigint").alias("line_no"), "line", "file_size"))
-    if method != "split":
-        raise ValueError(f"unknown method {method!r}")
     df = r.load(paths).select(F.col("_metadata.file_path").alias("path"),
                               F.col("_metadata.file_block_start").alias("block"),
                               F.col("_metadata.file_size").alias("file_size"),

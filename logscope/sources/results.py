@@ -15,12 +15,12 @@ CLUSTER_SUMMARY_SCHEMA = ("cluster_id STRING, num_applications BIGINT, "
 LEVEL_COUNTS_SCHEMA = "log_level STRING, count BIGINT"
 DURATIONS_SCHEMA = ("cluster_id STRING, application_id STRING, app_number STRING, "
                     "start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, duration_min DOUBLE")
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSS]"
 
 
 def read_result_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return (spark.read.schema(schema).option("header", "true")
-            .option("timestampNTZFormat", TIME_FORMAT).option("mode", "FAILFAST").csv(path))
+            .option("timestampNTZFormat", TIME_FORMAT).option("escape", '"').option("mode", "FAILFAST").csv(path))
 
 
 def read_timeline(spark: SparkSession, path: str) -> DataFrame:

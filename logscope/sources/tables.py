@@ -38,11 +38,17 @@ def read_period(spark: SparkSession, root: str, years: Iterable[int], months: It
     """Monthly files below ``root/<partition>=<year>/`` for the given months.
 
     ``basePath`` keeps ``<partition>`` as a column, so a later filter on it
-    prunes partitions; the month globs list only the wanted files.
+    prunes partitions; the month globs list only the wanted files.  Months
+    without a file are passed over; a period without any file is an error.
     """
     root = root.rstrip("/")
     globs = [f"{root}/{partition}={y}/" + file_glob.format(month=m) for y in years for m in months]
-    return spark.read.option("basePath", root).parquet(*globs)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = lambda g: jvm.org.apache.hadoop.fs.Path(g)
+    present = [g for g in globs if path(g).getFileSystem(conf).globStatus(path(g))]
+    if not present:
+        raise FileNotFoundError(f"no file for the period below {root}")
+    return spark.read.option("basePath", root).parquet(*present)
 
 
 def profile_source(df: DataFrame) -> DataFrame:
@@ -52,10 +58,11 @@ def profile_source(df: DataFrame) -> DataFrame:
     row), then ``stack`` turns the single row into one row per column.
     """
     fields = df.schema.fields
+    quoted = lambda name: F.col("`" + name.replace("`", "``") + "`")
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"__n{i}") for i, f in enumerate(fields)]
-    one = df.agg(*aggs)
-    parts = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', `__n{i}`" for i, f in enumerate(fields))
-    return one.selectExpr(
-        f"stack({len(fields)}, {parts}) AS (column_name, data_type, num_nulls)", "__rows AS num_rows"
-    ).select("column_name", "data_type", "num_rows", "num_nulls")
+    aggs += [F.count_if(quoted(f.name).isNull()).alias(f"__n{i}") for i, f in enumerate(fields)]
+    parts = [x for i, f in enumerate(fields) for x in (F.lit(f.name), F.lit(f.dataType.simpleString()), F.col(f"__n{i}"))]
+    return (df.agg(*aggs)
+            .select(F.stack(F.lit(len(fields)), *parts).alias("column_name", "data_type", "num_nulls"),
+                    F.col("__rows").alias("num_rows"))
+            .select("column_name", "data_type", "num_rows", "num_nulls"))

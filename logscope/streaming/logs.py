@@ -4,8 +4,8 @@
   micro-batch picks up files that appeared since the last one.
 * ``level_totals_stream``: the one-row level aggregate (total, with level,
   per level); state is one row, so it runs in ``complete`` or ``update`` mode.
-* ``app_bounds_stream``: first/last time per application, aggregated per file
-  inside each micro-batch and merged into per-application state (``update``).
+* ``app_bounds_stream``: first/last time per application, merged into
+  per-application state (``update``).
 
 State and progress live below the cluster's shared ``spark.checkpoint.dir``
 (``<dir>/streams/<name>``) unless a location is given, so a restarted query
@@ -18,14 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
-from logscope.functions.patterns import LEVELS
+from logscope.operators.levels import level_totals
 from logscope.session import checkpoint_dir
 
 
 def read_logs_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
-                     glob_filter: str | None = "*.log") -> DataFrame:
-    r = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-         .option("ignoreCorruptFiles", "true"))
+                     glob_filter: str | None = None, ignore_corrupt: bool = True) -> DataFrame:
+    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    if ignore_corrupt:
+        r = r.option("ignoreCorruptFiles", "true")
     if glob_filter:
         r = r.option("pathGlobFilter", glob_filter)
     if max_files_per_trigger:
@@ -34,12 +35,8 @@ def read_logs_stream(spark: SparkSession, root: str, max_files_per_trigger: int
 
 
 def level_totals_stream(logs: DataFrame, mode: str = "word") -> DataFrame:
-    """Running ``total_lines, lines_with_level, n_INFO, ...`` (same columns as the batch form)."""
-    lv = C.level("line", mode)
-    return (logs.select(lv.alias("lv"))
-            .agg(F.count(F.lit(1)).alias("total_lines"),
-                 F.count_if(F.col("lv") != "").alias("lines_with_level"),
-                 *[F.count_if(F.col("lv") == x).alias(f"n_{x}") for x in LEVELS]))
+    """Running ``total_lines, lines_with_level, n_INFO, ...``: the batch aggregate itself."""
+    return level_totals(logs, mode)
 
 
 def app_bounds_stream(logs: DataFrame) -> DataFrame:
