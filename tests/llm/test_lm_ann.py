@@ -1,0 +1,180 @@
+"""Elias-Fano levels, language-model scores and neighbours against brute force."""
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from logscope.llm import ngram_lm as L
+from logscope.llm import neighbours as N
+from logscope.llm.elias_fano import EliasFano, Levels
+from logscope.llm.queries import op7_lm_scores, op10_neighbours
+
+from .conftest import SF_MID
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2 ** 64 - 1) | st.integers(0, 100), max_size=60), st.lists(st.integers(0, 2 ** 64 - 1) | st.integers(0, 100), max_size=20))
+def test_elias_fano(values, asked):
+    v = np.sort(np.array(values, np.uint64))
+    ef, x = EliasFano(v, Levels()), np.array(asked + values, np.uint64)
+    assert (ef.successor(x) == np.searchsorted(v, x)).all()
+    assert (ef[np.arange(len(v))] == v).all()
+    assert ((ef.find(x) >= 0) == np.isin(x, v)).all()
+
+
+def test_elias_fano_is_compact_and_leaves_no_file():
+    v = np.unique(np.random.default_rng(0).integers(0, 2 ** 40, 50000, dtype=np.uint64))
+    ef = EliasFano(v, Levels())
+    assert (ef.high.nbytes + ef.low.nbytes) * 8 / len(v) < 2 + math.log2(2 ** 40 / len(v)) + 1
+    lo = np.array([10, 100]), np.array([20, 100])
+    assert ef.find(v[[15, 100]], *lo).tolist() == [15, -1]        # outside its siblings a value is not found
+
+
+def test_count_codes():
+    n = np.array([0, 1, 2, 32767, 32768, 40000, 10 ** 9])
+    got = L.decode_counts(L.encode_counts(n))
+    assert (got[:4] == n[:4]).all() and np.allclose(got[4:], n[4:], rtol=1e-3)
+
+
+def words(t):
+    return (t or "").encode().lower().split() + [L.END]
+
+
+def brute(docs, train, mass=L.MASS, growth=L.GROWTH):
+    c, pair = Counter(), Counter()
+    for (_, t), learn in zip(docs, train):
+        if learn:
+            c.update(words(t))
+            pair.update(zip([L.END] + words(t), words(t)))
+    total, distinct = sum(c.values()), len(c)
+    base = lambda w: (c[w] + 1) / (total + distinct + 1)
+
+    def p(v, w):
+        m = mass * c[v] ** growth
+        return (pair[v, w] + m * base(w)) / (c[v] + m) if c[v] else base(w)
+
+    out = []
+    for i, t in docs:
+        w = words(t)
+        out.append((i, len(w), sum(x in c for x in w), total, sum(math.log10(base(x)) for x in w),
+                    sum(math.log10(p(v, x)) for v, x in zip([L.END] + w, w))))
+    vocabulary = list(c) + [b"\0unknown"]
+    for v in random.Random(0).sample(list(c), min(len(c), 5)):
+        assert abs(sum(p(v, x) for x in vocabulary) - 1) < 1e-9
+    return out
+
+
+def same(got, want):
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got, want = sorted(map(tuple, got), key=key), sorted(want, key=key)
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert a[:4] == b[:4] and a[4] == pytest.approx(b[4], rel=1e-9, abs=1e-9) and a[5] == pytest.approx(b[5], rel=1e-9, abs=1e-9)
+
+
+def test_whole_table_equals_brute_force(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect()]
+    train = [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in docs]
+    rows = op7_lm_scores(spark, SF_MID).collect()
+    assert {r["doc_id"]: not r["held_out"] for r in rows} == {i: t for (i, _), t in zip(docs, train)}
+    same([(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in rows], brute(docs, train))
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)       # it predicts unseen texts better
+
+
+def test_many_chunks_and_shards(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)] + ["the"] * 40
+    docs = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60)))) for i in range(300)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for shard_bytes in (300, 1 << 20):      # 256 shards in 32 rows, or 8
+        got = L.score_texts(frame, F.col("doc_id") % 3 != 0, chunk_bytes=4000, shard_bytes=shard_bytes)
+        same(got.collect(), brute(docs, [i % 3 != 0 for i, _ in docs]))
+
+
+def test_lm_odd_rows(docs_of):
+    docs = [(1, None), (2, ""), (3, "A a\x0bb"), (3, "A a\x0bb"), (None, "a b"), (5, "long " * 20000), (6, "É é 一")]
+    for learn in (F.lit(True), F.lit(False), F.lit(None)):
+        got = L.score_texts(docs_of(docs), learn).collect()
+        same(got, brute(docs, [learn is not None and "true" in str(learn)] * len(docs)))
+    assert L.score_texts(docs_of([]), F.lit(True)).count() == 0
+
+
+# ------------------------------------------------------------------ neighbours
+def exact(ids, v, q, k):
+    s = (v * v[q]).sum(axis=1)
+    order = np.lexsort((ids, -s))
+    return [(int(ids[o]), float(s[o])) for o in order if ids[o] != ids[q]][:k]
+
+
+def lists(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q, x in out.items():
+        x.sort()
+        assert [r for r, _, _ in x] == list(range(1, len(x) + 1))
+        out[q] = [(i, s) for _, i, s in x]
+    return out
+
+
+def test_neighbours_whole_table_recall(spark):
+    t = spark.read.parquet(f"{SF_MID}/embeddings.parquet").toPandas()
+    ids, v = t.vec_id.to_numpy(), np.stack(t.embedding).astype(float)
+    got = lists(op10_neighbours(spark, SF_MID).collect())
+    hits = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        want = exact(ids, v, q, 20)
+        assert len(got[ids[q]]) == 20
+        hits += len({i for i, _ in want} & {i for i, _ in got[ids[q]]})
+        total += 20
+    assert hits / total >= 0.9
+
+
+def test_walk_takes_pairs_by_falling_sum():
+    rng = np.random.default_rng(0)
+    a, b, size = rng.normal(size=9), rng.normal(size=7), rng.integers(0, 5, 63)
+    got = N.walk(a, b, size, 10 ** 9)
+    sums = [a[c // 7] + b[c % 7] for c in got]
+    assert sums == sorted(sums, reverse=True) and sorted(got) == np.flatnonzero(size).tolist()
+    part = N.walk(a, b, size, 30)
+    assert part == got[:len(part)] and size[part].sum() >= 30 > size[part[:-1]].sum()
+
+
+def test_neighbours_recall_with_probing_and_small_blocks(spark):
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(3000, 16))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = lists(N.nearest(frame, F.col("vec_id") % 100 == 0, 10, codes=16, share=0.3, least=100, block_rows=200, sample_rows=1000).collect())
+    ids = np.arange(3000)
+    hits = [len({i for i, _ in exact(ids, v, q, 10)} & {i for i, _ in got[q]}) for q in range(0, 3000, 100)]
+    assert np.mean(hits) / 10 >= 0.9
+
+
+def test_copies_ties_and_odd_vectors(spark):
+    """A hot vector in several blocks, ties to the smaller id, and rows that take no part."""
+    hot, other = [0.6, 0.8, 0.0, 0.1], [0.8, -0.6, 0.2, 0.0]
+    rows = [(i, hot) for i in range(0, 400)] + [(i, other) for i in range(400, 430)]
+    rows += [(1000, None), (1020, [0.0] * 4), (1040, [1.0, None, 0.0, 0.0]), (1060, [1.0, float("nan"), 0.0, 0.0]),
+             (1080, [float("inf"), 0.0, 0.0, 0.0]), (1100, [1.0, 2.0]), (None, hot)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = lists(N.nearest(frame, F.col("vec_id") % 20 == 0, 20, block_rows=50).collect())
+    assert sorted(got) == list(range(0, 430, 20))
+    assert [i for i, _ in got[0]] == list(range(1, 21)) and [i for i, _ in got[40]] == list(range(0, 20))
+    assert [i for i, _ in got[400]] == list(range(401, 421))
+    assert len({s for _, s in got[0]}) == 1
+
+
+def test_fewer_candidates_than_asked_and_none(spark):
+    frame = spark.createDataFrame([(i, [float(i + 1), 1.0]) for i in range(5)], "vec_id long, embedding array<double>")
+    got = lists(N.nearest(frame, F.col("vec_id") == 0, 20).collect())
+    assert [i for i, _ in got[0]] == [4, 3, 2, 1]
+    assert N.nearest(frame.limit(0), F.col("vec_id") == 0).count() == 0
+    assert N.nearest(frame.limit(1), F.col("vec_id") == 0).count() == 0
