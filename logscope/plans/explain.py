@@ -3,12 +3,28 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
 
+@contextmanager
+def untruncated(spark):
+    """Plans made inside show whole filter and column lists."""
+    keys = {"spark.sql.maxMetadataStringLength": "100000", "spark.sql.debug.maxToStringFields": "10000"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def plan_summary(df: DataFrame) -> dict:
-    """Counts of the operators that decide cost at scale, from the executed plan."""
+    """Counts of the operators that decide cost at scale, from the executed plan (made under
+    ``untruncated`` the scans' filters and columns are complete)."""
     p = df._jdf.queryExecution().executedPlan().toString()
     scans = re.findall(r"FileScan (\w+) \[", p)
     return {

@@ -18,7 +18,7 @@ def test_cli_levels_and_usage(log_tree, tmp_path):
     out = str(tmp_path / "out")
     _run(["levels", "--in", log_tree, "--out", out, "--seed", "1", "--crlf"], tmp_path)
     raw = open(f"{out}/level_counts.csv", newline="").read()
-    assert raw == "log_level,count\r\nINFO,812\r\nWARN,187\r\nERROR,201\r\nDEBUG,0\r\n"
+    assert raw == "log_level,count\r\nINFO,749\r\nWARN,187\r\nERROR,201\r\nDEBUG,63\r\n"
     _run(["usage", "--in", log_tree, "--out", out], tmp_path)
     assert open(f"{out}/usage_stats.txt").read().splitlines()[1] == "Total applications: 15"
     _run(["usage", "--in", log_tree, "--out", out, "--skip-scan"], tmp_path)

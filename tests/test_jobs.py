@@ -11,14 +11,14 @@ from conftest import SF_SMALL
 def test_levels_job(spark, log_tree, tmp_path):
     out = run_levels_job(spark, read_logs(spark, log_tree), str(tmp_path), seed=3)
     assert open(out["counts"]).read().splitlines() == [
-        "log_level,count", "INFO,812", "WARN,187", "ERROR,201", "DEBUG,0"]
+        "log_level,count", "INFO,749", "WARN,187", "ERROR,201", "DEBUG,63"]
     assert len(open(out["sample"]).read().splitlines()) == 11
     s = open(out["summary"]).read().splitlines()
     assert s[0] == "Total log lines processed: 1,262"
     assert s[1] == "Total lines with log levels: 1,200"
-    assert s[2] == "Unique log levels found: 3"
-    assert s[5] == "  INFO :        812 ( 67.67%)"
-    assert s[8] == "  DEBUG:          0 (  0.00%)"
+    assert s[2] == "Unique log levels found: 4"
+    assert s[5] == "  INFO :        749 ( 62.42%)"
+    assert s[8] == "  DEBUG:         63 (  5.25%)"
 
 
 def test_usage_job_and_skip_scan(spark, log_tree, tmp_path):
@@ -31,6 +31,12 @@ def test_usage_job_and_skip_scan(spark, log_tree, tmp_path):
     assert len(stats) == 5 + 5
     h = open(out["histogram"]).read().splitlines()
     assert len(h) == 31
+    import csv
+    from logscope.operators import timeline as TL
+    want = {r["application_id"]: r["duration_min"] for r in TL.busiest_cluster_apps(
+        TL.app_timeline(read_logs(spark, log_tree))).collect()}
+    got = {r["application_id"]: float(r["duration_min"]) for r in csv.DictReader(open(out["durations"]))}
+    assert got == want and any(v * 60 % 1 for v in want.values())      # sub-second times are kept
     again = run_usage_job(spark, None, str(tmp_path), skip_scan=True)
     assert open(again["cluster_summary"]).read() == open(out["cluster_summary"]).read()
 
@@ -47,6 +53,24 @@ def test_daily_job(spark, tmp_path):
     assert rep[0].startswith("Days with data: ") and os.path.exists(out["daily"])
 
 
+def test_events_job_reads_the_logs_once(spark, log_tree, tmp_path):
+    from logscope.jobs import run_events_job
+    tree = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(log_tree) for f in fs if f.endswith(".log"))
+    b0 = _bytes_read(spark)
+    from logscope.operators import events as EV
+    EV.event_table(read_logs(spark, log_tree))
+    assert 1.0 <= (_bytes_read(spark) - b0) / tree < 1.3
+    out = run_events_job(spark, read_logs(spark, log_tree), str(tmp_path))
+    assert len(out) == 19 and spark.read.option("header", True).csv(out["task_lifecycle"]).count() == 288
+
+
+def test_single_file_writer_does_not_narrow_the_aggregate(spark, log_tree):
+    """Below the one writer there is an exchange, so the aggregate keeps its own tasks."""
+    from logscope.operators import timeline as TL
+    plan = TL.app_timeline(read_logs(spark, log_tree), ordered=False).repartition(1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange SinglePartition") < plan.index("HashAggregate")
+
+
 def _bytes_read(spark):
     st = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
     return st.getLong("bytesRead") if st is not None else 0

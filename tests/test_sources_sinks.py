@@ -94,7 +94,7 @@ def test_csv_round_trip_keeps_text_ids(spark, tmp_path):
     write_csv(df, path)
     text = open(path).read().splitlines()
     assert text[0] == "cluster_id,application_id,app_number,start_time,end_time"
-    assert text[1] == "1485248649253,application_1485248649253_0052,0052,2017-03-29 10:04:41,2017-03-29 10:05:00"
+    assert text[1] == "1485248649253,application_1485248649253_0052,0052,2017-03-29 10:04:41.000,2017-03-29 10:05:00.500"
     back = read_timeline(spark, path).first()
     assert back["app_number"] == "0052" and back["start_time"] == dt.datetime(2017, 3, 29, 10, 4, 41)
 
@@ -140,18 +140,70 @@ def test_range_and_sql_surface(spark):
     assert d.count() == 500 and d.agg(F.max("doubled")).first()[0] == 1996
 
 
-def test_split_numbering_equals_wholetext(spark, log_tree):
-    from pyspark.sql import SparkSession  # noqa: F401
+def test_numbers_do_not_depend_on_splits(spark, log_tree, tmp_path):
+    """Many splits per file give the numbers of one split; a lone CR ends a line in both readers."""
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")   # many splits per file
+    whole = sorted(map(tuple, read_logs_numbered(spark, log_tree).select("path", "line_no", "line").collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
     try:
-        a = read_logs_numbered(spark, log_tree, method="split")
+        a = read_logs_numbered(spark, log_tree)
         assert a.rdd.getNumPartitions() > 294
-        b = read_logs_numbered(spark, log_tree, method="wholetext")
-        assert a.count() == b.count() == 1262
-        assert a.select("path", "line_no", "line").exceptAll(b.select("path", "line_no", "line")).count() == 0
+        assert sorted(map(tuple, a.select("path", "line_no", "line").collect())) == whole
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    (tmp_path / "a.log").write_bytes(b"x\ry\r\nz")
+    assert [(r["line_no"], r["line"]) for r in read_logs_numbered(spark, str(tmp_path)).orderBy("line_no").collect()] == [
+        (0, "x"), (1, "y"), (2, "z")]
+
+
+def test_listing_reads_no_content_and_finds_skipped_files(spark, log_tree, tmp_path):
+    import shutil
+
+    from logscope.sources import list_logs, unread_files
+    listing = list_logs(spark, log_tree)
+    plan = listing._jdf.queryExecution().optimizedPlan().toString()
+    assert "content" not in plan.split("Relation")[0]
+    a, b = TL.app_inventory(listing).first(), TL.app_inventory(read_logs(spark, log_tree)).first()
+    assert a == b
+    before = _bytes_read(spark)
+    TL.app_inventory(list_logs(spark, log_tree)).collect()
+    assert _bytes_read(spark) == before
+    d = tmp_path / "application_1_0001"
+    shutil.copytree(log_tree, tmp_path / "logs")
+    d.mkdir()
+    (d / "container_1_0001_01_000002.log.gz").write_bytes(b"this is not gzip data")
+    (d / "container_1_0001_01_000003.log").write_bytes(b"")
+    lost = unread_files(read_logs(spark, str(tmp_path)), list_logs(spark, str(tmp_path))).collect()
+    assert [os.path.basename(r["path"]) for r in lost] == ["container_1_0001_01_000002.log.gz"]
+
+
+def _bytes_read(spark):
+    st = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    return st.getLong("bytesRead") if st is not None else 0
+
+
+def test_period_passes_over_absent_months(spark, tmp_path):
+    import pytest
+    spark.range(3).write.parquet(str(tmp_path / "yyyy=2021" / "trips-02.parquet"))
+    assert read_period(spark, str(tmp_path), [2021], range(1, 13)).count() == 3
+    with pytest.raises(FileNotFoundError):
+        read_period(spark, str(tmp_path), [2020], range(1, 13))
+
+
+def test_profile_of_odd_column_names(spark):
+    df = spark.createDataFrame([(1, None)], "`it's` int, `a``b` string")
+    assert sorted((r["column_name"], r["num_nulls"]) for r in profile_source(df).collect()) == [("a`b", 1), ("it's", 0)]
+
+
+def test_half_written_corpus_is_replaced(spark, tmp_path):
+    from logscope.sources.fixture import _publish
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(str(tmp_path)).getFileSystem(spark._jsc.hadoopConfiguration())
+    spark.range(5).write.parquet(str(tmp_path / "new"))
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-00000.parquet").write_bytes(b"half")
+    _publish(fs, jvm, str(tmp_path / "new"), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
 
 
 def test_corrupt_file_is_skipped(spark, tmp_path):
@@ -180,25 +232,20 @@ def test_sql_over_registered_log_views(spark, fixture_lines):
 
 
 def test_stitching_on_numbered_text_files(spark, log_tree, fixture_lines):
-    """S13 + L16 on real files: per file, the stitched entries equal those of the
-    fixture (line numbers differ: per file there, global in the fixture).  The
-    text side is cut into many splits and into blocks of 8 line numbers, so
-    entries come in pieces; rejoined by entry they must give the same texts."""
+    """S13 + L16 on real files, cut into many splits and blocks of 8 line numbers: per
+    file, the entries' texts equal those of the fixture (line numbers differ: per file
+    there, global in the fixture)."""
     from logscope.operators.records import stitched_entries
 
     def entries(df, **kw):
-        got = {}
-        for r in stitched_entries(df, **kw).collect():
-            key = (r["path"].split("/logs/")[1], r["entry_line_no"])
-            got.setdefault(key, []).append((r["piece_line_no"], r["entry_text"]))
         per_file = {}
-        for (path, _), pieces in got.items():
-            per_file.setdefault(path, []).append("\n".join(t for _, t in sorted(pieces)))
+        for r in stitched_entries(df, **kw).collect():
+            per_file.setdefault(r["path"].split("/logs/")[1], []).append((r["has_header"], r["num_lines"], r["entry_text"]))
         return {p: sorted(ts) for p, ts in per_file.items()}
 
     spark.conf.set("spark.sql.files.maxPartitionBytes", "512")      # many splits per file
     try:
-        a = entries(read_logs_numbered(spark, log_tree), chunk_lines=8)
+        a = entries(read_logs_numbered(spark, log_tree), block_lines=8)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     b = entries(fixture_lines)

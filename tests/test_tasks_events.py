@@ -61,29 +61,57 @@ def test_event_extractors(spark):
     assert hosts == {"mesos-slave-7": (1, 1), "mesos-master-1": (1, 1), "10.10.34.11": (1, 1)}
 
 
+def _entries(df):
+    return sorted((r["entry_line_no"], r["num_lines"], r["has_header"], r["entry_text"]) for r in df.collect())
+
+
 def test_stitched_entries_multiline(spark):
-    logs = _logs(spark, ["   orphan", "17/03/29 10:04:41 INFO A: x", "   k -> v", "   k2",
+    logs = _logs(spark, ["   orphan", "   orphan 2", "17/03/29 10:04:41 INFO A: x", "   k -> v", "   k2",
                          "17/03/29 10:04:42 INFO B: y"])
-    e = sorted((r["piece_line_no"], r["entry_line_no"], r["num_lines"], r["has_header"], r["entry_text"])
-               for r in RC.stitched_entries(logs).collect())
-    assert e == [(0, None, 1, False, "   orphan"),
-                 (1, 1, 3, True, "17/03/29 10:04:41 INFO A: x\n   k -> v\n   k2"),
-                 (4, 4, 1, True, "17/03/29 10:04:42 INFO B: y")]
-
-
-def test_stitched_entries_across_chunks(spark):
-    lines = ["17/03/29 10:04:41 INFO A: x"] + [f"  c{i}" for i in range(9)] + ["17/03/29 10:04:42 INFO B: y"]
-    a = RC.stitched_entries(_logs(spark, lines), chunk_lines=4).orderBy("piece_line_no").collect()
-    # the first entry (lines 0-9) is cut into pieces of at most 4 lines, all keyed by its header
-    assert [(r["entry_line_no"], r["piece_line_no"], r["num_lines"]) for r in a] == [
-        (0, 0, 4), (0, 4, 4), (0, 8, 2), (10, 10, 1)]
-    whole = "\n".join(r["entry_text"] for r in a[:3])
-    assert whole == "\n".join(lines[:10])
-
-
-def test_headerless_file_is_cut_into_bounded_pieces(spark):
-    a = RC.stitched_entries(_logs(spark, [f"  c{i}" for i in range(10)]), chunk_lines=3).collect()
-    assert sorted(r["num_lines"] for r in a) == [1, 3, 3, 3] and all(not r["has_header"] for r in a)
+    assert _entries(RC.stitched_entries(logs)) == [
+        (0, 1, False, "   orphan"), (1, 1, False, "   orphan 2"),
+        (2, 3, True, "17/03/29 10:04:41 INFO A: x\n   k -> v\n   k2"),
+        (5, 1, True, "17/03/29 10:04:42 INFO B: y")]
+
+
+def test_stitched_entries_do_not_depend_on_blocks(spark):
+    """Entries over several blocks, blocks without a header, headers at block borders: one row each."""
+    lines = (["  before"] * 3 + ["17/03/29 10:04:41 INFO A: x"] + [f"  c{i}" for i in range(9)]
+             + ["17/03/29 10:04:42 INFO B: y", "17/03/29 10:04:43 INFO C: z", "  c", "17/03/29 10:04:44 INFO D: z"])
+    whole = _entries(RC.stitched_entries(_logs(spark, lines)))
+    assert len(whole) == 3 + 4 and whole[3][1] == 10 and whole[3][3] == "\n".join(lines[3:13])
+    for n in (1, 2, 3, 4, 5, 7):
+        assert _entries(RC.stitched_entries(_logs(spark, lines), block_lines=n)) == whole
+
+
+def test_headerless_file_stays_single_lines(spark):
+    a = _entries(RC.stitched_entries(_logs(spark, [f"  c{i}" for i in range(10)]), block_lines=3))
+    assert a == [(i, 1, False, f"  c{i}") for i in range(10)]
+
+
+def test_finished_without_time_counts_as_finished(spark):
+    logs = _logs(spark, ["17/01/01 00:00:00 INFO executor.Executor: Running task 0.0 in stage 1.0 (TID 1)",
+                         "executor.Executor: Finished task 0.0 in stage 1.0 (TID 1)"])
+    t = TK.task_lifecycle(logs).first()
+    assert t["finished"] and t["duration_sec"] is None
+    assert TK.unfinished_tasks(logs).first()["unfinished_tasks"] == 0
+
+
+def test_event_table_gives_the_same_results_as_lines(spark, fixture_lines):
+    """Each operator over the one-pass event table equals the same operator over the lines."""
+    from logscope.jobs.events import BY_EVENT
+    events = EV.event_table(fixture_lines)
+    for name, fn in BY_EVENT.items():
+        a, b = fn(events), fn(fixture_lines)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
+    assert sorted(map(str, TK.task_lifecycle(events).collect())) == sorted(map(str, TK.task_lifecycle(fixture_lines).collect()))
+
+
+def test_line_of_two_kinds_gives_two_events(spark):
+    logs = _logs(spark, ["17/01/01 00:00:00 ERROR executor.Executor: Running task 0.0 in stage 1.0 (TID 1) and Found block rdd_1_2 locally"])
+    ev = {r["kind"]: r["g"] for r in EV.parse_events(logs).collect()}
+    assert ev == {"error": [""], "task": ["Running", "0", "0", "1", "0", "1"], "cache_hit": ["rdd_1_2", "locally"]}
+    assert EV.cache_hits_by_rdd(logs).first()["rdd_id"] == 1
 
 
 def test_parse_audit(spark):

@@ -12,7 +12,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from logscope.plans.catalog import QUERIES  # noqa: E402
-from logscope.plans.explain import plan_summary  # noqa: E402
+from logscope.plans.explain import plan_summary, untruncated  # noqa: E402
 from logscope.session import get_session  # noqa: E402
 
 
@@ -23,9 +23,10 @@ def main():
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.sparkContext.setLogLevel("ERROR")
     rows = []
-    for name, fn in QUERIES.items():
-        s = plan_summary(fn(spark, sf))
-        rows.append((name, s))
+    with untruncated(spark):
+        for name, fn in QUERIES.items():
+            s = plan_summary(fn(spark, sf))
+            rows.append((name, s))
     out = ["# PLANS — physical plan shape of every registered query", "",
            f"Generated by `tools/plan_report.py` on `{sf}` (static plans, adaptive execution off; "
            "queries over the log corpus read its stored parquet table; the histogram and "
@@ -44,9 +45,9 @@ def main():
             "into a checkpointed per-application timeline (and durations) table; the scans listed here "
             "read those small tables (top-1 cluster, bounds subqueries, bin counts).",
             "* `request_shapes`: both scans read the checkpointed per-shape table (grand total and rows).",
-            "* `stitched_entries`: the second scan feeds the per-(file, block) header maxima that carry the "
-            "latest header across blocks; it is a partial aggregate (one row per block), joined back by "
-            "broadcast when small.",
+            "* `stitched_entries`: the lines are scanned and shuffled once, into the stored pieces; the scans "
+            "listed here read those pieces (most of them narrow columns only).",
+            "* Event and task queries read the stored event table, one `kind` partition each.",
             "* Every single-partition exchange follows a partial aggregate (one row per task) or a "
             "bounded top-k; windows are partitioned by file/block or by application over per-stage rows, "
             "except the row numbering of the 5-row top-k in `usage_report`.",
