@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logscope.llm.common import cut
+from logscope.llm.common import cut, shipped
 from logscope.llm.decontamination import drop_contaminated
 from logscope.llm.language import identify, train_text
 from logscope.llm.packing import pack_documents
@@ -53,6 +53,7 @@ STAGES = [
     ("decontamination", drop_benchmark_leaks),
     ("packing", pack),
 ]
+STAGES = [(name, shipped(stage)) for name, stage in STAGES]
 
 #: A trained model, language posteriors and hash chains are beyond SQL; see tests/llm.
 ORACLE_SQL = None

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
+
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logscope.session import materialize
@@ -11,6 +16,39 @@ from logscope.session import materialize
 LONG = 1 << 64
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` does, once per application, so that
+    Python workers can import it wherever the driver found it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import logscope
+
+    parent, name = os.path.split(os.path.dirname(os.path.abspath(logscope.__file__)))
+    # in the driver's own folder of this application, from which Spark serves it to the executors
+    archive = os.path.join(tempfile.mkdtemp(dir=sc._temp_dir), f"{name}-code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for at, _, files in os.walk(os.path.join(parent, name)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    z.write(os.path.join(at, f), os.path.relpath(os.path.join(at, f), parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+def shipped(query):
+    """``query(spark, ...)`` with the package shipped first."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        ship(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written once as a table in the shared checkpoint folder and read back."""
     return materialize(df, df.sparkSession)

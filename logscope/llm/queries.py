@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from logscope.sources import read_table
 
+from .common import shipped
 from .decontamination import contamination
 from .language import identify, page_evidence, train_text
 from .licenses import scan_licenses
@@ -110,5 +111,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES["pipeline"] = pipeline
+QUERIES = {name: shipped(query) for name, query in (QUERIES | {"pipeline": pipeline}).items()}
 ORACLE: dict[str, str] = {}
