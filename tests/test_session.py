@@ -40,15 +40,16 @@ def test_fallback_folder_serves_materialize(tmp_path):
         "from pyspark.sql import SparkSession\n"
         "from logscope.session import ensure_checkpoint_dir, materialize\n"
         "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
-        ".config('spark.checkpoint.dir', '').getOrCreate()\n"
+        ".getOrCreate()\n"
         "from logscope.session import checkpoint_dir\n"
         "assert not checkpoint_dir(s)\n"
         f"ensure_checkpoint_dir(s, r'{tmp_path}')\n"
         "assert materialize(s.range(4), strict=True).count() == 4\n"
         "s.stop()\n")
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120,
-                          env={k: v for k, v in os.environ.items() if k != "PYSPARK_SUBMIT_ARGS"})
+    (tmp_path / "conf").mkdir()         # no site settings
+    env = {k: v for k, v in os.environ.items() if k != "PYSPARK_SUBMIT_ARGS"} | {"SPARK_CONF_DIR": str(tmp_path / "conf")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120, env=env)
     assert done.returncode == 0, done.stderr[-2000:]
 
 
@@ -60,6 +61,39 @@ def test_ids_above_9999_stay_apart(spark):
     assert len(apps) == 4
 
 
+def _fallbacks(node) -> int:
+    """Sum of the metric "number of sort fallback tasks" below a physical plan node."""
+    metric = node.metrics().get("numTasksFallBacked")
+    n = metric.get().value() if metric.isDefined() else 0
+    children = node.children()
+    return n + sum(_fallbacks(children.apply(i)) for i in range(children.size()))
+
+
 def test_percentiles_do_not_fall_back_to_sorting(spark):
-    """366 days in a task: more groups than Spark's default threshold, fewer than the profile's."""
-    assert int(spark.conf.get("spark.sql.objectHashAggregate.sortBased.fallbackThreshold")) > 366
+    """More groups in a task than Spark's default threshold (128), fewer than the profile's."""
+    from logscope.operators import tasks as TK
+    from logscope.plans.catalog import LINEITEM_SPEC
+    from logscope.operators.daily import daily_summary
+    from logscope.sources import log_events, read_table
+
+    from conftest import SF_MID
+
+    def run():
+        daily = daily_summary(read_table(spark, SF_MID, "lineitem"), LINEITEM_SPEC, 1996, ordered=False)
+        skew = TK.stage_skew(TK.task_lifecycle(log_events(spark, SF_MID)))
+        out = []
+        for df in (daily, skew):
+            df.collect()
+            out.append(_fallbacks(df._jdf.queryExecution().executedPlan()))
+        return out
+
+    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    raised = spark.conf.get(key)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert run() == [0, 0]
+        spark.conf.set(key, "128")
+        assert run()[0] > 0         # what the profile avoids
+    finally:
+        spark.conf.set(key, raised)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
