@@ -284,7 +284,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     first, n = fresh(docs, "_first", "_n")
     groups = simhash_groups(docs, doc_id, text, words, max_bits)
     kept = cut(groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias(first)).agg(F.count(F.lit(1)).alias(n)))
-    out = docs.join(kept.select(first), docs[doc_id] == F.col(first), "left_semi")
+    # the kept ids grow with the documents: a shuffled join at every size
+    out = docs.join(kept.select(first).hint("shuffle_merge"), docs[doc_id] == F.col(first), "left_semi")
     if kept.filter(F.col(n) > 1).limit(1).count():
         out = out.dropDuplicates([doc_id])
     return out.unionByName(docs.filter(F.col(doc_id).isNull()))
