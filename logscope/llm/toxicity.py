@@ -9,8 +9,8 @@ numpy, so an unseen misspelling or inflection is scored by the n-gram vectors it
 words seen in training.
 
 Training takes at most ``SAMPLE_ROWS`` labelled documents (those with the smallest seeded hash of
-the id; the bound is a parameter).  Their bags are made in tasks from the whole texts, and only
-feature counts reach the driver, each bag bounded by the table's rows.  The trained model (one
+the id; the bound is a parameter).  Their bags are made in tasks from the whole texts, each bag
+bounded by the table's rows, and one task trains on them; only the model reaches the driver.  The trained model (one
 number per row, since the softmax of two classes needs only the difference of the logits) has a fixed size.
 Scoring is a scalar column: no shuffle, and every word of every text counts.
 
@@ -36,7 +36,7 @@ from pyspark.sql.functions import arrow_udf
 
 from .common import texts
 
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 5000
 ROWS = 1 << 18          # of the embedding table
 DIM = 4
 GRAMS = (3, 4, 5)
@@ -168,7 +168,7 @@ def _bags(text: str) -> Column:
     @arrow_udf("struct<ids:binary,counts:binary>")
     def run(arr: pa.Array) -> pa.Array:
         got = [bag(t) for t in texts(arr)]
-        cols = [pa.array([g[k].tobytes() for g in got], pa.binary()) for k in (0, 1)]
+        cols = [pa.array([g[k].astype(t).tobytes() for g in got], pa.binary()) for k, t in ((0, "<i4"), (1, "<f2"))]
         return pa.StructArray.from_arrays(cols, names=["ids", "counts"])
 
     return run(text)
@@ -179,14 +179,29 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Train on at most ``sample_rows`` rows of ``labels`` (doc_id, label) joined with their texts."""
     pick = (labels.select(F.col(doc_id).alias("_id"), F.col(label).alias("_y")).filter("_id IS NOT NULL AND _y IN (0, 1)")
             .dropDuplicates(["_id"]).orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(sample_rows))
-    # at most sample_rows narrow rows, so the broadcast is bounded
+    # at most sample_rows narrow rows, so the broadcast is bounded; ids that repeat in docs give more rows
     rows = (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).join(F.broadcast(pick), "_id")
             .select("_id", "_y", F.xxhash64("_t").alias("_h"), _bags("_t").alias("_b"))
-            .select("_id", "_y", "_h", "_b.*").collect())
-    rows.sort(key=lambda r: (r["_id"], r["_h"]))       # the order of arrival must not matter
-    rows = rows[:2 * sample_rows]                       # ids that repeat in docs: bounded as well
-    bags = [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.float32)) for r in rows]
-    return train(bags, np.array([r["_y"] for r in rows], np.int64), seed=seed)
+            .select("_id", "_h", "_y", "_b.*"))
+    rows = rows.orderBy("_id", "_h", "_y").limit(2 * sample_rows)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags, labels = [], []
+        for b in batches:
+            labels += b.column(2).to_pylist()
+            bags += [(np.frombuffer(i, np.int32), np.frombuffer(c, "<f2").astype(np.float32))
+                     for i, c in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
+        m = train(bags, np.array(labels, np.int64), seed=seed)
+        yield pa.RecordBatch.from_arrays([pa.array([m.rows.tobytes()], pa.binary()), pa.array([m.bias]), pa.array([m.trained])],
+                                         names=["rows", "bias", "trained"])
+
+    # one task trains on the bounded sample, in an order that doesn't depend on arrival; only the model
+    # (1 MB) comes to the driver
+    got = (rows.repartition(1).sortWithinPartitions("_id", "_h", "_y")
+           .mapInArrow(learn, "rows binary, bias double, trained boolean").collect())
+    if not got:
+        return train([], np.empty(0, np.int64))
+    return Model(np.frombuffer(got[0]["rows"], np.float32), got[0]["bias"], got[0]["trained"])
 
 
 def held_out(doc_id: str = "doc_id", mod: int = 5, rest: int = 0) -> Column:
