@@ -40,7 +40,7 @@ SAMPLE_ROWS = 5000
 ROWS = 1 << 18          # of the embedding table
 DIM = 4
 GRAMS = (3, 4, 5)
-PRIOR = 200.0           # features of a neutral text that every bag is averaged with
+PRIOR = 500.0           # features of a neutral text that every bag is averaged with
 SEED = 8
 MEMO_ENTRIES = 500_000
 
@@ -83,8 +83,8 @@ class Model:
     trained: bool = True
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 6, batch: int = 32,
-          rate: float = 3.0, floor: float = 1e-7, seed: int = SEED) -> Model:
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 8, batch: int = 32,
+          rate: float = 4.0, floor: float = 1e-7, seed: int = SEED) -> Model:
     """Joint Adagrad training of embeddings and softmax over (rows, counts) bags."""
     labels = np.asarray(labels, np.int64)
     use = [i for i in range(len(bags)) if len(bags[i][0])]
