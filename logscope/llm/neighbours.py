@@ -40,7 +40,7 @@ from .common import cut
 SAMPLE_ROWS = 20_000
 CODES = 64
 ROUNDS = 8
-SHARE = 0.3
+SHARE = 0.5
 LEAST = 2000
 BLOCK = 4096
 SEED = 10
