@@ -271,8 +271,10 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     linked = distinct.join(found, distinct.fp == found.node).select("fp", "rep", "root")
     smallest = linked.groupBy("root").agg(F.min("rep").alias("first"))
     linked = linked.join(smallest, "root").select("fp", "first")
-    group = (distinct.join(linked, "fp", "left")
-             .select("fp", F.coalesce("first", "rep").alias("component_id")))
+    # stored, so that the last join reads two plain shuffles and a fingerprint that very many
+    # documents share is split by the skew join
+    group = cut(distinct.join(linked, "fp", "left")
+                .select("fp", F.coalesce("first", "rep").alias("component_id")))
     return prints.join(group, "fp").select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
