@@ -43,7 +43,7 @@ from .common import raw, total_bytes
 from .elias_fano import EliasFano, Levels
 
 CHUNK_BYTES = 16 << 20
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 ROWS_OF_SHARDS = 32
 MASS, GROWTH = 2.0, 0.9
 SEED = 7
@@ -205,31 +205,23 @@ def _asked(row: dict) -> dict:
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shard -> the answers of each shard to each chunk; token rows pass."""
-    now, parts = None, []
-
-    def answers() -> Iterator[pa.RecordBatch]:
-        trie = _merge(parts)
-        n, v = int(trie.word_n.sum(dtype=np.int64)), trie.words.n
-        for p in parts:
-            yield _row(p["chunk"], now, ASKED, None, trie.count(p["words"]), None, None, None,
-                       trie.pair_codes(p["ctx"], p["ctx_n"], p["succ"]), n=n, v=v)
-        trie.store.close()
-
+    """All rows of a shard (a partition holds one) -> its answers to each chunk; token rows pass."""
+    shards: dict[int, list[dict]] = {}
     for b in batches:
         for i in range(b.num_rows):
             one = b.slice(i, 1)
             if one.column(2)[0].as_py() == TOKENS:
                 yield one
-                continue
-            row = one.to_pylist()[0]
-            if row["shard"] != now:
-                if parts:
-                    yield from answers()
-                now, parts = row["shard"], []
-            parts.append(_asked(row))
-    if parts:
-        yield from answers()
+            else:
+                row = one.to_pylist()[0]
+                shards.setdefault(row["shard"], []).append(_asked(row))
+    for shard, parts in shards.items():
+        trie = _merge(parts)
+        n, v = int(trie.word_n.sum(dtype=np.int64)), trie.words.n
+        for p in parts:
+            yield _row(p["chunk"], shard, ASKED, None, trie.count(p["words"]), None, None, None,
+                       trie.pair_codes(p["ctx"], p["ctx_n"], p["succ"]), n=n, v=v)
+        trie.store.close()
 
 
 def _score_chunk(tokens: dict, answers: list[dict], mass: float, growth: float) -> pa.RecordBatch:
@@ -288,6 +280,7 @@ def score_texts(docs: DataFrame, is_train: Column, doc_id: str = "doc_id", text:
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.coalesce(is_train, F.lit(False)).alias("train"))
     asked = rows.mapInArrow(_chunks(shards, chunk_bytes), SCHEMA)
-    answered = asked.repartition("shard").sortWithinPartitions("shard").mapInArrow(_answer, SCHEMA)
+    # one partition per shard, so the rows need no sorting
+    answered = asked.repartitionById(shards, "shard").mapInArrow(_answer, SCHEMA)
     return answered.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(
         _score(mass, growth), "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
