@@ -41,6 +41,7 @@ ROWS = 1 << 18          # of the embedding table
 DIM = 4
 GRAMS = (3, 4, 5)
 PRIOR = 500.0           # features of a neutral text that every bag is averaged with
+LEAST_STEPS = 400       # of training, however few rows there are
 SEED = 8
 MEMO_ENTRIES = 500_000
 
@@ -97,10 +98,13 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     bias[:] = np.log([1 - share, share])
     g_emb, g_soft, g_bias = np.full(ROWS, floor, np.float32), np.full_like(soft, 1e-8), np.full_like(bias, 1e-8)
     onehot = np.eye(2, dtype=np.float32)[labels]
+    epochs = max(epochs, -(-LEAST_STEPS * batch // len(use)))
+    step, steps, top = 0, epochs * -(-len(use) // batch), rate
     for _ in range(epochs):
         order = rng.permutation(use)
         for k in range(0, len(order), batch):
             at = order[k:k + batch]
+            rate, step = top * (1 - step / steps), step + 1     # falls evenly to nothing
             size = np.array([len(bags[i][0]) for i in at])
             seg = np.repeat(np.arange(len(at)), size)
             rows = np.concatenate([bags[i][0] for i in at])
