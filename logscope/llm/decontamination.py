@@ -1,7 +1,9 @@
 """Benchmark decontamination (operator 2): q-gram lemma filtering and banded alignment.
 
-Texts are compared as normalised bytes: A-Z lower-cased, ASCII punctuation removed, white space
-single.  Each benchmark item is cut into passages of ``PASSAGE`` bytes that overlap by half (a shorter
+Texts are compared as normalised bytes: lower-cased by Unicode, ASCII punctuation removed, white space
+single.  An item is found by either of two rules, for edits of letters and for excerpts.
+
+*Passages.*  Each benchmark item is cut into passages of ``PASSAGE`` bytes that overlap by half (a shorter
 item is one passage; the last one ends with the item).  A document is contaminated by an item
 when some region of it is within ``k = floor(EDIT_RATE * m)`` edits of one of its passages (m bytes).
 
@@ -14,12 +16,20 @@ are left out.  The bound is positive as ``EDIT_RATE * q < 1``.
 *Verify.*  What the filter retains is aligned inside its band by dynamic programming (free ends
 in the document), all regions of a batch side by side.
 
+*Runs.*  A document is also contaminated by an item when any ``WORDS`` words of the item that follow
+each other, wherever they start, are within ``WORD_EDITS`` words (replaced, left out or put in) of some run of
+its words.  An item of 8 to 12 words must be there whole within one word, a shorter one exactly.  By the
+pigeonhole principle such a run holds ``GRAM`` words in sequence unchanged; these are the seeds, one for
+each exact run, and are extended to both sides by dynamic programming over words.  So the rule is exact.
+Words are what white space parts: a text in a script without spaces is met by the passage rule alone.
+
 The benchmark is the stated query set: it is collected in blocks of at most ``BLOCK_BYTES`` of text (a
 longer item is a block of its own), and each block is broadcast and met by all documents.  Documents are
 never shuffled; memory per task is bounded by a slice of a document and its hits.
 
-Defined cases: null texts count as empty and are clean; items shorter than ``MIN_ITEM`` normalised bytes are no
-evidence and are skipped; equal items are all reported; repeated documents are reported
+Defined cases: null texts count as empty and are clean; items shorter than ``MIN_ITEM`` normalised bytes
+have no passage and are found by words alone; one of fewer than three words and ``MIN_SHORT`` bytes
+is found only where it is the whole text; an item without letters or digits is skipped; equal items are all reported; repeated documents are reported
 each; an empty benchmark leaves all documents clean.
 """
 
@@ -41,6 +51,10 @@ PASSAGE = 96
 EDIT_RATE = 0.05
 BAND = 16
 MIN_ITEM = 40
+WORDS = 13
+WORD_EDITS = 2
+GRAM = 4
+MIN_SHORT = 16
 BLOCK_BYTES = 1 << 20
 SLICE = 1 << 20
 
@@ -49,7 +63,24 @@ _MARKS = string.punctuation.encode()
 
 
 def normalise(text: bytes) -> bytes:
-    return b" ".join(text.translate(_TABLE, _MARKS).split())
+    text = text.translate(_TABLE, _MARKS)
+    if not text.isascii():
+        text = text.decode("utf-8", "surrogateescape").lower().encode("utf-8", "surrogateescape")
+    return b" ".join(text.split())
+
+
+def groups(docs: list[bytes]) -> Iterator[list[bytes]]:
+    """Normalised texts, short ones side by side in groups of about ``SLICE`` bytes."""
+    group: list[bytes] = []
+    size = 0
+    for t in docs:
+        t = normalise(t)
+        if group and size + len(t) > SLICE:
+            yield group
+            group, size = [], 0
+        group.append(t)
+        size += len(t)
+    yield group
 
 
 def qgrams(buf: np.ndarray) -> np.ndarray:
@@ -152,19 +183,10 @@ class Passages:
 
     def items_in(self, docs: list[bytes]) -> list[list[int]]:
         """Sorted ids of the items found in each text."""
-        out: list[list[int]] = []
-        group: list[bytes] = []
-        size = 0
-        for t in docs:      # short texts side by side, apart by a byte that no text keeps
-            t = normalise(t)
-            if group and size + len(t) > SLICE:
-                out += self._items(group)
-                group, size = [], 0
-            group.append(t)
-            size += len(t)
-        return out + self._items(group)
-
-    def _items(self, group: list[bytes]) -> list[list[int]]:
+        return [f for group in groups(docs) for f in self.items_of(group)]
+
+    def items_of(self, group: list[bytes]) -> list[list[int]]:
+        """Sorted ids of the items found in each of some normalised texts."""
         found: list[set[int]] = [set() for _ in group]
         gap = b"\0" * (PASSAGE // 2)
         buf = np.frombuffer(gap + gap.join(group) + gap, np.uint8)
@@ -179,12 +201,149 @@ class Passages:
         return [sorted(f) for f in found]
 
 
+_NO_ITEM, _NO_DOC = np.uint64(0), np.uint64(1)      # words that end an item, a text
+_FACTOR = 0x9E3779B97F4A7C15
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word of a normalised text, made in slices."""
+    out, a = [], 0
+    while a < len(text):
+        b = len(text) if len(text) - a <= SLICE else text.rfind(b" ", a, a + SLICE)
+        b = b if b > a else a + SLICE       # a longer word is cut
+        buf = np.frombuffer(text, np.uint8, b - a, a)
+        space = np.flatnonzero(buf == 32)
+        start = np.r_[0, space + 1]
+        size = np.diff(np.r_[start, len(buf) + 1])
+        power = np.cumprod(np.full(int(size.max()), _FACTOR, np.uint64))
+        place = np.arange(len(buf) + 1) - np.repeat(start, size)
+        h = np.add.reduceat((np.r_[buf, np.uint8(32)].astype(np.uint64) + np.uint64(1)) * power[place], start)
+        out.append(h ^ (h >> np.uint64(31)))
+        a = b + (text[b:b + 1] == b" ")
+    h = np.concatenate(out) if out else np.empty(0, np.uint64)
+    return np.maximum(h, np.uint64(2))
+
+
+def word_grams(words: np.ndarray, q: int) -> np.ndarray:
+    """A 64-bit mix of each q words in sequence."""
+    h = np.zeros(max(len(words) - q + 1, 0), np.uint64)
+    for k in range(q):
+        h = (h ^ words[k:k + len(h)]) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+class Runs:
+    """Word index of one block of benchmark items."""
+
+    def __init__(self, items: list[tuple[int, bytes]]):
+        self.whole: dict[bytes, list[int]] = {}
+        self.item, words, at, budget, want = [], [], [WORDS], [], []
+        for item, t in items:
+            t = normalise(t)
+            w = word_hashes(t)
+            if not len(w):
+                continue
+            if len(w) < 3 and len(t) < MIN_SHORT:
+                self.whole.setdefault(t, []).append(item)
+                continue
+            self.item.append(item)
+            words += [w, np.full(WORDS, _NO_ITEM)]
+            at.append(at[-1] + len(w) + WORDS)
+            want.append(min(len(w), WORDS))
+            budget.append(WORD_EDITS if len(w) >= WORDS else int(len(w) >= 2 * GRAM))
+        self.words = np.concatenate([np.full(WORDS, _NO_ITEM), *words])
+        self.start = np.array(at[:-1], np.int64)
+        self.want, self.budget = np.array(want, np.int64), np.array(budget, np.int64)
+        self.grams = {}
+        for q in range(1, GRAM + 1):        # items shorter than a seed are a seed of their own
+            h = word_grams(self.words, q)
+            own = np.repeat(self.want, np.diff(np.r_[self.start, len(self.words)])) if len(self.start) else np.empty(0, np.int64)
+            own = np.r_[np.zeros(len(self.words) - len(own), np.int64), own][:len(h)]
+            full = (self.words[:len(h)] != _NO_ITEM) & (self.words[q - 1:] != _NO_ITEM)
+            place = np.flatnonzero(full & (own == q if q < GRAM else own >= GRAM))
+            if not len(place):
+                continue
+            place = place[np.argsort(h[place], kind="stable")]
+            bits = max(16, (16 * len(place)).bit_length())
+            seen = np.zeros(1 << bits, bool)
+            seen[h[place] >> np.uint64(64 - bits)] = True
+            self.grams[q] = (h[place], place, seen, np.uint64(64 - bits))
+
+    def reach(self, words: np.ndarray, i: np.ndarray, p: np.ndarray, step: int) -> list[np.ndarray]:
+        """How many words of the item, from ``i`` on in direction ``step``, align with the text's from
+        ``p`` on within 0, 1, ... WORD_EDITS edits; at most WORDS - GRAM count."""
+        k, far = WORD_EDITS, 1 << 20
+        cost = np.full((len(i), 2 * k + 1), far, np.int32)
+        cost[:, k:] = np.arange(k + 1)
+        out = [np.zeros(len(i), np.int64) for _ in range(k + 1)]
+        for r in range(WORDS - GRAM):
+            word = self.words[i + step * r]
+            new = np.stack([cost[:, c] + (words[p + step * (r + c - k)] != word) for c in range(2 * k + 1)], axis=1)
+            new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)       # a word of the item is missing
+            for c in range(1, 2 * k + 1):
+                new[:, c] = np.minimum(new[:, c], new[:, c - 1] + 1)     # the text has a word more
+            new[word == _NO_ITEM] = far
+            cost = new
+            least = cost.min(axis=1)
+            for e in range(k + 1):
+                out[e] += least <= e
+        return out
+
+    def items_of(self, group: list[bytes]) -> list[list[int]]:
+        """Sorted ids of the items found in each of some normalised texts."""
+        found: list[set[int]] = [set(self.whole.get(t, ())) for t in group]
+        if not self.grams:
+            return [sorted(f) for f in found]
+        gap = np.full(WORDS, _NO_DOC)
+        parts = [word_hashes(t) for t in group]
+        words = np.concatenate([gap, *(x for w in parts for x in (w, gap))])
+        start = np.cumsum([len(gap)] + [len(w) + len(gap) for w in parts])[:-1]
+        for q, (gram, place, seen, shift) in self.grams.items():
+            h = word_grams(words, q)
+            at = np.flatnonzero(seen[h >> shift])
+            lo = np.searchsorted(gram, h[at])
+            n = np.searchsorted(gram, h[at], "right") - lo
+            at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
+            end = np.cumsum(n)
+            for a in range(0, int(end[-1]) if len(end) else 0, SLICE >> 3):     # so many seeds at a time
+                nth = np.arange(a, min(a + (SLICE >> 3), int(end[-1])))
+                x = np.searchsorted(end, nth, "right")
+                i, p = place[lo[x] + nth - (end[x] - n[x])], at[x]
+                if q == GRAM:       # the first seed of an exact run stands for all
+                    first = self.words[i - 1] != words[p - 1]
+                    i, p = i[first], p[first]
+                own = np.searchsorted(self.start, i, "right") - 1
+                ok = np.ones(len(i), bool)
+                if q == GRAM:
+                    left, right = self.reach(words, i - 1, p - 1, -1), self.reach(words, i + q, p + q, 1)
+                    ok = np.zeros(len(i), bool)
+                    for e in range(WORD_EDITS + 1):
+                        for f in range(WORD_EDITS + 1 - e):
+                            ok |= (e + f <= self.budget[own]) & (left[e] + q + right[f] >= self.want[own])
+                doc = np.searchsorted(start, p[ok], "right") - 1
+                for o, d in set(zip(own[ok].tolist(), doc.tolist())):
+                    found[d].add(self.item[o])
+        return [sorted(f) for f in found]
+
+
+class Index:
+    """Both rules over one block of benchmark items."""
+
+    def __init__(self, items: list[tuple[int, bytes]]):
+        self.rules = (Passages(items), Runs(items))
+
+    def items_in(self, docs: list[bytes]) -> list[list[int]]:
+        """Sorted ids of the items found in each text."""
+        return [sorted({*a, *b}) for group in groups(docs) for a, b in zip(*(x.items_of(group) for x in self.rules))]
+
+
 def _item_block_column(text: Column, block: list[tuple[int, bytes]], spark) -> Column:
     shared = spark.sparkContext.broadcast(block)
 
     @arrow_udf("array<long>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = Passages(shared.value)
+        index = Index(shared.value)
         for arr in batches:
             yield pa.array(index.items_in(raw(arr)), pa.list_(pa.int64()))
 
