@@ -3,7 +3,9 @@ import random
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from logscope.llm import decontamination as D
+from logscope.llm import language as G
 
 
 # ------------------------------------------------------------------ decontamination
@@ -83,3 +85,39 @@ def test_decontamination_drops_an_excerpt(spark, docs_of):
     assert [r["items"] for r in D.contamination(docs, bench).orderBy("doc_id").collect()] == [[7], []]
     assert [r["doc_id"] for r in D.drop_contaminated(docs, bench).collect()] == [2]
     assert D.contamination(docs, bench).filter(F.size("items") > 0).count() == 1
+
+
+# ------------------------------------------------------------------ language
+def prose(rng, letters, n):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 5))) for _ in range(n))
+
+
+def test_a_rare_language_is_identified(spark, tmp_path):
+    """One language at 0.1 % of the rows in another script, one in the same script."""
+    rng = random.Random(8)
+    common = ["th", "er", "on", "an", "re", "a", "in"]
+    rows = [(i, prose(rng, common, 30), "en", "s") for i in range(10_000)]
+    rows += [(20_000 + i, prose(rng, ["και", "το", "αν", "ος", "η", "με"], 30), "el", "s") for i in range(10)]
+    rows += [(30_000 + i, prose(rng, ["ij", "aa", "oe", "ge", "k", "cht"], 30), "nl", "s") for i in range(10)]
+    rows += [(40_000, rows[0][1], "zz", "s")]        # one row is no language
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = G.train_text(docs)
+    assert model.languages == ["el", "en", "nl"]
+    got = {r["doc_id"]: r for r in G.identify(docs, model, declared="lang", host="source").collect()}
+    assert len(got) == len(rows) and all(got[i]["accepted"] for i, *_ in rows)
+    assert all(got[i]["language"] == x for i, _, x, _ in rows if x != "zz")
+    kept = corpus_pipeline.keep_identified(spark, docs, str(tmp_path))
+    assert kept.count() == len(rows)
+
+
+def test_many_languages_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(G, "HELD", 7)
+    rng = random.Random(9)
+    rows = [(k * 100 + i, prose(rng, [chr(0x400 + 8 * k + x) for x in range(8)], 30), "l" + chr(97 + k // 26) + chr(97 + k % 26), f"h{k}.site.x")
+            for k in range(60) for i in range(12)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = G.train_text(docs)
+    assert len(model.languages) == 60
+    got = {r["doc_id"]: r for r in G.identify(docs, model, declared="lang", host="source").collect()}
+    assert all(got[i]["language"] == x and got[i]["accepted"] for i, _, x, _ in rows)
