@@ -20,7 +20,8 @@ dimensions the nearest 20 of 50,000 lie only slightly beyond the rest (see READM
 
 Defined cases: vectors that are null, zero, of another dimension than most, or hold null or
 non-finite parts take no part; rows with a null id neither; equal vectors tie, smaller id first; repeated
-ids are rows of their own, and a query excludes every row of its own id; fewer than ``k``
+ids are rows of their own, and a query excludes every row of its own id; an id's different vectors are
+queries of their own with ``k`` rows each (a vector repeated under its id asks once); fewer than ``k``
 candidates are all returned; an empty table gives an empty result.
 """
 
@@ -111,7 +112,7 @@ def _probes(codes: tuple[np.ndarray, np.ndarray], dim: int, size: np.ndarray, bl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, x = b.column(0).to_pylist(), _matrix(b.column(1), dim)
+            ids, x, asked = b.column(0).to_pylist(), _matrix(b.column(1), dim), b.column(2).to_pylist()
             s1, s2 = x[:, :half] @ codes[0].T, x[:, half:] @ codes[1].T
             for q, id_ in enumerate(ids):
                 cells = np.array(walk(s1[q], s2[q], size, want), np.int32)
@@ -126,22 +127,22 @@ def _probes(codes: tuple[np.ndarray, np.ndarray], dim: int, size: np.ndarray, bl
                 if m:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(at[edge].astype(np.int32)), pa.array(np.ones(m, np.int32)), pa.array(np.full(m, id_, np.int64)),
-                         pa.array([x[q]] * m, pa.list_(pa.float64())), pa.array([g.tolist() for g in groups], pa.list_(pa.int32()))],
-                        names=["block", "kind", "id", "v", "cells"])
+                         pa.array([x[q]] * m, pa.list_(pa.float64())), pa.array([g.tolist() for g in groups], pa.list_(pa.int32())),
+                         pa.array(np.full(m, asked[q], np.int64))],
+                        names=["block", "kind", "id", "v", "cells", "query"])
 
     return run
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _best(scores: np.ndarray, ids: np.ndarray, x: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k best of some vectors, products computed in a fixed order, ties to the smaller id."""
-    if len(scores) > k + 1:
-        # what could be among the k best besides the query itself, allowing for rounding
-        least = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+    if len(scores) > k:
+        # what could be among the k best, allowing for rounding
+        least = np.partition(scores, len(scores) - k)[len(scores) - k]
         at = np.flatnonzero(scores >= least - 1e-9 * max(1.0, abs(least)))
         ids, x = ids[at], x[at]
     exact = (x * q).sum(axis=1)
-    order = np.lexsort((ids, -exact))
-    order = order[ids[order] != own][:k]
+    order = np.lexsort((ids, -exact))[:k]
     return ids[order], exact[order]
 
 
@@ -156,7 +157,7 @@ def _rerank(dim: int, k: int):
                 part = b.slice(i, j - i)
                 if blocks[i] != now:
                     now, held, block = blocks[i], [], None
-                ids, x = part.column(2).to_numpy(), _matrix(part.column(3), dim)
+                ids, x, asked = part.column(2).to_numpy(), _matrix(part.column(3), dim), part.column(5).to_numpy()
                 cells = part.column(4).to_pylist()
                 if kinds[i] == 0:
                     held.append((ids, x, np.array([c[0] for c in cells], np.int32)))
@@ -171,12 +172,13 @@ def _rerank(dim: int, k: int):
                 for s in range(0, len(ids), 256):
                     scores = x[s:s + 256] @ vec.T
                     for r in range(len(scores)):
-                        in_cells = np.isin(cell, cells[s + r])
-                        out.append((int(ids[s + r]), *_best(scores[r, in_cells], vid[in_cells], vec[in_cells], x[s + r], int(ids[s + r]), k)))
+                        at = np.isin(cell, cells[s + r]) & (vid != ids[s + r])      # all but the rows of its own id
+                        out.append(_best(scores[r, at], vid[at], vec[at], x[s + r], k))
+                n = [len(o[0]) for o in out]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64)),
-                     pa.array(np.concatenate([o[1] for o in out]).astype(np.int64)), pa.array(np.concatenate([o[2] for o in out]))],
-                    names=["query_id", "vec_id", "score"])
+                    [pa.array(np.repeat(asked, n).astype(np.int64)), pa.array(np.repeat(ids, n).astype(np.int64)),
+                     pa.array(np.concatenate([o[0] for o in out]).astype(np.int64)), pa.array(np.concatenate([o[1] for o in out]))],
+                    names=["query", "query_id", "vec_id", "score"])
 
     return run
 
@@ -216,11 +218,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     layout = spark.createDataFrame([(c, int(first[c]), int(parts[c])) for c in range(cells) if size[c]], "cell int, first int, parts int")
     placed = index.join(F.broadcast(layout), "cell").select(        # at most codes ** 2 rows
         (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).alias("block"),
-        F.lit(0).alias("kind"), F.col("vec_id").alias("id"), "v", F.array("cell").alias("cells"))
-    probes = (index.filter(is_query).select("vec_id", "v").repartition(max(1, -(-int(size.sum()) // 20_000)))
-              .mapInArrow(_probes(books, dim, size, first, parts, want), "block int, kind int, id long, v array<double>, cells array<int>"))
+        F.lit(0).alias("kind"), F.col("vec_id").alias("id"), "v", F.array("cell").alias("cells"), F.lit(0).cast("long").alias("query"))
+    asked = cut(index.filter(is_query).select("vec_id", "v").dropDuplicates().withColumn("query", F.monotonically_increasing_id()))
+    probes = (asked.repartition(max(1, -(-int(size.sum()) // 20_000)))
+              .mapInArrow(_probes(books, dim, size, first, parts, want), "block int, kind int, id long, v array<double>, cells array<int>, query long"))
     blocks = int(at) + 1
     found = (placed.union(probes).repartition(min(max(blocks, 1), 10_000), "block").sortWithinPartitions("block", "kind")
-             .mapInArrow(_rerank(dim, k), "query_id long, vec_id long, score double"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .mapInArrow(_rerank(dim, k), "query long, query_id long, vec_id long, score double"))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,11 +1,13 @@
 """Cases in which an operator once did less than its whole job."""
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from logscope.llm import decontamination as D
 from logscope.llm import language as G
+from logscope.llm import neighbours as N
 
 
 # ------------------------------------------------------------------ decontamination
@@ -121,3 +123,22 @@ def test_many_languages_in_blocks(spark, monkeypatch):
     assert len(model.languages) == 60
     got = {r["doc_id"]: r for r in G.identify(docs, model, declared="lang", host="source").collect()}
     assert all(got[i]["language"] == x and got[i]["accepted"] for i, _, x, _ in rows)
+
+
+# ------------------------------------------------------------------ neighbours
+def test_repeated_ids_keep_their_neighbours(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(400, 8))
+    ids = np.r_[np.zeros(30, int), np.repeat(np.arange(1, 11), 2), np.arange(11, 361)][:400]
+    x[:30] = x[0] + 0.01 * rng.normal(size=(30, 8))     # more rows of an id than k, all close to each other
+    x[31] = x[30]                                       # a vector repeated under its id
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got = N.nearest(frame, F.col("vec_id") <= 12, 10, share=1.0, block_rows=64).collect()
+    asked = {(int(i), tuple(v)) for i, v in zip(ids, x) if i <= 12}
+    want = []
+    for i, v in asked:
+        score = (x * np.array(v)).sum(axis=1)
+        order = [j for j in np.lexsort((ids, -score)) if ids[j] != i][:10]
+        want += [(i, r + 1, int(ids[j]), round(float(score[j]), 9)) for r, j in enumerate(order)]
+    assert len(asked) == 30 + 19 + 2
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got) == sorted(want)
