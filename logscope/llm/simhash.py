@@ -281,13 +281,21 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4,
              max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id.  Rows without an
-    id cannot be named and stay; of rows that repeat an id one stays."""
-    first, n = fresh(docs, "_first", "_n")
-    groups = simhash_groups(docs, doc_id, text, words, max_bits)
-    kept = cut(groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias(first)).agg(F.count(F.lit(1)).alias(n)))
-    # the kept ids grow with the documents: a shuffled join at every size
-    out = docs.join(kept.select(first).hint("shuffle_merge"), docs[doc_id] == F.col(first), "left_semi")
-    if kept.filter(F.col(n) > 1).limit(1).count():
-        out = out.dropDuplicates([doc_id])
-    return out.unionByName(docs.filter(F.col(doc_id).isNull()))
+    """``docs`` with one row of each group: the one with the smallest id and, where that id repeats in the
+    group, the smallest hash of the text.  Rows without an id cannot be named and stay."""
+    own, first, least = fresh(docs, "_own", "_first", "_least")
+    prints = cut(docs.select(F.col(doc_id).alias("doc_id"), simhash(text, words).alias("fp"), F.xxhash64(text).alias("h")))
+    each = prints.groupBy("fp", "doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
+    distinct = cut(each.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h", "n"))).alias("least")))
+    found = components(fuzzy_edges(distinct, "fp", max_bits))
+    # an id is no name of a row: a repeated one can be in several groups and be the smallest of each
+    kept = cut(distinct.join(found, distinct.fp == found.node, "left").groupBy(F.coalesce("root", "fp").alias("root"))
+               .agg(F.min("least").alias("least")).filter("least IS NOT NULL")
+               .select(F.col("least.doc_id").alias(first), F.col("least.h").alias(least), F.col("least.n").alias("n")))
+    # the kept rows grow with the documents: a shuffled join at every size
+    rows = docs.withColumn(own, F.xxhash64(text))
+    out = rows.join(kept.select(first, least).hint("shuffle_merge"),
+                    (rows[doc_id] == F.col(first)) & (rows[own] == F.col(least)), "left_semi")
+    if kept.filter("n > 1").limit(1).count():       # rows equal in id and text
+        out = out.dropDuplicates([doc_id, own])
+    return out.drop(own).unionByName(docs.filter(F.col(doc_id).isNull()))

@@ -8,6 +8,7 @@ import corpus_pipeline
 from logscope.llm import decontamination as D
 from logscope.llm import language as G
 from logscope.llm import neighbours as N
+from logscope.llm import simhash as S
 
 
 # ------------------------------------------------------------------ decontamination
@@ -142,3 +143,16 @@ def test_repeated_ids_keep_their_neighbours(spark):
         want += [(i, r + 1, int(ids[j]), round(float(score[j]), 9)) for r, j in enumerate(order)]
     assert len(asked) == 30 + 19 + 2
     assert sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got) == sorted(want)
+
+
+# ------------------------------------------------------------------ near-duplicates
+def test_repeated_ids_keep_one_row_of_each_group(docs_of):
+    a, b, c = ("".join(f"{x}{i} " for i in range(30)) for x in "pqr")
+    rows = [(3, a), (5, a), (7, b), (7, a), (8, c), (8, c), (9, c), (2, b), (2, c), (None, a)]
+    got = [(r["doc_id"], r["text"]) for r in S.keep_one(docs_of(rows)).collect()]
+    # id 7 has a copy of 3's text and of 2's; id 2 is the smallest of two groups
+    assert sorted(got, key=str) == sorted([(2, b), (2, c), (3, a), (None, a)], key=str)
+    got = [(r["doc_id"], r["text"]) for r in S.keep_one(docs_of([(1, a), (2, a), (2, b)])).collect()]
+    assert sorted(got) == [(1, a), (2, b)]
+    got = [(r["doc_id"], r["text"]) for r in S.keep_one(docs_of([(1, a), (2, a), (2, b), (4, c), (4, c)])).collect()]
+    assert sorted(got) == [(1, a), (2, b), (4, c)]
