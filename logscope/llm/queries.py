@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from logscope.sources import read_table
 
+from .byte_bpe import encode_decode, ids_sha256
 from .common import shipped
 from .decontamination import contamination
 from .language import identify, page_evidence, train_text
@@ -24,6 +25,7 @@ from .toxicity import fit, held_out, score_toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 SHINGLE_WORDS, SIMHASH_BITS, SHARDS = 4, 4, 24
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -90,6 +92,12 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_decode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE, public_tokenizers.PATTERN)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_sha256("ids").alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
@@ -101,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_neighbours": op10_neighbours,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 
