@@ -12,6 +12,7 @@ from logscope.sources import read_table
 
 from .byte_bpe import encode_decode, ids_sha256
 from .common import shipped
+from .conversations import conversation_trie
 from .decontamination import contamination
 from .language import identify, page_evidence, train_text
 from .licenses import scan_licenses
@@ -20,6 +21,7 @@ from .ngram_lm import score_texts
 from .packing import pack_documents
 from .sharding import row_size, text_crc32, write_shards
 from .simhash import simhash_groups
+from .sql import CONVERSATION_TRIE
 from .token_counts import count_tokens
 from .toxicity import fit, held_out, score_toxicity
 
@@ -98,6 +100,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read_table(spark, sf_dir, "conversations")).drop("key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_neighbours": op10_neighbours,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 
@@ -121,4 +128,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {name: shipped(query) for name, query in (QUERIES | {"pipeline": pipeline}).items()}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op13_conversation_trie": CONVERSATION_TRIE}
