@@ -39,11 +39,13 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from .common import texts
 
 MEMO_BYTES = 64 << 20       # of a task's memo of pre-tokens
 GROUP = 1 << 19             # characters of texts that are encoded together
+SLICE = 64                  # rows handed on together
 LONGEST = 64                # characters of a pre-token that the memo keeps
 NORMAL, UNKNOWN, BPE = 1, 2, 2      # fixed values of the model format: piece types, model type
 
@@ -207,6 +209,11 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+def _lists(ids: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))]))
+
+
 class ByteBpe:
     """Columns that encode and decode under the rank file at ``ranks_path`` and its pattern; read on the driver,
     sent to tasks as one broadcast of fixed size."""
@@ -223,10 +230,7 @@ class ByteBpe:
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = Codec(*shared.value)
             for arr in batches:
-                ids = codec.encode(texts(arr))
-                ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
-                flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
-                yield pa.ListArray.from_arrays(pa.array(ends), flat)
+                yield _lists(codec.encode(texts(arr)))
 
         return run(text)
 
@@ -243,10 +247,27 @@ class ByteBpe:
         return run(ids)
 
 
-def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (identifiers of the text) and ``decoded`` (their bytes)."""
-    bpe = ByteBpe(docs.sparkSession, ranks_path, pattern)
-    return docs.withColumn("ids", bpe.encode(text)).withColumn("decoded", bpe.decode("ids"))
+def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (default: all) of ``docs`` with ``ids`` (identifiers of the text) and ``decoded`` (their bytes).
+
+    One pass: a task takes a few rows of a batch at a time and hands them on, so that it holds little beside its memo."""
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("ids", "decoded")]
+    rows = docs.select(*kept, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("decoded"))
+    fields = [rows.schema[c] for c in kept]
+    schema = StructType([*fields, StructField("ids", ArrayType(IntegerType())), StructField("decoded", BinaryType())])
+    shared = ByteBpe(docs.sparkSession, ranks_path, pattern).shared
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(*shared.value)
+        for b in batches:
+            for a in range(0, b.num_rows, SLICE):
+                part = b.slice(a, SLICE)
+                ids = codec.encode(part.column(part.num_columns - 1).to_pylist())
+                back = [codec.decode(np.frombuffer(i, "<i4").tolist()) for i in ids]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], _lists(ids), pa.array(back, pa.binary())],
+                                                 names=[*kept, "ids", "decoded"])
+
+    return rows.mapInArrow(run, schema)
 
 
 def ids_sha256(ids: str) -> Column:

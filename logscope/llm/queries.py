@@ -95,7 +95,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = encode_decode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE, public_tokenizers.PATTERN)
+    out = encode_decode(read_table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN, keep=["doc_id"])
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_sha256("ids").alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
