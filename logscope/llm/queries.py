@@ -24,6 +24,7 @@ from .simhash import simhash_groups
 from .sql import CONVERSATION_TRIE
 from .token_counts import count_tokens
 from .toxicity import fit, held_out, score_toxicity
+from .whitening import whiten
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 SHINGLE_WORDS, SIMHASH_BITS, SHARDS = 4, 4, 24
@@ -94,6 +95,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode_decode(read_table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN, keep=["doc_id"])
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_sha256("ids").alias("ids_sha256"),
@@ -115,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_neighbours": op10_neighbours,
+    "op11_whitening": op11_whitening,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_conversation_trie": op13_conversation_trie,
 }
