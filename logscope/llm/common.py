@@ -6,6 +6,7 @@ import functools
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +51,37 @@ def shipped(query):
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written once as a table in the shared checkpoint folder and read back."""
-    return materialize(df, df.sparkSession)
+    """``df`` written once as a table in the shared checkpoint folder and read back; an error without such a folder."""
+    return materialize(df, df.sparkSession, strict=True)
+
+
+class Memo(dict):
+    """``make(word)`` of words met, in about ``limit`` bytes: words of the older half that are met again move to the younger one,
+    the rest go when that is full.  Belongs to one task, which makes it and drops it."""
+
+    ENTRY, LONGEST = 200, 64        # bytes of an entry beside its word; letters of the longest word kept
+
+    def __init__(self, make: Callable, limit: int):
+        super().__init__()
+        self.make, self.half, self.old, self.held = make, limit // 2, {}, 0
+
+    def __missing__(self, word: str):
+        value = self.old.pop(word, None)
+        if value is None:
+            value = self.make(word)
+        if len(word) <= self.LONGEST:
+            if self.held >= self.half:
+                self.old, self.held = dict(self), 0
+                self.clear()
+            self[word] = value
+            self.held += self.ENTRY + len(word)
+        return value
+
+
+def slices(batches: Iterator[pa.Array], text_rows: int = 256) -> Iterator[list[pa.Array]]:
+    """Each array in parts of a few rows, so that a task doesn't hold a batch's texts twice."""
+    for arr in batches:
+        yield [arr.slice(a, text_rows) for a in range(0, len(arr), text_rows)]
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
