@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -32,11 +31,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from .common import cut, texts
+from .common import Memo, cut, slices, texts
 
 CAPACITY = 2048
 OPEN_BINS = 512
 PIECES_PER_TASK = 100_000
+MEMO_BYTES = 64 << 20      # of a task's memo of words
 MARKS = ".,!?;:%*&$#|()"
 PLAIN = "\u0130"          # below it, lower case is one letter for one letter
 PIECE = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
@@ -76,36 +76,24 @@ class BestFit:
         return b, self.capacity - free
 
 
-class _Words(dict):
-    """word -> its ids as little-endian bytes; cleared when full, so its memory is bounded."""
-
-    def __init__(self, tok: Tokenizer, limit: int):
-        self.tok, self.limit = tok, limit
+def word_tokenizer(path: str, memo_bytes: int = MEMO_BYTES) -> Callable[[str], bytes]:
+    """A function text -> ids (little-endian unsigned 32-bit) for a tokenizers file whose
+    normaliser and pattern drop white space, so words are encoded one by one and kept in a memo of bounded bytes."""
+    tok = Tokenizer.from_file(path)
 
-    def __missing__(self, word: str) -> bytes:
+    def encode(word: str) -> bytes:
         # what encodes alike is encoded once: the vocabulary's own pattern always cuts between a
         # letter and the marks behind it, and its normaliser lower-cases letter by letter
         plain = max(word, default="") < PLAIN
         stem = word.rstrip(MARKS) if plain else word
         low = word.lower() if plain else word
         if len(stem) < len(word) and stem and stem[-1].isalpha():
-            ids = self[stem] + self[word[len(stem):]]
-        elif low != word and "<|" not in word:
-            ids = self[low]
-        else:
-            ids = b"".join(i.to_bytes(4, "little") for i in self.tok.encode(word, add_special_tokens=False).ids)
-        if len(self) >= self.limit:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+            return words[stem] + words[word[len(stem):]]
+        if low != word and "<|" not in word:
+            return words[low]
+        return b"".join(i.to_bytes(4, "little") for i in tok.encode(word, add_special_tokens=False).ids)
 
-
-@lru_cache(maxsize=2)
-def word_tokenizer(path: str, memo_entries: int = 1_200_000) -> Callable[[str], bytes]:
-    """A function text -> ids (little-endian unsigned 32-bit) for a tokenizers file whose
-    normaliser and pattern drop white space, so words are encoded one by one."""
-    words = _Words(Tokenizer.from_file(path), memo_entries)
+    words = Memo(encode, memo_bytes)
 
     def ids(text: str) -> bytes:
         return b"".join(map(words.__getitem__, text.replace("\n", " ").split(" "))) if text else b""
@@ -122,9 +110,9 @@ def pieces(text: str | Column, tokenizer_path: str, capacity: int = CAPACITY, en
     @arrow_udf(PIECE)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids = word_tokenizer(tokenizer_path)
-        for arr in batches:
+        for parts in slices(batches):
             out = []
-            for t in texts(arr):
+            for t in (t for part in parts for t in texts(part)):
                 seq = ids(t) + end
                 out.append([{"piece": k, "start": k * capacity, "length": len(p) // 4, "ids_crc32": zlib.crc32(p)}
                             for k, p in enumerate(seq[a:a + width] for a in range(0, len(seq), width))])

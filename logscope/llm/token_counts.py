@@ -21,7 +21,6 @@ from __future__ import annotations
 import heapq
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import sentencepiece
@@ -29,10 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import texts
+from .common import Memo, slices, texts
 
 SPACE = "▁"
-MEMO_ENTRIES = 700_000
+MEMO_BYTES = 48 << 20       # of a task's memos: a third for parts of words, the rest for words
 
 
 def merge_count(part: str, cost: dict[str, float]) -> int:
@@ -73,14 +72,13 @@ def merge_count(part: str, cost: dict[str, float]) -> int:
 class PieceCounter:
     """Counts the tokens of texts for one sentencepiece BPE model."""
 
-    def __init__(self, model_path: str, memo_entries: int = MEMO_ENTRIES):
+    def __init__(self, model_path: str, memo_bytes: int = MEMO_BYTES):
         sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
         self.cost = {sp.id_to_piece(i): -sp.get_score(i) for i in range(sp.get_piece_size())
                      if not (sp.is_control(i) or sp.is_byte(i) or sp.is_unknown(i) or sp.is_unused(i))}
         self.joined = {p[i:i + 2] for p in self.cost for i in range(len(p) - 1)}
-        self.parts: dict[str, int] = {}
-        self.words = _Words(self, memo_entries)
-        self.memo_entries = memo_entries
+        self.parts = Memo(lambda part: merge_count(part, self.cost), memo_bytes // 3)
+        self.words = Memo(lambda word: self.segment(SPACE + word), memo_bytes - memo_bytes // 3)
         # words are looked up one by one only where the model adds one space in front, keeps
         # the text as it is and has no piece that runs on into the next word
         plain = "Ab  ﬁ①é\t\n"
@@ -93,15 +91,7 @@ class PieceCounter:
         joined, parts, total, a = self.joined, self.parts, 0, 0
         for i in range(1, len(seg) + 1):
             if i == len(seg) or seg[i - 1:i + 1] not in joined:
-                p = seg[a:i]
-                n = parts.get(p)
-                if n is None:
-                    n = merge_count(p, self.cost)
-                    if len(parts) >= self.memo_entries:
-                        parts.clear()
-                    if len(p) <= 64:
-                        parts[p] = n
-                total, a = total + n, i
+                total, a = total + parts[seg[a:i]], i
         return total
 
     def count(self, text: str) -> int:
@@ -114,26 +104,6 @@ class PieceCounter:
         return sum(map(self.words.__getitem__, text.split(" ")))
 
 
-class _Words(dict):
-    """word (without its space) -> tokens; cleared when full, so its memory is bounded."""
-
-    def __init__(self, counter: PieceCounter, limit: int):
-        self.counter, self.limit = counter, limit
-
-    def __missing__(self, word: str) -> int:
-        n = self.counter.segment(SPACE + word)
-        if len(self) >= self.limit:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = n
-        return n
-
-
-@lru_cache(maxsize=2)
-def _counter(path: str) -> PieceCounter:
-    return PieceCounter(path)
-
-
 def token_count(text: str | Column, model_path: str) -> Column:
     """Column of token counts of ``text`` under the model file at ``model_path`` (the same
     path on every executor)."""
@@ -142,9 +112,9 @@ def token_count(text: str | Column, model_path: str) -> Column:
 
     @arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = _counter(model_path)
-        for arr in batches:
-            yield pa.array([counter.count(t) for t in texts(arr)], pa.int64())
+        counter = PieceCounter(model_path)
+        for parts in slices(batches):
+            yield pa.array([counter.count(t) for part in parts for t in texts(part)], pa.int64())
 
     return count(text)
 
