@@ -18,7 +18,8 @@ or held by the driver; host and suffix counts stay tables and are joined.  The h
 no known language is rejected rather than forced.
 
 Languages: those of the training column with at least ``MIN_ROWS`` rows of text, however many rows the others
-have; in a table so small that ``MIN_SHARE`` of its rows is less than that, those with this share.
+have; in a table so small that ``MIN_SHARE`` of its rows is less than that, those with this share.  A text in none of them
+cannot be judged by trigrams; if it declares another language, it keeps that one, with the posterior of being none of the known ones.
 
 Defined cases: null or letterless text is ``und``, posterior 1, rejected; null or unknown declarations, hosts and
 suffixes give no evidence; ties go to the alphabetically first language; repeated rows are
@@ -202,7 +203,7 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
     ``declared``, ``host`` and ``suffix`` name columns of evidence, or are None."""
     names, langs = model.names, model.languages
     replaced = rows.drop("language", "posterior", "accepted")
-    ll, vote, decl, hst, dom, suf, res = fresh(replaced, *(f"_{x}" for x in "ll vote decl hst dom suf res".split()))
+    ll, vote, decl, oth, hst, dom, suf, res = fresh(replaced, *(f"_{x}" for x in "ll vote decl oth hst dom suf res".split()))
     col = lambda c: F.lower(F.trim(F.col(c))) if c else F.lit(None).cast("string")
     if not langs:
         return replaced.withColumns({"language": F.lit(UND), "posterior": F.lit(1.0), "accepted": F.lit(False)})
@@ -211,7 +212,8 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
             .withColumns({decl: F.regexp_extract(col(declared), "^([a-z]+)", 1), hst: col(host), suf: col(suffix)})
             .withColumns({dom: F.regexp_extract(F.col(hst), r"([^.]+\.[^.]+)$", 1),
                           vote: F.array_position(F.col(ll), F.array_max(F.col(ll))).cast("int") - 1}))
-    base = base.withColumns({dom: F.when(F.col(dom) != "", F.col(dom)), decl: F.when(F.col(decl).isin(langs), number)})
+    base = base.withColumns({dom: F.when(F.col(dom) != "", F.col(dom)), decl: F.when(F.col(decl).isin(langs), number),
+                             oth: F.when((F.col(decl) != "") & (F.col(decl) != UND) & ~F.col(decl).isin(langs), F.col(decl))})
 
     narrow = cut(base.select(vote, decl, hst, dom, suf).filter(F.col(vote).isNotNull())
                  .groupBy(vote, decl, hst, dom, suf).agg(F.count(F.lit(1)).alias("n")))
@@ -244,7 +246,9 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
         else:
             evidence += [F.lit(None).cast("array<int>"), F.lit(None).cast("array<long>")]
     out = out.withColumn(res, _posterior(prior, given)(F.col(ll), F.col(vote), F.col(decl), *evidence))
-    pick = F.coalesce(F.element_at(F.array(*map(F.lit, names)), F.element_at(F.col(res), 1).cast("int") + 1), F.lit(UND))
+    known = F.element_at(F.array(*map(F.lit, names)), F.element_at(F.col(res), 1).cast("int") + 1)
+    known = F.coalesce(known, F.lit(UND))
+    pick = F.when((known == UND) & F.col(ll).isNotNull(), F.coalesce(F.col(oth), known)).otherwise(known)
     post = F.coalesce(F.element_at(F.col(res), 2), F.lit(1.0))
     return out.select(*[F.col(f"`{c}`") for c in replaced.columns], pick.alias("language"), post.alias("posterior"),
                       ((pick != UND) & (post >= MIN_POSTERIOR)).alias("accepted"))
@@ -253,7 +257,7 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
 def page_evidence(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, text, declared, host, suffix) of raw web pages."""
     h, u = F.col(html), F.col(url)
-    tag = F.regexp_extract(h, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1)
+    tag = F.regexp_extract(h, r"(?i)<html\b[^>]*?(?<![\w:-])lang\s*=\s*[\"']?([A-Za-z]+)", 1)
     name = F.lower(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     text = F.regexp_replace(h, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
     blank = lambda c: F.when(c != "", c)
