@@ -56,7 +56,7 @@ SCHEMA = ("chunk long, shard int, kind int, words binary, word_n binary, ctx bin
 _ARROW = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("kind", pa.int32()),
                     *((c, pa.binary()) for c in ("words", "word_n", "ctx", "ctx_n", "succ", "succ_n")),
                     ("n", pa.int64()), ("v", pa.int64())])
-ASKED, TOKENS = 0, 1
+ASKED, TOKENS, WIDE = 0, 1, 2       # kinds of rows; answers with 64-bit counts are wide
 
 
 def _row(chunk: int, shard: int, kind: int, *blobs, n: int = 0, v: int = 0) -> pa.RecordBatch:
@@ -66,7 +66,9 @@ def _row(chunk: int, shard: int, kind: int, *blobs, n: int = 0, v: int = 0) -> p
 
 
 def _grid(shards: int) -> tuple[int, int]:
-    rows = min(shards, ROWS_OF_SHARDS)
+    """Rows (by context) and columns (by successor); beyond ``ROWS_OF_SHARDS`` squared both grow with the root of the shards, so that
+    neither the contexts of a row nor the successors of one very common word outgrow a shard."""
+    rows = min(shards, max(ROWS_OF_SHARDS, 1 << (shards.bit_length() // 2)))
     return rows, shards // rows
 
 
@@ -79,6 +81,11 @@ def decode_counts(code: np.ndarray) -> np.ndarray:
     return np.where(code < EXACT, code, EXACT * np.exp((code.astype(np.float64) - EXACT) * STEP))
 
 
+def _place(chunk: int, shards: int) -> int:
+    """The shard whose task hands on a chunk's tokens: chunks are numbered within partitions, so their hash is spread."""
+    return xxhash.xxh64_intdigest(chunk.to_bytes(8, "little"), SEED) % shards
+
+
 def _pairs(token: np.ndarray, end: int, words: int, shard: np.ndarray, cols: int):
     """(contexts, successors, place of each token's pair, pairs per shard) of a stream of tokens;
     pairs in order of their shard, within it by context and successor."""
@@ -119,7 +126,7 @@ def _chunk_rows(chunk: int, ids: list, train: list, token_lists: list, vocabular
                    np.diff(np.r_[first, len(c)]).astype("<u4"), five, pair_n[p])
     known = np.array([i is not None for i in ids], np.uint8)
     planes = token.astype("<u4").view(np.uint8).reshape(-1, 4).T        # byte planes compress better
-    yield _row(chunk, chunk % shards, TOKENS, planes, size.astype("<i8"), np.array([i or 0 for i in ids], "<i8"), known)
+    yield _row(chunk, _place(chunk, shards), TOKENS, planes, size.astype("<i8"), np.array([i or 0 for i in ids], "<i8"), known)
 
 
 def _chunks(shards: int, chunk_bytes: int):
@@ -154,7 +161,7 @@ class TrieShard:
     def __init__(self, words: np.ndarray, word_n: np.ndarray, ctx: np.ndarray, succ: np.ndarray, pair_n: np.ndarray):
         self.store = Levels()
         self.words = EliasFano(words, self.store)
-        self.word_n = self.store.add(word_n.astype("<u4"))
+        self.word_n = self.store.add(word_n.astype("<u8"))
         own, first = np.unique(ctx, return_index=True)      # ctx and succ are sorted by both
         self.contexts = EliasFano(own, self.store)
         self.pointers = EliasFano(np.r_[first, len(ctx)], self.store)
@@ -166,7 +173,8 @@ class TrieShard:
         if not self.words.n:
             return np.zeros(len(words), "<u4")
         at = self.words.find(words)
-        return np.where(at >= 0, self.word_n[np.maximum(at, 0)], 0).astype("<u4")
+        n = np.where(at >= 0, self.word_n[np.maximum(at, 0)], np.uint64(0)).astype("<u8")
+        return n if len(n) and n.max() >> np.uint64(32) else n.astype("<u4")      # wide only where it must be
 
     def pair_codes(self, ctx: np.ndarray, ctx_n: np.ndarray, succ: np.ndarray) -> np.ndarray:
         """Quantised counts of the pairs of each context with its ``ctx_n`` successors in ``succ``."""
@@ -187,7 +195,8 @@ def _merge(parts: list[dict]) -> TrieShard:
     words, inv = np.unique(join("words"), return_inverse=True)
     n = np.bincount(inv, weights=join("word_n"), minlength=len(words))
     ctx, inv = np.unique(join("ctx"), return_inverse=True)
-    assert len(ctx) < 1 << 24, "raise the number of shards"
+    if len(ctx) >= 1 << 24:
+        raise OverflowError("a shard has 2^24 distinct contexts or more; lower shard_bytes, which adds rows of shards")
     key = (np.repeat(inv.astype(np.uint64), join("ctx_n")) << np.uint64(40)) | join("succ")
     key, inv = np.unique(key, return_inverse=True)
     pair_n = np.bincount(inv, weights=join("succ_n"), minlength=len(key))
@@ -217,9 +226,10 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shards.setdefault(row["shard"], []).append(_asked(row))
     for shard, parts in shards.items():
         trie = _merge(parts)
-        n, v = int(trie.word_n.sum(dtype=np.int64)), trie.words.n
+        n, v = int(trie.word_n.sum(dtype=np.uint64)), trie.words.n
         for p in parts:
-            yield _row(p["chunk"], shard, ASKED, None, trie.count(p["words"]), None, None, None,
+            count = trie.count(p["words"])
+            yield _row(p["chunk"], shard, WIDE if count.itemsize == 8 else ASKED, None, count, None, None, None,
                        trie.pair_codes(p["ctx"], p["ctx_n"], p["succ"]), n=n, v=v)
         trie.store.close()
 
@@ -227,7 +237,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _score_chunk(tokens: dict, answers: list[dict], mass: float, growth: float) -> pa.RecordBatch:
     answers.sort(key=lambda r: r["shard"])
     rows, cols = _grid(len(answers))
-    word_n = [np.frombuffer(r["word_n"], "<u4") for r in answers]
+    word_n = [np.frombuffer(r["word_n"], "<u8" if r["kind"] == WIDE else "<u4") for r in answers]
     code = np.concatenate([np.frombuffer(r["succ_n"], "<u2") for r in answers])
     total, distinct = sum(r["n"] for r in answers), sum(r["v"] for r in answers)
     shard = np.repeat(np.arange(len(answers)), [len(x) for x in word_n])
