@@ -290,5 +290,69 @@ def test_pipeline_on_empty_and_odd_documents(spark, docs_of):
 def test_every_operator_has_one_query():
     import __spark_entry__ as e
     names = [q for q in e.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert set(QUERIES) <= set(e.queries()) and "pipeline" in QUERIES
+
+
+# ------------------------------------------------------------------ bounded memory, finite models, languages without training rows
+def test_a_very_long_labelled_text_leaves_scores_finite(spark):
+    rng = np.random.default_rng(3)
+    rows = toxic_corpus(120)
+    long = " ".join("prefix" + "".join(chr(97 + x) for x in w) for w in rng.integers(0, 26, (70_000, 6)))
+    rows = [*rows, (1000, long, 1), (1001, long + " x", 0)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = T.fit(docs, labels)
+    assert np.isfinite(model.rows).all() and np.isfinite(model.bias)
+    got = T.score_toxicity(docs, model).collect()
+    assert all(0 <= r["score"] <= 1 for r in got) and 10 < sum(r["predicted"] for r in got) < 110
+
+
+def test_labels_that_contradict_are_not_learned_from(spark):
+    rows = toxic_corpus(120)
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(5000, "either way")], "doc_id long, text string")
+    labels = [(r[0], r[2]) for r in rows]
+    one = T.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    two = T.fit(docs, spark.createDataFrame(labels + [(5000, 0), (5000, 1)], "doc_id long, toxic int"))
+    assert (one.rows == two.rows).all() and one.bias == two.bias
+
+
+def test_calibration_scales_towards_unseen_rows():
+    rng = np.random.default_rng(1)
+    rows = np.zeros(T.ROWS, np.float32)
+    rows[1] = 0.2
+    labels = rng.integers(0, 2, 400)
+    bags = [(np.array([1]), np.array([float(T.PRIOR * (4 if y else 1))], np.float32)) for y in labels]
+    scale, shift = T.calibration(T.Model(rows, 0.0), bags, labels)
+    z = [(rows[1] * scale) * c[0] / (T.PRIOR + c[0]) + shift for _, c in bags]
+    assert scale > 5 and all((v > 0) == bool(y) for v, y in zip(z, labels))
+    assert T.calibration(T.Model(rows, 0.0), bags, np.zeros(400)) == (1.0, 0.0)
+
+
+def test_memo_is_bounded_and_keeps_frequent_words():
+    from logscope.llm.common import Memo
+
+    made = []
+    memo = Memo(lambda w: made.append(w) or len(w), 100 * (Memo.ENTRY + 6))
+    for i in range(5000):
+        assert memo[f"w{i}"] == len(f"w{i}") and memo["often"] == 5
+        assert len(memo) + len(memo.old) <= 101
+    assert made.count("often") == 1 and memo["x" * 500] == 500 and "x" * 500 not in memo
+
+
+def test_declared_language_without_training_rows_stands(spark):
+    rows = [(i, f"the house and the garden of the people are old and good {i}", "en") for i in range(40)]
+    rows += [(100 + i, f"das haus und der garten der leute sind alt und gut {i}", "de") for i in range(40)]
+    rows += [(200 + i, "ο κήπος και το σπίτι των ανθρώπων είναι παλιά και όμορφα", "el") for i in range(3)]
+    rows += [(300, "ο κήπος και το σπίτι των ανθρώπων", None), (301, "12 34", "el"), (302, "the people of the garden are good", "el")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in G.identify(docs, G.train_text(docs, min_rows=10, min_share=1.0), declared="lang").collect()}
+    assert all(got[200 + i]["language"] == "el" and got[200 + i]["accepted"] for i in range(3))
+    assert (got[300]["language"], got[300]["accepted"]) == ("und", False) and got[301]["language"] == "und"
+    assert got[302]["language"] == "en" and got[0]["language"] == "en" and got[100]["language"] == "de"
+
+
+def test_markup_language_is_the_lang_attribute_itself(spark):
+    html = ['<html xml:lang="fr" lang="de">a</html>', '<html data-lang="fr">a</html>', "<html lang=es>a</html>"]
+    pages = spark.createDataFrame([(i, "http://a.b/", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    assert [r["declared"] for r in G.page_evidence(pages).orderBy("page_id").collect()] == ["de", None, "es"]
