@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
+from logscope.operators import activity as AC
 from logscope.operators import daily as DY
 from logscope.operators import events as EV
 from logscope.operators import levels as LV
@@ -329,6 +330,41 @@ def q_stages_per_app(spark, sf):
     return TK.stages_per_app(_tasks(spark, sf))
 
 
+# ------------------------------------------------------------------ work over time (L6, L6d, L10, L11, L15)
+def _containers(spark, sf):
+    return materialize(AC.container_intervals(TL.container_timeline(log_lines(spark, sf))))
+
+
+@query("concurrency_by_cluster")
+def q_concurrency_by_cluster(spark, sf):
+    return AC.concurrency_by_cluster(_containers(spark, sf))
+
+
+@query("concurrency_over_time")
+def q_concurrency_over_time(spark, sf):
+    return AC.concurrency_over_time(_containers(spark, sf))
+
+
+@query("container_activity")
+def q_container_activity(spark, sf):
+    return AC.container_activity(AC.task_intervals(log_events(spark, sf)))
+
+
+@query("busy_spells")
+def q_busy_spells(spark, sf):
+    return AC.busy_spells(AC.task_intervals(log_events(spark, sf)))
+
+
+@query("memory_states")
+def q_memory_states(spark, sf):
+    return AC.memory_states(log_events(spark, sf))
+
+
+@query("memory_lows")
+def q_memory_lows(spark, sf):
+    return AC.memory_lows(AC.memory_states(log_events(spark, sf)))
+
+
 # ------------------------------------------------------------------ sources and SQL surface
 
 

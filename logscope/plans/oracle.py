@@ -356,6 +356,87 @@ SELECT application_id, TRY_CAST(regexp_extract(block_id, '{P.RDD_BLOCK}', 1) AS
        count(DISTINCT regexp_extract(block_id, '{P.RDD_BLOCK}', 2)) AS distinct_partitions
 FROM ev WHERE regexp_matches(block_id, '{P.RDD_BLOCK}') GROUP BY ALL""")
 
+# ------------------------------------------------------------------ work over time
+# brute force: every instant is joined with all containers that are open at it
+CONTAINERS = f"""{PARSED},
+files AS (SELECT path, min(ts) AS start_time, max(ts) AS end_time FROM parsed GROUP BY path),
+{IDS},
+c AS (SELECT regexp_extract(application_id, '{P.CLUSTER_ID}', 1) AS cluster_id, start_time, end_time FROM ids
+      WHERE container_id <> '' AND start_time IS NOT NULL),
+pts AS (SELECT a.cluster_id, a.t, count(*) AS open FROM (SELECT DISTINCT cluster_id, start_time AS t FROM c) a
+       JOIN c b ON a.cluster_id = b.cluster_id AND b.start_time <= a.t AND b.end_time >= a.t GROUP BY ALL)"""
+SECS = "(epoch_us({b}) - epoch_us({a})) / 1e6".format
+
+ORACLE["concurrency_by_cluster"] = logs_sql(f"""{CONTAINERS},
+s AS (SELECT cluster_id, count(*) AS num_containers, min(start_time) AS first_time, max(end_time) AS last_time,
+             CAST(sum(epoch_us(end_time) - epoch_us(start_time)) AS DOUBLE) AS us FROM c GROUP BY cluster_id),
+p AS (SELECT cluster_id, max(open) AS peak_containers, arg_max(t, (open, -epoch_us(t))) AS peak_time FROM pts GROUP BY cluster_id)
+SELECT s.cluster_id, num_containers, first_time, last_time, peak_containers, peak_time, us / 1e6 AS container_sec,
+       CASE WHEN last_time > first_time THEN us / (epoch_us(last_time) - epoch_us(first_time)) ELSE 0.0 END AS mean_containers
+FROM s JOIN p ON s.cluster_id = p.cluster_id""")
+
+ORACLE["concurrency_over_time"] = logs_sql(f"""{CONTAINERS},
+m AS (SELECT cluster_id, time_bucket(INTERVAL 1 HOUR, start_time) AS b, 1 AS s, 0 AS e FROM c
+      UNION ALL SELECT cluster_id, time_bucket(INTERVAL 1 HOUR, end_time), 0, 1 FROM c),
+r AS (SELECT cluster_id, b, CAST(sum(s) AS BIGINT) AS started, CAST(sum(e) AS BIGINT) AS ended FROM m GROUP BY ALL),
+o AS (SELECT r.cluster_id, r.b, count(*) FILTER (WHERE c.start_time < r.b) AS open_before,
+             CAST(sum(epoch_us(least(c.end_time, r.b + INTERVAL 1 HOUR)) - epoch_us(greatest(c.start_time, r.b))) AS DOUBLE) / 3.6e9 AS mean_containers
+      FROM r JOIN c ON c.cluster_id = r.cluster_id AND c.end_time >= r.b AND c.start_time < r.b + INTERVAL 1 HOUR GROUP BY ALL),
+p AS (SELECT cluster_id, time_bucket(INTERVAL 1 HOUR, t) AS b, max(open) AS peak FROM pts GROUP BY ALL)
+SELECT r.cluster_id, r.b AS range_start, open_before, started, ended, greatest(open_before, coalesce(peak, 0)) AS peak_containers,
+       mean_containers
+FROM r JOIN o USING (cluster_id, b) LEFT JOIN p USING (cluster_id, b)""")
+
+SPELLS = f"""{TASKS},
+iv AS (SELECT application_id, container_id, min(CASE WHEN event = 'Running' THEN ts END) AS a,
+              max(CASE WHEN event = 'Finished' THEN ts END) AS z
+       FROM te WHERE container_id <> ''
+       GROUP BY application_id, container_id, stage_id, stage_attempt, task_index, task_attempt, tid),
+ok AS (SELECT application_id, container_id, a, greatest(a, z) AS z FROM iv WHERE a IS NOT NULL AND z IS NOT NULL),
+g AS (SELECT *, max(z) OVER (PARTITION BY application_id, container_id ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+      FROM ok),
+i AS (SELECT *, sum(CASE WHEN reach IS NULL OR a > reach THEN 1 ELSE 0 END)
+             OVER (PARTITION BY application_id, container_id ORDER BY a, z ROWS UNBOUNDED PRECEDING) AS spell FROM g),
+sp AS (SELECT application_id, container_id, spell, min(a) AS spell_start, max(z) AS spell_end, count(*) AS num_tasks FROM i GROUP BY ALL)"""
+
+ORACLE["busy_spells"] = logs_sql(f"""{SPELLS}
+SELECT application_id, container_id, CAST(spell AS BIGINT) AS spell, spell_start, spell_end, num_tasks,
+       {SECS(a='spell_start', b='spell_end')} AS spell_sec FROM sp""")
+
+ORACLE["container_activity"] = logs_sql(f"""{SPELLS},
+n AS (SELECT *, lead(spell_start) OVER (PARTITION BY application_id, container_id ORDER BY spell) AS nxt FROM sp),
+q AS (SELECT application_id, container_id, CAST(sum(num_tasks) AS BIGINT) AS num_tasks, min(spell_start) AS first_start,
+             max(spell_end) AS last_end, count(*) AS num_spells,
+             CAST(sum(epoch_us(spell_end) - epoch_us(spell_start)) AS DOUBLE) AS busy,
+             CAST(coalesce(sum(epoch_us(nxt) - epoch_us(spell_end)), 0) AS DOUBLE) AS idle,
+             CAST(coalesce(max(epoch_us(nxt) - epoch_us(spell_end)), 0) AS DOUBLE) AS longest FROM n GROUP BY ALL)
+SELECT application_id, container_id, num_tasks, first_start, last_end, num_spells, busy / 1e6 AS busy_sec, idle / 1e6 AS idle_sec,
+       longest / 1e6 AS longest_gap_sec,
+       CASE WHEN last_end > first_start THEN 100.0::DOUBLE * idle / (epoch_us(last_end) - epoch_us(first_start)) ELSE 0.0 END AS idle_pct
+FROM q""")
+
+STATES = f"""mem AS (
+  SELECT *, {APP_SQL} AS application_id, {CONT_SQL} AS container_id, {TS_SQL} AS ts
+  FROM (SELECT *, regexp_extract(line, '{P.TS_ANY}', 1) AS s, regexp_extract(line, '{P.STORED_BLOCK}', 1) AS block_id,
+               regexp_extract(line, '{P.MEMORY_CAPACITY}', 1) AS cv FROM log_lines)),
+blocks AS (
+  SELECT application_id, container_id, ts, block_id, regexp_extract(line, '{P.STORED_BLOCK}', 2) AS stored_as,
+         {size_sql(f"regexp_extract(line, '{P.STORED_BLOCK}', 3)", f"regexp_extract(line, '{P.STORED_BLOCK}', 4)")} AS size_bytes,
+         {size_sql(f"regexp_extract(line, '{P.STORED_BLOCK}', 5)", f"regexp_extract(line, '{P.STORED_BLOCK}', 6)")} AS free_bytes
+  FROM mem WHERE block_id <> ''),
+caps AS (
+  SELECT application_id, container_id, ts, max({size_sql('cv', f"regexp_extract(line, '{P.MEMORY_CAPACITY}', 2)")}) AS cap
+  FROM mem WHERE cv <> '' AND ts IS NOT NULL GROUP BY ALL),
+st AS (
+  SELECT b.*, caps.cap AS capacity_bytes, CASE WHEN caps.cap > 0 THEN free_bytes / caps.cap END AS free_share
+  FROM blocks b ASOF LEFT JOIN caps
+       ON b.application_id = caps.application_id AND b.container_id = caps.container_id AND b.ts >= caps.ts)"""
+
+ORACLE["memory_states"] = logs_sql(f"{STATES}\nSELECT * FROM st")
+ORACLE["memory_lows"] = logs_sql(f"""{STATES}
+SELECT application_id, container_id, count(*) AS num_blocks, sum(size_bytes) AS stored_bytes, count(capacity_bytes) AS blocks_with_capacity,
+       min(free_bytes) AS min_free_bytes, min(free_share) AS min_free_share FROM st GROUP BY ALL""")
+
 # ------------------------------------------------------------------ text sources and sinks
 ORACLE["text_level_counts"] = ORACLE["level_counts"]
 ORACLE["level_groups"] = logs_sql(f"SELECT {LEVEL_PLAIN} AS log_level, count(*) AS count FROM log_lines GROUP BY 1")
