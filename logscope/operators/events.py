@@ -63,7 +63,8 @@ def event_table(logs: DataFrame, path: str | None = None) -> DataFrame:
     application in the shared checkpoint folder), and read back; the log lines are scanned once."""
     spark = logs.sparkSession
     path = path or table_path(spark)
-    parse_events(logs).write.partitionBy("kind").mode("overwrite").parquet(path)
+    # dealt by kind first, large kinds over several tasks, so that a scan task doesn't write a file of every kind
+    parse_events(logs).hint("rebalance", "kind").write.partitionBy("kind").mode("overwrite").parquet(path)
     return spark.read.schema(EVENTS_SCHEMA).parquet(path)
 
 

@@ -11,6 +11,8 @@ sized and derived from that single scan.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -189,6 +191,43 @@ def duration_histogram_log(timeline: DataFrame, bins: int = 30, durations: DataF
                     excluded.alias("excluded_nonpositive"))
 
 
+def log_density(df: DataFrame, value: str | Column, points: int = 200, cut: float = 3.0) -> DataFrame:
+    """Gaussian kernel density of ``log10(value)`` of the positive values (A14): ``(point, log10_x, density, n, bandwidth)``.
+
+    One aggregate gives the size and spread, and with them the bandwidth (Scott's rule: deviation * n^(-1/5)) and a grid of
+    ``points`` from ``cut`` bandwidths below the least value to as many above the largest.  Linear binning shares every value between its two
+    neighbours on the grid, in proportion to their distance: a grouped sum of at most ``points`` rows, however many values there
+    are.  These weights are convolved with the kernel on the grid, one row per point.  Fewer than two values, or equal ones, have no
+    density and give no row."""
+    v = F.col(value) if isinstance(value, str) else value
+    vals = materialize(df.select(v.alias("x")).filter(F.col("x") > 0).select(F.log10("x").alias("v")))
+    s = vals.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    s = s.filter("n > 1 AND sd > 0").select("n", h.alias("h"), (F.col("lo") - cut * h).alias("lo"),
+                                            ((F.col("hi") - F.col("lo") + 2 * cut * h) / F.lit(float(points - 1))).alias("step"))
+    grid = materialize(s)               # one row or none
+    g = grid.select(F.struct("n", "h", "lo", "step")).scalar()
+    at = (F.col("v") - F.col("g.lo")) / F.col("g.step")
+    placed = vals.select("v", g.alias("g")).filter(F.col("g").isNotNull()).select(at.alias("at"), F.floor(at).alias("j"))
+    share = F.col("at") - F.col("j")
+    weights = (placed.select(F.explode(F.array(F.struct(F.col("j"), (1 - share).alias("w")), F.struct((F.col("j") + 1).alias("j"), share.alias("w"))))
+                             .alias("p"))
+               .groupBy("p.j").agg(F.sum("p.w").alias("w")))
+    packed = weights.agg(F.array_sort(F.collect_list(F.struct("j", "w"))).alias("bins"))      # at most ``points`` entries
+    grid_of = packed.select("bins", g.alias("g")).filter(F.col("g").isNotNull())
+    out = grid_of.select("bins", "g", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    kernel = F.aggregate("bins", F.lit(0.0), lambda acc, b: acc + b["w"] * F.exp(
+        -F.pow((F.col("point") - b["j"]) * F.col("g.step") / F.col("g.h"), F.lit(2.0)) / 2))
+    return out.select("point", (F.col("g.lo") + F.col("point") * F.col("g.step")).alias("log10_x"),
+                      (kernel / (F.col("g.n") * F.col("g.h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"),
+                      F.col("g.n").alias("n"), F.col("g.h").alias("bandwidth"))
+
+
+def duration_density(timeline: DataFrame, points: int = 200, durations: DataFrame | None = None) -> DataFrame:
+    """``log_density`` of the job durations (minutes) on the busiest cluster."""
+    return log_density(durations if durations is not None else busiest_cluster_apps(timeline), "duration_min", points)
+
+
 # ------------------------------------------------------------------ inventory
 def app_files(logs: DataFrame) -> DataFrame:
     """``(application_id, num_files, app_bytes)`` for files below an application directory.

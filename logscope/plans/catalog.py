@@ -24,9 +24,10 @@ from logscope.operators import timeline as TL
 from logscope.plans import views as VW
 from logscope.session import materialize, table_path
 from logscope.sinks import write_csv, write_matching_lines
-from logscope.sources import (concat_frames, list_logs, log_events, log_lines, log_tree, orders_by_month,
-                              profile_source, read_files, read_logs, read_logs_numbered, read_period, read_result_csv,
-                              read_table, read_timeline)
+from logscope.sources import (concat_frames, gzip_text_bytes, list_logs, log_events, log_lines, log_tree, log_tree_gzip,
+                              orders_by_month, profile_source, read_accounting, read_files, read_logs, read_logs_numbered,
+                              read_period, read_result_csv, read_table, read_timeline)
+from logscope.sources.incremental import update_manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,6 +145,12 @@ def q_duration_histogram_log(spark, sf):
     return TL.duration_histogram_log(_timeline_table(spark, sf), 30)
 
 
+@query("duration_density")
+def q_duration_density(spark, sf):
+    d = TL.duration_density(_timeline(spark, sf))
+    return d.select("point", "n", *[F.round(c, 9).alias(c) for c in ("log10_x", "density", "bandwidth")])
+
+
 @query("app_inventory")
 def q_app_inventory(spark, sf):
     return TL.app_inventory(log_lines(spark, sf))
@@ -225,6 +232,62 @@ def q_text_inventory(spark, sf):
     return TL.app_inventory(list_logs(spark, log_tree(spark, sf), glob_filter="*.txt"))
 
 
+@query("text_top_apps")
+def q_text_top_apps(spark, sf):
+    """A18 from the listing alone: no file is opened."""
+    return TL.top_apps_by_files(list_logs(spark, log_tree(spark, sf), glob_filter="*.txt"), 5)
+
+
+def _runs(spark, sf):
+    """Three runs over a growing tree: one cluster's applications, then all, then nothing new."""
+    root, state = log_tree(spark, sf), _out(spark, "manifest")
+    return [update_manifest(spark, r, state, glob_filter="*.txt") for r in (f"{root}/app=application_1485248649253_*", root, root)]
+
+
+@query("incremental_timeline")
+def q_incremental_timeline(spark, sf):
+    t = TL.app_timeline_from_files(_runs(spark, sf)[-1].manifest)
+    return t.select("cluster_id", "application_id", "app_number", "start_time", "end_time")
+
+
+@query("incremental_runs")
+def q_incremental_runs(spark, sf):
+    rows = [(u.version, u.files_listed, u.bytes_listed, u.files_read, u.bytes_read) for u in _runs(spark, sf)]
+    return spark.createDataFrame(rows, "version INT, files_listed BIGINT, bytes_listed BIGINT, files_read BIGINT, bytes_read BIGINT")
+
+
+def _accounted(a):
+    return a.select(C.application_id("path").alias("application_id"), "num_lines", "line_bytes", "text_bytes", "status", "missing_bytes")
+
+
+@query("read_accounting")
+def q_read_accounting(spark, sf):
+    root = log_tree(spark, sf)
+    return _accounted(read_accounting(read_logs(spark, root), list_logs(spark, root, glob_filter="*.txt")))
+
+
+@query("read_accounting_gzip")
+def q_read_accounting_gzip(spark, sf):
+    root = log_tree_gzip(spark, sf)
+    return _accounted(read_accounting(read_logs(spark, root), list_logs(spark, root, glob_filter="*.gz"), gzip_text_bytes(spark, root)))
+
+
+@query("crlf_csv_roundtrip")
+def q_crlf_csv_roundtrip(spark, sf):
+    """K2: fixed order and CRLF line ends; the file is read back as text, breaks included."""
+    path = write_csv(LV.level_counts(log_lines(spark, sf)), _out(spark, "counts.csv"), line_sep="\r\n",
+                     order_by=[F.col("count").desc(), "log_level"])
+    return spark.read.text(path, wholetext=True).select(F.col("value").alias("file_text"))
+
+
+@query("distributed_csv_roundtrip")
+def q_distributed_csv_roundtrip(spark, sf):
+    """K4: a result of many files, never gathered; quotes and commas of the lines survive."""
+    path = write_csv(LV.lines_containing(log_lines(spark, sf), "ERROR").select("path", "line_no", "line"), _out(spark, "errors.csv"),
+                     single_file=False)
+    return read_result_csv(spark, path, "path STRING, line_no BIGINT, line STRING")
+
+
 @query("timeline_csv_roundtrip")
 def q_timeline_csv_roundtrip(spark, sf):
     path = write_csv(_timeline(spark, sf), _out(spark, "timeline.csv"), order_by=["cluster_id", "app_number"])

@@ -154,6 +154,18 @@ ORACLE["duration_histogram_log"] = logs_sql(f"""{BUSY},
 SELECT h.*, (SELECT count(*) FILTER (WHERE NOT (duration_min > 0)) FROM busy) AS excluded_nonpositive
 FROM h ORDER BY bin""")
 
+ORACLE["duration_density"] = logs_sql(f"""{BUSY},
+d AS (SELECT log10(duration_min) AS v FROM busy WHERE duration_min > 0),
+s AS (SELECT count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi FROM d),
+g AS (SELECT n, sd * pow(n, -0.2) AS h, lo - 3 * sd * pow(n, -0.2) AS lo, (hi - lo + 6 * sd * pow(n, -0.2)) / 199 AS step
+      FROM s WHERE n > 1 AND sd > 0),
+x AS (SELECT floor((v - lo) / step) AS j, (v - lo) / step - floor((v - lo) / step) AS f FROM d, g),
+w AS (SELECT j, sum(w) AS w FROM (SELECT j, 1 - f AS w FROM x UNION ALL SELECT j + 1, f FROM x) GROUP BY j),
+k AS (SELECT CAST(r.range AS INTEGER) AS point, sum(w.w * exp(-pow((r.range - w.j) * g.step / g.h, 2) / 2)) AS z
+      FROM range(200) r, w, g GROUP BY 1)
+SELECT point, n, round(lo + point * step, 9) AS log10_x, round(z / (n * h * sqrt(2 * pi())), 9) AS density, round(h, 9) AS bandwidth
+FROM k, g""")
+
 APP_FILES = f"""files AS (SELECT path, {APP_SQL} AS application_id, sum(strlen(line) + 1) AS file_bytes
           FROM log_lines GROUP BY path),
 af AS (SELECT application_id, count(*) AS num_files, CAST(sum(file_bytes) AS BIGINT) AS app_bytes
@@ -451,6 +463,26 @@ ORACLE["text_inventory"] = logs_sql(f"""
 files AS (SELECT {APP_SQL} AS application_id, CAST(sum(strlen(line) + 1) AS BIGINT) AS b FROM log_lines GROUP BY 1)
 SELECT count(*) AS num_applications, count(*) AS num_files, 1.0::DOUBLE AS mean_files_per_app, min(b) AS min_app_bytes,
        avg(b) AS mean_app_bytes, max(b) AS max_app_bytes FROM files""")
+TREE = f"""files AS (SELECT {APP_SQL} AS application_id, count(*) AS num_lines, CAST(sum(strlen(line)) AS BIGINT) AS line_bytes
+          FROM log_lines GROUP BY 1)"""
+ORACLE["text_top_apps"] = logs_sql(f"""{TREE}
+SELECT application_id, CAST(1 AS BIGINT) AS num_files, line_bytes + num_lines AS app_bytes FROM files ORDER BY 2 DESC, 1 LIMIT 5""")
+ORACLE["incremental_timeline"] = ORACLE["app_timeline"]
+ORACLE["incremental_runs"] = logs_sql(f"""{TREE},
+f AS (SELECT line_bytes + num_lines AS b, application_id LIKE 'application_1485248649253_%' AS first FROM files),
+t AS (SELECT count(*) AS n, sum(b) AS b, count(*) FILTER (WHERE first) AS n1, sum(b) FILTER (WHERE first) AS b1 FROM f)
+SELECT 1 AS version, n1 AS files_listed, CAST(b1 AS BIGINT) AS bytes_listed, n1 AS files_read, CAST(b1 AS BIGINT) AS bytes_read FROM t
+UNION ALL SELECT 2, n, CAST(b AS BIGINT), n - n1, CAST(b - b1 AS BIGINT) FROM t
+UNION ALL SELECT 3, n, CAST(b AS BIGINT), 0, 0 FROM t""")
+ORACLE["read_accounting"] = logs_sql(f"""{TREE}
+SELECT application_id, num_lines, line_bytes, line_bytes + num_lines AS text_bytes, 'whole' AS status, CAST(0 AS BIGINT) AS missing_bytes FROM files""")
+ORACLE["read_accounting_gzip"] = ORACLE["read_accounting"]
+ORACLE["crlf_csv_roundtrip"] = logs_sql(f"""
+c AS (SELECT {LEVEL_WORD} AS lv, count(*) AS n FROM log_lines GROUP BY 1),
+z AS (SELECT d.log_level, CAST(coalesce(c.n, 0) AS BIGINT) AS count FROM {LEVEL_DIM} LEFT JOIN c ON c.lv = d.log_level)
+SELECT 'log_level,count' || chr(13) || chr(10) || string_agg(log_level || ',' || count || chr(13) || chr(10), '' ORDER BY count DESC, log_level)
+       AS file_text FROM z""")
+ORACLE["distributed_csv_roundtrip"] = ORACLE["error_lines"]
 ORACLE["timeline_csv_roundtrip"] = ORACLE["app_timeline"]
 ORACLE["sample_csv_roundtrip"] = ORACLE["sample_lines_seeded"]
 ORACLE["error_lines_roundtrip"] = logs_sql("SELECT line FROM log_lines WHERE contains(line, 'ERROR')")

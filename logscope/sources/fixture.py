@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-import warnings
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,7 +96,8 @@ def _checkpoint_base(spark: SparkSession) -> str | None:
     return checkpoint_dir(spark)
 
 
-_CORPUS: dict[tuple[int, str], DataFrame] = {}
+# by session, so that a frame never outlives the session it belongs to
+_CORPUS: weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = weakref.WeakKeyDictionary()
 
 
 def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
@@ -111,12 +112,9 @@ def log_lines(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Da
     with ``materialized=False``, the lazy derivation is returned.
     """
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
-    try:
-        base = _checkpoint_base(spark) if materialized else None
-        if base:
-            return _stored_corpus(spark, events_path, base)
-    except Exception as e:  # no JVM access or file-system error: derive lazily, same rows
-        warnings.warn(f"log corpus not stored ({type(e).__name__}); deriving it lazily")
+    base = _checkpoint_base(spark) if materialized else None
+    if base:
+        return _stored_corpus(spark, events_path, base)
     return log_lines_from_events(spark, spark.read.parquet(events_path))
 
 
@@ -145,7 +143,7 @@ def _stored_corpus(spark: SparkSession, events_path: str, base: str) -> DataFram
     key = hashlib.sha1(f"{st.getPath().toString()}|{size}|{st.getModificationTime()}|{CORPUS_VERSION}"
                        .encode()).hexdigest()[:20]
     target = f"{base.rstrip('/')}/logscope-corpus/{key}"
-    cached = _CORPUS.get((id(spark), target))
+    cached = _CORPUS.setdefault(spark, {}).get(target)
     tpath = jvm.org.apache.hadoop.fs.Path(target)
     fs = tpath.getFileSystem(conf)
     done = jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")
@@ -157,11 +155,11 @@ def _stored_corpus(spark: SparkSession, events_path: str, base: str) -> DataFram
         log_lines_from_events(spark, events).write.mode("overwrite").parquet(tmp)
         _publish(fs, jvm, tmp, target)
     df = spark.read.schema(CORPUS_SCHEMA).parquet(target)
-    _CORPUS[(id(spark), target)] = df
+    _CORPUS[spark][target] = df
     return df
 
 
-_STORED: dict[tuple[int, str], str] = {}
+_STORED: weakref.WeakKeyDictionary[SparkSession, set[str]] = weakref.WeakKeyDictionary()
 
 
 def _stored(spark: SparkSession, table_file: str, tag: str, write) -> str:
@@ -177,13 +175,13 @@ def _stored(spark: SparkSession, table_file: str, tag: str, write) -> str:
     key = hashlib.sha1(f"{st.getPath().toString()}|{fs.getContentSummary(src).getLength()}|{st.getModificationTime()}"
                        f"|{CORPUS_VERSION}|{tag}".encode()).hexdigest()[:20]
     target = f"{base.rstrip('/')}/logscope-corpus/{key}"
-    if (id(spark), target) not in _STORED:
+    if target not in _STORED.setdefault(spark, set()):
         tfs = jvm.org.apache.hadoop.fs.Path(target).getFileSystem(conf)
         if not tfs.exists(jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")):
             tmp = f"{target}.{uuid.uuid4().hex}.tmp"
             write(tmp)
             _publish(tfs, jvm, tmp, target)
-        _STORED[(id(spark), target)] = target
+        _STORED[spark].add(target)
     return target
 
 
@@ -202,6 +200,16 @@ def log_tree(spark: SparkSession, sf_dir: str) -> str:
     return _stored(spark, f"{sf_dir.rstrip('/')}/events.parquet", "tree", write)
 
 
+def log_tree_gzip(spark: SparkSession, sf_dir: str) -> str:
+    """The same tree as gzip files."""
+    def write(folder: str) -> None:
+        (log_lines(spark, sf_dir).select(C.application_id("path").alias("app"), "line_no", F.col("line").alias("value"))
+         .repartition("app").sortWithinPartitions("app", "line_no").select("app", "value")
+         .write.partitionBy("app").option("compression", "gzip").text(folder))
+
+    return _stored(spark, f"{sf_dir.rstrip('/')}/events.parquet", "tree-gzip", write)
+
+
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus's messages (``operators.events.parse_events``), stored by kind."""
     from logscope.operators.events import EVENTS_SCHEMA, event_table

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
+from logscope.session import materialize
 
 
 def _reader(spark: SparkSession, recursive: bool, ignore_corrupt: bool, glob_filter: str | None):
@@ -50,7 +51,7 @@ def read_logs(spark: SparkSession, root: str | list[str], *, recursive: bool = T
 
 def list_logs(spark: SparkSession, root: str | list[str], *, recursive: bool = True,
               glob_filter: str | None = None, applications: Iterable[str] | None = None) -> DataFrame:
-    """``(path, file_size, modified)`` of every log file, from the file listing alone: the
+    """``(path, file_size, modified)`` of every log file that has bytes, from the file listing alone: the
     binary source is asked for its listing columns only, so no file is opened (A17, A18)."""
     paths = [root] if isinstance(root, str) else list(root)
     r = spark.read.format("binaryFile")
@@ -66,7 +67,7 @@ def list_logs(spark: SparkSession, root: str | list[str], *, recursive: bool = T
 
 def unread_files(logs: DataFrame, listing: DataFrame) -> DataFrame:
     """Files of ``listing`` (``list_logs``) with bytes of which ``logs`` (``read_logs``) has no line:
-    what ``ignore_corrupt`` has skipped whole (S3)."""
+    what ``ignore_corrupt`` has skipped whole (S3); ``read_accounting`` lists files read in part as well."""
     seen = logs.select(C.plain_path("path").alias("p")).distinct()
     return (listing.filter(F.col("file_size") > 0).withColumn("p", C.plain_path("path"))
             .join(seen, "p", "left_anti").select("path", "file_size"))
@@ -80,16 +81,18 @@ def read_logs_numbered(spark: SparkSession, root: str | list[str], *, recursive:
     number is (lines in the earlier splits of its file) + (its position in its
     split).  Positions come from the row id within the task, offsets from a
     per-split frame (one row per ~128 MB split) with a running sum over the
-    splits of each file; no file is ever held whole.  Lines end at ``\n``,
+    splits of each file; no file is ever held whole, and the text is scanned once.  Lines end at ``\n``,
     ``\r\n`` or ``\r``, as in ``read_logs``; a final break opens no empty line.
     """
     paths = [root] if isinstance(root, str) else list(root)
     r = _reader(spark, recursive, ignore_corrupt, glob_filter)
-    df = r.load(paths).select(F.col("_metadata.file_path").alias("path"),
-                              F.col("_metadata.file_block_start").alias("block"),
-                              F.col("_metadata.file_size").alias("file_size"),
-                              F.col("value").alias("line"),
-                              F.monotonically_increasing_id().alias("row_id"))
+    # stored first: positions and offsets come from the same reading of the files, so a split that one
+    # reading skips or cuts short cannot lose or shift the lines of the other
+    df = materialize(r.load(paths).select(F.col("_metadata.file_path").alias("path"),
+                                          F.col("_metadata.file_block_start").alias("block"),
+                                          F.col("_metadata.file_size").alias("file_size"),
+                                          F.col("value").alias("line"),
+                                          F.monotonically_increasing_id().alias("row_id")))
     splits = df.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_id"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select("path", "block", "first_id",
@@ -99,6 +102,50 @@ def read_logs_numbered(spark: SparkSession, root: str | list[str], *, recursive:
                       "line", "file_size"))
 
 
+COMPRESSED = r"\.(gz|bz2|deflate|zst|lz4|snappy|xz)$"
+
+
+def gzip_text_bytes(spark: SparkSession, root: str | list[str], *, recursive: bool = True) -> DataFrame:
+    """``(path, text_bytes)`` of every ``.gz`` file: the uncompressed length modulo 2^32 from its last four bytes.  A gzip
+    file is one split for the line reader too, so a task holds one compressed file."""
+    r = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz")
+    r = r.option("recursiveFileLookup", "true") if recursive else r
+    df = r.load([root] if isinstance(root, str) else list(root))
+    last = F.reverse(F.hex(F.substring("content", -4, 4)))              # nibbles from the last one on
+    little = F.concat(*[F.substring(last, i + 2, 1) if i % 2 == 0 else F.substring(last, i, 1) for i in range(8)])
+    return df.select("path", F.when(F.length("content") >= 18, F.conv(little, 16, 10).cast("bigint")).alias("text_bytes"))
+
+
+def read_accounting(logs: DataFrame, listing: DataFrame, text_sizes: DataFrame | None = None) -> DataFrame:
+    """Every file of ``listing`` (``list_logs``) with what ``logs`` (``read_logs``) has of it (S3, L17): lines, their bytes, and
+    whether that is the whole file.
+
+    Lines come without their breaks of one or two bytes, and the last line may have none, so a file read whole has between
+    ``line_bytes + num_lines - 1`` and ``line_bytes + 2 * num_lines`` bytes.  ``status``: ``whole``, ``part`` (``missing_bytes`` at
+    least are unread), ``unread`` (no line of a file that has bytes), ``empty``, ``changed`` (more bytes read than listed), or
+    ``unknown`` for a compressed file without its text size; ``text_sizes`` (``gzip_text_bytes``) gives those."""
+    have = (logs.groupBy(C.plain_path("path").alias("plain"))
+            .agg(F.count(F.lit(1)).alias("num_lines"), F.sum(F.octet_length("line")).alias("line_bytes")))
+    files = listing.select("path", "file_size", C.plain_path("path").alias("plain"))
+    packed = F.col("path").rlike(COMPRESSED)
+    size = F.when(~packed, F.col("file_size"))
+    if text_sizes is not None:
+        files = files.join(text_sizes.select(C.plain_path("path").alias("plain"), "text_bytes"), "plain", "left")
+        size = F.coalesce(size, F.col("text_bytes"))
+    f = files.join(have, "plain", "left").fillna(0, ["num_lines", "line_bytes"]).withColumn("size", size)
+    # the trailer of a gzip file holds the size modulo 2^32
+    least = F.col("line_bytes") + F.greatest(F.col("num_lines") - 1, F.lit(0))
+    most = F.col("line_bytes") + 2 * F.col("num_lines")
+    size = F.when(packed & (least > F.col("size")), F.col("size") + F.ceil((least - F.col("size")) / F.lit(1 << 32)) * F.lit(1 << 32)).otherwise(F.col("size"))
+    f = f.withColumn("size", size)
+    status = (F.when(F.col("file_size") == 0, "empty").when((F.col("num_lines") == 0) & (F.coalesce("size", F.lit(1)) > 0), "unread")
+              .when(F.col("size").isNull(), "unknown").when(F.col("size") > most, "part").when(F.col("size") < least, "changed")
+              .otherwise("whole"))
+    return f.select("path", "file_size", "num_lines", "line_bytes", F.col("size").alias("text_bytes"), status.alias("status"),
+                    F.when(F.col("num_lines") == 0, F.col("size")).when(F.col("size") > most, F.col("size") - most)
+                    .otherwise(F.lit(0)).cast("bigint").alias("missing_bytes"))
+
+
 def concat_frames(*frames: DataFrame) -> DataFrame:
     """One frame from many (S12): union by column name, missing columns as NULL."""
     if not frames:

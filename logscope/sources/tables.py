@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_READERS: dict[tuple, DataFrame] = {}
+# by session, so that a reader never outlives the session it belongs to
+_READERS: weakref.WeakKeyDictionary[SparkSession, dict[tuple, DataFrame]] = weakref.WeakKeyDictionary()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,12 +21,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         jvm = spark._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         st = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
-        key = (id(spark), st.getPath().toString(), st.getLen(), st.getModificationTime())
+        key = (st.getPath().toString(), st.getLen(), st.getModificationTime())
     except Exception:       # no JVM access: read afresh each time
         return spark.read.parquet(path)
-    df = _READERS.get(key)
+    readers = _READERS.setdefault(spark, {})
+    df = readers.get(key)
     if df is None:
-        df = _READERS[key] = spark.read.parquet(path)
+        df = readers[key] = spark.read.parquet(path)
     return df
 
 
