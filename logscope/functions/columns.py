@@ -152,6 +152,14 @@ def is_entry_header(line="line") -> Column:
     return _c(line).rlike(P.ENTRY_HEADER)
 
 
+def masked_tokens(line="line") -> Column:
+    """The words of a line with paths, hexadecimal numbers and numbers masked: lines of one message share them."""
+    text = _c(line)
+    for pattern, mask in P.SHAPE_MASKS:
+        text = F.regexp_replace(text, pattern, mask)
+    return F.split(F.regexp_replace(text, r"^\s+|\s+$", ""), r"\s+")
+
+
 # ---------------------------------------------------------------- units
 def size_bytes(value: Column, unit: Column) -> Column:
     """``value`` (decimal text) times the binary multiple named by ``unit``."""

@@ -57,5 +57,9 @@ CACHE_HIT_HINT = "Found block "
 SHUFFLE_FETCH_HINT = " remote fetches in "
 HOST_HINTS = ("mesos-", "10.10.34.")
 
+# parts of a line that vary from one message to the next, in the order they are masked
+SHAPE_MASKS = ((r"(?:/[A-Za-z_][A-Za-z0-9_.-]*){2,}", "<path>"), (r"\b(?:0x[0-9a-fA-F]+|[0-9a-f]{16,})\b", "<hex>"),
+               (r"\d+(?:[.:,/-]\d+)*", "<n>"))
+
 # size units (binary multiples)
 UNIT_EXPONENT = {"B": 0, "KB": 1, "MB": 2, "GB": 3, "TB": 4}

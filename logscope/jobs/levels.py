@@ -17,16 +17,13 @@ def run_levels_job(spark: SparkSession, logs: DataFrame, outdir: str, sample_n:
     sep = "\r\n" if crlf else None
     paths = {}
 
-    def aggregate_branch():
-        summary = materialize(LV.level_summary(logs), strict=True)      # the one full aggregate scan
-        run_all(lambda: paths.__setitem__("counts", write_csv(
-                    summary.select("log_level", "count"), f"{out}/level_counts.csv", line_sep=sep)),
-                lambda: paths.__setitem__("summary", write_text(
-                    RP.level_report(summary), f"{out}/level_summary.txt", order_by="line_no")))
-
-    def sample_branch():                                                  # top-n per task, no full sort
-        sample = LV.sample_lines(logs, n=sample_n, seed=seed)
-        paths["sample"] = write_csv(sample, f"{out}/level_sample.csv", line_sep=sep)
-
-    run_all(aggregate_branch, sample_branch)
+    # the one scan of all lines: totals and sample in one row
+    totals = materialize(LV.totals_with_sample(logs, sample_n, seed), strict=True)
+    got = totals.selectExpr("size(sample) AS k", "lines_with_level AS m").first()
+    # a table of few lines can leave ranges of the draw empty: sampled again, in full
+    sample = LV.sample_of(totals) if got["k"] >= min(sample_n, got["m"]) else LV.sample_lines(logs, n=sample_n, seed=seed)
+    summary = LV.summary_of(totals)
+    run_all(lambda: paths.__setitem__("counts", write_csv(summary.select("log_level", "count"), f"{out}/level_counts.csv", line_sep=sep)),
+            lambda: paths.__setitem__("summary", write_text(RP.level_report(summary), f"{out}/level_summary.txt", order_by="line_no")),
+            lambda: paths.__setitem__("sample", write_csv(sample, f"{out}/level_sample.csv", line_sep=sep)))
     return {k: paths[k] for k in ("counts", "sample", "summary")}

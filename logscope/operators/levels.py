@@ -51,7 +51,12 @@ def level_summary(logs: DataFrame, mode: str = "word") -> DataFrame:
     ``share_pct`` is 0 when no line has a level; ``unique_levels`` counts
     levels seen at least once; totals repeat on every row.
     """
-    t = level_totals(logs, mode)
+    return summary_of(level_totals(logs, mode))
+
+
+def summary_of(totals: DataFrame) -> DataFrame:
+    """``level_summary`` from the row of ``level_totals`` or ``totals_with_sample``."""
+    t = totals
     seen = sum((F.col(f"n_{x}") > 0).cast("int") for x in LEVELS)
     t = t.withColumn("unique_levels", seen)
     out = _stack_levels(t, ["total_lines", "lines_with_level", "unique_levels"])
@@ -102,6 +107,38 @@ def sample_lines(logs: DataFrame, n: int = 10, seed: int | None = None,
     return df.orderBy(*order).limit(n).select(F.col("line").alias("log_entry"), "log_level")
 
 
+def totals_with_sample(logs: DataFrame, n: int = 10, seed: int | None = None, key: str | Column | None = None,
+                       mode: str = "word") -> DataFrame:
+    """The row of ``level_totals`` and, in the same scan and aggregate, a sample of ``n`` lines with a level (A1-A6 with O7):
+    ``levels`` (those seen) and ``sample``, an array of at most ``n`` (log_entry, log_level).
+
+    Every line draws a random number, which falls into one of ``n`` equal ranges; the aggregate keeps the line with the least
+    number of each range.  Such minima merge like any other aggregate (one buffer of ``n`` lines a task), and as the draws treat all lines
+    alike, any set of lines of the size that results is as likely as any other.  A range stays empty only when there are few lines;
+    ``sample_of`` then says so and ``sample_lines`` draws the missing ones.  ``n`` is a number of report lines (tens): each is an aggregate of
+    its own.  With ``key`` the draw is reproducible across engines: the number is ``md5(key || '|' || seed)``."""
+    lv = C.level("line", mode)
+    if key is not None:
+        k = F.col(key) if isinstance(key, str) else key
+        draw = F.md5(F.concat(k.cast("string"), F.lit(f"|{seed if seed is not None else 0}")))
+        part = F.floor(F.conv(F.substring("draw", 1, 8), 16, 10).cast("bigint") * F.lit(n) / F.lit(float(1 << 32)))
+    else:
+        draw, part = F.rand(seed), F.floor(F.col("draw") * F.lit(n))
+    rows = logs.select(lv.alias("lv"), "line", draw.alias("draw")).withColumn("part", F.when(F.col("lv") != "", part))
+    one = F.struct("draw", F.col("line").alias("log_entry"), F.col("lv").alias("log_level"))
+    picks = [F.min(F.when(F.col("part") == i, one)).alias(f"p_{i}") for i in range(n)]
+    t = rows.agg(F.count(F.lit(1)).alias("total_lines"), F.count_if(F.col("lv") != "").alias("lines_with_level"),
+                 *[F.count_if(F.col("lv") == x).alias(f"n_{x}") for x in LEVELS],
+                 F.collect_set(F.nullif(F.col("lv"), F.lit(""))).alias("levels"), *picks)
+    sample = F.transform(F.array_compact(F.array(*[F.col(f"p_{i}") for i in range(n)])), lambda p: F.struct(p["log_entry"], p["log_level"]))
+    return t.withColumn("sample", sample).drop(*[f"p_{i}" for i in range(n)])
+
+
+def sample_of(totals: DataFrame) -> DataFrame:
+    """``(log_entry, log_level)`` of the sample in the row of ``totals_with_sample``."""
+    return totals.select(F.explode("sample").alias("s")).select("s.log_entry", "s.log_level")
+
+
 def lines_containing(logs: DataFrame, text: str = "ERROR") -> DataFrame:
     """Lines that contain ``text`` (case-sensitive substring, K6/F8)."""
     return logs.filter(F.col("line").contains(text))

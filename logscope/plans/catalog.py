@@ -17,8 +17,10 @@ from logscope.operators import activity as AC
 from logscope.operators import daily as DY
 from logscope.operators import events as EV
 from logscope.operators import levels as LV
+from logscope.operators import precedence as PR
 from logscope.operators import records as RC
 from logscope.operators import reports as RP
+from logscope.operators import shapes as SH
 from logscope.operators import tasks as TK
 from logscope.operators import timeline as TL
 from logscope.plans import views as VW
@@ -71,6 +73,16 @@ def q_sample_random(spark, sf):
     return LV.sample_lines(log_lines(spark, sf), n=10)
 
 
+@query("one_pass_summary")
+def q_one_pass_summary(spark, sf):
+    return LV.summary_of(LV.totals_with_sample(log_lines(spark, sf), n=10, seed=42, key="line_no"))
+
+
+@query("one_pass_sample")
+def q_one_pass_sample(spark, sf):
+    return LV.sample_of(LV.totals_with_sample(log_lines(spark, sf), n=10, seed=42, key="line_no"))
+
+
 @query("error_lines")
 def q_error_lines(spark, sf):
     return LV.lines_containing(log_lines(spark, sf), "ERROR").select("path", "line_no", "line")
@@ -354,6 +366,7 @@ for _name, _fn in {
     "parsed_records": RC.parse_records, "component_counts": RC.component_counts,
     "parse_audit": RC.parse_audit, "parse_audit_by_file": RC.parse_audit_by_file,
     "host_activity": RC.host_activity, "stitched_entries": RC.stitched_entries,
+    "unparsed_templates": SH.unparsed_templates,
 }.items():
     QUERIES[_name] = (lambda fn: lambda spark, sf: fn(log_lines(spark, sf)))(_fn)
 
@@ -393,6 +406,17 @@ def q_stages_per_app(spark, sf):
     return TK.stages_per_app(_tasks(spark, sf))
 
 
+@query("stage_precedence")
+def q_stage_precedence(spark, sf):
+    return PR.stage_precedence(materialize(PR.stage_spans(_tasks(spark, sf))))
+
+
+@query("critical_paths")
+def q_critical_paths(spark, sf):
+    spans = materialize(PR.stage_spans(_tasks(spark, sf)))
+    return PR.critical_paths(spans, PR.stage_precedence(spans))
+
+
 # ------------------------------------------------------------------ work over time (L6, L6d, L10, L11, L15)
 def _containers(spark, sf):
     return materialize(AC.container_intervals(TL.container_timeline(log_lines(spark, sf))))

@@ -59,6 +59,13 @@ l AS (SELECT line_no, line, {LEVEL_WORD} AS log_level FROM log_lines)
 SELECT line AS log_entry, log_level FROM l WHERE log_level <> ''
 ORDER BY md5(concat(CAST(line_no AS VARCHAR), '|42')), line_no LIMIT 10""")
 
+ORACLE["one_pass_summary"] = ORACLE["level_summary"]
+ORACLE["one_pass_sample"] = logs_sql(f"""
+l AS (SELECT line, {LEVEL_WORD} AS log_level, md5(concat(CAST(line_no AS VARCHAR), '|42')) AS draw FROM log_lines),
+r AS (SELECT *, row_number() OVER (PARTITION BY floor(CAST('0x' || draw[1:8] AS BIGINT) * 10 / 4294967296.0) ORDER BY draw, line) AS k
+      FROM l WHERE log_level <> '')
+SELECT line AS log_entry, log_level FROM r WHERE k = 1""")
+
 ORACLE["error_lines"] = logs_sql("""
 SELECT path, line_no, line FROM log_lines WHERE contains(line, 'ERROR')""")
 
@@ -368,6 +375,34 @@ SELECT application_id, TRY_CAST(regexp_extract(block_id, '{P.RDD_BLOCK}', 1) AS
        count(DISTINCT regexp_extract(block_id, '{P.RDD_BLOCK}', 2)) AS distinct_partitions
 FROM ev WHERE regexp_matches(block_id, '{P.RDD_BLOCK}') GROUP BY ALL""")
 
+# ------------------------------------------------------------------ stage precedence
+PRECEDES = ("{a}.application_id = {b}.application_id AND {a}.stage_id <> {b}.stage_id AND ({a}.z < {b}.a OR ({a}.z = {b}.a AND NOT "
+            "({a}.a = {a}.z AND {b}.a = {b}.z AND {a}.stage_id > {b}.stage_id)))").format
+STAGES = f"""{TASKS},
+sg AS (SELECT application_id, stage_id, min(start_time) AS a, max(greatest(start_time, end_time)) AS z FROM t
+       WHERE start_time IS NOT NULL AND end_time IS NOT NULL GROUP BY ALL),
+pr AS (SELECT x.application_id, x.stage_id AS f, y.stage_id AS t, x.z, y.a FROM sg x JOIN sg y ON {PRECEDES(a='x', b='y')}),
+red AS (SELECT pr.* FROM pr LEFT JOIN (SELECT p.application_id, p.f, q.t FROM pr p JOIN pr q ON p.application_id = q.application_id AND p.t = q.f) v
+        ON v.application_id = pr.application_id AND v.f = pr.f AND v.t = pr.t WHERE v.f IS NULL)"""
+
+ORACLE["stage_precedence"] = logs_sql(f"""{STAGES}
+SELECT application_id, f AS from_stage, t AS to_stage, (epoch_us(a) - epoch_us(z)) / 1e6 AS wait_sec FROM red""")
+
+# every chain of stages that follow one another directly, by recursion
+ORACLE["critical_paths"] = logs_sql(f"""{STAGES},
+ch AS (
+  WITH RECURSIVE c(application_id, last, us, path) AS (
+    SELECT application_id, stage_id, epoch_us(z) - epoch_us(a), [stage_id] FROM sg
+    UNION ALL
+    SELECT c.application_id, sg.stage_id, c.us + epoch_us(sg.z) - epoch_us(sg.a), list_append(c.path, sg.stage_id)
+    FROM c JOIN red ON red.application_id = c.application_id AND red.f = c.last
+           JOIN sg ON sg.application_id = c.application_id AND sg.stage_id = red.t)
+  SELECT *, row_number() OVER (PARTITION BY application_id ORDER BY us DESC, len(path) DESC, list_reverse(path)) AS k FROM c),
+r AS (SELECT application_id, count(*) AS num_stages, epoch_us(max(z)) - epoch_us(min(a)) AS span FROM sg GROUP BY 1)
+SELECT r.application_id, num_stages, CAST(len(path) AS BIGINT) AS path_stages, us / 1e6 AS path_sec, array_to_string(path, '>') AS path,
+       span / 1e6 AS span_sec, CASE WHEN span > 0 THEN 100.0::DOUBLE * us / span ELSE 0.0 END AS path_pct
+FROM r JOIN ch USING (application_id) WHERE k = 1""")
+
 # ------------------------------------------------------------------ work over time
 # brute force: every instant is joined with all containers that are open at it
 CONTAINERS = f"""{PARSED},
@@ -518,6 +553,25 @@ SELECT *, 100.0::DOUBLE * no_timestamp / num_lines AS no_timestamp_pct,
        100.0::DOUBLE * no_component / num_lines AS no_component_pct
 FROM a""")
 
+MASKED = "line"
+for _pattern, _mask in P.SHAPE_MASKS:
+    MASKED = f"regexp_replace({MASKED}, '{_pattern}', '{_mask}', 'g')"
+
+ORACLE["unparsed_templates"] = logs_sql(f"""
+u AS (SELECT *, {TS_SQL} IS NULL AS nt, {LEVEL_WORD} = '' AS nl, {COMP_SQL} = '' AS nc
+      FROM (SELECT *, regexp_extract(line, '{P.TS_ANY}', 1) AS s FROM log_lines)),
+sh AS (SELECT string_split_regex(regexp_replace({MASKED}, '^\\s+|\\s+$', '', 'g'), '\\s+') AS words, count(*) AS n, min(line) AS example,
+              count(*) FILTER (WHERE nt) AS nt, count(*) FILTER (WHERE nl) AS nl, count(*) FILTER (WHERE nc) AS nc
+       FROM u WHERE nt OR nl OR nc GROUP BY 1),
+tot AS (SELECT len(words) AS k, words[1:2] AS prefix, sum(n) AS n, count(*) AS m, sum(nt) AS nt, sum(nl) AS nl, sum(nc) AS nc, min(example) AS example
+        FROM sh GROUP BY ALL),
+pl AS (SELECT len(words) AS k, words[1:2] AS prefix, unnest(words) AS w, unnest(range(len(words))) AS i FROM sh),
+tp AS (SELECT k, prefix, string_agg(w, ' ' ORDER BY i) AS template
+       FROM (SELECT k, prefix, i, CASE WHEN min(w) = max(w) THEN min(w) ELSE '<*>' END AS w FROM pl GROUP BY ALL) GROUP BY ALL)
+SELECT template, CAST(k AS INTEGER) AS num_words, CAST(n AS BIGINT) AS num_lines, m AS num_shapes, CAST(nt AS BIGINT) AS no_timestamp,
+       CAST(nl AS BIGINT) AS no_level, CAST(nc AS BIGINT) AS no_component, example
+FROM tot JOIN tp USING (k, prefix) ORDER BY num_lines DESC, template""")
+
 ORACLE["host_activity"] = logs_sql(f"""
 h AS (SELECT path, unnest(list_distinct(regexp_extract_all(line, '{P.HOST}', 1))) AS host FROM log_lines
       WHERE {' OR '.join(f"contains(line, '{x}')" for x in P.HOST_HINTS)})

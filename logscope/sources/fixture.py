@@ -47,10 +47,10 @@ SELECT path, event_id*2 AS line_no,
            WHEN 9 THEN concat('broadcast.TorrentBroadcast: Started reading broadcast variable ', cast(event_id % 30 as string))
            WHEN 12 THEN concat('storage.ShuffleBlockFetcherIterator: Started ', cast(event_id % 6 as string), ' remote fetches in ', cast(event_id % 40 as string), ' ms')
            WHEN 13 THEN concat('storage.MemoryStore: MemoryStore started with capacity ', cast(event_id % 20 + 1 as string), '.5 GB')
-           ELSE concat('executor.Executor: Running task ', cast(event_id % 7 as string), '.', attempt, ' in stage ', cast(user_id % 5 as string), '.0 (TID ', cast(event_id as string), ')') END) END AS line
+           ELSE concat('executor.Executor: Running task ', cast(event_id % 7 as string), '.', attempt, ' in stage ', cast(<STAGE> as string), '.0 (TID ', cast(event_id as string), ')') END) END AS line
 FROM p
 UNION ALL
-SELECT path, event_id*2+1, concat(CASE WHEN event_id % 19 = 0 THEN '24/13/41 25:61:00' ELSE <SHORT_TS_PLUS> END, ' INFO executor.Executor: Finished task ', cast(event_id % 7 as string), '.', attempt, ' in stage ', cast(user_id % 5 as string), '.0 (TID ', cast(event_id as string), ')')
+SELECT path, event_id*2+1, concat(CASE WHEN event_id % 19 = 0 THEN '24/13/41 25:61:00' ELSE <SHORT_TS_PLUS> END, ' INFO executor.Executor: Finished task ', cast(event_id % 7 as string), '.', attempt, ' in stage ', cast(<STAGE> as string), '.0 (TID ', cast(event_id as string), ')')
 FROM p WHERE k IN (2,3,4,5) AND event_id % 11 <> 0
 """
 
@@ -59,11 +59,13 @@ _DIALECT = {
         "<ISO_TS>": "date_format(ts,'yyyy-MM-dd HH:mm:ss,SSS')",
         "<SHORT_TS_PLUS>": "date_format(timestampadd(SECOND, cast(event_id % 90 as int), ts),'yy/MM/dd HH:mm:ss')",
         "<SHORT_TS>": "date_format(ts,'yy/MM/dd HH:mm:ss')",
+        "<STAGE>": "(dayofyear(ts) div 3 + event_id % 2)",
     },
     "duckdb": {
         "<ISO_TS>": "strftime(ts,'%Y-%m-%d %H:%M:%S,%g')",
         "<SHORT_TS_PLUS>": "strftime(ts + to_seconds(event_id % 90),'%y/%m/%d %H:%M:%S')",
         "<SHORT_TS>": "strftime(ts,'%y/%m/%d %H:%M:%S')",
+        "<STAGE>": "(dayofyear(ts) // 3 + event_id % 2)",
     },
 }
 
@@ -87,7 +89,7 @@ def log_lines_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
     return spark.sql(log_lines_sql("spark"), events=cols)
 
 
-CORPUS_VERSION = "v2"
+CORPUS_VERSION = "v3"
 CORPUS_SCHEMA = "path STRING, line_no BIGINT, line STRING"
 
 

@@ -76,10 +76,9 @@ def _bytes_read(spark):
     return st.getLong("bytesRead") if st is not None else 0
 
 
-def test_jobs_read_the_logs_once_or_twice(spark, log_tree, tmp_path):
+def test_jobs_read_the_logs_once(spark, log_tree, tmp_path):
     """Bytes read from the local file system per job, relative to the log tree:
-    the usage job scans the lines once (plus its own small written outputs),
-    the level job twice (the aggregate and the top-n sample pass)."""
+    both jobs scan the lines once (plus their own small written outputs)."""
     tree = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(log_tree) for f in fs
                if f.endswith(".log"))
     b0 = _bytes_read(spark)
@@ -88,4 +87,4 @@ def test_jobs_read_the_logs_once_or_twice(spark, log_tree, tmp_path):
     run_levels_job(spark, read_logs(spark, log_tree), str(tmp_path / "l"))
     b2 = _bytes_read(spark)
     assert 1.0 <= (b1 - b0) / tree < 1.5
-    assert 2.0 <= (b2 - b1) / tree < 2.5
+    assert 1.0 <= (b2 - b1) / tree < 1.3

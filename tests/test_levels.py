@@ -43,7 +43,7 @@ def test_sample_members_and_size(fixture_lines):
     s = LV.sample_lines(fixture_lines, n=10).collect()
     assert len(s) == 10
     lines = {r["line"] for r in fixture_lines.collect()}
-    assert all(r["log_entry"] in lines and r["log_level"] in ("INFO", "WARN", "ERROR") for r in s)
+    assert all(r["log_entry"] in lines and r["log_level"] in ("INFO", "WARN", "ERROR", "DEBUG") for r in s)
 
 
 def test_sample_seeded_is_reproducible(fixture_lines):
@@ -121,3 +121,28 @@ def test_materialize_writes_a_table_and_clear_removes_it(spark):
         assert os.path.isdir(folder)
         clear_materialized(spark)
         assert not os.path.exists(folder)
+
+
+def test_one_pass_sample_is_uniform_and_complete(spark):
+    """Every line is as likely as any other; each draw holds distinct lines with their levels."""
+    rows = [(f"{i} {'ERROR' if i % 3 else 'info'} x",) for i in range(60)] + [("no level",)] * 5
+    df = spark.createDataFrame(rows, "line string").coalesce(1)
+    seen = {}
+    for seed in range(40):
+        t = LV.totals_with_sample(df, n=4, seed=seed)
+        got = LV.sample_of(t).collect()
+        assert len(got) == len({r["log_entry"] for r in got}) <= 4
+        for r in got:
+            assert r["log_level"] in r["log_entry"].upper()
+            seen[r["log_entry"]] = seen.get(r["log_entry"], 0) + 1
+    assert "no level" not in seen and max(seen.values()) <= 12 and len(seen) > 45
+    row = t.first()
+    assert (row["total_lines"], row["lines_with_level"], row["n_ERROR"]) == (65, 60, 40) and sorted(row["levels"]) == ["ERROR", "INFO"]
+
+
+def test_one_pass_on_few_and_no_lines(spark):
+    none = spark.createDataFrame([], "line string")
+    assert LV.sample_of(LV.totals_with_sample(none, 3)).collect() == []
+    assert [r["count"] for r in LV.summary_of(LV.totals_with_sample(none, 3)).collect()] == [0] * 4
+    one = spark.createDataFrame([("INFO only",)], "line string")
+    assert [tuple(r) for r in LV.sample_of(LV.totals_with_sample(one, 3)).collect()] == [("INFO only", "INFO")]
