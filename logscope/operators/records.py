@@ -96,43 +96,35 @@ def stitched_entries(logs: DataFrame, block_lines: int = BLOCK_LINES) -> DataFra
     ``block_lines`` only decides how the work is spread, never the result: the
     lines are shuffled once, by (file, block of line numbers), so one huge file
     spreads over many tasks, and entries inside a block are put together there.
-    These pieces are stored; a narrow frame of the last header per block finds
-    where each block's leading continuation lines belong, and only entries
-    that cross a block border are put together once more.
+    These pieces are stored.  Only a block's leading lines and its last entry can
+    be parts of an entry that crosses a block border: at most two pieces a block, which
+    meet by file, take the latest header before them and are put together once more.
     """
     block = F.floor(F.col("line_no") / F.lit(block_lines))
     df = logs.select("path", "line_no", "line", block.alias("block"), C.is_entry_header("line").alias("is_header"))
     header_no = F.when(F.col("is_header"), F.col("line_no"))
-    above = (Window.partitionBy("path", "block").orderBy("line_no")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    text = lambda parts: F.array_join(F.transform(F.array_sort(parts), lambda x: x["text"]), "\n")
-    # same partitioning as the window: no second shuffle
+    of_block = Window.partitionBy("path", "block")
+    above = of_block.orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # same partitioning as the windows: no second shuffle
     pieces = materialize(
-        df.withColumn("entry", F.max(header_no).over(above)).groupBy("path", "block", "entry")
+        df.withColumns({"entry": F.max(header_no).over(above), "last": F.max(header_no).over(of_block)})
+        .groupBy("path", "block", "entry", "last")
         .agg(F.count(F.lit(1)).alias("num_lines"),
-             F.collect_list(F.struct("line_no", F.col("line").alias("text"))).alias("lines"))
-        .select("path", "block", "entry", "num_lines", F.array_sort("lines").alias("lines")))
-
-    # one narrow row per block; the header that a block's leading lines continue
-    last = pieces.groupBy("path", "block").agg(F.max("entry").alias("last"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    last = last.select("path", "block", F.max("last").over(before).alias("carried"))
-    leading = pieces.filter(F.col("entry").isNull()).drop("entry").join(last, ["path", "block"])
-    crossing = leading.filter(F.col("carried").isNotNull()).withColumn("entry", F.col("carried"))
-    crossed = crossing.select("path", "entry").distinct()
-
-    head = pieces.filter(F.col("entry").isNotNull())
-    parts = head.join(crossed, ["path", "entry"], "left_semi").select("path", "entry", "block", "num_lines", "lines")
-    parts = parts.union(crossing.select("path", "entry", "block", "num_lines", "lines"))
-    merged = (parts.groupBy("path", "entry")
+             F.array_sort(F.collect_list(F.struct("line_no", F.col("line").alias("text")))).alias("lines"))
+        .withColumn("border", F.col("entry").isNull() | (F.col("entry") == F.col("last"))))
+
+    before = Window.partitionBy("path").orderBy(F.col("block"), F.col("entry").asc_nulls_first())
+    border = pieces.filter("border").withColumn("entry", F.last("entry", ignorenulls=True).over(before))
+    # in the window's partitions; lines without a header stay apart by block
+    merged = (border.groupBy("path", "entry", F.when(F.col("entry").isNull(), F.col("block")).alias("apart"))
               .agg(F.sum("num_lines").alias("num_lines"),
                    F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "lines"))), lambda x: x["lines"]))
-                   .alias("lines")))
-    whole = head.join(crossed, ["path", "entry"], "left_anti").select("path", "entry", "num_lines", "lines")
-    entries = whole.union(merged).select(
-        "path", F.col("entry").alias("entry_line_no"), F.lit(True).alias("has_header"),
-        F.col("num_lines").cast("bigint").alias("num_lines"), text(F.col("lines")).alias("entry_text"))
-    orphans = (leading.filter(F.col("carried").isNull()).select("path", F.explode("lines").alias("l"))
-               .select("path", F.col("l.line_no").alias("entry_line_no"), F.lit(False).alias("has_header"),
-                       F.lit(1).cast("bigint").alias("num_lines"), F.col("l.text").alias("entry_text")))
-    return entries.union(orphans)
+                   .alias("lines")).drop("apart"))
+    inner = pieces.filter("NOT border").select("path", "entry", "num_lines", "lines")
+    text = F.array_join(F.transform("lines", lambda x: x["text"]), "\n")
+    # lines before a file's first header are single rows
+    orphan = F.transform("lines", lambda x: F.struct(x["line_no"].alias("n"), F.lit(False).alias("h"), F.lit(1).cast("bigint").alias("k"), x["text"].alias("t")))
+    whole = F.array(F.struct(F.col("entry").alias("n"), F.lit(True).alias("h"), F.col("num_lines").cast("bigint").alias("k"), text.alias("t")))
+    rows = inner.union(merged).select("path", F.explode(F.when(F.col("entry").isNull(), orphan).otherwise(whole)).alias("e"))
+    return rows.select("path", F.col("e.n").alias("entry_line_no"), F.col("e.h").alias("has_header"), F.col("e.k").alias("num_lines"),
+                       F.col("e.t").alias("entry_text"))

@@ -20,6 +20,8 @@ PROFILE = {
     # percentile aggregates keep this many groups per task in memory before they
     # fall back to sorting every row (default 128): a year of days, the stages of a file
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # a tree of many folders is listed by this many tasks, not by one for each folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
