@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,7 +37,7 @@ from .common import Memo, cut, slices, texts
 CAPACITY = 2048
 OPEN_BINS = 512
 PIECES_PER_TASK = 100_000
-MEMO_BYTES = 64 << 20      # of a task's memo of words
+MEMO_BYTES = 192 << 20     # of a Python worker's memo of words
 MARKS = ".,!?;:%*&$#|()"
 PLAIN = "\u0130"          # below it, lower case is one letter for one letter
 PIECE = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
@@ -76,9 +77,11 @@ class BestFit:
         return b, self.capacity - free
 
 
+@lru_cache(maxsize=1)
 def word_tokenizer(path: str, memo_bytes: int = MEMO_BYTES) -> Callable[[str], bytes]:
     """A function text -> ids (little-endian unsigned 32-bit) for a tokenizers file whose
-    normaliser and pattern drop white space, so words are encoded one by one and kept in a memo of bounded bytes."""
+    normaliser and pattern drop white space, so words are encoded one by one and kept in a memo of bounded bytes.  A worker
+    keeps it from task to task: words that are new to a task are mostly not new to the worker."""
     tok = Tokenizer.from_file(path)
 
     def encode(word: str) -> bytes:
