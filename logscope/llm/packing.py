@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -32,12 +31,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
+from .byte_bpe import byte_characters
 from .common import Memo, cut, slices, texts
 
 CAPACITY = 2048
 OPEN_BINS = 512
 PIECES_PER_TASK = 100_000
-MEMO_BYTES = 192 << 20     # of a Python worker's memo of words
+MEMO_BYTES = 128 << 20     # of a task's memo of words
 MARKS = ".,!?;:%*&$#|()"
 PLAIN = "\u0130"          # below it, lower case is one letter for one letter
 PIECE = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
@@ -77,23 +77,27 @@ class BestFit:
         return b, self.capacity - free
 
 
-@lru_cache(maxsize=1)
 def word_tokenizer(path: str, memo_bytes: int = MEMO_BYTES) -> Callable[[str], bytes]:
     """A function text -> ids (little-endian unsigned 32-bit) for a tokenizers file whose
-    normaliser and pattern drop white space, so words are encoded one by one and kept in a memo of bounded bytes.  A worker
-    keeps it from task to task: words that are new to a task are mostly not new to the worker."""
-    tok = Tokenizer.from_file(path)
+    normaliser and pattern drop white space, so words are encoded one by one and kept in a memo of bounded bytes.  Byte-level
+    vocabularies in lower case only, as the file named in the module's queries."""
+    tok, chars = Tokenizer.from_file(path), byte_characters()
+    merges, four = tok.model.tokenize, [i.to_bytes(4, "little") for i in range(tok.get_vocab_size())]
 
     def encode(word: str) -> bytes:
         # what encodes alike is encoded once: the vocabulary's own pattern always cuts between a
         # letter and the marks behind it, and its normaliser lower-cases letter by letter
-        plain = max(word, default="") < PLAIN
+        plain = word.isascii() or max(word) < PLAIN
         stem = word.rstrip(MARKS) if plain else word
         low = word.lower() if plain else word
         if len(stem) < len(word) and stem and stem[-1].isalpha():
             return words[stem] + words[word[len(stem):]]
         if low != word and "<|" not in word:
             return words[low]
+        if plain and word.isalpha():
+            # one match of the pattern, normal already: straight to the merges, as bytes' characters
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(chars)
+            return b"".join([four[t.id] for t in merges(letters)])
         return b"".join(i.to_bytes(4, "little") for i in tok.encode(word, add_special_tokens=False).ids)
 
     words = Memo(encode, memo_bytes)
