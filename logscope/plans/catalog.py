@@ -80,7 +80,7 @@ def q_one_pass_summary(spark, sf):
 
 @query("one_pass_sample")
 def q_one_pass_sample(spark, sf):
-    return LV.sample_of(LV.totals_with_sample(log_lines(spark, sf), n=10, seed=42, key="line_no"))
+    return LV.sample_of(materialize(LV.totals_with_sample(log_lines(spark, sf), n=10, seed=42, key="line_no")))
 
 
 @query("error_lines")
