@@ -37,7 +37,7 @@ from .common import Memo, cut, slices, texts
 CAPACITY = 2048
 OPEN_BINS = 512
 PIECES_PER_TASK = 100_000
-MEMO_BYTES = 128 << 20     # of a task's memo of words
+MEMO_BYTES = 192 << 20     # of a task's memo of words
 MARKS = ".,!?;:%*&$#|()"
 PLAIN = "\u0130"          # below it, lower case is one letter for one letter
 PIECE = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
