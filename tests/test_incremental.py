@@ -153,3 +153,35 @@ def test_density_is_close_to_the_exact_kernel_sum_with_area_one(spark):
 @pytest.mark.parametrize("values", [[], [5.0], [5.0, 5.0, 5.0], [0.0, -1.0]])
 def test_no_density_without_spread(spark, values):
     assert TL.log_density(spark.createDataFrame([(x,) for x in values], "m double"), "m").collect() == []
+
+
+def test_tree_is_written_by_as_many_tasks_as_its_lines_need(spark, tmp_path, monkeypatch):
+    from logscope.sources import fixture
+    monkeypatch.setattr(fixture, "LINES_PER_TREE_TASK", 10)
+    lines = [(f"/logs/{APP.format(a)}/container_1485248649253_{a:04d}_01_000001.log", i, line(i, f"INFO a.B: {a} {i}"))
+             for a in range(1, 61) for i in (2, 0, 1)]
+    fixture.write_tree(spark.createDataFrame(lines, fixture.CORPUS_SCHEMA).repartition(3), str(tmp_path / "tree"))
+    tasks = max(spark.sparkContext.defaultParallelism, 18)
+    files = sorted((tmp_path / "tree").glob("app=*/*.txt"))
+    # the part number is the task's: AQE has not merged the small partitions
+    assert len(files) == 60 and len({f.name.split("-")[1] for f in files}) > tasks // 2
+    assert all(f.read_text().splitlines() == [line(i, f"INFO a.B: {a} {i}") for i in range(3)] for a, f in enumerate(files, 1))
+
+
+def test_a_tree_of_many_folders_is_listed_by_few_tasks(spark, tmp_path):
+    from logscope.sources.logs import listing_tasks
+    name, root = "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tmp_path / "logs")
+    for app in range(1, 51):
+        write(root, app, 1, [line(1)])
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")       # Spark's default, in a session without the library's profile
+    try:
+        with listing_tasks(spark, 7):
+            assert spark.conf.get(name) == "7"
+        assert spark.conf.get(name) == "10000"
+        for read in (read_logs, list_logs):
+            assert read(spark, root).count() == 50 and spark.conf.get(name) == "10000"
+        with listing_tasks(spark, 20000):
+            assert spark.conf.get(name) == "10000"
+    finally:
+        spark.conf.set(name, before)
