@@ -65,7 +65,8 @@ def update_manifest(spark: SparkSession, root: str | list[str], state: str, *, r
     state = state.rstrip("/")
     have = _versions(spark, state)
     old = read_manifest(spark, state)
-    listing = materialize(list_logs(spark, root, recursive=recursive, glob_filter=glob_filter).select(*_KEY))
+    # rebalanced: a scan of small files has many tasks, each of which would store a table file of a few rows
+    listing = materialize(list_logs(spark, root, recursive=recursive, glob_filter=glob_filter).select(*_KEY).hint("rebalance"))
     # the raw path is read, the plain one compares with the line reader's
     changed = materialize(listing.join(old, _KEY, "left_anti").withColumn("plain", C.plain_path("path")))
     n = changed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("b")).first()
