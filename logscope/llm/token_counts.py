@@ -21,6 +21,7 @@ from __future__ import annotations
 import heapq
 import os
 from collections.abc import Iterator
+from operator import add
 
 import pyarrow as pa
 import sentencepiece
@@ -31,13 +32,13 @@ from pyspark.sql.functions import arrow_udf
 from .common import Memo, slices, texts
 
 SPACE = "▁"
-MEMO_BYTES = 48 << 20       # of a task's memos: a third for parts of words, the rest for words
+MEMO_BYTES = 128 << 20      # of a task's memos: a third for parts of words, the rest for words
 
 
 def merge_count(part: str, cost: dict[str, float]) -> int:
     """Tokens of ``part`` after all merges; ``cost`` maps a piece to its rank (lower first)."""
     n = len(part)
-    start = sum(1 if c in cost else len(c.encode()) for c in part)
+    start = sum([1 if c in cost else len(c.encode()) for c in part])
     if n < 2:
         return start
     sym, nxt, prv = list(part), list(range(1, n + 1)), list(range(-1, n - 1))
@@ -89,10 +90,10 @@ class PieceCounter:
     def segment(self, seg: str) -> int:
         """Tokens of normalised text, cut wherever no piece of the vocabulary can span."""
         joined, parts, total, a = self.joined, self.parts, 0, 0
-        for i in range(1, len(seg) + 1):
-            if i == len(seg) or seg[i - 1:i + 1] not in joined:
+        for i, pair in enumerate(map(add, seg, seg[1:]), 1):
+            if pair not in joined:
                 total, a = total + parts[seg[a:i]], i
-        return total
+        return total + parts[seg[a:]] if seg else 0
 
     def count(self, text: str) -> int:
         if not text:

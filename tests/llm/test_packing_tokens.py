@@ -142,3 +142,12 @@ def test_packing_over_several_tasks(spark):
     rows = pack(items, "length", 100, open_bins=16, per_task=500).collect()
     assert sorted(r["id"] for r in rows) == list(range(3000))
     assert check_bins(rows, 100) <= 1.15 * sum(r["length"] for r in rows) / 100
+
+
+def test_the_memo_keeps_the_words_of_a_task():
+    made = []
+    counter = PieceCounter(PIECE_BPE)
+    counter.words.make = lambda word: made.append(word) or 1
+    text = " ".join(f"w{i:x}" for i in range(250_000))
+    assert counter.count(text) == counter.count(text) == 250_000
+    assert len(made) == 250_000         # a smaller memo makes most of them twice
