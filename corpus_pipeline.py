@@ -18,6 +18,8 @@ from logscope.llm.simhash import keep_one
 from logscope.llm.toxicity import fit, held_out, score_toxicity
 from logscope.sources import read_table
 
+PACK_MEMO_BYTES = 64 << 20
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, trained on the labels, does not predict toxic."""
@@ -42,8 +44,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the remaining documents with their sequences and offsets."""
-    return pack_documents(docs, WORD_BPE)
+    """Token pieces of the remaining documents with their sequences and offsets; the Python workers, which keep their memory,
+    serve the other stages as well, so the memo is smaller than op1's."""
+    return pack_documents(docs, WORD_BPE, memo_bytes=PACK_MEMO_BYTES)
 
 
 STAGES = [

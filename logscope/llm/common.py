@@ -106,6 +106,12 @@ def raw(arr: pa.Array) -> list[bytes]:
     return [x or b"" for x in arr.cast(pa.binary()).to_pylist()]
 
 
+def each_raw(arr: pa.Array, text_rows: int = 256) -> Iterator[bytes]:
+    """``raw``, a few rows at a time."""
+    for a in range(0, len(arr), text_rows):
+        yield from raw(arr.slice(a, text_rows))
+
+
 def signed(x: int) -> int:
     """An unsigned 64-bit value as the signed long that Spark stores."""
     return x - LONG if x >= LONG >> 1 else x

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import cut, fresh, raw
+from .common import cut, each_raw, fresh
 
 BUCKETS = 1 << 15
 EFFECTIVE = 60
@@ -100,7 +100,7 @@ def train_text(docs: DataFrame, text: str = "text", lang: str = "lang", min_shar
             sums.clear()
 
         for b in batches:
-            for x, t in zip(b.column(0).to_pylist(), raw(b.column(1))):
+            for x, t in zip(b.column(0).to_pylist(), each_raw(b.column(1))):
                 for g in trigrams(t):
                     if at[x] not in sums:
                         if len(sums) == HELD:
@@ -136,7 +136,7 @@ def text_evidence(text: str | Column, model: TextModel) -> Column:
         step = max(1, 4 * SLICE // table.shape[1])
         for arr in batches:
             out = []
-            for t in raw(arr):
+            for t in each_raw(arr):
                 n, s = 0, np.zeros(table.shape[1])
                 for g in trigrams(t):
                     n += len(g)

@@ -108,7 +108,7 @@ def word_tokenizer(path: str, memo_bytes: int = MEMO_BYTES) -> Callable[[str], b
     return ids
 
 
-def pieces(text: str | Column, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> Column:
+def pieces(text: str | Column, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, memo_bytes: int = MEMO_BYTES) -> Column:
     """Array of (piece, start, length, ids_crc32) of each text's tokens followed by ``end_id``."""
     end, width = end_id.to_bytes(4, "little"), 4 * capacity
     typ = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -116,7 +116,7 @@ def pieces(text: str | Column, tokenizer_path: str, capacity: int = CAPACITY, en
 
     @arrow_udf(PIECE)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ids = word_tokenizer(tokenizer_path)
+        ids = word_tokenizer(tokenizer_path, memo_bytes)
         for parts in slices(batches):
             out = []
             for t in (t for part in parts for t in texts(part)):
@@ -153,7 +153,8 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY, ope
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
-                   capacity: int = CAPACITY, open_bins: int = OPEN_BINS, end_id: int = 0) -> DataFrame:
+                   capacity: int = CAPACITY, open_bins: int = OPEN_BINS, end_id: int = 0,
+                   memo_bytes: int = MEMO_BYTES) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode(pieces(text, tokenizer_path, capacity, end_id)).alias("p"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode(pieces(text, tokenizer_path, capacity, end_id, memo_bytes)).alias("p"))
     return pack(cut(rows.select("doc_id", "p.*")), "length", capacity, open_bins)

@@ -151,3 +151,21 @@ def test_the_memo_keeps_the_words_of_a_task():
     text = " ".join(f"w{i:x}" for i in range(250_000))
     assert counter.count(text) == counter.count(text) == 250_000
     assert len(made) == 250_000         # a smaller memo makes most of them twice
+
+
+def test_the_pipeline_packs_with_a_smaller_memo_and_the_same_ids(monkeypatch):
+    import corpus_pipeline
+    import pyarrow as pa
+
+    from logscope.llm import packing
+    from logscope.llm.common import each_raw, raw
+    from logscope.llm.queries import WORD_BPE
+
+    seen = {}
+    monkeypatch.setattr(corpus_pipeline, "pack_documents", lambda docs, path, **how: seen.update(how))
+    corpus_pipeline.pack(None, None, "")
+    assert seen["memo_bytes"] == corpus_pipeline.PACK_MEMO_BYTES < packing.MEMO_BYTES
+    text = " ".join(f"Word{i % 700} x{i}." for i in range(3000))
+    assert packing.word_tokenizer(WORD_BPE, 1 << 14)(text) == packing.word_tokenizer(WORD_BPE)(text)
+    arr = pa.array(["é", None, "", *map(str, range(600))])
+    assert list(each_raw(arr)) == raw(arr)
