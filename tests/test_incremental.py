@@ -185,3 +185,51 @@ def test_a_tree_of_many_folders_is_listed_by_few_tasks(spark, tmp_path):
             assert spark.conf.get(name) == "10000"
     finally:
         spark.conf.set(name, before)
+
+
+def accounted(spark, root):
+    return read_accounting(read_logs(spark, root), list_logs(spark, root, glob_filter="*.log"))
+
+
+def test_a_tree_of_many_folders_is_read_part_by_part(spark, tmp_path, monkeypatch):
+    from logscope.sources import by_parts, logs
+    root = tmp_path / "logs, [1]"
+    for app in range(1, 12):
+        write(str(root), app, 1, [line(app), "", "x"])
+    for name in ("a,b", "c[d]{e}*", "f g?", "h\\i", "k=%20", "_hidden", ".hidden", "_p=1"):
+        (root / name / "deep").mkdir(parents=True)
+        (root / name / "deep" / "one.log").write_text("one\ntwo")
+    (root / "own.log").write_text("beside the folders\n")
+    (root / "own.txt").write_text("no log\n")
+    (root / "empty").mkdir()
+    at = logs.exact_path(str(root))
+    want = sorted(map(tuple, accounted(spark, at).collect()))
+    assert list(logs.tree_parts(spark, at)) == [at]         # few folders: as before
+    monkeypatch.setattr(logs, "PATHS_AT_ONCE", 4)
+    parts = list(logs.tree_parts(spark, at))
+    assert len(parts) > 4 and all(isinstance(p, list) and len(p) <= 4 for p in parts)
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")}
+    got = by_parts(spark, at, lambda part: accounted(spark, part))
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 18 and {k: spark.conf.get(k, None) for k in before} == before
+    # paths that a glob matches are divided as they are, roots that may hold one another are not
+    some = list(logs.tree_parts(spark, f"{at}/app*", recursive=False))
+    assert sorted(x.rsplit("_", 1)[1] for p in some for x in p) == [f"{a:04d}" for a in range(1, 12)]
+    for whole in ([at, f"{at}/app*"], f"{{{tmp_path}/x,{tmp_path}}}", f"{at}/none"):
+        assert list(logs.tree_parts(spark, whole)) == [whole]
+
+
+def test_no_listing_stays_when_its_frame_is_gone(spark):
+    from logscope.sources.logs import listing_tasks
+    name = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(name)
+    with listing_tasks(spark):
+        assert spark.conf.get(name) == "false"
+    assert spark.conf.get(name) == before
+
+
+def test_a_tree_has_no_checksum_files(spark, tmp_path):
+    from logscope.sources import fixture
+    lines = [(f"/logs/{APP.format(a)}/container_1485248649253_{a:04d}_01_000001.log", 0, line(a)) for a in range(1, 4)]
+    fixture.write_tree(spark.createDataFrame(lines, fixture.CORPUS_SCHEMA), str(tmp_path / "tree"))
+    files = sorted(f.name for f in (tmp_path / "tree").glob("app=*/*")) + sorted(f.name for f in (tmp_path / "tree").glob("app=*/.*"))
+    assert len(files) == 3 and all(f.endswith(".txt") for f in files)
