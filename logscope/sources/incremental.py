@@ -7,20 +7,22 @@ that are gone.  Bounds of an application or cluster are minima and maxima over i
 manifest, whatever was read when.
 
 A version is a folder of its own and counts once its write is complete, so a run that fails leaves the last one in force.  A changed
-file is read whole: its row is replaced, not added to.
+file is read whole: its row is replaced, not added to.  Listing and reading take a part of the paths at a time
+(``sources.logs.PATHS_AT_ONCE``), so the driver never holds the files of a large tree.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logscope.functions import columns as C
 from logscope.operators.timeline import file_stats
-from logscope.session import materialize
-from logscope.sources.logs import list_logs, read_logs
+from logscope.session import materialize, materialize_all
+from logscope.sources.logs import PATHS_AT_ONCE, exact_path, list_logs, read_logs, small_files, tree_parts
 
 MANIFEST_SCHEMA = ("path STRING, file_size BIGINT, modified TIMESTAMP, first_time TIMESTAMP_NTZ, last_time TIMESTAMP_NTZ, "
                    "num_lines BIGINT, file_bytes BIGINT")
@@ -66,20 +68,23 @@ def update_manifest(spark: SparkSession, root: str | list[str], state: str, *, r
     have = _versions(spark, state)
     old = read_manifest(spark, state)
     # rebalanced: a scan of small files has many tasks, each of which would store a table file of a few rows
-    listing = materialize(list_logs(spark, root, recursive=recursive, glob_filter=glob_filter).select(*_KEY).hint("rebalance"))
+    with small_files(spark):
+        listing = materialize_all(spark, (list_logs(spark, part, recursive=recursive, glob_filter=glob_filter).select(*_KEY).hint("rebalance")
+                                          for part in tree_parts(spark, root, recursive=recursive)))
     # the raw path is read, the plain one compares with the line reader's
     changed = materialize(listing.join(old, _KEY, "left_anti").withColumn("plain", C.plain_path("path")))
     n = changed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("b")).first()
     all_ = listing.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("b")).first()
     if not n["n"]:
         stats = None
-    elif n["n"] == all_["n"]:
+    elif n["n"] == all_["n"] <= PATHS_AT_ONCE:
         stats = file_stats(read_logs(spark, root, recursive=recursive, glob_filter=glob_filter), time_mode)
     else:
-        # names of changed files only; the driver holds the whole listing to plan a scan anyway
-        paths = [r["path"] for r in changed.select("path").toLocalIterator()]
-        stats = file_stats(read_logs(spark, [p.replace("[", "\\[").replace("{", "\\{").replace("*", "\\*").replace("?", "\\?") for p in paths],
-                                     recursive=False), time_mode)
+        # by name, so that only changed files are read; a part of the names at a time, as the driver holds what a frame reads
+        names = (exact_path(r["path"]) for r in changed.select("path").toLocalIterator())
+        parts = iter(lambda: list(islice(names, PATHS_AT_ONCE)), [])
+        with small_files(spark):
+            stats = materialize_all(spark, (file_stats(read_logs(spark, part, recursive=False), time_mode).hint("rebalance") for part in parts))
     new = old.join(listing, _KEY, "left_semi")
     if stats is not None:
         rows = (changed.join(stats.select(C.plain_path("path").alias("plain"), "first_time", "last_time", "num_lines"), "plain", "left")

@@ -233,3 +233,27 @@ def test_a_tree_has_no_checksum_files(spark, tmp_path):
     fixture.write_tree(spark.createDataFrame(lines, fixture.CORPUS_SCHEMA), str(tmp_path / "tree"))
     files = sorted(f.name for f in (tmp_path / "tree").glob("app=*/*")) + sorted(f.name for f in (tmp_path / "tree").glob("app=*/.*"))
     assert len(files) == 3 and all(f.endswith(".txt") for f in files)
+
+
+def test_a_manifest_reads_a_part_of_its_files_at_a_time(spark, tmp_path, monkeypatch):
+    from logscope.sources import incremental, logs
+    for module in (logs, incremental):
+        monkeypatch.setattr(module, "PATHS_AT_ONCE", 4)
+    asked = []
+    for name in ("read_logs", "list_logs"):
+        real = getattr(incremental, name)
+        monkeypatch.setattr(incremental, name, lambda spark, root, real=real, **k: asked.append(root) or real(spark, root, **k))
+    root, state = str(tmp_path / "logs"), str(tmp_path / "state")
+    for app in range(1, 12):
+        write(root, app, 1, [line(app), line(app + 20)])
+        write(root, app, 2, [line(app + 40)])
+    one = update_manifest(spark, f"{root}/application_*_000[1-5]", state)
+    two = update_manifest(spark, root, state)
+    grown = write(root, 3, 2, [line(59)], mode="a")
+    three = update_manifest(spark, root, state)
+    four = update_manifest(spark, root, state)
+    assert [(u.files_listed, u.files_read) for u in (one, two, three, four)] == [(10, 10), (22, 12), (22, 1), (22, 0)]
+    assert three.bytes_read == os.path.getsize(grown) and two.bytes_read == two.bytes_listed - one.bytes_listed
+    assert timeline(four.manifest) == full(spark, root) and len(full(spark, root)) == 11
+    # the driver never holds the whole listing: no frame has more than four paths, none is over the tree itself
+    assert all(isinstance(r, list) and len(r) <= 4 for r in asked) and len(asked) > 12
