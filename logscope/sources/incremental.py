@@ -67,9 +67,10 @@ def update_manifest(spark: SparkSession, root: str | list[str], state: str, *, r
     state = state.rstrip("/")
     have = _versions(spark, state)
     old = read_manifest(spark, state)
-    # rebalanced: a scan of small files has many tasks, each of which would store a table file of a few rows
+    # a task for each core: more would store a table file of a few rows each, and a shuffle costs more than the scan
+    cores = spark.sparkContext.defaultParallelism
     with small_files(spark):
-        listing = materialize_all(spark, (list_logs(spark, part, recursive=recursive, glob_filter=glob_filter).select(*_KEY).hint("rebalance")
+        listing = materialize_all(spark, (list_logs(spark, part, recursive=recursive, glob_filter=glob_filter).select(*_KEY).coalesce(cores)
                                           for part in tree_parts(spark, root, recursive=recursive)))
     # the raw path is read, the plain one compares with the line reader's
     changed = materialize(listing.join(old, _KEY, "left_anti").withColumn("plain", C.plain_path("path")))
@@ -84,7 +85,7 @@ def update_manifest(spark: SparkSession, root: str | list[str], state: str, *, r
         names = (exact_path(r["path"]) for r in changed.select("path").toLocalIterator())
         parts = iter(lambda: list(islice(names, PATHS_AT_ONCE)), [])
         with small_files(spark):
-            stats = materialize_all(spark, (file_stats(read_logs(spark, part, recursive=False), time_mode).hint("rebalance") for part in parts))
+            stats = materialize_all(spark, (file_stats(read_logs(spark, part, recursive=False), time_mode) for part in parts))
     new = old.join(listing, _KEY, "left_semi")
     if stats is not None:
         rows = (changed.join(stats.select(C.plain_path("path").alias("plain"), "first_time", "last_time", "num_lines"), "plain", "left")

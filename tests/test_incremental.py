@@ -257,3 +257,16 @@ def test_a_manifest_reads_a_part_of_its_files_at_a_time(spark, tmp_path, monkeyp
     assert timeline(four.manifest) == full(spark, root) and len(full(spark, root)) == 11
     # the driver never holds the whole listing: no frame has more than four paths, none is over the tree itself
     assert all(isinstance(r, list) and len(r) <= 4 for r in asked) and len(asked) > 12
+
+
+def test_a_listing_is_stored_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from logscope.sources import incremental
+    stored, real = [], incremental.materialize_all
+    monkeypatch.setattr(incremental, "materialize_all", lambda spark, frames: real(spark, [stored.append(f) or f for f in frames]))
+    root = str(tmp_path / "logs")
+    for app in range(1, 301):
+        write(root, app, 1, [line(1)])
+    assert update_manifest(spark, root, str(tmp_path / "state")).files_read == 300
+    plan = stored[0]._jdf.queryExecution().executedPlan().toString()
+    # no more table files than cores all the same
+    assert "binary" in plan.lower() and "Exchange" not in plan and stored[0].rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
