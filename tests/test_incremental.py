@@ -270,3 +270,21 @@ def test_a_listing_is_stored_without_a_shuffle(spark, tmp_path, monkeypatch):
     plan = stored[0]._jdf.queryExecution().executedPlan().toString()
     # no more table files than cores all the same
     assert "binary" in plan.lower() and "Exchange" not in plan and stored[0].rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
+def test_a_part_is_gone_before_the_next_is_read(spark, tmp_path):
+    import weakref
+
+    from logscope.session import materialize_all
+    root = str(tmp_path / "logs")
+    for app in range(1, 5):
+        write(root, app, 1, [line(app)])
+    refs, alive = [], []
+
+    def make(app):
+        alive.append(sum(r() is not None for r in refs))
+        f = accounted(spark, os.path.join(root, APP.format(app)))
+        refs.append(weakref.ref(f._jdf))        # while it is there, the driver keeps the listing
+        return f
+
+    assert materialize_all(spark, map(make, range(1, 5))).count() == 4 and alive == [0, 0, 0, 0]
